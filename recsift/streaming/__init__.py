@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The workload is batch only: interaction tables are split, models are
+fitted and lists are scored over whole tables. There is no event time, no
+watermark and no stateful operator to express, so nothing here uses
+Structured Streaming.
+"""
