@@ -34,6 +34,8 @@ from recsift.operators.splits import (
     SplitSpec,
     assign_roles,
     drop_unobserved_items,
+    item_visibility,
+    item_visibility_rows,
     put_back,
     split,
     split_view,

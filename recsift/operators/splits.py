@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recsift.functions.hashing import bucket
-from recsift.operators.joins import attach_keys, keep_keys
+from recsift.operators.joins import attach_keys, bounded, keep_keys
 
 TRAIN, VAL, TEST = "train", "val", "test"
 
@@ -89,6 +89,13 @@ def item_visibility(df: DataFrame) -> DataFrame:
     ).select("item_id", (F.col("seen") == 1).alias("keep"))
 
 
+def item_visibility_rows(df: DataFrame, keep: bool = True) -> DataFrame:
+    """Rows whose item is (``keep=True``) or is not (``keep=False``) seen in train."""
+    vis = item_visibility(df)
+    items, _ = bounded(vis.filter(F.col("keep") == keep).select("item_id"))
+    return df.join(items, "item_id", "left_semi")
+
+
 def drop_unobserved_items(df: DataFrame) -> DataFrame:
     """Drop val/test rows whose item has no train row.
 
