@@ -46,8 +46,10 @@ def fit_als(train: DataFrame, spec: ALSSpec = ALSSpec(), path: str | None = None
     Explicit models fit ``rating``; implicit models fit the review flag, zero
     rows included so both models see the same users and items.
     """
+    from recsift.session import checkpoint_dir
     from recsift.sources.store import fit_or_load_als
 
+    checkpoint_dir(train.sparkSession)  # ALS cuts its iteration lineage there
     data = train.select("user_id", "item_id",
                         F.col(spec.rating_col).cast("float").alias(spec.rating_col))
     return fit_or_load_als(spec.estimator(), data, path)

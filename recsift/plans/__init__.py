@@ -1,7 +1,8 @@
 """Compositions of operators: preparation, tuning, final test."""
 
 from recsift.plans.prepare import PrepareSpec, prepare, prepare_stepwise, prepared_table, split_fractions
+from recsift.plans.recs_store import get_recs
 from recsift.plans.tuning import final_test, train_eval, tune_grid, tune_weight
 
 __all__ = ["PrepareSpec", "prepare", "prepare_stepwise", "prepared_table", "split_fractions",
-           "final_test", "train_eval", "tune_grid", "tune_weight"]
+           "get_recs", "final_test", "train_eval", "tune_grid", "tune_weight"]

@@ -23,7 +23,7 @@ from recsift.operators.filters import check_threshold, remove_low_users, remove_
 from recsift.operators.joins import attach_keys
 from recsift.operators.sampling import DOWNSAMPLE_MODULUS, check_fraction, downsample_users, user_share
 from recsift.operators.splits import TRAIN, SplitSpec, drop_unobserved_items, split, tag_holdout
-from recsift.sources.interactions import interactions
+from recsift.sources.interactions import interactions, interactions_table
 from recsift.sources.store import artefact_path, load_or_compute
 
 OUT_COLS = ["user_id", "item_id", "rating", "is_reviewed", "split"]
@@ -97,7 +97,7 @@ def prepared_table(spark: SparkSession, sf_dir: str, spec: PrepareSpec = Prepare
         return prepare(interactions(spark, sf_dir), spec)
     path = artefact_path(spark, "splits", sf_dir, fraction=spec.fraction, seed=spec.seed,
                          low=spec.low_threshold, shares=spec.split_spec())
-    return load_or_compute(spark, path, lambda: prepare(interactions(spark, sf_dir), spec),
+    return load_or_compute(spark, path, lambda: prepare(interactions_table(spark, sf_dir), spec),
                            partition_by="split")
 
 

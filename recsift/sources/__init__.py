@@ -4,6 +4,7 @@ from recsift.sources.interactions import (
     INTERACTION_COLUMNS,
     interaction_rows,
     interactions,
+    interactions_table,
     read_csv_table,
 )
 from recsift.sources.store import (
@@ -15,6 +16,6 @@ from recsift.sources.store import (
     table_exists,
 )
 
-__all__ = ["INTERACTION_COLUMNS", "interaction_rows", "interactions", "read_csv_table",
+__all__ = ["INTERACTION_COLUMNS", "interaction_rows", "interactions", "interactions_table", "read_csv_table",
            "artefact_path", "fit_or_load_als", "load_or_compute", "materialize",
            "append_runs", "table_exists"]

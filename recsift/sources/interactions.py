@@ -57,3 +57,19 @@ def read_csv_table(spark: SparkSession, path: str, which: str = "interactions")
     if which not in CSV_SCHEMAS:
         raise ValueError(f"unknown table {which!r}; expected one of {sorted(CSV_SCHEMAS)}")
     return spark.read.csv(path, header=True, schema=CSV_SCHEMAS[which])
+
+
+def interactions_table(spark: SparkSession, sf_dir: str, root: str | None = None) -> DataFrame:
+    """The interaction table written once under the shared checkpoint folder.
+
+    Building it joins the two largest tables and groups the result, and
+    preparation reads it several times (size checks, per-user and per-item
+    aggregates, the final rows), so it is materialised instead of recomputed.
+    The write keeps the aggregate's hash layout (no extra sort); ``root``
+    overrides the folder (a fresh one per benchmark run).
+    """
+    from recsift.sources.store import artefact_path, load_or_compute
+
+    path = (f"{root}/interactions" if root else
+            artefact_path(spark, "interactions", sf_dir, schema="v1"))
+    return load_or_compute(spark, path, lambda: interactions(spark, sf_dir), sort_by=())

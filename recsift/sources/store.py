@@ -50,13 +50,15 @@ def materialize(df: DataFrame, path: str, sort_by: tuple[str, ...] = ("user_id",
     Rows are range-partitioned and sorted on ``sort_by`` so row-group min/max
     statistics let later filters on the leading key skip data. Ranging on the
     full key (not the user alone) splits a very active user across several
-    files. Never overwrites. Reading back cuts the lineage, so lost executors
-    re-read files instead of recomputing the whole plan.
+    files; ``sort_by=()`` writes the partitions as they are. Never overwrites.
+    Reading back cuts the lineage, so lost executors re-read files instead of
+    recomputing the whole plan.
     """
     spark = df.sparkSession
     if not table_exists(spark, path):
-        writer = (df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
-                  .write.mode("errorifexists"))
+        if sort_by:
+            df = df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
+        writer = df.write.mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(partition_by)
         writer.parquet(path)

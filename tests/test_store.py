@@ -69,3 +69,20 @@ def test_runs_sink_appends(spark):
     append_runs(row, path)
     append_runs(row, path)
     assert spark.read.parquet(path).count() == 2
+
+
+def test_get_recs_keyed_by_model_type(spark):
+    from recsift.plans import get_recs
+
+    df = spark.createDataFrame([(u, i, (u * i) % 5 + 1, (u + i) % 2)
+                                for u in range(30) for i in range(12)],
+                               "user_id int, item_id int, rating int, is_reviewed int")
+    users = df.select("user_id").distinct()
+    src = "test-src-" + tempfile.mkdtemp(dir="/tmp")
+    a = get_recs(df, users, ALSSpec(rank=3, max_iter=2), 4, src)
+    b = get_recs(df, users, ALSSpec(rank=3, max_iter=2, implicit=True), 4, src)
+    again = get_recs(df, users, ALSSpec(rank=3, max_iter=2), 4, src)
+    assert a.count() == b.count() == again.count() == 30
+    key = lambda d: sorted((r.user_id, tuple(x.item_id for x in r.recommendations))
+                           for r in d.collect())
+    assert key(a) == key(again)
