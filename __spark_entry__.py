@@ -55,6 +55,8 @@ from recsift.operators import (  # noqa: E402
 )
 from recsift.plans import (  # noqa: E402
     PrepareSpec,
+    at_fraction,
+    fraction_table,
     final_test,
     prepare,
     prepared_table,
@@ -185,6 +187,10 @@ def q_materialize_roundtrip(spark, sf):
         .select(*TRIPLE, "is_reviewed", "split")
 
 
+def q_fraction_splits(spark, sf):
+    return at_fraction(fraction_table(_inter(spark, sf), SEED, LOW), DOWN_FRACTION)
+
+
 def q_split_fractions(spark, sf):
     return split_fractions(_inter(spark, sf), FRACTIONS, SEED, LOW)
 
@@ -352,6 +358,8 @@ def oracle_sql() -> dict[str, str]:
         "prepare": _sql(f"SELECT {tri}, is_reviewed, split FROM final", fraction=PREPARE_FRACTION),
         "materialize_roundtrip": _sql(f"SELECT {tri}, is_reviewed, split FROM final"),
         "split_fractions": _fractions_sql(),
+        "fraction_splits": _sql(f"SELECT {tri}, is_reviewed, split FROM final",
+                                fraction=DOWN_FRACTION),
         "split_report": _sql("SELECT split, count(*) AS n_rows, count(DISTINCT user_id) AS n_users, "
                              "count(DISTINCT item_id) AS n_items FROM final GROUP BY split"),
         "conservation": _sql(

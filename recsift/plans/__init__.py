@@ -1,8 +1,17 @@
 """Compositions of operators: preparation, tuning, final test."""
 
-from recsift.plans.prepare import PrepareSpec, prepare, prepare_stepwise, prepared_table, split_fractions
+from recsift.plans.prepare import (
+    PrepareSpec,
+    at_fraction,
+    fraction_table,
+    prepare,
+    prepare_stepwise,
+    prepared_table,
+    save_fraction_splits,
+    split_fractions,
+)
 from recsift.plans.recs_store import get_recs
 from recsift.plans.tuning import final_test, train_eval, tune_grid, tune_weight
 
-__all__ = ["PrepareSpec", "prepare", "prepare_stepwise", "prepared_table", "split_fractions",
+__all__ = ["PrepareSpec", "at_fraction", "fraction_table", "save_fraction_splits", "prepare", "prepare_stepwise", "prepared_table", "split_fractions",
            "get_recs", "final_test", "train_eval", "tune_grid", "tune_weight"]

@@ -101,33 +101,59 @@ def prepared_table(spark: SparkSession, sf_dir: str, spec: PrepareSpec = Prepare
                            partition_by="split")
 
 
-def split_fractions(df: DataFrame, fractions=(0.01, 0.05, 0.25, 1.0), seed: int = 42,
-                    low_threshold: int = 10) -> DataFrame:
-    """Split sizes at several downsample fractions in one pass over the data.
-
-    ``(fraction, split, n_rows, n_users)``. A user enters the sample at every
-    fraction above its hash share, so the users of a smaller fraction are a
-    subset of those of a larger one. Each row gets the smallest fraction at
-    which it survives: its user's share, and for a held-out row also the
-    smallest share of a user that has the item in train (item visibility).
-    Counting rows and users by that threshold gives every fraction at once;
-    only the small per-threshold histograms are expanded per fraction.
+def fraction_table(df: DataFrame, seed: int = 42, low_threshold: int = 10) -> DataFrame:
+    """Splits for every downsample fraction at once, as one table.
+
+    ``(user_id, item_id, rating, is_reviewed, split, share)``: ``share`` is the
+    smallest downsample bucket at which the row exists, so the prepared split
+    at fraction ``f`` is ``at_fraction(table, f)``, a filter. A user enters
+    the sample at every fraction above its hash share (the users of a
+    smaller fraction are a subset of those of a larger one). Low-user
+    removal and put-back are per-user and do not depend on the fraction;
+    only item visibility does: a held-out row survives once some user with
+    the item in train has entered, i.e. above the item's smallest train share.
     """
-    for f in fractions:
-        check_fraction(f)
     spec = PrepareSpec(fraction=1.0, seed=seed, low_threshold=low_threshold)
     kept = _tagged_users(remove_zeros(df), spec)
     moved = F.coalesce(F.col("action") == "put_back", F.lit(False))
     rows = kept.select(
-        "user_id", "item_id", user_share(seed).alias("share"),
+        "user_id", "item_id", "rating", "is_reviewed", user_share(seed).alias("share"),
         F.when(~F.col("held") | moved, F.lit(TRAIN)).otherwise(F.col("role")).alias("split"))
     first_seen = (rows.filter(F.col("split") == TRAIN).groupBy("item_id")
                   .agg(F.min("share").alias("item_share")))
     held = (attach_keys(rows.filter(F.col("split") != TRAIN), first_seen, "item_id")
             .filter(F.col("item_share").isNotNull())
-            .select("user_id", "split", F.greatest("share", "item_share").alias("share")))
-    entered = rows.filter(F.col("split") == TRAIN).select("user_id", "split", "share") \
-        .unionByName(held)
+            .withColumn("share", F.greatest("share", "item_share")).drop("item_share"))
+    return rows.filter(F.col("split") == TRAIN).unionByName(held).select(*OUT_COLS, "share")
+
+
+def at_fraction(table: DataFrame, fraction: float) -> DataFrame:
+    """The prepared split at ``fraction`` from a :func:`fraction_table`."""
+    check_fraction(fraction)
+    return (table.filter(F.col("share") < int(round(fraction * DOWNSAMPLE_MODULUS)))
+            .select(*OUT_COLS))
+
+
+def save_fraction_splits(spark: SparkSession, sf_dir: str, seed: int = 42,
+                         low_threshold: int = 10) -> DataFrame:
+    """Bulk split job: every fraction's split in one written table (one job),
+    partitioned by split; read a fraction back with :func:`at_fraction`."""
+    path = artefact_path(spark, "fraction_splits", sf_dir, seed=seed, low=low_threshold)
+    return load_or_compute(
+        spark, path, lambda: fraction_table(interactions_table(spark, sf_dir), seed, low_threshold),
+        partition_by="split")
+
+
+def split_fractions(df: DataFrame, fractions=(0.01, 0.05, 0.25, 1.0), seed: int = 42,
+                    low_threshold: int = 10) -> DataFrame:
+    """Split sizes at several fractions in one pass: ``(fraction, split, n_rows, n_users)``.
+
+    Counting the :func:`fraction_table` by share gives small histograms;
+    only those are expanded per fraction.
+    """
+    for f in fractions:
+        check_fraction(f)
+    entered = fraction_table(df, seed, low_threshold)
     row_hist = entered.groupBy("split", "share").agg(F.count(F.lit(1)).alias("n"))
     user_hist = (entered.groupBy("user_id", "split").agg(F.min("share").alias("share"))
                  .groupBy("split", "share").agg(F.count(F.lit(1)).alias("u")))

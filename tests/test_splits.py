@@ -111,3 +111,24 @@ def test_split_fractions_match_prepare(inter01):
         rep = split_report(prepare(thin, PrepareSpec(fraction=f, low_threshold=3))).collect()
         for r in rep:
             assert got[(f, r.split)] == (r.n_rows, r.n_users)
+
+
+def test_fraction_table_equals_prepare_rows(inter01):
+    from recsift.plans import at_fraction, fraction_table
+
+    thin = inter01.filter(bucket("thin", "user_id", "item_id") < 200)
+    table = fraction_table(thin, 42, 3).persist()
+    for f in (0.05, 0.3, 1.0):
+        a = at_fraction(table, f)
+        b = prepare(thin, PrepareSpec(fraction=f, low_threshold=3))
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_save_fraction_splits_one_table(spark):
+    from conftest import SF001
+    from recsift.plans import at_fraction, save_fraction_splits
+
+    t = save_fraction_splits(spark, SF001, seed=9, low_threshold=2)
+    half = at_fraction(t, 0.5)
+    want = prepare(interactions(spark, SF001), PrepareSpec(fraction=0.5, seed=9, low_threshold=2))
+    assert half.exceptAll(want).count() == 0 and want.exceptAll(half).count() == 0
