@@ -7,9 +7,9 @@ The long form is ``(user_id, pos, item_id, rating)`` with 1-based ``pos``.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -22,6 +22,10 @@ class ALSSpec:
     alpha: float = 1.0
     seed: int = 42
     block_size: int = 4096
+    # User and item blocks of the factorisation; each block is one task per
+    # half-iteration, so this is the fit's parallelism. None: the session's
+    # default parallelism (all cores), at least Spark ML's default of 10.
+    blocks: int | None = None
 
     @property
     def model_type(self) -> str:
@@ -31,13 +35,22 @@ class ALSSpec:
     def rating_col(self) -> str:
         return "is_reviewed" if self.implicit else "rating"
 
+    def resolved(self, spark: SparkSession) -> "ALSSpec":
+        """The spec with ``blocks`` fixed for this session (block layout
+        changes the seeded initial factors, so it is part of every model key)."""
+        if self.blocks is not None:
+            return self
+        return replace(self, blocks=max(10, spark.sparkContext.defaultParallelism))
+
     def estimator(self):
         from pyspark.ml.recommendation import ALS
 
+        blocks = self.blocks or 10
         return ALS(rank=self.rank, regParam=self.reg, maxIter=self.max_iter,
                    implicitPrefs=self.implicit, alpha=self.alpha, seed=self.seed,
                    userCol="user_id", itemCol="item_id", ratingCol=self.rating_col,
-                   coldStartStrategy="drop", blockSize=self.block_size)
+                   coldStartStrategy="drop", blockSize=self.block_size,
+                   numUserBlocks=blocks, numItemBlocks=blocks)
 
 
 def fit_als(train: DataFrame, spec: ALSSpec = ALSSpec(), path: str | None = None):
@@ -50,6 +63,7 @@ def fit_als(train: DataFrame, spec: ALSSpec = ALSSpec(), path: str | None = None
     from recsift.sources.store import fit_or_load_als
 
     checkpoint_dir(train.sparkSession)  # ALS cuts its iteration lineage there
+    spec = spec.resolved(train.sparkSession)
     data = train.select("user_id", "item_id",
                         F.col(spec.rating_col).cast("float").alias(spec.rating_col))
     return fit_or_load_als(spec.estimator(), data, path)

@@ -3,8 +3,9 @@ search and the final test.
 
 Fitting is Spark ML's ALS; the driver only loops over parameter points (a
 handful), never over data. Frames read more than once (train rows, labels,
-recommendation lists) are persisted for the duration of the plan and
-released at the end; the results are small metric tables.
+recommendation lists) are persisted while the plan runs. The results are
+small metric tables; each is checkpointed to the shared folder (which cuts
+its lineage to the persisted inputs) and the inputs are then released.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from recsift.operators.hybrid import fuse_scores, topk_lists, weigh
 from recsift.operators.metrics import eval_users, ranking_metrics, true_labels
 from recsift.operators.recs import ALSSpec, explode_recs, fit_als, pred_labels, recommend
 from recsift.operators.splits import TEST, TRAIN, VAL
+from recsift.session import checkpoint_dir
 
 WEIGHTS = [-1.0, 0.0, 0.5, 1.0, 5.0]
 
@@ -36,6 +38,16 @@ def _params(df: DataFrame, spec: ALSSpec, k: int, **extra) -> DataFrame:
     return df.select(*cols, "*")
 
 
+def _settle(result: DataFrame, *inputs: DataFrame) -> DataFrame:
+    """Checkpoint a small result (eagerly, to the shared folder), then unpersist its inputs."""
+    checkpoint_dir(result.sparkSession)
+    try:
+        return result.checkpoint(eager=True)
+    finally:
+        for df in inputs:
+            df.unpersist()
+
+
 def train_eval(splits: DataFrame, spec: ALSSpec = ALSSpec(), k: int = 10,
                train_on=(TRAIN,), eval_on: str = VAL, model_path: str | None = None) -> DataFrame:
     """Fit on ``train_on`` splits, recommend k items for the ``eval_on`` users and score them."""
@@ -59,9 +71,10 @@ def tune_grid(splits: DataFrame, ranks: Sequence[int] = (10, 20), regs: Sequence
             spec = replace(base, rank=rank, reg=reg)
             recs = recommend(fit_als(train, spec), users, k)
             m = _params(ranking_metrics(pred_labels(recs), labels, k), spec, k)
-            m = m.persist(StorageLevel.MEMORY_AND_DISK)
-            m.count()
+            m = _settle(m)
             out = m if out is None else out.unionByName(m)
+    for df in (train, users, labels):
+        df.unpersist()
     return out
 
 
@@ -88,8 +101,9 @@ def tune_weight(splits: DataFrame, spec: ALSSpec = ALSSpec(), k: int = 10,
     target = _rows(splits, VAL)
     users = eval_users(target)
     rat, rev = _both_recs(train, users, spec, k)
-    return _params(weight_metrics(rat, rev, true_labels(target), k, weights),
-                   replace(spec, implicit=False), k)
+    out = _params(weight_metrics(rat, rev, true_labels(target), k, weights),
+                  replace(spec, implicit=False), k)
+    return _settle(out, rat, rev, train)
 
 
 def final_test(splits: DataFrame, spec: ALSSpec = ALSSpec(), k: int = 10,
@@ -108,4 +122,5 @@ def final_test(splits: DataFrame, spec: ALSSpec = ALSSpec(), k: int = 10,
     basic = ranking_metrics(rat.select("user_id", "pos", "item_id"), labels, k) \
         .select(F.lit("basic").alias("model"), F.lit(None).cast("double").alias("weight"), "*")
     hybrid = weight_metrics(rat, rev, labels, k, [weight]).select(F.lit("hybrid").alias("model"), "*")
-    return _params(basic.unionByName(hybrid), replace(spec, implicit=False), k)
+    out = _params(basic.unionByName(hybrid), replace(spec, implicit=False), k)
+    return _settle(out, rat, rev, labels, train)
