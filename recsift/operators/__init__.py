@@ -25,6 +25,8 @@ from recsift.operators.recs import (
     popularity_recs,
     pred_labels,
     recommend,
+    recommend_long,
+    recommend_spark_ml,
 )
 from recsift.operators.sampling import downsample_users
 from recsift.operators.splits import (

@@ -47,3 +47,45 @@ def test_implicit_model_on_review_flags(spark, splits):
     explicit = fit_als(train, ALSSpec(rank=4, max_iter=3))
     assert model.userFactors.count() == explicit.userFactors.count()
     assert model.itemFactors.count() == explicit.itemFactors.count()
+
+
+def test_top_k_kernel_matches_full_sort_with_ties():
+    import numpy as np
+
+    from recsift.functions.topk import top_k
+
+    rng = np.random.default_rng(3)
+    users = rng.integers(-2, 3, size=(37, 3)).astype(np.float32)   # small ints: many ties
+    items = rng.integers(-2, 3, size=(50, 3)).astype(np.float32)
+    ids = rng.permutation(1000)[:50].astype(np.int64)
+    for k in (1, 4, 7, 50, 60):
+        s, i = top_k(users, items, ids, k, user_tile=8, item_tile=9)
+        full = users @ items.T
+        for r in range(users.shape[0]):
+            order = sorted(range(50), key=lambda j: (-full[r, j], ids[j]))[:k]
+            assert list(i[r]) == [ids[j] for j in order]
+            assert np.allclose(s[r], full[r, order])
+
+
+def test_recommend_matches_spark_ml(spark, splits):
+    from recsift.operators import recommend_spark_ml
+
+    train = _train(splits)
+    model = fit_als(train, ALSSpec(rank=5, max_iter=5))
+    users = splits.filter(F.col("split") == "val").select("user_id").distinct()
+    ref = {r.user_id: r.recommendations for r in recommend_spark_ml(model, users, 6).collect()}
+    for chunk in (None, 5 * 40):                      # one broadcast, then many chunks
+        got = {r.user_id: r.recommendations for r in recommend(model, users, 6, chunk).collect()}
+        assert set(got) == set(ref)
+        for u, recs in ref.items():
+            assert [x.rating for x in got[u]] == pytest.approx([x.rating for x in recs], abs=1e-4)
+
+
+def test_recommend_plan_has_no_cartesian_product(spark, splits):
+    from test_plans import formatted
+
+    train = _train(splits)
+    model = fit_als(train, ALSSpec(rank=3, max_iter=2))
+    plan = formatted(recommend(model, train.select("user_id"), 3))
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+    assert "MapInPandas" in plan
