@@ -23,11 +23,9 @@ from pyspark.sql import functions as F  # noqa: E402
 from recsift.operators import (  # noqa: E402
     ALSSpec,
     eval_users,
-    explode_recs,
     fit_als,
-    pred_labels,
     ranking_metrics,
-    recommend,
+    recommend_long,
     true_labels,
 )
 from recsift.plans import PrepareSpec, final_test, prepare  # noqa: E402
@@ -82,7 +80,7 @@ def main() -> None:
     model = timed("fit", lambda: fit_als(train, spec))
 
     def _recommend():
-        r = explode_recs(recommend(model, users, K)).persist(StorageLevel.MEMORY_AND_DISK)
+        r = recommend_long(model, users, K).persist(StorageLevel.MEMORY_AND_DISK)
         _force(r)
         return r
 
@@ -92,7 +90,7 @@ def main() -> None:
 
     def _hybrid():
         implicit = fit_als(train, ALSSpec(rank=10, reg=0.01, seed=42, implicit=True))
-        rev = explode_recs(recommend(implicit, users, K))
+        rev = recommend_long(implicit, users, K)
         return weight_metrics(rat, rev, labels, K, WEIGHTS).collect()
 
     timed("hybrid_weights", _hybrid)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from recsift.operators.hybrid import fuse_scores, topk_lists, weigh
 from recsift.operators.metrics import eval_users, ranking_metrics, true_labels
-from recsift.operators.recs import ALSSpec, explode_recs, fit_als, pred_labels, recommend
+from recsift.operators.recs import ALSSpec, fit_als, recommend_long
 from recsift.operators.splits import TEST, TRAIN, VAL
 from recsift.session import checkpoint_dir
 
@@ -54,8 +54,8 @@ def train_eval(splits: DataFrame, spec: ALSSpec = ALSSpec(), k: int = 10,
     train = _rows(splits, *train_on)
     target = _rows(splits, eval_on)
     model = fit_als(train, spec, model_path)
-    recs = recommend(model, eval_users(target), k)
-    return _params(ranking_metrics(pred_labels(recs), true_labels(target), k), spec, k)
+    preds = recommend_long(model, eval_users(target), k)
+    return _params(ranking_metrics(preds, true_labels(target), k), spec, k)
 
 
 def tune_grid(splits: DataFrame, ranks: Sequence[int] = (10, 20), regs: Sequence[float] = (0.01, 0.1),
@@ -69,8 +69,8 @@ def tune_grid(splits: DataFrame, ranks: Sequence[int] = (10, 20), regs: Sequence
     for rank in ranks:
         for reg in regs:
             spec = replace(base, rank=rank, reg=reg)
-            recs = recommend(fit_als(train, spec), users, k)
-            m = _params(ranking_metrics(pred_labels(recs), labels, k), spec, k)
+            preds = recommend_long(fit_als(train, spec), users, k)
+            m = _params(ranking_metrics(preds, labels, k), spec, k)
             m = _settle(m)
             out = m if out is None else out.unionByName(m)
     for df in (train, users, labels):
@@ -79,10 +79,10 @@ def tune_grid(splits: DataFrame, ranks: Sequence[int] = (10, 20), regs: Sequence
 
 
 def _both_recs(train: DataFrame, users: DataFrame, spec: ALSSpec, k: int):
-    rating = recommend(fit_als(train, replace(spec, implicit=False)), users, k)
-    review = recommend(fit_als(train, replace(spec, implicit=True)), users, k)
-    return (explode_recs(rating).persist(StorageLevel.MEMORY_AND_DISK),
-            explode_recs(review).persist(StorageLevel.MEMORY_AND_DISK))
+    rating = recommend_long(fit_als(train, replace(spec, implicit=False)), users, k)
+    review = recommend_long(fit_als(train, replace(spec, implicit=True)), users, k)
+    return (rating.persist(StorageLevel.MEMORY_AND_DISK),
+            review.persist(StorageLevel.MEMORY_AND_DISK))
 
 
 def weight_metrics(rating_long: DataFrame, review_long: DataFrame, labels: DataFrame,
