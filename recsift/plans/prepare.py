@@ -24,7 +24,7 @@ from recsift.operators.joins import attach_keys
 from recsift.operators.sampling import DOWNSAMPLE_MODULUS, check_fraction, downsample_users, user_share
 from recsift.operators.splits import TRAIN, SplitSpec, drop_unobserved_items, split, tag_holdout
 from recsift.sources.interactions import interactions, interactions_table
-from recsift.sources.store import artefact_path, load_or_compute
+from recsift.sources.store import artefact_path, load_or_compute, source_key
 
 OUT_COLS = ["user_id", "item_id", "rating", "is_reviewed", "split"]
 
@@ -95,7 +95,8 @@ def prepared_table(spark: SparkSession, sf_dir: str, spec: PrepareSpec = Prepare
     never meant to be reused."""
     if not (spec.rm_zeros and spec.rm_unobserved):
         return prepare(interactions(spark, sf_dir), spec)
-    path = artefact_path(spark, "splits", sf_dir, fraction=spec.fraction, seed=spec.seed,
+    path = artefact_path(spark, "splits", source_key(spark, sf_dir),
+                         fraction=spec.fraction, seed=spec.seed,
                          low=spec.low_threshold, shares=spec.split_spec())
     return load_or_compute(spark, path, lambda: prepare(interactions_table(spark, sf_dir), spec),
                            partition_by="split")
@@ -138,7 +139,8 @@ def save_fraction_splits(spark: SparkSession, sf_dir: str, seed: int = 42,
                          low_threshold: int = 10) -> DataFrame:
     """Bulk split job: every fraction's split in one written table (one job),
     partitioned by split; read a fraction back with :func:`at_fraction`."""
-    path = artefact_path(spark, "fraction_splits", sf_dir, seed=seed, low=low_threshold)
+    path = artefact_path(spark, "fraction_splits", source_key(spark, sf_dir),
+                         seed=seed, low=low_threshold)
     return load_or_compute(
         spark, path, lambda: fraction_table(interactions_table(spark, sf_dir), seed, low_threshold),
         partition_by="split")

@@ -9,13 +9,15 @@ from recsift.sources.interactions import (
 )
 from recsift.sources.store import (
     artefact_path,
+    data_fingerprint,
     fit_or_load_als,
     load_or_compute,
     materialize,
     append_runs,
+    source_key,
     table_exists,
 )
 
 __all__ = ["INTERACTION_COLUMNS", "interaction_rows", "interactions", "interactions_table", "read_csv_table",
            "artefact_path", "fit_or_load_als", "load_or_compute", "materialize",
-           "append_runs", "table_exists"]
+           "append_runs", "table_exists", "data_fingerprint", "source_key"]

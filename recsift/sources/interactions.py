@@ -68,8 +68,8 @@ def interactions_table(spark: SparkSession, sf_dir: str, root: str | None = None
     The write keeps the aggregate's hash layout (no extra sort); ``root``
     overrides the folder (a fresh one per benchmark run).
     """
-    from recsift.sources.store import artefact_path, load_or_compute
+    from recsift.sources.store import artefact_path, load_or_compute, source_key
 
     path = (f"{root}/interactions" if root else
-            artefact_path(spark, "interactions", sf_dir, schema="v1"))
+            artefact_path(spark, "interactions", source_key(spark, sf_dir), schema="v1"))
     return load_or_compute(spark, path, lambda: interactions(spark, sf_dir), sort_by=())

@@ -22,6 +22,32 @@ def fingerprint(*parts: object) -> str:
     return hashlib.md5("|".join(str(p) for p in parts).encode()).hexdigest()[:12]
 
 
+def data_fingerprint(spark: SparkSession, *paths: str) -> str:
+    """Fingerprint of the data under ``paths`` from file-system metadata only:
+    total bytes, file count and modification time of each path (one summary
+    call per path, whatever the number of files). A rewritten or extended
+    input gets a new fingerprint, so stale artefacts are never read back."""
+    jvm = spark.sparkContext._jvm  # noqa: SLF001
+    conf = spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
+    parts = []
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        if not fs.exists(path):
+            parts.append(f"{p}:absent")
+            continue
+        summary = fs.getContentSummary(path)
+        mtime = fs.getFileStatus(path).getModificationTime()
+        parts.append(f"{p}:{summary.getLength()}:{summary.getFileCount()}:{mtime}")
+    return fingerprint(*parts)
+
+
+def source_key(spark: SparkSession, sf_dir: str, tables=("lineitem", "orders")) -> str:
+    """``sf_dir`` plus the fingerprint of the tables an artefact is derived from."""
+    paths = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in tables]
+    return f"{sf_dir}|{data_fingerprint(spark, *paths)}"
+
+
 def artefact_path(spark: SparkSession, kind: str, source: str, **params: object) -> str:
     """``<checkpoint dir>/recsift/<kind>/<k=v,...>-<fingerprint of source>``."""
     keyed = ",".join(f"{k}={params[k]}" for k in sorted(params))

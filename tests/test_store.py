@@ -86,3 +86,16 @@ def test_get_recs_keyed_by_model_type(spark):
     key = lambda d: sorted((r.user_id, tuple(x.item_id for x in r.recommendations))
                            for r in d.collect())
     assert key(a) == key(again)
+
+
+def test_data_fingerprint_follows_the_data(spark):
+    from recsift.sources import data_fingerprint
+
+    root = tempfile.mkdtemp(prefix="recsift-fp-", dir="/tmp")
+    path = f"{root}/t"
+    absent = data_fingerprint(spark, path)
+    spark.range(10).write.parquet(path)
+    first = data_fingerprint(spark, path)
+    assert first != absent and first == data_fingerprint(spark, path)
+    spark.range(5).write.mode("append").parquet(path)
+    assert data_fingerprint(spark, path) != first
