@@ -25,7 +25,8 @@ class ALSSpec:
     block_size: int = 4096
     # User and item blocks of the factorisation; each block is one task per
     # half-iteration, so this is the fit's parallelism. None: the session's
-    # default parallelism (all cores), at least Spark ML's default of 10.
+    # ``recsift.als.blocks``, else its default parallelism (one block per core,
+    # one wave of tasks).
     blocks: int | None = None
 
     @property
@@ -41,7 +42,8 @@ class ALSSpec:
         changes the seeded initial factors, so it is part of every model key)."""
         if self.blocks is not None:
             return self
-        return replace(self, blocks=max(10, spark.sparkContext.defaultParallelism))
+        blocks = spark.conf.get("recsift.als.blocks", None) or spark.sparkContext.defaultParallelism
+        return replace(self, blocks=max(1, int(blocks)))
 
     def estimator(self):
         from pyspark.ml.recommendation import ALS
