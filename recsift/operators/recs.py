@@ -113,10 +113,10 @@ def _scorer(factors, k: int):
         import numpy as np
         import pandas as pd
 
-        items, item_ids = factors.value
         for pdf in batches:
             if len(pdf) == 0:
                 continue
+            items, item_ids = factors.value  # loaded once per worker, only where there are users
             users = np.stack(pdf["features"].to_numpy()).astype(np.float32, copy=False)
             scores, ids = top_k(users, items, item_ids, k)
             w = scores.shape[1]
