@@ -48,8 +48,16 @@ def source_key(spark: SparkSession, sf_dir: str, tables=("lineitem", "orders"))
     return f"{sf_dir}|{data_fingerprint(spark, *paths)}"
 
 
+# Bumped whenever the rows an artefact holds would change for the same
+# parameters (a change of split, mapping or scoring rule), so that tables
+# written by an older version are never read back.
+ARTEFACT_VERSION = 2
+
+
 def artefact_path(spark: SparkSession, kind: str, source: str, **params: object) -> str:
-    """``<checkpoint dir>/recsift/<kind>/<k=v,...>-<fingerprint of source>``."""
+    """``<checkpoint dir>/recsift/<kind>/<k=v,...>-<fingerprint of source>``
+    (the parameters include the artefact format version)."""
+    params = {"v": ARTEFACT_VERSION, **params}
     keyed = ",".join(f"{k}={params[k]}" for k in sorted(params))
     return f"{checkpoint_dir(spark)}/recsift/{kind}/{keyed}-{fingerprint(source, keyed)}"
 
