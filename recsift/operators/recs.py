@@ -28,6 +28,9 @@ class ALSSpec:
     # ``recsift.als.blocks``, else its default parallelism (one block per core,
     # one wave of tasks).
     blocks: int | None = None
+    # Iterations between factor checkpoints to the shared folder: a lost
+    # executor then recomputes at most this many iterations.
+    checkpoint_every: int = 5
 
     @property
     def model_type(self) -> str:
@@ -53,7 +56,8 @@ class ALSSpec:
                    implicitPrefs=self.implicit, alpha=self.alpha, seed=self.seed,
                    userCol="user_id", itemCol="item_id", ratingCol=self.rating_col,
                    coldStartStrategy="drop", blockSize=self.block_size,
-                   numUserBlocks=blocks, numItemBlocks=blocks)
+                   numUserBlocks=blocks, numItemBlocks=blocks,
+                   checkpointInterval=self.checkpoint_every)
 
 
 def fit_als(train: DataFrame, spec: ALSSpec = ALSSpec(), path: str | None = None):
