@@ -89,3 +89,16 @@ def test_recommend_plan_has_no_cartesian_product(spark, splits):
     plan = formatted(recommend(model, train.select("user_id"), 3))
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     assert "MapInPandas" in plan
+
+
+def test_top_k_kernel_edges():
+    import numpy as np
+
+    from recsift.functions.topk import top_k
+
+    users = np.ones((3, 2), dtype=np.float32)
+    s, i = top_k(users, np.empty((0, 2), dtype=np.float32), np.empty(0, dtype=np.int64), 5)
+    assert s.shape == (3, 0) and i.shape == (3, 0)
+    items = np.array([[1, 0], [0, 2], [1, 1]], dtype=np.float32)
+    s, i = top_k(users, items, np.array([30, 10, 20]), 5, item_tile=2)
+    assert i.tolist() == [[10, 20, 30]] * 3 and s.tolist() == [[2.0, 2.0, 1.0]] * 3
