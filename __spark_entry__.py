@@ -72,6 +72,7 @@ from recsift.sources import interaction_rows, interactions  # noqa: E402
 SEED = 42
 LOW = 10            # keep users with more than LOW rated rows
 K = 10              # list length
+REG = 0.01          # ALS regularisation of the model queries
 DOWN_FRACTION = 0.25
 PREPARE_FRACTION = 0.5
 FUSE_WEIGHT = 0.5
@@ -124,7 +125,7 @@ def _per_user(spark, sf):
 def _als_recs(spark, sf, implicit):
     s = _splits(spark, sf)
     train = split_view(s, "train", ("user_id", "item_id", "rating", "is_reviewed"))
-    model = fit_als(train, ALSSpec(implicit=implicit, seed=SEED))
+    model = fit_als(train, ALSSpec(implicit=implicit, reg=REG, seed=SEED))
     return recommend(model, eval_users(split_view(s, "val")), K)
 
 
@@ -284,19 +285,19 @@ def q_als_coverage(spark, sf):
 
 
 def q_train_eval(spark, sf):
-    return train_eval(_splits(spark, sf), ALSSpec(seed=SEED), K)
+    return train_eval(_splits(spark, sf), ALSSpec(reg=REG, seed=SEED), K)
 
 
 def q_tune_grid(spark, sf):
-    return tune_grid(_splits(spark, sf), (10, 20), (0.01, 0.1), K, ALSSpec(seed=SEED))
+    return tune_grid(_splits(spark, sf), (10, 20), (0.01, 0.1), K, ALSSpec(reg=REG, seed=SEED))
 
 
 def q_tune_weight(spark, sf):
-    return tune_weight(_splits(spark, sf), ALSSpec(seed=SEED), K)
+    return tune_weight(_splits(spark, sf), ALSSpec(reg=REG, seed=SEED), K)
 
 
 def q_flagship(spark, sf):
-    return final_test(_splits(spark, sf), ALSSpec(seed=SEED), K)
+    return final_test(_splits(spark, sf), ALSSpec(reg=REG, seed=SEED), K)
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -308,7 +309,7 @@ def entry(spark: SparkSession) -> DataFrame:
     """Flagship on sf0.001: final test of the basic and the hybrid model."""
     sf = "/root/testdata/sf0.001"
     splits = prepare(interactions(spark, sf), PrepareSpec(seed=SEED, low_threshold=2))
-    return final_test(splits, ALSSpec(seed=SEED), K)
+    return final_test(splits, ALSSpec(reg=REG, seed=SEED), K)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 @dataclass(frozen=True)
 class ALSSpec:
     rank: int = 10
-    reg: float = 0.01
+    reg: float = 1.0
     implicit: bool = False
     max_iter: int = 10
     alpha: float = 1.0

@@ -48,7 +48,7 @@ def _settle(result: DataFrame, *inputs: DataFrame) -> DataFrame:
             df.unpersist()
 
 
-def train_eval(splits: DataFrame, spec: ALSSpec = ALSSpec(), k: int = 10,
+def train_eval(splits: DataFrame, spec: ALSSpec = ALSSpec(), k: int = 500,
                train_on=(TRAIN,), eval_on: str = VAL, model_path: str | None = None) -> DataFrame:
     """Fit on ``train_on`` splits, recommend k items for the ``eval_on`` users and score them."""
     train = _rows(splits, *train_on)
@@ -58,8 +58,9 @@ def train_eval(splits: DataFrame, spec: ALSSpec = ALSSpec(), k: int = 10,
     return _params(ranking_metrics(preds, true_labels(target), k), spec, k)
 
 
-def tune_grid(splits: DataFrame, ranks: Sequence[int] = (10, 20), regs: Sequence[float] = (0.01, 0.1),
-              k: int = 10, base: ALSSpec = ALSSpec()) -> DataFrame:
+def tune_grid(splits: DataFrame, ranks: Sequence[int] = (10, 20, 100, 500),
+              regs: Sequence[float] = (0.01, 0.1, 1.0, 10.0),
+              k: int = 500, base: ALSSpec = ALSSpec()) -> DataFrame:
     """Every (rank, reg) point: fit on train, evaluate on val at the requested k."""
     train = _rows(splits, TRAIN).persist(StorageLevel.MEMORY_AND_DISK)
     target = _rows(splits, VAL)
@@ -93,7 +94,7 @@ def weight_metrics(rating_long: DataFrame, review_long: DataFrame, labels: DataF
     return ranking_metrics(lists, labels, k, by=("weight",))
 
 
-def tune_weight(splits: DataFrame, spec: ALSSpec = ALSSpec(), k: int = 10,
+def tune_weight(splits: DataFrame, spec: ALSSpec = ALSSpec(), k: int = 500,
                 weights: Sequence[float] = WEIGHTS) -> DataFrame:
     """Fit the explicit and the implicit model once each, then score the fused
     lists for all weights together (fusion is the only thing that varies)."""
@@ -106,7 +107,7 @@ def tune_weight(splits: DataFrame, spec: ALSSpec = ALSSpec(), k: int = 10,
     return _settle(out, rat, rev, train)
 
 
-def final_test(splits: DataFrame, spec: ALSSpec = ALSSpec(), k: int = 10,
+def final_test(splits: DataFrame, spec: ALSSpec = ALSSpec(), k: int = 500,
                weight: float | None = None) -> DataFrame:
     """Train on train + val, evaluate on test: the basic (explicit) model and the
     hybrid list. With ``weight=None`` the fusion weight is chosen on val first
