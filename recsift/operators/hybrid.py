@@ -68,11 +68,19 @@ def topk_lists_running(scores: DataFrame, k: int) -> DataFrame:
     than k candidates vanish. The list is returned as sorted ids joined by ','
     (order within peers is undefined). Kept to document that behaviour;
     :func:`topk_lists` is the default.
+
+    Computed in O(k) per user rather than materialising a growing list on every
+    row: a running count over the same RANGE frame is the running list's size,
+    so the kept rows are those with count k, and their list is the items with
+    count <= k, gathered once per user and joined back.
     """
     w = Window.partitionBy("user_id").orderBy(F.desc("rating"))
-    running = scores.withColumn("items", F.collect_list("item_id").over(w))
-    return (running.filter(F.size("items") == k)
-            .select("user_id", F.array_join(F.array_sort("items"), ",").alias("items")))
+    counted = scores.select("user_id", "item_id", F.count(F.lit(1)).over(w).alias("n"))
+    lists = (counted.filter(F.col("n") <= k).groupBy("user_id")
+             .agg(F.max("n").alias("n"),
+                  F.array_join(F.array_sort(F.collect_list("item_id")), ",").alias("items"))
+             .filter(F.col("n") == k).select("user_id", "items"))
+    return counted.filter(F.col("n") == k).select("user_id").join(lists, "user_id")
 
 
 def hybrid_lists(rating_recs: DataFrame, review_recs: DataFrame, weight: float,

@@ -42,3 +42,18 @@ def test_weigh_matches_single_weight(spark):
         a = sorted(tuple(r) for r in multi.filter(F.col("weight") == w).drop("weight").collect())
         b = sorted(tuple(r) for r in one.collect())
         assert a == b
+
+
+def test_running_list_equals_literal_window(spark):
+    """The O(k) form gives the rows of the literal running collect_list."""
+    from pyspark.sql import Window
+
+    rows = [(u, i, float((u * 7 + i * 3) % 4)) for u in range(1, 40) for i in range(1, 2 + u % 9)]
+    scores = spark.createDataFrame(rows, "user_id int, item_id int, rating double")
+    w = Window.partitionBy("user_id").orderBy(F.desc("rating"))
+    literal = (scores.withColumn("items", F.collect_list("item_id").over(w)))
+    for k in (1, 2, 3, 5, 8):
+        want = (literal.filter(F.size("items") == k)
+                .select("user_id", F.array_join(F.array_sort("items"), ",").alias("items")))
+        got = topk_lists_running(scores, k)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
