@@ -1,5 +1,6 @@
 """Plan shapes: what reaches the scan, where shuffles happen, what is broadcast."""
 
+import re
 import tempfile
 
 from conftest import SF001
@@ -79,3 +80,21 @@ def test_popularity_lists_attach_without_join(spark):
     text = formatted(recs)
     assert "Join" not in text.split("===== Subqueries =====")[0]
     assert "TakeOrderedAndProject" in text
+
+
+def _long(spark, rows):
+    return spark.createDataFrame(rows, "user_id int, pos int, item_id int, rating double")
+
+
+def test_fusion_is_one_aggregate_without_join(spark):
+    from recsift.operators import fuse_scores, topk_lists, topk_lists_running, weigh
+
+    rat = _long(spark, [(1, 1, 1, 3.0), (1, 2, 2, 2.0)])
+    rev = _long(spark, [(1, 1, 2, 1.0), (2, 1, 9, 1.0)])
+    fused = fuse_scores(rat, rev, 0.5)
+    assert "Join" not in formatted(fused)
+    lists = formatted(topk_lists(weigh(fuse_scores(rat, rev), [0.0, 1.0]), 2, by=("weight",)))
+    assert "Join" not in lists and "Generate" in lists          # weights exploded, not joined
+    nodes = re.split(r"\n\(\d+\) ", formatted(topk_lists_running(fused, 2)))
+    windows = [n for n in nodes if n.startswith("Window")]
+    assert windows and not any("collect_list" in n for n in windows)   # running count only
