@@ -22,6 +22,7 @@ from recsift.operators.metrics import eval_users, ranking_metrics, true_labels
 from recsift.operators.recs import ALSSpec, fit_als, recommend_long
 from recsift.operators.splits import TEST, TRAIN, VAL
 from recsift.session import checkpoint_dir
+from recsift.sources.store import append_runs
 
 WEIGHTS = [-1.0, 0.0, 0.5, 1.0, 5.0]
 
@@ -48,20 +49,54 @@ def _settle(result: DataFrame, *inputs: DataFrame) -> DataFrame:
             df.unpersist()
 
 
+# Columns of the runs table every plan appends to (missing ones are null).
+RUN_COLUMNS = [("plan", "string"), ("model", "string"), ("weight", "double"),
+               ("model_type", "string"), ("rank", "int"), ("reg", "double"), ("k", "int"),
+               ("map", "double"), ("ndcg_at_k", "double"), ("precision_at_k", "double"),
+               ("n_users_evaluated", "bigint"), ("n_users_with_labels", "bigint")]
+
+
+def log_runs(result: DataFrame, runs_path: str | None, plan: str,
+             tags: dict | None = None) -> DataFrame:
+    """Result sink: append ``result`` to the runs table at ``runs_path`` in the
+    shared layout of :data:`RUN_COLUMNS`, plus the caller's ``tags`` (for
+    example the sample fraction) as text and the time of the run. Returns
+    ``result`` unchanged; nothing is written when ``runs_path`` is None."""
+    if runs_path is None:
+        return result
+    cols = []
+    for name, kind in RUN_COLUMNS:
+        if name == "plan":
+            cols.append(F.lit(plan).alias(name))
+        elif name in result.columns:
+            cols.append(F.col(name).cast(kind).alias(name))
+        else:
+            cols.append(F.lit(None).cast(kind).alias(name))
+    tag_map = F.create_map(*[F.lit(str(x)) for kv in sorted((tags or {}).items()) for x in kv]) \
+        if tags else F.lit(None).cast("map<string,string>")
+    append_runs(result.select(*cols, tag_map.alias("tags"),
+                              F.current_timestamp().alias("run_at")), runs_path)
+    return result
+
+
 def train_eval(splits: DataFrame, spec: ALSSpec = ALSSpec(), k: int = 500,
-               train_on=(TRAIN,), eval_on: str = VAL, model_path: str | None = None) -> DataFrame:
+               train_on=(TRAIN,), eval_on: str = VAL, model_path: str | None = None,
+               runs_path: str | None = None, tags: dict | None = None) -> DataFrame:
     """Fit on ``train_on`` splits, recommend k items for the ``eval_on`` users and score them."""
     train = _rows(splits, *train_on)
     target = _rows(splits, eval_on)
     model = fit_als(train, spec, model_path)
     preds = recommend_long(model, eval_users(target), k)
-    return _params(ranking_metrics(preds, true_labels(target), k), spec, k)
+    out = _settle(_params(ranking_metrics(preds, true_labels(target), k), spec, k))
+    return log_runs(out, runs_path, "train_eval", tags)
 
 
 def tune_grid(splits: DataFrame, ranks: Sequence[int] = (10, 20, 100, 500),
               regs: Sequence[float] = (0.01, 0.1, 1.0, 10.0),
-              k: int = 500, base: ALSSpec = ALSSpec()) -> DataFrame:
-    """Every (rank, reg) point: fit on train, evaluate on val at the requested k."""
+              k: int = 500, base: ALSSpec = ALSSpec(), runs_path: str | None = None,
+              tags: dict | None = None) -> DataFrame:
+    """Every (rank, reg) point: fit on train, evaluate on val at the requested k.
+    With ``runs_path`` each point is appended to the runs table as it finishes."""
     train = _rows(splits, TRAIN).persist(StorageLevel.MEMORY_AND_DISK)
     target = _rows(splits, VAL)
     users = eval_users(target).persist(StorageLevel.MEMORY_AND_DISK)
@@ -72,7 +107,7 @@ def tune_grid(splits: DataFrame, ranks: Sequence[int] = (10, 20, 100, 500),
             spec = replace(base, rank=rank, reg=reg)
             preds = recommend_long(fit_als(train, spec), users, k)
             m = _params(ranking_metrics(preds, labels, k), spec, k)
-            m = _settle(m)
+            m = log_runs(_settle(m), runs_path, "tune_grid", tags)
             out = m if out is None else out.unionByName(m)
     for df in (train, users, labels):
         df.unpersist()
@@ -95,7 +130,8 @@ def weight_metrics(rating_long: DataFrame, review_long: DataFrame, labels: DataF
 
 
 def tune_weight(splits: DataFrame, spec: ALSSpec = ALSSpec(), k: int = 500,
-                weights: Sequence[float] = WEIGHTS) -> DataFrame:
+                weights: Sequence[float] = WEIGHTS, runs_path: str | None = None,
+                tags: dict | None = None) -> DataFrame:
     """Fit the explicit and the implicit model once each, then score the fused
     lists for all weights together (fusion is the only thing that varies)."""
     train = _rows(splits, TRAIN).persist(StorageLevel.MEMORY_AND_DISK)
@@ -104,16 +140,17 @@ def tune_weight(splits: DataFrame, spec: ALSSpec = ALSSpec(), k: int = 500,
     rat, rev = _both_recs(train, users, spec, k)
     out = _params(weight_metrics(rat, rev, true_labels(target), k, weights),
                   replace(spec, implicit=False), k)
-    return _settle(out, rat, rev, train)
+    return log_runs(_settle(out, rat, rev, train), runs_path, "tune_weight", tags)
 
 
 def final_test(splits: DataFrame, spec: ALSSpec = ALSSpec(), k: int = 500,
-               weight: float | None = None) -> DataFrame:
+               weight: float | None = None, runs_path: str | None = None,
+               tags: dict | None = None) -> DataFrame:
     """Train on train + val, evaluate on test: the basic (explicit) model and the
     hybrid list. With ``weight=None`` the fusion weight is chosen on val first
     (highest MAP, ties to the smaller weight)."""
     if weight is None:
-        tuned = tune_weight(splits, spec, k).orderBy(F.desc("map"), F.asc("weight")).first()
+        tuned = tune_weight(splits, spec, k, runs_path=runs_path, tags=tags).orderBy(F.desc("map"), F.asc("weight")).first()
         weight = float(tuned["weight"]) if tuned is not None else 1.0
     train = _rows(splits, TRAIN, VAL).persist(StorageLevel.MEMORY_AND_DISK)
     target = _rows(splits, TEST)
@@ -124,4 +161,4 @@ def final_test(splits: DataFrame, spec: ALSSpec = ALSSpec(), k: int = 500,
         .select(F.lit("basic").alias("model"), F.lit(None).cast("double").alias("weight"), "*")
     hybrid = weight_metrics(rat, rev, labels, k, [weight]).select(F.lit("hybrid").alias("model"), "*")
     out = _params(basic.unionByName(hybrid), replace(spec, implicit=False), k)
-    return _settle(out, rat, rev, labels, train)
+    return log_runs(_settle(out, rat, rev, labels, train), runs_path, "final_test", tags)

@@ -65,3 +65,19 @@ def test_final_test_picks_weight_on_val(splits):
     out = final_test(splits, SPEC, 5).collect()
     hybrid = [r for r in out if r["model"] == "hybrid"]
     assert len(hybrid) == 1 and hybrid[0]["weight"] in WEIGHTS
+
+
+def test_plans_append_to_one_runs_table(spark, splits):
+    import tempfile
+
+    from recsift.plans.tuning import RUN_COLUMNS
+
+    path = tempfile.mkdtemp(prefix="recsift-runs-", dir="/tmp") + "/runs"
+    train_eval(splits, SPEC, 5, runs_path=path, tags={"fraction": 1.0})
+    final_test(splits, SPEC, 5, weight=0.5, runs_path=path, tags={"fraction": 1.0})
+    runs = spark.read.parquet(path)
+    assert runs.columns == [c for c, _ in RUN_COLUMNS] + ["tags", "run_at"]
+    got = sorted((r.plan, r.model, r.weight) for r in runs.collect())
+    assert got == [("final_test", "basic", None), ("final_test", "hybrid", 0.5),
+                   ("train_eval", None, None)]
+    assert {r.tags["fraction"] for r in runs.collect()} == {"1.0"}
