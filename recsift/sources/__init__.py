@@ -6,6 +6,8 @@ from recsift.sources.interactions import (
     interactions,
     interactions_table,
     read_csv_table,
+    source_kind,
+    source_paths,
 )
 from recsift.sources.store import (
     artefact_path,
@@ -13,6 +15,7 @@ from recsift.sources.store import (
     fit_or_load_als,
     load_or_compute,
     materialize,
+    path_exists,
     append_runs,
     source_key,
     table_exists,
@@ -20,4 +23,5 @@ from recsift.sources.store import (
 
 __all__ = ["INTERACTION_COLUMNS", "interaction_rows", "interactions", "interactions_table", "read_csv_table",
            "artefact_path", "fit_or_load_als", "load_or_compute", "materialize",
-           "append_runs", "table_exists", "data_fingerprint", "source_key"]
+           "append_runs", "table_exists", "data_fingerprint", "source_key",
+           "source_kind", "source_paths", "path_exists"]

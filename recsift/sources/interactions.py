@@ -4,6 +4,10 @@ The interaction table is one row per (user, item) with the columns
 ``user_id, item_id, is_read, rating, is_reviewed`` (all int). ``rating`` is
 0..5 where 0 is a placeholder for "not rated".
 
+A *source* is a path of one of three kinds (see :func:`source_kind`): a folder
+of the driver tables, a raw interactions CSV export, or an interactions
+Parquet table. Every source goes through the same one-row-per-pair rule.
+
 On the TPC-H-like driver tables the mapping is: a customer is a user, a part is
 an item, the order line quantity gives the rating, the return flag the review
 flag and the line status the read flag. Several lines can share a
@@ -26,8 +30,37 @@ CSV_SCHEMAS = {
 }
 
 
-def interaction_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mapped order lines, before the one-row-per-pair rule (may repeat pairs)."""
+def source_kind(spark: SparkSession, source: str) -> str:
+    """``'csv'`` for a path ending in ``.csv`` (a file or a folder of parts),
+    ``'tables'`` for a folder holding ``lineitem.parquet``, else ``'parquet'``
+    (an interactions table with :data:`INTERACTION_COLUMNS`)."""
+    from recsift.sources.store import path_exists
+
+    if source.rstrip("/").endswith(".csv"):
+        return "csv"
+    if path_exists(spark, f"{source.rstrip('/')}/lineitem.parquet"):
+        return "tables"
+    return "parquet"
+
+
+def source_paths(spark: SparkSession, source: str) -> list[str]:
+    """The files a source's interactions are derived from (for fingerprints)."""
+    if source_kind(spark, source) == "tables":
+        return [f"{source.rstrip('/')}/{t}.parquet" for t in ("lineitem", "orders")]
+    return [source]
+
+
+def interaction_rows(spark: SparkSession, source: str) -> DataFrame:
+    """Interaction rows before the one-row-per-pair rule (may repeat pairs).
+
+    For the driver tables these are the mapped order lines."""
+    kind = source_kind(spark, source)
+    if kind == "csv":
+        return read_csv_table(spark, source).select(*INTERACTION_COLUMNS)
+    if kind == "parquet":
+        return spark.read.parquet(source).select(
+            *[F.col(c).cast("int").alias(c) for c in INTERACTION_COLUMNS])
+    sf_dir = source
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
         "l_orderkey", "l_partkey", "l_quantity", "l_returnflag", "l_linestatus")
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey")
@@ -42,9 +75,9 @@ def interaction_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per (user, item). The grouping runs a partial aggregate before
-    its shuffle; the shuffle is on both keys, so a very active user is spread
-    over many tasks."""
+    """One row per (user, item), each column its maximum over repeated rows.
+    The grouping runs a partial aggregate before its shuffle; the shuffle is
+    on both keys, so a very active user is spread over many tasks."""
     return interaction_rows(spark, sf_dir).groupBy("user_id", "item_id").agg(
         F.max("is_read").alias("is_read"),
         F.max("rating").alias("rating"),

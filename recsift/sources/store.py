@@ -42,10 +42,17 @@ def data_fingerprint(spark: SparkSession, *paths: str) -> str:
     return fingerprint(*parts)
 
 
-def source_key(spark: SparkSession, sf_dir: str, tables=("lineitem", "orders")) -> str:
-    """``sf_dir`` plus the fingerprint of the tables an artefact is derived from."""
-    paths = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in tables]
-    return f"{sf_dir}|{data_fingerprint(spark, *paths)}"
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm  # noqa: SLF001
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))  # noqa: SLF001
+
+
+def source_key(spark: SparkSession, source: str) -> str:
+    """``source`` plus the fingerprint of the files an artefact is derived from."""
+    from recsift.sources.interactions import source_paths
+
+    return f"{source}|{data_fingerprint(spark, *source_paths(spark, source))}"
 
 
 # Bumped whenever the rows an artefact holds would change for the same

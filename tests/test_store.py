@@ -99,3 +99,26 @@ def test_data_fingerprint_follows_the_data(spark):
     assert first != absent and first == data_fingerprint(spark, path)
     spark.range(5).write.mode("append").parquet(path)
     assert data_fingerprint(spark, path) != first
+
+
+def test_csv_and_parquet_sources_prepare_like_a_frame(spark):
+    from conftest import sliding_rows
+    from recsift.plans import prepare
+    from recsift.sources import source_kind
+
+    rows = [(u, i, int(r > 0), r, rev) for u, i, r, rev in
+            sliding_rows(n_users=60, n_items=39, dense_users=range(10, 31))]
+    df = spark.createDataFrame(rows, "user_id int, item_id int, is_read int, rating int, "
+                                     "is_reviewed int")
+    root = tempfile.mkdtemp(prefix="recsift-src-", dir="/tmp")
+    # the export's own header names the item column differently; the fixed schema renames it
+    df.withColumnRenamed("item_id", "book_id").write.option("header", True).csv(f"{root}/inter.csv")
+    df.write.parquet(f"{root}/inter_pq")
+    spec = PrepareSpec(fraction=0.5, low_threshold=5, seed=3)
+    want = prepare(df, spec)
+    assert source_kind(spark, SF001) == "tables"
+    for src, kind in ((f"{root}/inter.csv", "csv"), (f"{root}/inter_pq", "parquet")):
+        assert source_kind(spark, src) == kind
+        assert sorted(interactions(spark, src).collect()) == sorted(df.collect())
+        got = prepared_table(spark, src, spec)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
