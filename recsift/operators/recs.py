@@ -89,20 +89,16 @@ def _max_floats(spark: SparkSession) -> int:
 
 
 def _item_matrix(items: DataFrame, rank: int):
-    """One bounded chunk of item factors as ``(float32 matrix, int64 ids)`` on the driver."""
+    """One bounded chunk of item factors as ``(float32 matrix, int64 ids)`` on the
+    driver, collected as Arrow columns (one column per factor dimension)."""
     import numpy as np
 
-    spark = items.sparkSession
     flat = items.select("id", *[F.col("features")[j].alias(f"f{j}") for j in range(rank)])
-    key = "spark.sql.execution.arrow.pyspark.enabled"
-    before = spark.conf.get(key, "false")
-    spark.conf.set(key, "true")
-    try:
-        pdf = flat.toPandas()
-    finally:
-        spark.conf.set(key, before)
-    return (pdf[[f"f{j}" for j in range(rank)]].to_numpy(np.float32),
-            pdf["id"].to_numpy(np.int64))
+    table = flat.toArrow()
+    matrix = np.empty((table.num_rows, rank), dtype=np.float32)
+    for j in range(rank):
+        matrix[:, j] = table.column(f"f{j}").to_numpy()
+    return matrix, table.column("id").to_numpy().astype(np.int64)
 
 
 def _scorer(factors, k: int):
