@@ -39,6 +39,7 @@ from recsift.operators import (  # noqa: E402
     popularity_recs,
     pred_labels,
     put_back,
+    quality_report,
     ranking_metrics,
     recommend,
     remove_low_users,
@@ -200,6 +201,13 @@ def q_split_report(spark, sf):
     return split_report(_splits(spark, sf))
 
 
+def q_quality_report(spark, sf):
+    inter = _inter(spark, sf)
+    down = downsample_users(remove_low_users(remove_zeros(inter), LOW), PREPARE_FRACTION, SEED)
+    splits = prepare(inter, PrepareSpec(fraction=PREPARE_FRACTION, seed=SEED, low_threshold=LOW))
+    return quality_report(inter, down, splits)
+
+
 def q_conservation(spark, sf):
     return conservation(_kept(spark, sf), _splits(spark, sf))
 
@@ -340,6 +348,33 @@ def _fractions_sql() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+def _quality_sql() -> str:
+    full = f"({T.INTERACTIONS}) f"
+    tri = "user_id, item_id, rating"
+    split = {s_: f"(SELECT * FROM final WHERE split = '{s_}') x" for s_ in ("train", "val", "test")}
+    dup = "SELECT user_id, item_id FROM {} GROUP BY user_id, item_id HAVING count(*) > 1"
+    figures = [
+        f"(SELECT count(DISTINCT user_id) FROM {full}) AS full_users",
+        "(SELECT count(DISTINCT user_id) FROM kept) AS down_users",
+        *[f"(SELECT count(DISTINCT user_id) FROM {split[s_]}) AS {s_}_users" for s_ in split],
+        f"(SELECT count(*) FROM {full}) AS full_rows",
+        "(SELECT count(*) FROM kept) AS down_rows",
+        *[f"(SELECT count(*) FROM {split[s_]}) AS {s_}_rows" for s_ in split],
+        "(SELECT count(*) FROM final) AS split_rows",
+        f"(SELECT count(*) FROM (SELECT {tri} FROM kept EXCEPT SELECT {tri} FROM final) a) AS missing",
+        f"(SELECT count(*) FROM (SELECT {tri} FROM final EXCEPT SELECT {tri} FROM kept) b) AS extra",
+        f"(SELECT count(*) FROM ({dup.format(full)}) d) AS full_duplicates",
+        f"(SELECT count(*) FROM ({dup.format('kept')}) d) AS down_duplicates",
+        f"(SELECT count(*) FROM ({dup.format('final')}) d) AS split_duplicates",
+    ]
+    share = "round(CAST({} AS DOUBLE) / {}, 9)"
+    shares = [f"{share.format('down_users', 'full_users')} AS down_user_share",
+              *[f"{share.format(f'{s_}_users', 'down_users')} AS {s_}_user_share" for s_ in split],
+              f"{share.format('split_rows', 'down_rows')} AS split_row_share"]
+    body = f"SELECT *, {', '.join(shares)} FROM (SELECT {', '.join(figures)}) q"
+    return _sql(body, fraction=PREPARE_FRACTION)
+
+
 def oracle_sql() -> dict[str, str]:
     tri = "user_id, item_id, rating"
     out = {
@@ -363,6 +398,7 @@ def oracle_sql() -> dict[str, str]:
                                 fraction=DOWN_FRACTION),
         "split_report": _sql("SELECT split, count(*) AS n_rows, count(DISTINCT user_id) AS n_users, "
                              "count(DISTINCT item_id) AS n_items FROM final GROUP BY split"),
+        "quality_report": _quality_sql(),
         "conservation": _sql(
             f"(SELECT {tri}, 'missing' AS side FROM (SELECT {tri} FROM kept EXCEPT "
             f"SELECT {tri} FROM final) a) UNION ALL (SELECT {tri}, 'extra' AS side FROM "

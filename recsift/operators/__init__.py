@@ -16,7 +16,7 @@ from recsift.operators.metrics import (
     ranking_metrics,
     true_labels,
 )
-from recsift.operators.quality import conservation, duplicate_pairs, split_report
+from recsift.operators.quality import conservation, duplicate_pairs, quality_report, split_report
 from recsift.operators.recs import (
     ALSSpec,
     collect_recs,

@@ -132,3 +132,16 @@ def test_save_fraction_splits_one_table(spark):
     half = at_fraction(t, 0.5)
     want = prepare(interactions(spark, SF001), PrepareSpec(fraction=0.5, seed=9, low_threshold=2))
     assert half.exceptAll(want).count() == 0 and want.exceptAll(half).count() == 0
+
+
+def test_quality_report_on_thinned_table(inter01):
+    from recsift.operators import quality_report
+
+    thin = remove_zeros(inter01).filter(bucket("thin", "user_id", "item_id") < 60)
+    r = quality_report(thin, thin, split(thin)).collect()[0]
+    assert (r.down_rows, r.split_rows, r.missing, r.extra) == (2953, 2827, 126, 0)
+    assert (r.train_rows, r.val_rows, r.test_rows) == (2535, 148, 144)
+    assert r.train_user_share == 1.0 and r.down_user_share == 1.0
+    assert r.split_row_share == round(2827 / 2953, 9)
+    assert r.full_duplicates == r.down_duplicates == r.split_duplicates == 0
+    assert r.train_users == r.down_users > r.val_users + r.test_users
