@@ -5,12 +5,14 @@
     spark-submit recsift/cli.py hybrid-tune <source> <fraction> <k> <rank> <reg>
     spark-submit recsift/cli.py save-splits <source>
 
-``source`` is the folder of the driver tables (``lineitem``, ``orders``).
-The splits of ``fraction`` are read from (or written once to) the shared
-checkpoint folder; every task appends its metric rows to the runs table
-(``--runs``, default ``<checkpoint dir>/recsift/runs``) and prints them. The
-session comes from ``spark-submit``; on a cluster it must name
-``spark.checkpoint.dir``.
+``source`` is a folder of the driver tables (``lineitem``, ``orders``), a raw
+interactions CSV export (``*.csv``) or an interactions Parquet table. The
+splits of ``fraction`` are read from (or written once to) the shared
+checkpoint folder, and so are the models and top-k lists (fit-or-load, keyed
+by the data, the preparation and every model parameter). Every task appends
+its metric rows to the runs table (``--runs``, default
+``<checkpoint dir>/recsift/runs``) and prints them. The session comes from
+``spark-submit``; on a cluster it must name ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -33,6 +35,7 @@ from recsift.plans import (  # noqa: E402
     tune_weight,
 )
 from recsift.session import checkpoint_dir  # noqa: E402
+from recsift.sources import source_key  # noqa: E402
 
 SEED = 42
 LOW = 10
@@ -68,14 +71,17 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
     splits = prepared_table(spark, args.source,
                             PrepareSpec(fraction=args.fraction, seed=SEED, low_threshold=LOW))
     tags = {"fraction": args.fraction, "source": args.source}
+    # models and lists are fit-or-load, keyed by the data and the preparation
+    store = f"{source_key(spark, args.source)}|fraction={args.fraction}|seed={SEED}|low={LOW}"
     if args.task == "test":
         out = final_test(splits, ALSSpec(rank=args.rank, reg=args.reg, seed=SEED), args.k,
-                         weight=args.weight, runs_path=runs, tags=tags)
+                         weight=args.weight, runs_path=runs, tags=tags, store=store)
     elif args.task == "tune":
-        out = tune_grid(splits, k=args.k, base=ALSSpec(seed=SEED), runs_path=runs, tags=tags)
+        out = tune_grid(splits, k=args.k, base=ALSSpec(seed=SEED), runs_path=runs, tags=tags,
+                        store=store)
     else:
         out = tune_weight(splits, ALSSpec(rank=args.rank, reg=args.reg, seed=SEED), args.k,
-                          runs_path=runs, tags=tags)
+                          runs_path=runs, tags=tags, store=store)
     out.show(truncate=False)
     return out
 

@@ -10,8 +10,8 @@ from recsift.plans.prepare import (
     save_fraction_splits,
     split_fractions,
 )
-from recsift.plans.recs_store import get_recs
+from recsift.plans.recs_store import get_recs, get_recs_long
 from recsift.plans.tuning import final_test, train_eval, tune_grid, tune_weight
 
 __all__ = ["PrepareSpec", "at_fraction", "fraction_table", "save_fraction_splits", "prepare", "prepare_stepwise", "prepared_table", "split_fractions",
-           "get_recs", "final_test", "train_eval", "tune_grid", "tune_weight"]
+           "get_recs", "get_recs_long", "final_test", "train_eval", "tune_grid", "tune_weight"]

@@ -21,6 +21,7 @@ from recsift.operators.hybrid import fuse_scores, topk_lists, weigh
 from recsift.operators.metrics import eval_users, ranking_metrics, true_labels
 from recsift.operators.recs import ALSSpec, fit_als, recommend_long
 from recsift.operators.splits import TEST, TRAIN, VAL
+from recsift.plans.recs_store import get_recs_long
 from recsift.session import checkpoint_dir
 from recsift.sources.store import append_runs
 
@@ -79,14 +80,24 @@ def log_runs(result: DataFrame, runs_path: str | None, plan: str,
     return result
 
 
+def _recs(train: DataFrame, users: DataFrame, spec: ALSSpec, k: int, store: str | None,
+          trained_on: tuple[str, ...], users_key: str, model_path: str | None = None) -> DataFrame:
+    """Top-k rows for ``users``; fit-or-load through the artefact store when
+    ``store`` names the prepared data (models and lists keyed by it, by the
+    splits trained on and by the evaluated split)."""
+    if store is None:
+        return recommend_long(fit_als(train, spec, model_path), users, k)
+    return get_recs_long(train, users, spec, k, f"{store}|train={'+'.join(trained_on)}", users_key)
+
+
 def train_eval(splits: DataFrame, spec: ALSSpec = ALSSpec(), k: int = 500,
                train_on=(TRAIN,), eval_on: str = VAL, model_path: str | None = None,
-               runs_path: str | None = None, tags: dict | None = None) -> DataFrame:
+               runs_path: str | None = None, tags: dict | None = None,
+               store: str | None = None) -> DataFrame:
     """Fit on ``train_on`` splits, recommend k items for the ``eval_on`` users and score them."""
     train = _rows(splits, *train_on)
     target = _rows(splits, eval_on)
-    model = fit_als(train, spec, model_path)
-    preds = recommend_long(model, eval_users(target), k)
+    preds = _recs(train, eval_users(target), spec, k, store, tuple(train_on), eval_on, model_path)
     out = _settle(_params(ranking_metrics(preds, true_labels(target), k), spec, k))
     return log_runs(out, runs_path, "train_eval", tags)
 
@@ -94,7 +105,7 @@ def train_eval(splits: DataFrame, spec: ALSSpec = ALSSpec(), k: int = 500,
 def tune_grid(splits: DataFrame, ranks: Sequence[int] = (10, 20, 100, 500),
               regs: Sequence[float] = (0.01, 0.1, 1.0, 10.0),
               k: int = 500, base: ALSSpec = ALSSpec(), runs_path: str | None = None,
-              tags: dict | None = None) -> DataFrame:
+              tags: dict | None = None, store: str | None = None) -> DataFrame:
     """Every (rank, reg) point: fit on train, evaluate on val at the requested k.
     With ``runs_path`` each point is appended to the runs table as it finishes."""
     train = _rows(splits, TRAIN).persist(StorageLevel.MEMORY_AND_DISK)
@@ -105,7 +116,7 @@ def tune_grid(splits: DataFrame, ranks: Sequence[int] = (10, 20, 100, 500),
     for rank in ranks:
         for reg in regs:
             spec = replace(base, rank=rank, reg=reg)
-            preds = recommend_long(fit_als(train, spec), users, k)
+            preds = _recs(train, users, spec, k, store, (TRAIN,), VAL)
             m = _params(ranking_metrics(preds, labels, k), spec, k)
             m = log_runs(_settle(m), runs_path, "tune_grid", tags)
             out = m if out is None else out.unionByName(m)
@@ -114,9 +125,11 @@ def tune_grid(splits: DataFrame, ranks: Sequence[int] = (10, 20, 100, 500),
     return out
 
 
-def _both_recs(train: DataFrame, users: DataFrame, spec: ALSSpec, k: int):
-    rating = recommend_long(fit_als(train, replace(spec, implicit=False)), users, k)
-    review = recommend_long(fit_als(train, replace(spec, implicit=True)), users, k)
+def _both_recs(train: DataFrame, users: DataFrame, spec: ALSSpec, k: int,
+               store: str | None = None, trained_on: tuple[str, ...] = (TRAIN,),
+               users_key: str = VAL):
+    rating = _recs(train, users, replace(spec, implicit=False), k, store, trained_on, users_key)
+    review = _recs(train, users, replace(spec, implicit=True), k, store, trained_on, users_key)
     return (rating.persist(StorageLevel.MEMORY_AND_DISK),
             review.persist(StorageLevel.MEMORY_AND_DISK))
 
@@ -131,13 +144,13 @@ def weight_metrics(rating_long: DataFrame, review_long: DataFrame, labels: DataF
 
 def tune_weight(splits: DataFrame, spec: ALSSpec = ALSSpec(), k: int = 500,
                 weights: Sequence[float] = WEIGHTS, runs_path: str | None = None,
-                tags: dict | None = None) -> DataFrame:
+                tags: dict | None = None, store: str | None = None) -> DataFrame:
     """Fit the explicit and the implicit model once each, then score the fused
     lists for all weights together (fusion is the only thing that varies)."""
     train = _rows(splits, TRAIN).persist(StorageLevel.MEMORY_AND_DISK)
     target = _rows(splits, VAL)
     users = eval_users(target)
-    rat, rev = _both_recs(train, users, spec, k)
+    rat, rev = _both_recs(train, users, spec, k, store, (TRAIN,), VAL)
     out = _params(weight_metrics(rat, rev, true_labels(target), k, weights),
                   replace(spec, implicit=False), k)
     return log_runs(_settle(out, rat, rev, train), runs_path, "tune_weight", tags)
@@ -145,18 +158,19 @@ def tune_weight(splits: DataFrame, spec: ALSSpec = ALSSpec(), k: int = 500,
 
 def final_test(splits: DataFrame, spec: ALSSpec = ALSSpec(), k: int = 500,
                weight: float | None = None, runs_path: str | None = None,
-               tags: dict | None = None) -> DataFrame:
+               tags: dict | None = None, store: str | None = None) -> DataFrame:
     """Train on train + val, evaluate on test: the basic (explicit) model and the
     hybrid list. With ``weight=None`` the fusion weight is chosen on val first
     (highest MAP, ties to the smaller weight)."""
     if weight is None:
-        tuned = tune_weight(splits, spec, k, runs_path=runs_path, tags=tags).orderBy(F.desc("map"), F.asc("weight")).first()
+        tuned = tune_weight(splits, spec, k, runs_path=runs_path, tags=tags,
+                            store=store).orderBy(F.desc("map"), F.asc("weight")).first()
         weight = float(tuned["weight"]) if tuned is not None else 1.0
     train = _rows(splits, TRAIN, VAL).persist(StorageLevel.MEMORY_AND_DISK)
     target = _rows(splits, TEST)
     users = eval_users(target)
     labels = true_labels(target).persist(StorageLevel.MEMORY_AND_DISK)
-    rat, rev = _both_recs(train, users, spec, k)
+    rat, rev = _both_recs(train, users, spec, k, store, (TRAIN, VAL), TEST)
     basic = ranking_metrics(rat.select("user_id", "pos", "item_id"), labels, k) \
         .select(F.lit("basic").alias("model"), F.lit(None).cast("double").alias("weight"), "*")
     hybrid = weight_metrics(rat, rev, labels, k, [weight]).select(F.lit("hybrid").alias("model"), "*")

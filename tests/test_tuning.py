@@ -81,3 +81,25 @@ def test_plans_append_to_one_runs_table(spark, splits):
     assert got == [("final_test", "basic", None), ("final_test", "hybrid", 0.5),
                    ("train_eval", None, None)]
     assert {r.tags["fraction"] for r in runs.collect()} == {"1.0"}
+
+
+def test_final_test_with_store_fits_once(spark, splits):
+    import os
+    import tempfile
+
+    from recsift.session import checkpoint_dir
+
+    store = "test-store-" + tempfile.mkdtemp(dir="/tmp")
+    root = f"{checkpoint_dir(spark)}/recsift"
+
+    def artefacts():
+        return sorted(os.listdir(f"{root}/{kind}") if os.path.isdir(f"{root}/{kind}") else []
+                      for kind in ("als", "recs"))
+
+    before = artefacts()
+    first = sorted(map(tuple, final_test(splits, SPEC, 5, weight=1.0, store=store).collect()))
+    after_first = artefacts()
+    second = sorted(map(tuple, final_test(splits, SPEC, 5, weight=1.0, store=store).collect()))
+    assert first == second
+    assert after_first != before and artefacts() == after_first   # nothing refitted
+    assert sum(map(len, after_first)) - sum(map(len, before)) == 4  # 2 models + 2 lists
