@@ -14,6 +14,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+# Each half-iteration shuffles factors from every user block to every item
+# block (and back), so the fetches grow with the square of the block count;
+# past a few thousand blocks they are tiny and overhead-bound.
+MAX_DEFAULT_BLOCKS = 2048
+
+
 @dataclass(frozen=True)
 class ALSSpec:
     rank: int = 10
@@ -26,7 +32,7 @@ class ALSSpec:
     # User and item blocks of the factorisation; each block is one task per
     # half-iteration, so this is the fit's parallelism. None: the session's
     # ``recsift.als.blocks``, else its default parallelism (one block per core,
-    # one wave of tasks).
+    # one wave of tasks) up to MAX_DEFAULT_BLOCKS.
     blocks: int | None = None
     # Iterations between factor checkpoints to the shared folder: a lost
     # executor then recomputes at most this many iterations.
@@ -45,7 +51,8 @@ class ALSSpec:
         changes the seeded initial factors, so it is part of every model key)."""
         if self.blocks is not None:
             return self
-        blocks = spark.conf.get("recsift.als.blocks", None) or spark.sparkContext.defaultParallelism
+        blocks = spark.conf.get("recsift.als.blocks", None) or \
+            min(spark.sparkContext.defaultParallelism, MAX_DEFAULT_BLOCKS)
         return replace(self, blocks=max(1, int(blocks)))
 
     def estimator(self):
