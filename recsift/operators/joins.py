@@ -1,20 +1,22 @@
 """Joins against a derived key table, broadcast only behind a size check.
 
 A key table derived from the data (active users, put-back users, unobserved
-items) grows with the data, so it is never broadcast blindly. It is persisted
-(memory and disk, lineage kept so lost blocks are recomputed), counted, and
-broadcast only when the count is at most ``recsift.broadcast.maxRows``.
-Otherwise the join stays a shuffle join, where adaptive execution splits a hot
-key's partition on the large side. Persisting first means the count and the
-join share one computation of the key table.
+items) grows with the data, so it is never broadcast blindly. It is written
+once as a reliable checkpoint under ``spark.checkpoint.dir`` (the aggregate
+behind it runs once, a lost executor re-reads files instead of recomputing it,
+and no executor memory stays pinned), counted, and broadcast only when the
+count is at most ``recsift.broadcast.maxRows``. Otherwise the join stays a
+shuffle join, where adaptive execution splits a hot key's partition on the
+large side.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recsift.session import checkpoint_dir
+
 DEFAULT_MAX_ROWS = 2_000_000
 
 
@@ -27,9 +29,15 @@ def _hint(keys: DataFrame, n: int, max_rows: int | None) -> DataFrame:
     return F.broadcast(keys) if n <= limit else keys
 
 
+def materialize_keys(keys: DataFrame) -> DataFrame:
+    """Write a derived key table once to the shared checkpoint folder (eager)."""
+    checkpoint_dir(keys.sparkSession)
+    return keys.checkpoint(eager=True)
+
+
 def bounded(keys: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, int]:
-    """Persist ``keys``, count it, and hint a broadcast when the count is bounded."""
-    keys = keys.persist(StorageLevel.MEMORY_AND_DISK)
+    """Checkpoint ``keys``, count it, and hint a broadcast when the count is bounded."""
+    keys = materialize_keys(keys)
     n = keys.count()
     return _hint(keys, n, max_rows), n
 
@@ -38,11 +46,11 @@ def keep_keys(df: DataFrame, decisions: DataFrame, on: str, keep_col: str = "kee
               max_rows: int | None = None) -> DataFrame:
     """Rows of ``df`` whose key has ``keep_col`` true in ``decisions`` (one row per key).
 
-    ``decisions`` is persisted and both sides are counted in one pass; the
+    ``decisions`` is checkpointed and both sides are counted in one pass; the
     rows are then joined with the smaller side only: a semi join with the
     kept keys or an anti join with the dropped ones.
     """
-    decisions = decisions.select(on, keep_col).persist(StorageLevel.MEMORY_AND_DISK)
+    decisions = materialize_keys(decisions.select(on, keep_col))
     sizes = decisions.agg(
         F.count(F.when(F.col(keep_col), 1)).alias("n_keep"),
         F.count(F.when(~F.col(keep_col), 1)).alias("n_drop")).first()
