@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -163,8 +162,10 @@ def recommend_long(model, users: DataFrame, k: int, max_floats: int | None = Non
     wanted = users.select(F.col("user_id").alias("id")).distinct()
     factors = (model.userFactors.join(wanted, "id", "left_semi")
                .repartition(2 * sc.defaultParallelism))
-    if n_chunks > 1:
-        factors = factors.persist(StorageLevel.MEMORY_AND_DISK)
+    if n_chunks > 1:  # read once per chunk: written once to the shared folder
+        from recsift.operators.joins import materialize_keys
+
+        factors = materialize_keys(factors)
     passes = []
     for c in range(n_chunks):
         chunk = items if n_chunks == 1 else items.filter(F.pmod(F.col("id"), F.lit(n_chunks)) == c)
