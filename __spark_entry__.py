@@ -42,6 +42,7 @@ from recsift.operators import (  # noqa: E402
     quality_report,
     ranking_metrics,
     recommend,
+    recommend_long,
     remove_low_users,
     remove_zeros,
     review_split,
@@ -123,11 +124,12 @@ def _per_user(spark, sf):
     return per_user_metrics(_pop_preds(spark, sf), true_labels(_val(spark, sf)), K)
 
 
-def _als_recs(spark, sf, implicit):
+def _als_recs(spark, sf, implicit, long=False):
     s = _splits(spark, sf)
     train = split_view(s, "train", ("user_id", "item_id", "rating", "is_reviewed"))
     model = fit_als(train, ALSSpec(implicit=implicit, reg=REG, seed=SEED))
-    return recommend(model, eval_users(split_view(s, "val")), K)
+    top = recommend_long if long else recommend
+    return top(model, eval_users(split_view(s, "val")), K)
 
 
 # ---------------------------------------------------------------- queries
@@ -280,11 +282,11 @@ def q_tune_weight_lists(spark, sf):
 
 
 def q_als_topk_explicit(spark, sf):
-    return explode_recs(_als_recs(spark, sf, False))
+    return _als_recs(spark, sf, False, long=True)
 
 
 def q_als_topk_implicit(spark, sf):
-    return explode_recs(_als_recs(spark, sf, True))
+    return _als_recs(spark, sf, True, long=True)
 
 
 def q_als_coverage(spark, sf):
