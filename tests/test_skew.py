@@ -41,8 +41,11 @@ def test_fixture_is_skewed(skewed):
 @pytest.mark.parametrize("max_rows", [None, "0"])
 def test_skewed_prepare_same_under_both_join_strategies(spark, skewed, max_rows):
     key = "recsift.broadcast.maxRows"
-    if max_rows is not None:
+    auto = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    if max_rows is not None:           # no hint and no automatic broadcast: shuffle joins
         spark.conf.set(key, max_rows)
+        for a in auto:
+            spark.conf.set(a, "-1")
     try:
         spec = PrepareSpec(fraction=1.0, low_threshold=10, seed=5)
         a = prepare(skewed, spec).persist()
@@ -60,4 +63,5 @@ def test_skewed_prepare_same_under_both_join_strategies(spark, skewed, max_rows)
         assert 0 < sum(1 for r in rows if r.user_id == HOT_USER) <= hot_rated
         a.unpersist()
     finally:
-        spark.conf.unset(key)
+        for k in (key, *auto):
+            spark.conf.unset(k)
