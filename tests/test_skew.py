@@ -48,7 +48,13 @@ def test_skewed_prepare_same_under_both_join_strategies(spark, skewed, max_rows)
             spark.conf.set(a, "-1")
     try:
         spec = PrepareSpec(fraction=1.0, low_threshold=10, seed=5)
-        a = prepare(skewed, spec).persist()
+        fused = prepare(skewed, spec)
+        if max_rows is not None:
+            from test_plans import formatted
+
+            plan = formatted(fused)
+            assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+        a = fused.persist()
         b = prepare_stepwise(skewed, spec)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
         rows = a.collect()
