@@ -70,17 +70,19 @@ def topk_lists_running(scores: DataFrame, k: int) -> DataFrame:
     :func:`topk_lists` is the default.
 
     Computed in O(k) per user rather than materialising a growing list on every
-    row: a running count over the same RANGE frame is the running list's size,
-    so the kept rows are those with count k, and their list is the items with
-    count <= k, gathered once per user and joined back.
+    row: a running count over the same RANGE frame is the running list's size.
+    One aggregate per user (on the window's partitioning, no further shuffle)
+    gathers the items with count <= k and counts the rows with count k (the
+    peers of the last group); the list is then emitted once per such row.
     """
     w = Window.partitionBy("user_id").orderBy(F.desc("rating"))
     counted = scores.select("user_id", "item_id", F.count(F.lit(1)).over(w).alias("n"))
-    lists = (counted.filter(F.col("n") <= k).groupBy("user_id")
-             .agg(F.max("n").alias("n"),
-                  F.array_join(F.array_sort(F.collect_list("item_id")), ",").alias("items"))
-             .filter(F.col("n") == k).select("user_id", "items"))
-    return counted.filter(F.col("n") == k).select("user_id").join(lists, "user_id")
+    per_user = counted.groupBy("user_id").agg(
+        F.array_join(F.array_sort(F.collect_list(F.when(F.col("n") <= k, F.col("item_id")))),
+                     ",").alias("items"),
+        F.count(F.when(F.col("n") == k, 1)).cast("int").alias("ends"))
+    return (per_user.filter(F.col("ends") > 0)
+            .select("user_id", F.explode(F.array_repeat("items", F.col("ends"))).alias("items")))
 
 
 def hybrid_lists(rating_recs: DataFrame, review_recs: DataFrame, weight: float,
