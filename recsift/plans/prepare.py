@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recsift.operators.filters import check_threshold, remove_low_users, remove_zeros
-from recsift.operators.joins import attach_keys
+from recsift.operators.joins import attach_keys, materialize_keys
 from recsift.operators.sampling import DOWNSAMPLE_MODULUS, check_fraction, downsample_users, user_share
 from recsift.operators.splits import TRAIN, SplitSpec, drop_unobserved_items, split, tag_holdout
 from recsift.sources.interactions import interactions, interactions_table
@@ -150,14 +150,18 @@ def split_fractions(df: DataFrame, fractions=(0.01, 0.05, 0.25, 1.0), seed: int
                     low_threshold: int = 10) -> DataFrame:
     """Split sizes at several fractions in one pass: ``(fraction, split, n_rows, n_users)``.
 
-    Counting the :func:`fraction_table` by share gives small histograms;
-    only those are expanded per fraction.
+    The :func:`fraction_table` is computed once, into row counts per
+    (user, split, share), written to the shared checkpoint folder (a partial
+    aggregate: a hot user collapses map-side). Both histograms (rows and
+    users by share) come from that table, and only they are expanded per
+    fraction.
     """
     for f in fractions:
         check_fraction(f)
-    entered = fraction_table(df, seed, low_threshold)
-    row_hist = entered.groupBy("split", "share").agg(F.count(F.lit(1)).alias("n"))
-    user_hist = (entered.groupBy("user_id", "split").agg(F.min("share").alias("share"))
+    per = materialize_keys(fraction_table(df, seed, low_threshold)
+                           .groupBy("user_id", "split", "share").agg(F.count(F.lit(1)).alias("n")))
+    row_hist = per.groupBy("split", "share").agg(F.sum("n").alias("n"))
+    user_hist = (per.groupBy("user_id", "split").agg(F.min("share").alias("share"))
                  .groupBy("split", "share").agg(F.count(F.lit(1)).alias("u")))
     hist = row_hist.join(user_hist, ["split", "share"], "full").na.fill(0, ["n", "u"])
     cuts = F.explode(F.array(*[F.struct(F.lit(float(f)).alias("fraction"),
