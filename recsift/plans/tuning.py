@@ -149,11 +149,11 @@ def tune_weight(splits: DataFrame, spec: ALSSpec = ALSSpec(), k: int = 500,
     lists for all weights together (fusion is the only thing that varies)."""
     train = _rows(splits, TRAIN).persist(StorageLevel.MEMORY_AND_DISK)
     target = _rows(splits, VAL)
-    users = eval_users(target)
+    users = eval_users(target).persist(StorageLevel.MEMORY_AND_DISK)   # read by both models
     rat, rev = _both_recs(train, users, spec, k, store, (TRAIN,), VAL)
     out = _params(weight_metrics(rat, rev, true_labels(target), k, weights),
                   replace(spec, implicit=False), k)
-    return log_runs(_settle(out, rat, rev, train), runs_path, "tune_weight", tags)
+    return log_runs(_settle(out, rat, rev, users, train), runs_path, "tune_weight", tags)
 
 
 def final_test(splits: DataFrame, spec: ALSSpec = ALSSpec(), k: int = 500,
@@ -168,11 +168,11 @@ def final_test(splits: DataFrame, spec: ALSSpec = ALSSpec(), k: int = 500,
         weight = float(tuned["weight"]) if tuned is not None else 1.0
     train = _rows(splits, TRAIN, VAL).persist(StorageLevel.MEMORY_AND_DISK)
     target = _rows(splits, TEST)
-    users = eval_users(target)
+    users = eval_users(target).persist(StorageLevel.MEMORY_AND_DISK)   # read by both models
     labels = true_labels(target).persist(StorageLevel.MEMORY_AND_DISK)
     rat, rev = _both_recs(train, users, spec, k, store, (TRAIN, VAL), TEST)
     basic = ranking_metrics(rat.select("user_id", "pos", "item_id"), labels, k) \
         .select(F.lit("basic").alias("model"), F.lit(None).cast("double").alias("weight"), "*")
     hybrid = weight_metrics(rat, rev, labels, k, [weight]).select(F.lit("hybrid").alias("model"), "*")
     out = _params(basic.unionByName(hybrid), replace(spec, implicit=False), k)
-    return log_runs(_settle(out, rat, rev, labels, train), runs_path, "final_test", tags)
+    return log_runs(_settle(out, rat, rev, users, labels, train), runs_path, "final_test", tags)
