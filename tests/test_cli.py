@@ -23,3 +23,9 @@ def test_cli_rejects_unknown_task():
 
     with pytest.raises(SystemExit):
         main(["fit-everything", SF001])
+
+
+def test_cli_save_splits(spark):
+    out = main(["save-splits", SF001], spark)
+    assert set(out.columns) >= {"user_id", "item_id", "split", "share"}
+    assert out.filter("split = 'train'").count() > out.filter("split <> 'train'").count() > 0
