@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recsift.operators.filters import check_threshold, remove_low_users, remove_zeros
-from recsift.operators.joins import attach_keys, materialize_keys
+from recsift.operators.joins import attach_keys, bounded, materialize_keys, max_broadcast_rows
 from recsift.operators.sampling import DOWNSAMPLE_MODULUS, check_fraction, downsample_users, user_share
 from recsift.operators.splits import TRAIN, SplitSpec, drop_unobserved_items, split, tag_holdout
 from recsift.sources.interactions import interactions, interactions_table
@@ -120,12 +120,20 @@ def fraction_table(df: DataFrame, seed: int = 42, low_threshold: int = 10) -> Da
     rows = kept.select(
         "user_id", "item_id", "rating", "is_reviewed", user_share(seed).alias("share"),
         F.when(~F.col("held") | moved, F.lit(TRAIN)).otherwise(F.col("role")).alias("split"))
-    first_seen = (rows.filter(F.col("split") == TRAIN).groupBy("item_id")
-                  .agg(F.min("share").alias("item_share")))
-    held = (attach_keys(rows.filter(F.col("split") != TRAIN), first_seen, "item_id")
-            .filter(F.col("item_share").isNotNull())
-            .withColumn("share", F.greatest("share", "item_share")).drop("item_share"))
-    return rows.filter(F.col("split") == TRAIN).unionByName(held).select(*OUT_COLS, "share")
+    first_seen, n_items = bounded(rows.filter(F.col("split") == TRAIN).groupBy("item_id")
+                                  .agg(F.min("share").alias("item_share")))
+    visible = F.col("item_share").isNotNull()
+    entered = F.when(F.col("split") == TRAIN, F.col("share")) \
+        .otherwise(F.greatest("share", "item_share"))
+    if n_items <= max_broadcast_rows(rows):
+        # bounded item table: one pass, every row meets the broadcast table
+        joined = rows.join(first_seen, "item_id", "left")
+        return (joined.filter((F.col("split") == TRAIN) | visible)
+                .withColumn("share", entered).select(*OUT_COLS, "share"))
+    # beyond the bound only the held rows are shuffled by item; train rows pass through
+    held = (rows.filter(F.col("split") != TRAIN).join(first_seen, "item_id", "left")
+            .filter(visible).withColumn("share", entered).select(*OUT_COLS, "share"))
+    return rows.filter(F.col("split") == TRAIN).select(*OUT_COLS, "share").unionByName(held)
 
 
 def at_fraction(table: DataFrame, fraction: float) -> DataFrame:

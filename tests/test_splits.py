@@ -113,15 +113,22 @@ def test_split_fractions_match_prepare(inter01):
             assert got[(f, r.split)] == (r.n_rows, r.n_users)
 
 
-def test_fraction_table_equals_prepare_rows(inter01):
+@pytest.mark.parametrize("max_rows", [None, "0"])     # one broadcast pass / union fallback
+def test_fraction_table_equals_prepare_rows(spark, inter01, max_rows):
     from recsift.plans import at_fraction, fraction_table
 
-    thin = inter01.filter(bucket("thin", "user_id", "item_id") < 200)
-    table = fraction_table(thin, 42, 3).persist()
-    for f in (0.05, 0.3, 1.0):
-        a = at_fraction(table, f)
-        b = prepare(thin, PrepareSpec(fraction=f, low_threshold=3))
-        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    if max_rows is not None:
+        spark.conf.set("recsift.broadcast.maxRows", max_rows)
+    try:
+        thin = inter01.filter(bucket("thin", "user_id", "item_id") < 200)
+        table = fraction_table(thin, 42, 3).persist()
+        for f in (0.05, 0.3, 1.0):
+            a = at_fraction(table, f)
+            b = prepare(thin, PrepareSpec(fraction=f, low_threshold=3))
+            assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+        table.unpersist()
+    finally:
+        spark.conf.unset("recsift.broadcast.maxRows")
 
 
 def test_save_fraction_splits_one_table(spark):
