@@ -1,8 +1,10 @@
 """Recommendation lists: ALS fit / top-k, list reshaping, popularity lists.
 
 A recommendation table is ``(user_id, recommendations array<struct<item_id:int,
-rating:float>>)``, best first, as produced by ``ALSModel.recommendForUserSubset``.
-The long form is ``(user_id, pos, item_id, rating)`` with 1-based ``pos``.
+rating:float>>)``, best first, in the layout of ``ALSModel.recommendForUserSubset``.
+The long form is ``(user_id, pos, item_id, rating)`` with 1-based ``pos``; it is
+what :func:`recommend_long` computes (exact top-k by broadcast item-factor chunks
+and ``mapInPandas``, no cross join) and what the evaluation reads.
 """
 
 from __future__ import annotations
