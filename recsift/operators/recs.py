@@ -90,6 +90,9 @@ DEFAULT_MAX_BROADCAST_FLOATS = 32_000_000
 
 REC_SCHEMA = "user_id int, pos int, item_id int, rating float"
 
+# Smallest number of users worth a scoring task (below it, fewer tasks).
+MIN_USERS_PER_TASK = 256
+
 
 def _max_floats(spark: SparkSession) -> int:
     return int(spark.conf.get("recsift.recommend.maxBroadcastFloats",
@@ -150,9 +153,10 @@ def recommend_long(model, users: DataFrame, k: int, max_floats: int | None = Non
     no (user, item) pair beyond a user's k best per chunk leaves a task.
     Order: score descending, then item id ascending.
 
-    The users are repartitioned to twice the default parallelism: the rows
-    are tiny (one factor vector each) but the scoring is CPU-bound, so
-    size-based coalescing would put too much work into too few tasks.
+    The users are repartitioned to twice the default parallelism (fewer when
+    there are fewer than ``MIN_USERS_PER_TASK`` users per task): the rows are
+    tiny (one factor vector each) but the scoring is CPU-bound, so size-based
+    coalescing would put too much work into too few tasks.
     """
     spark = users.sparkSession
     sc = spark.sparkContext
@@ -162,8 +166,9 @@ def recommend_long(model, users: DataFrame, k: int, max_floats: int | None = Non
     per_chunk = max(1, (max_floats or _max_floats(spark)) // max(rank, 1))
     n_chunks = max(1, -(-n_items // per_chunk))
     wanted = users.select(F.col("user_id").alias("id")).distinct()
-    factors = (model.userFactors.join(wanted, "id", "left_semi")
-               .repartition(2 * sc.defaultParallelism))
+    n_users = wanted.count()
+    parts = max(1, min(2 * sc.defaultParallelism, -(-n_users // MIN_USERS_PER_TASK)))
+    factors = model.userFactors.join(wanted, "id", "left_semi").repartition(parts)
     if n_chunks > 1:  # read once per chunk: written once to the shared folder
         from recsift.operators.joins import materialize_keys
 
