@@ -55,6 +55,8 @@ def test_low_user_filter_broadcasts_bounded_side(spark):
     text = formatted(remove_low_users(remove_zeros(t), 28))
     assert "BroadcastHashJoin" in text
     assert "SortMergeJoin" not in text
+    # the key table is read back from its checkpoint (lineage cut), not cached or recomputed
+    assert "Scan ExistingRDD" in text and "InMemoryRelation" not in text
 
 
 def test_low_user_filter_shuffle_join_beyond_bound(spark):
