@@ -204,10 +204,11 @@ def q_split_report(spark, sf):
 
 
 def q_quality_report(spark, sf):
+    # "full" is the table as stored: mapped rows before the one-row-per-pair rule
     inter = _inter(spark, sf)
     down = downsample_users(remove_low_users(remove_zeros(inter), LOW), PREPARE_FRACTION, SEED)
     splits = prepare(inter, PrepareSpec(fraction=PREPARE_FRACTION, seed=SEED, low_threshold=LOW))
-    return quality_report(inter, down, splits)
+    return quality_report(interaction_rows(spark, sf), down, splits)
 
 
 def q_conservation(spark, sf):
@@ -351,7 +352,7 @@ def _fractions_sql() -> str:
 
 
 def _quality_sql() -> str:
-    full = f"({T.INTERACTIONS}) f"
+    full = f"({T.INTERACTION_ROWS}) f"
     tri = "user_id, item_id, rating"
     split = {s_: f"(SELECT * FROM final WHERE split = '{s_}') x" for s_ in ("train", "val", "test")}
     dup = "SELECT user_id, item_id FROM {} GROUP BY user_id, item_id HAVING count(*) > 1"
