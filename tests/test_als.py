@@ -102,3 +102,11 @@ def test_top_k_kernel_edges():
     items = np.array([[1, 0], [0, 2], [1, 1]], dtype=np.float32)
     s, i = top_k(users, items, np.array([30, 10, 20]), 5, item_tile=2)
     assert i.tolist() == [[10, 20, 30]] * 3 and s.tolist() == [[2.0, 2.0, 1.0]] * 3
+
+
+def test_scoring_partitions_follow_the_user_count(spark, splits):
+    from recsift.operators import recommend_long
+
+    model = fit_als(_train(splits), ALSSpec(rank=3, max_iter=2))
+    few = _train(splits).select("user_id").distinct().limit(5)
+    assert recommend_long(model, few, 3).rdd.getNumPartitions() == 1
