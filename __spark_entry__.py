@@ -311,6 +311,22 @@ def q_flagship(spark, sf):
     return final_test(_splits(spark, sf), ALSSpec(reg=REG, seed=SEED), K)
 
 
+# The training-data operators are optional: without their subpackage, and the
+# pipeline built from it, every other query works.
+try:
+    import corpus_pipeline
+    from recsift.llm.entry import ORACLE_SQL as _LLM_SQL
+    from recsift.llm.entry import QUERIES as _LLM_QUERIES
+except ModuleNotFoundError as err:
+    if not (err.name or "").startswith(("recsift.llm", "corpus_pipeline")):
+        raise
+    _LLM_QUERIES, _LLM_SQL = {}, {}
+else:
+    _LLM_QUERIES = {**_LLM_QUERIES, "pipeline": corpus_pipeline.run}
+    if corpus_pipeline.ORACLE_SQL:
+        _LLM_SQL = {**_LLM_SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_")
 }
@@ -324,7 +340,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_LLM_QUERIES}
 
 
 # ---------------------------------------------------------------- oracle SQL
@@ -442,4 +458,4 @@ def oracle_sql() -> dict[str, str]:
             f"WHERE split = 'train')) AS INTEGER) AS n_recs FROM final WHERE split = 'val' "
             f"AND user_id IN (SELECT user_id FROM final WHERE split = 'train')"),
     }
-    return out
+    return {**out, **_LLM_SQL}
