@@ -4,6 +4,7 @@ A task writes, for each chunk of text and each bucket, one row: the hashes
 that fall into the bucket, grouped by the document they belong to. Spark
 shuffles these rows by bucket; a bucket holds about ``BUCKET_BYTES`` of text's
 hashes whatever the input's size, so the number of buckets grows with it.
+What a bucket finds goes back packed alike, by parts of the documents.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recsift.llm.words import U64
+from recsift.llm.words import U64, mix
 
 # Text whose window hashes go to one bucket: under 2 million 8-byte hashes.
 BUCKET_BYTES = 8 << 20
@@ -70,15 +71,50 @@ def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start, np.diff(np.r_[start, len(values)])
 
 
-def list_rows(keys: list[np.ndarray], values: np.ndarray, kind: pa.DataType) -> tuple:
-    """``values``, in order of ``keys``, as one list for each different key:
-    the key columns and the list column."""
-    if not len(values):
-        return [k[:0] for k in keys], pa.array([], type=pa.list_(kind))
-    change = np.zeros(len(values), dtype=bool)
-    change[0] = True
-    for k in keys:
-        change[1:] |= k[1:] != k[:-1]
-    start = np.flatnonzero(change)
-    offsets = pa.array(np.r_[start, len(values)], type=pa.int32())
-    return [k[start] for k in keys], pa.ListArray.from_arrays(offsets, pa.array(values, type=kind))
+def names_of(r: dict, counts: str = "counts") -> tuple[np.ndarray, np.ndarray]:
+    """``_k`` and ``_sub`` of every hash of a packed row."""
+    k = np.frombuffer(r["docs"], dtype=np.int64)
+    s = np.frombuffer(r["subs"], dtype=np.int64) if r["subs"] else np.zeros(len(k), dtype=np.int64)
+    n = unpack(r[counts])
+    return np.repeat(k, n), np.repeat(s, n)
+
+
+def pack_names(keys: np.ndarray, subs: np.ndarray, counts: np.ndarray) -> dict:
+    return {"docs": keys.tobytes(), "subs": subs.tobytes() if subs.any() else b"", "counts": pack(counts)}
+
+
+REPLY = "part int, docs binary, subs binary, counts binary, hashes binary"
+REPLY_ARROW = pa.schema([("part", pa.int32()), *((c, pa.binary()) for c in ("docs", "subs", "counts", "hashes"))])
+
+
+def part_of(keys: np.ndarray, subs: np.ndarray, n: int) -> np.ndarray:
+    """The part, of ``n``, that a document's replies go to."""
+    return bucket_of(mix(mix(keys.view(U64)) + subs.view(U64)), n)
+
+
+def reply(keys: np.ndarray, subs: np.ndarray, values: np.ndarray, n: int) -> pa.Table:
+    """Values to send back to their documents: one row for each part that any go to."""
+    order = np.lexsort((values, subs, keys))
+    keys, subs, values = keys[order], subs[order], values[order]
+    rows = []
+    for part, i in by_bucket(part_of(keys, subs, n), n):
+        change = (np.diff(keys[i]) != 0) | (np.diff(subs[i]) != 0)
+        head = np.flatnonzero(np.r_[True, change])
+        rows.append({"part": part, "hashes": values[i].tobytes(),
+                     **pack_names(keys[i][head], subs[i][head], np.diff(np.r_[head, len(i)]))})
+    return pa.Table.from_pylist(rows, schema=REPLY_ARROW)
+
+
+def received(table: pa.Table) -> Iterator[tuple[int, int, np.ndarray]]:
+    """``(_k, _sub, values ascending)`` of every document in the replies to one part."""
+    rows = table.to_pylist()
+    if not rows:
+        return
+    names = [names_of(r) for r in rows]
+    keys, subs = (np.concatenate([x[j] for x in names]) for j in (0, 1))
+    values = np.concatenate([np.frombuffer(r["hashes"], dtype=np.int64) for r in rows])
+    order = np.lexsort((values, subs, keys))
+    keys, subs, values = keys[order], subs[order], values[order]
+    head = np.flatnonzero(np.r_[True, (np.diff(keys) != 0) | (np.diff(subs) != 0)])
+    for a, b in zip(head.tolist(), [*head[1:].tolist(), len(keys)], strict=True):
+        yield int(keys[a]), int(subs[a]), values[a:b]

@@ -5,26 +5,58 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recsift.llm.byte_bpe import byte_bpe
 from recsift.llm.ngram_join import jaccard_join
+from recsift.llm.pii import KINDS, find_pii
+from recsift.llm.quality import score_quality
 from recsift.llm.substring_dedup import substring_dedup
+from recsift.llm.token_counts import token_counts
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_pii(_documents(spark, sf_dir))
+    text = lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])
+    base = F.filter("pii_spans", lambda s: s["base"])
+    count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", *[count(k).alias(f"n_{k}") for k in KINDS],
+        F.sha2(F.array_join(F.transform(base, text), ","), 256).alias("base_sha256"),
+        F.array_join(F.transform("pii_spans", text), ",").alias("spans"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(_documents(spark, sf_dir)).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = byte_bpe(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                     public_tokenizers.PATTERN)
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(_documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(_documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in globals().items() if name.startswith("op")}
 

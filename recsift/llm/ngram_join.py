@@ -28,7 +28,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recsift.llm.blobs import bucket_of, by_bucket, list_rows, n_buckets, pack, runs, unpack
+from recsift.llm.blobs import (
+    REPLY,
+    bucket_of,
+    by_bucket,
+    n_buckets,
+    names_of,
+    pack_names,
+    received,
+    reply,
+    runs,
+)
 from recsift.llm.components import components
 from recsift.llm.links import Forest
 from recsift.llm.rows import id_of, keyed, saved
@@ -47,8 +57,8 @@ _SETS_ARROW = pa.schema([("_k", pa.int64()), ("_sub", pa.int64()), ("n", pa.int6
 _SENT = "bucket int, docs binary, subs binary, counts binary, hashes binary"
 _SENT_ARROW = pa.schema([("bucket", pa.int32()), ("docs", pa.binary()), ("subs", pa.binary()),
                          ("counts", pa.binary()), ("hashes", pa.binary())])
-_SHARED = "_k long, _sub long, shared array<long>"
-_SHARED_ARROW = pa.schema([("_k", pa.int64()), ("_sub", pa.int64()), ("shared", pa.list_(pa.int64()))])
+_SHARED = "_k long, _sub long, tokens array<long>"
+_SHARED_ARROW = pa.schema([("_k", pa.int64()), ("_sub", pa.int64()), ("tokens", pa.list_(pa.int64()))])
 
 
 def shingle_sets(chunk: Chunk, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -99,38 +109,39 @@ def _send(size: int, buckets: int):
             for b, i in by_bucket(bucket_of(h, buckets), buckets):
                 docs, counts = runs(row[i])
                 docs = row[i][docs]
-                rows.append({"bucket": b, "docs": keys[docs].tobytes(), "counts": pack(counts),
-                             "subs": subs[docs].tobytes() if subs[docs].any() else b"",
-                             "hashes": h[i].tobytes()})
+                rows.append({"bucket": b, "hashes": h[i].tobytes(),
+                             **pack_names(keys[docs], subs[docs], counts)})
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, schema=_SENT_ARROW)
     return run
 
 
-def _find(table: pa.Table) -> pa.Table:
+def _find(parts: int):
     """One bucket: the shingles of each document that others hold too, as
     ``commonness << 56 | hash``: ascending from rare to common, the same value
     in every document that holds the shingle."""
-    hashes, keys, subs = [], [], []
-    for r in table.to_pylist():
-        k, counts = np.frombuffer(r["docs"], dtype=np.int64), unpack(r["counts"])
-        s = np.frombuffer(r["subs"], dtype=np.int64) if r["subs"] else np.zeros(len(k), dtype=np.int64)
-        hashes.append(np.frombuffer(r["hashes"], dtype=U64))
-        keys.append(np.repeat(k, counts))
-        subs.append(np.repeat(s, counts))
-    h = np.concatenate(hashes)
-    order = np.argsort(h)
-    _, length = runs(h[order])
-    held = np.repeat(length, length)
-    twice = held > 1
-    order, held = order[twice], held[twice]
-    level = np.minimum(127, 4 * np.log2(held)).astype(U64)
-    # the bucket took the hash's high bits; the low 56 are as good as new
-    token = (level << U64(56) | h[order] & U64((1 << 56) - 1)).view(np.int64)
-    k, s = np.concatenate(keys)[order], np.concatenate(subs)[order]
-    order = np.lexsort((s, k))
-    (k, s), lists = list_rows([k[order], s[order]], token[order], pa.int64())
-    return pa.table([pa.array(k), pa.array(s), lists], schema=_SHARED_ARROW)
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        names = [names_of(r) for r in rows]
+        h = np.concatenate([np.frombuffer(r["hashes"], dtype=U64) for r in rows])
+        order = np.argsort(h)
+        _, length = runs(h[order])
+        held = np.repeat(length, length)
+        twice = held > 1
+        order, held = order[twice], held[twice]
+        level = np.minimum(127, 4 * np.log2(held)).astype(U64)
+        # the bucket took the hash's high bits; the low 56 are as good as new
+        token = (level << U64(56) | h[order] & U64((1 << 56) - 1)).view(np.int64)
+        keys, subs = (np.concatenate([x[j] for x in names])[order] for j in (0, 1))
+        return reply(keys, subs, token, parts)
+    return run
+
+
+def _gather(table: pa.Table) -> pa.Table:
+    """The replies to one part of the documents: a row for each document."""
+    got = list(received(table))
+    return pa.table([pa.array([g[j] for g in got], type=f.type) for j, f in enumerate(_SHARED_ARROW)],
+                    schema=_SHARED_ARROW)
 
 
 def _bitmaps(parts: list[np.ndarray]) -> np.ndarray:
@@ -261,7 +272,7 @@ def jaccard_join(docs: DataFrame, sim: Fraction = SIMILARITY, size: int = SHINGL
     one id may differ in text; each gets its own result. Other columns are not
     read. An empty table gives an empty result.
     """
-    rows = keyed(docs, id_col, text_col)
+    rows, every_row = keyed(docs, id_col, text_col)
     sets = saved(rows.mapInArrow(_sets(size), _SETS))
     classes = sets.filter("n > 0").groupBy("n", "d1", "d2").agg(
         F.min(F.struct("_k", "_sub")).alias("first"), F.min("_k").alias("class_k"))
@@ -270,8 +281,7 @@ def jaccard_join(docs: DataFrame, sim: Fraction = SIMILARITY, size: int = SHINGL
     classes = saved(classes.select("n", "d1", "d2", "first", "class_k", name.alias("class")))
     buckets = n_buckets(rows)
     shared = (rows.mapInArrow(_send(size, buckets), _SENT).groupBy("bucket")
-              .applyInArrow(_find, _SHARED).groupBy("_k", "_sub")
-              .agg(F.array_sort(F.flatten(F.collect_list("shared"))).alias("tokens")))
+              .applyInArrow(_find(buckets), REPLY).groupBy("part").applyInArrow(_gather, _SHARED))
     least = F.ceil(F.col("n") * sim.numerator / sim.denominator)
     heads = classes.select(F.col("first._k").alias("_k"), F.col("first._sub").alias("_sub"), "class", "n")
     cand = saved(shared.join(heads, ["_k", "_sub"]).withColumn("tokens", F.array_distinct("tokens"))
@@ -290,7 +300,7 @@ def jaccard_join(docs: DataFrame, sim: Fraction = SIMILARITY, size: int = SHINGL
         "n", "d1", "d2", "class_k", F.coalesce("component", "class").alias("comp"))
     named = of.groupBy("comp").agg(F.min("class_k").alias("least"))
     of = of.join(named, "comp").select("n", "d1", "d2", "class_k", "least")
-    out = sets.join(of, ["n", "d1", "d2"], "left")
+    out = every_row(sets.join(of, ["n", "d1", "d2"], "left"))
     own = F.coalesce("least", "_k")
     return out.select(id_of().alias(id_col), F.col("n").alias("n_shingles"),
                       F.when(F.coalesce("class_k", "_k") != F.lit((1 << 63) - 1),

@@ -8,6 +8,8 @@ one result, given to each.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,22 +24,26 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(_k, _sub, text)``, one row for each row of ``docs``.
+def keyed(docs: DataFrame, id_col: str = "doc_id",
+          text_col: str = "text") -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``(_k, _sub, text)``, each name once, and a function that gives a result
+    by ``(_k, _sub)`` to every row of ``docs``.
 
     Ids are counted first (ids only, no text is shuffled). When none repeats,
-    the names are read off the rows; else the rows of repeated ids are told
-    apart by digest.
+    the names are read off the rows and the function changes nothing; else
+    the rows of repeated ids are told apart by digest and equal ones merged.
     """
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_KEY)).alias("_k"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     repeated = saved(rows.groupBy("_k").count().filter("count > 1").select("_k"))
     if repeated.isEmpty():
-        return rows.select("_k", F.lit(0).cast("long").alias("_sub"), "text")
+        return rows.select("_k", F.lit(0).cast("long").alias("_sub"), "text"), lambda result: result
     alone = rows.join(repeated, "_k", "left_anti").select("_k", F.lit(0).cast("long").alias("_sub"), "text")
     digest = F.conv(F.substring(F.sha2("text", 256), 1, 15), 16, 10).cast("long")
-    twice = rows.join(repeated, "_k", "left_semi").select("_k", digest.alias("_sub"), "text")
-    return alone.unionByName(twice)
+    twice = saved(rows.join(repeated, "_k", "left_semi").select("_k", digest.alias("_sub"), "text"))
+    names = alone.select("_k", "_sub").unionByName(twice.select("_k", "_sub"))
+    once = twice.groupBy("_k", "_sub").agg(F.first("text").alias("text"))
+    return alone.unionByName(once), lambda result: names.join(result, ["_k", "_sub"])
 
 
 def id_of(key: str = "_k"):

@@ -2,15 +2,16 @@
 
 Every window of ``n`` consecutive words is hashed and counted: windows go,
 packed by document, to the bucket their hash names, and a bucket's task
-finds those that start more than once. All but the first occurrence (smallest
-document id, then earliest start) are reported back to their documents, where
-repeated windows merge into maximal removal intervals.
+finds those that more than one document holds. The documents that do not hold
+a window's first occurrence (smallest document id, then earliest start) are
+told its hash. Each document then marks the windows it was told and those it
+has already had itself; they merge into maximal removal intervals.
 
 A window has 64 bits of one hash and its bucket from a second one, so the
 width grows with the number of buckets (71 bits at 128 of them).
-Skew: a chunk sends one occurrence of each different window and reports its
-other ones itself, so a window that a third of all documents hold reaches its
-bucket once for each chunk of text, not once for each document.
+Skew: a chunk sends each different window once, for its first document, and
+only names the others, so a window that a third of all documents hold reaches
+its bucket once for each chunk of text, not once for each document.
 """
 
 from __future__ import annotations
@@ -20,20 +21,29 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from recsift.llm.blobs import bucket_of, by_bucket, list_rows, n_buckets, pack, runs, unpack
+from recsift.llm.blobs import (
+    REPLY,
+    bucket_of,
+    by_bucket,
+    n_buckets,
+    names_of,
+    pack,
+    pack_names,
+    part_of,
+    received,
+    reply,
+    runs,
+    unpack,
+)
 from recsift.llm.rows import id_of, keyed
 from recsift.llm.words import U64, WINDOW_BASES, Chunk, chunks, window_hashes
 
 WINDOW = 20
-_SENT = ("bucket int, docs binary, subs binary, counts binary, at binary, "
-         "hashes binary, again_counts binary, again_at binary")
-_SENT_ARROW = pa.schema([("bucket", pa.int32()), ("docs", pa.binary()), ("subs", pa.binary()),
-                         ("counts", pa.binary()), ("at", pa.binary()), ("hashes", pa.binary()),
-                         ("again_counts", pa.binary()), ("again_at", pa.binary())])
-_FOUND = "_k long, _sub long, starts array<int>"
-_FOUND_ARROW = pa.schema([("_k", pa.int64()), ("_sub", pa.int64()), ("starts", pa.list_(pa.int32()))])
+# again: documents of the chunk that hold a sent window too, by its place among the hashes
+_SENT = "bucket int, docs binary, subs binary, counts binary, hashes binary, again_counts binary, again binary"
+_SENT_ARROW = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in (
+    "docs", "subs", "counts", "hashes", "again_counts", "again"))])
 
 
 def _windows(chunk: Chunk, keys: np.ndarray, subs: np.ndarray, n: int, buckets: int) -> Iterator[dict]:
@@ -45,28 +55,34 @@ def _windows(chunk: Chunk, keys: np.ndarray, subs: np.ndarray, n: int, buckets:
     h = window_hashes(words, n)[at]
     bucket = bucket_of(window_hashes(words, n, WINDOW_BASES[1])[at], buckets)
     row = np.searchsorted(chunk.word_off, at, "right") - 1
-    start = at - chunk.word_off[row]
-    # windows in the order in which an earlier one stays: document, then start
+    # rows in the order in which a window's first one stays
     rank = np.empty(chunk.n_rows, dtype=np.int64)
     rank[np.lexsort((subs, keys))] = np.arange(chunk.n_rows)
     order = np.argsort(rank[row], kind="stable")
-    h, bucket, row, start = h[order], bucket[order], row[order], start[order]
+    h, bucket, row = h[order], bucket[order], row[order]
     by_hash = np.argsort(h, kind="stable")
-    first = np.zeros(len(h), dtype=bool)
-    first[by_hash[runs(h[by_hash])[0]]] = True
+    head, length = runs(h[by_hash])
+    first = np.empty(len(h), dtype=np.int64)  # the window's first occurrence in the chunk
+    first[by_hash] = np.repeat(by_hash[head], length)
+    own = np.arange(len(h))
+    # a row's later occurrences need no word from others
+    twice = np.zeros(len(h), dtype=bool)
+    twice[by_hash[1:]] = (h[by_hash][1:] == h[by_hash][:-1]) & (row[by_hash][1:] == row[by_hash][:-1])
+    place = np.empty(len(h), dtype=np.int64)
+    at_row = np.empty(chunk.n_rows, dtype=np.int64)
     for b, i in by_bucket(bucket, buckets):
-        sent, again = i[first[i]], i[~first[i]]
-        out = {"bucket": b, "hashes": h[sent].tobytes()}
-        docs, lengths = runs(row[i])
-        docs = row[i][docs]
-        out["docs"] = keys[docs].tobytes()
-        out["subs"] = subs[docs].tobytes() if subs[docs].any() else b""
-        place = np.full(chunk.n_rows, -1)
-        place[docs] = np.arange(len(docs))
-        for name, which in (("", sent), ("again_", again)):
-            out[f"{name}counts"] = pack(np.bincount(place[row[which]], minlength=len(docs)))
-            out[f"{name}at"] = pack(start[which])
-        yield out
+        sent, again = i[first[i] == own[i]], i[(first[i] != own[i]) & ~twice[i]]
+        docs = row[np.concatenate([sent, again])]
+        docs = docs[np.sort(np.unique(docs, return_index=True)[1])]
+        at_row[docs] = np.arange(len(docs))
+        place[sent] = np.arange(len(sent))
+        counts = [np.bincount(at_row[row[x]], minlength=len(docs)) for x in (sent, again)]
+        # rows in order of at_row, as the counts are
+        sent = sent[np.argsort(at_row[row[sent]], kind="stable")]
+        place[sent] = np.arange(len(sent))
+        again = again[np.argsort(at_row[row[again]], kind="stable")]
+        yield {"bucket": b, "hashes": h[sent].tobytes(), "again_counts": pack(counts[1]),
+               "again": pack(place[first[again]]), **pack_names(keys[docs], subs[docs], counts[0])}
 
 
 def _send(n: int, buckets: int):
@@ -81,74 +97,87 @@ def _send(n: int, buckets: int):
     return run
 
 
-def _find(table: pa.Table) -> pa.Table:
-    """One bucket: occurrences of a window that are not its first one."""
-    hashes, keys, subs, starts = [], [], [], []
-    done = [[], [], []]
-    for r in table.to_pylist():
-        k = np.frombuffer(r["docs"], dtype=np.int64)
-        s = np.frombuffer(r["subs"], dtype=np.int64) if r["subs"] else np.zeros(len(k), dtype=np.int64)
-        counts, again = unpack(r["counts"]), unpack(r["again_counts"])
-        hashes.append(np.frombuffer(r["hashes"], dtype=U64))
-        keys.append(np.repeat(k, counts))
-        subs.append(np.repeat(s, counts))
-        starts.append(unpack(r["at"]))
-        for to, x in zip(done, (np.repeat(k, again), np.repeat(s, again), unpack(r["again_at"])), strict=True):
-            to.append(x)
-    h = np.concatenate(hashes)
-    order = np.argsort(h)
-    start, length = runs(h[order])
-    twice = order[np.repeat(length > 1, length)]  # occurrences of windows that occur again
-    k, s, at, h = (np.concatenate(x)[twice] for x in (keys, subs, starts, hashes))
-    order = np.lexsort((at, s, k, h))
-    k, s, at, h = k[order], s[order], at[order], h[order]
-    head, length = runs(h)
-    of = np.repeat(head, length)
-    later = (k != k[of]) | (s != s[of]) | (at != at[of])  # a repeated row is no earlier one
-    k, s, at = (np.concatenate([*d, x[later]]) for d, x in zip(done, (k, s, at), strict=True))
-    order = np.lexsort((at, s, k))
-    (k, s), lists = list_rows([k[order], s[order]], at[order].astype(np.int32), pa.int32())
-    return pa.table([pa.array(k), pa.array(s), lists], schema=_FOUND_ARROW)
-
-
-def repeated_windows(rows: DataFrame, n: int = WINDOW) -> DataFrame:
-    """``(_k, _sub, starts)``: for the rows of :func:`keyed`, the word positions
-    where a window of ``n`` words starts that also starts earlier. A document
-    may have several such rows (one for each bucket that found any)."""
-    buckets = n_buckets(rows)
-    sent = rows.mapInArrow(_send(n, buckets), _SENT)
-    return sent.groupBy("bucket").applyInArrow(_find, _FOUND)
+def _find(parts: int):
+    """One bucket: each window's documents but its first, told its hash."""
+    def run(table: pa.Table) -> pa.Table:
+        hashes, keys, subs, told = [], [], [], [[], [], []]
+        for r in table.to_pylist():
+            k, s = names_of(r)
+            h = np.frombuffer(r["hashes"], dtype=U64)
+            hashes.append(h)
+            keys.append(k)
+            subs.append(s)
+            for to, x in zip(told, (*names_of(r, "again_counts"), h[unpack(r["again"])]), strict=True):
+                to.append(x)
+        h = np.concatenate(hashes)
+        order = np.argsort(h)
+        _, length = runs(h[order])
+        order = order[np.repeat(length > 1, length)]  # windows that several chunks sent
+        k, s, h = np.concatenate(keys)[order], np.concatenate(subs)[order], h[order]
+        order = np.lexsort((s, k, h))
+        k, s, h = k[order], s[order], h[order]
+        later = np.ones(len(h), dtype=bool)
+        later[runs(h)[0]] = False
+        k, s, h = (np.concatenate([*t, x[later]]) for t, x in zip(told, (k, s, h), strict=True))
+        # the documents a chunk has named come after its first one, which comes
+        # after the window's first one or is it
+        return reply(k, s, h.view(np.int64), parts)
+    return run
 
 
-def _merge(n: int):
-    """Repeated windows of each document merged into maximal intervals."""
-    out = pa.schema([("_k", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
-                     ("intervals", pa.list_(pa.list_(pa.int64()))), ("kept", pa.string())])
+def _intervals(words: np.ndarray, told: np.ndarray, n: int) -> np.ndarray:
+    """Maximal ``[from, to)`` ranges of the windows told or had before; ``(m, 2)``."""
+    h = window_hashes(words, n).view(np.int64)
+    gone = np.isin(h, told)
+    order = np.argsort(h, kind="stable")
+    gone[order[1:]] |= h[order][1:] == h[order][:-1]
+    at = np.flatnonzero(gone)
+    if not len(at):
+        return np.empty((0, 2), dtype=np.int64)
+    gap = np.diff(at) > n
+    return np.column_stack([at[np.r_[True, gap]], at[np.r_[gap, True]] + n])
+
+
+_MERGED = "_k long, _sub long, n_words long, n_removed long, intervals array<array<long>>, kept string"
+_MERGED_ARROW = pa.schema([("_k", pa.int64()), ("_sub", pa.int64()), ("n_words", pa.int64()),
+                           ("n_removed", pa.int64()), ("intervals", pa.list_(pa.list_(pa.int64()))),
+                           ("kept", pa.string())])
+
+
+def _remove(n: int):
+    """One part of the documents with the hashes that they were told."""
+    def run(docs: pa.Table, replies: pa.Table) -> pa.Table:
+        told = {(k, s): v for k, s, v in received(replies)}
+        none = np.empty(0, dtype=np.int64)
+        out = [[] for _ in _MERGED_ARROW]
+        docs = docs.combine_chunks()
+        keys, subs = docs.column("_k").to_pylist(), docs.column("_sub").to_pylist()
+        for chunk in chunks(docs.column("text")):
+            hashes = chunk.hashes()
+            for i in range(chunk.n_rows):
+                name = keys[chunk.rows.start + i], subs[chunk.rows.start + i]
+                words = chunk.buf[chunk.off[i]:chunk.off[i + 1]].tobytes().split()
+                spans = _intervals(hashes[chunk.word_off[i]:chunk.word_off[i + 1]], told.get(name, none), n).tolist()
+                n_words, kept, last = len(words), [], 0
+                for a, b in spans:
+                    kept += words[last:a]
+                    last = b
+                kept += words[last:]
+                row = (*name, n_words, n_words - len(kept), spans, b" ".join(kept).decode())
+                for column, x in zip(out, row, strict=True):
+                    column.append(x)
+        return pa.Table.from_arrays([pa.array(c, type=f.type) for c, f in zip(out, _MERGED_ARROW, strict=True)],
+                                    schema=_MERGED_ARROW)
+    return run
 
+
+def _part(batches_parts: int):
     def run(batches):
         for batch in batches:
-            starts = batch.column("starts")
-            for chunk in chunks(batch.column("text")):
-                part = []
-                for i in range(chunk.n_rows):
-                    lo, hi = chunk.word_off[i], chunk.word_off[i + 1]
-                    raw = chunk.buf[chunk.off[i]:chunk.off[i + 1]].tobytes()
-                    words = raw.split()
-                    at = starts[chunk.rows.start + i].values
-                    spans = []
-                    if at is not None and len(at):
-                        at = np.unique(at.to_numpy(zero_copy_only=False))
-                        head, tail = at[np.r_[True, np.diff(at) > n]], at[np.r_[np.diff(at) > n, True]] + n
-                        kept, last = [], 0
-                        for a, b in zip(head.tolist(), tail.tolist(), strict=True):
-                            kept += words[last:a]
-                            last = b
-                            spans.append([a, b])
-                        words = kept + words[last:]
-                    part.append((batch.column("_k")[chunk.rows.start + i].as_py(), int(hi - lo),
-                                 sum(b - a for a, b in spans), spans, b" ".join(words).decode()))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([p[j] for p in part], type=f.type) for j, f in enumerate(out)], schema=out)
+            part = part_of(batch.column("_k").to_numpy(zero_copy_only=False),
+                           batch.column("_sub").to_numpy(zero_copy_only=False), batches_parts)
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), *batch.columns],
+                                             names=["part", *batch.schema.names])
     return run
 
 
@@ -166,10 +195,9 @@ def substring_dedup(docs: DataFrame, n: int = WINDOW, id_col: str = "doc_id",
     document, each with its result; different texts of one id are ordered by
     digest. Other columns are not read. An empty table gives an empty result.
     """
-    rows = keyed(docs, id_col, text_col)
-    found = (repeated_windows(rows, n).groupBy("_k", "_sub")
-             .agg(F.flatten(F.collect_list("starts")).alias("starts")))
-    merged = rows.join(found, ["_k", "_sub"], "left").select("_k", "text", "starts").mapInArrow(
-        _merge(n), "_k long, n_words long, n_removed long, intervals array<array<long>>, "
-                   "kept string")
-    return merged.select(id_of().alias(id_col), "n_words", "n_removed", "intervals", "kept")
+    rows, every_row = keyed(docs, id_col, text_col)
+    buckets = n_buckets(rows)
+    told = rows.mapInArrow(_send(n, buckets), _SENT).groupBy("bucket").applyInArrow(_find(buckets), REPLY)
+    dealt = rows.mapInArrow(_part(buckets), "part int, _k long, _sub long, text string")
+    merged = dealt.groupBy("part").cogroup(told.groupBy("part")).applyInArrow(_remove(n), _MERGED)
+    return every_row(merged).select(id_of().alias(id_col), "n_words", "n_removed", "intervals", "kept")

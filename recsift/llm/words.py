@@ -124,9 +124,11 @@ class Chunk:
 
 def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets of a string column; null counts as empty."""
+    column = column.cast(pa.large_string())
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_string())
+        if isinstance(column, pa.ChunkedArray):
+            column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], pa.large_string())
     if column.null_count:
         column = column.fill_null("")
     _, offsets, data = column.buffers()
