@@ -129,6 +129,7 @@ def default_rules() -> list[Rule]:
     return [
         Rule("long_enough", c("n_words") < MIN_WORDS, never),
         Rule("few_symbols", c("n_symbols") / words > 0.1, never),
+        Rule("letters_not_symbols", some & (20 * c("n_symbols") > c("word_chars")), never),
         Rule("few_exclamations", c("n_exclaim") / words > 0.2, never),
         Rule("few_capitals", c("n_upper") / letters > 0.4, never),
         Rule("few_repeats", 100 * c("n_repeat_words") > MAX_REPEAT_PERCENT * words, never),
@@ -136,7 +137,7 @@ def default_rules() -> list[Rule]:
         Rule("word_length", some & ((length < 2.5) | (length > 12)), never),
         Rule("words_not_marks", c("n_bare") / words > 0.2, never),
         Rule("sentences", (c("n_words") >= 100) & (c("n_ends") / words < 0.005),
-             (c("n_ends") / words >= 0.05) & (c("n_ends") / words <= 0.34)),
+             (c("n_ends") / words >= 0.03) & (c("n_ends") / words <= 0.34)),
         Rule("not_doubled", c("n_doubled") / words > 0.2, never),
     ]
 
