@@ -10,11 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recsift.llm.byte_bpe import byte_bpe
+from recsift.llm.mixing import mix_sources
 from recsift.llm.ngram_join import jaccard_join
 from recsift.llm.pii import KINDS, find_pii
 from recsift.llm.quality import score_quality
+from recsift.llm.sharding import hilbert_shards
 from recsift.llm.substring_dedup import substring_dedup
 from recsift.llm.token_counts import token_counts
+from recsift.llm.warc import new_folder, read_records, write_archives
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,11 +47,33 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    folder = new_folder(pages)
+    records = read_records(write_archives(pages, folder), folder)
+    # of a response, length and digest are taken from the payload that was read
+    read = F.col("payload").isNotNull()
+    return records.select(
+        "page_id", F.when(read, F.octet_length("payload").cast("long")).otherwise(F.col("payload_bytes"))
+        .alias("payload_bytes"),
+        F.when(read, F.sha2("payload", 256)).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        "record_type", "refers_to")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(_documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op8_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_shards(_documents(spark, sf_dir)).select(
+        "doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(_documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
 

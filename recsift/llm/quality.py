@@ -137,7 +137,7 @@ def default_rules() -> list[Rule]:
         Rule("word_length", some & ((length < 2.5) | (length > 12)), never),
         Rule("words_not_marks", c("n_bare") / words > 0.2, never),
         Rule("sentences", (c("n_words") >= 100) & (c("n_ends") / words < 0.005),
-             (c("n_ends") / words >= 0.03) & (c("n_ends") / words <= 0.34)),
+             (c("n_ends") / words >= 0.01) & (c("n_ends") / words <= 0.34)),
         Rule("not_doubled", c("n_doubled") / words > 0.2, never),
     ]
 
