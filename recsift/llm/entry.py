@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recsift.llm.byte_bpe import byte_bpe
+from recsift.llm.ego_join import near_vectors
 from recsift.llm.mixing import mix_sources
 from recsift.llm.ngram_join import jaccard_join
 from recsift.llm.pii import KINDS, find_pii
@@ -40,6 +41,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_ego_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = byte_bpe(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
                      public_tokenizers.PATTERN)
