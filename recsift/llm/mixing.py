@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recsift.llm.prefix import running
-from recsift.llm.rows import saved
+from recsift.llm.rows import name_columns, packed_once, saved
 
 WEIGHTS = (5, 2, 1)
 SLOPES = (-0.5, 0.0, 0.5)
@@ -105,13 +105,17 @@ def mix_sources(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), source_col
                          times.alias("positions"))
 
 
-def training_order(docs: DataFrame, **options) -> DataFrame:
+def training_order(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
+                   **targets) -> DataFrame:
     """``docs`` as the mix takes them, all columns: a row for each copy, range-
-    sorted by training position."""
-    spare = "".join(docs.columns) + "_"  # a name that no column has
-    view = docs.select(F.struct("*").alias(spare), F.col("source").alias("source"), F.col("text").alias("text"),
-                       F.col("doc_id").alias("doc_id"))
-    mixed = mix_sources(view, keep=(spare,), **options)
-    rows = mixed.select(F.col(spare), F.explode("positions").alias("position"))
-    rows = saved(rows)
-    return rows.repartitionByRange("position").sortWithinPartitions("position").select(f"`{spare}`.*")
+    sorted by training position. Positions are worked out on rows without
+    text, which then meets them by id and digest."""
+    names = docs.select(*name_columns(id_col, text_col), F.col(source_col).alias("source"),
+                        F.col(text_col).alias("text"))
+    mixed = mix_sources(names, keep=("_id_key", "_digest"), order_col="_id_key", **targets)
+    positions = mixed.select(F.col("_id_key").alias("_i"), F.col("_digest").alias("_d"),
+                             F.explode("positions").alias("position"))
+    packed, row = packed_once(docs, id_col, text_col)
+    rows = packed.join(positions, (F.col("_id_key") == F.col("_i")) & (F.col("_digest") == F.col("_d")))
+    return (rows.select(row, "position").repartitionByRange("position").sortWithinPartitions("position")
+            .select(f"`{row}`.*"))

@@ -41,7 +41,7 @@ from recsift.llm.blobs import (
 )
 from recsift.llm.components import components
 from recsift.llm.links import Forest
-from recsift.llm.rows import id_of, keyed, saved
+from recsift.llm.rows import NULL_KEY, keyed, packed_once, saved
 from recsift.llm.words import U64, Chunk, chunks, mix, window_hashes
 
 SHINGLE = 5
@@ -100,6 +100,17 @@ def _sets(size: int):
     return run
 
 
+def _pack56(h: np.ndarray) -> bytes:
+    """The low 56 bits of each hash; the bucket comes from the high 32."""
+    return h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7].tobytes()
+
+
+def _unpack56(b: bytes) -> np.ndarray:
+    out = np.zeros((len(b) // 7, 8), dtype=np.uint8)
+    out[:, :7] = np.frombuffer(b, dtype=np.uint8).reshape(-1, 7)
+    return out.view("<u8").ravel()
+
+
 def _send(size: int, buckets: int):
     def run(batches):
         for chunk, keys, subs in _batches(batches):
@@ -109,7 +120,7 @@ def _send(size: int, buckets: int):
             for b, i in by_bucket(bucket_of(h, buckets), buckets):
                 docs, counts = runs(row[i])
                 docs = row[i][docs]
-                rows.append({"bucket": b, "hashes": h[i].tobytes(),
+                rows.append({"bucket": b, "hashes": _pack56(h[i]),
                              **pack_names(keys[docs], subs[docs], counts)})
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, schema=_SENT_ARROW)
@@ -123,15 +134,14 @@ def _find(parts: int):
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         names = [names_of(r) for r in rows]
-        h = np.concatenate([np.frombuffer(r["hashes"], dtype=U64) for r in rows])
+        h = np.concatenate([_unpack56(r["hashes"]) for r in rows])
         order = np.argsort(h)
         _, length = runs(h[order])
         held = np.repeat(length, length)
         twice = held > 1
         order, held = order[twice], held[twice]
         level = np.minimum(127, 4 * np.log2(held)).astype(U64)
-        # the bucket took the hash's high bits; the low 56 are as good as new
-        token = (level << U64(56) | h[order] & U64((1 << 56) - 1)).view(np.int64)
+        token = (level << U64(56) | h[order]).view(np.int64)
         keys, subs = (np.concatenate([x[j] for x in names])[order] for j in (0, 1))
         return reply(keys, subs, token, parts)
     return run
@@ -258,21 +268,10 @@ def _tiles(cand: DataFrame, sim: Fraction) -> DataFrame:
         .select("grp", "t.*", "class", "n", "tokens")
 
 
-def jaccard_join(docs: DataFrame, sim: Fraction = SIMILARITY, size: int = SHINGLE,
-                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Documents whose shingle sets have a Jaccard similarity of ``sim`` or
-    more are linked; returns one row per row of ``docs``: ``(id_col,
-    n_shingles, class_id, component_id)``.
-
-    ``class_id`` is the smallest id with an equal set, ``component_id`` the
-    smallest id reachable by links, itself included. A document's set has its
-    different ``size``-word shingles (A-Z as a-z); of fewer words, the whole
-    sequence; without words or text it is empty and links with nothing.
-    Null ids come last: a component of null ids only has a null id. Rows with
-    one id may differ in text; each gets its own result. Other columns are not
-    read. An empty table gives an empty result.
-    """
-    rows, every_row = keyed(docs, id_col, text_col)
+def _linked(rows: DataFrame, sim: Fraction, size: int) -> DataFrame:
+    """For the rows of :func:`keyed`: ``(_k, _sub, n, class_k, component, least)``;
+    ``component`` numbers the component, ``least`` is its smallest ``_k``; null
+    for rows without words."""
     sets = saved(rows.mapInArrow(_sets(size), _SETS))
     classes = sets.filter("n > 0").groupBy("n", "d1", "d2").agg(
         F.min(F.struct("_k", "_sub")).alias("first"), F.min("_k").alias("class_k"))
@@ -297,12 +296,44 @@ def jaccard_join(docs: DataFrame, sim: Fraction = SIMILARITY, size: int = SHINGL
     links = saved(tiles.groupBy("grp", "ba", "pa", "bb", "pb").applyInArrow(_tile(sim), "a long, b long"))
     reach = components(links)
     of = classes.join(reach, classes["class"] == reach["id"], "left").select(
-        "n", "d1", "d2", "class_k", F.coalesce("component", "class").alias("comp"))
-    named = of.groupBy("comp").agg(F.min("class_k").alias("least"))
-    of = of.join(named, "comp").select("n", "d1", "d2", "class_k", "least")
-    out = every_row(sets.join(of, ["n", "d1", "d2"], "left"))
-    own = F.coalesce("least", "_k")
-    return out.select(id_of().alias(id_col), F.col("n").alias("n_shingles"),
-                      F.when(F.coalesce("class_k", "_k") != F.lit((1 << 63) - 1),
-                             F.coalesce("class_k", "_k")).alias("class_id"),
-                      F.when(own != F.lit((1 << 63) - 1), own).alias("component_id"))
+        "n", "d1", "d2", "class_k", F.coalesce("component", "class").alias("component"))
+    named = of.groupBy("component").agg(F.min("class_k").alias("least"))
+    of = of.join(named, "component").select("n", "d1", "d2", "class_k", "component", "least")
+    return sets.join(of, ["n", "d1", "d2"], "left").select("_k", "_sub", "n", "class_k", "component", "least")
+
+
+def jaccard_join(docs: DataFrame, sim: Fraction = SIMILARITY, size: int = SHINGLE,
+                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Documents whose shingle sets have a Jaccard similarity of ``sim`` or
+    more are linked; returns one row per row of ``docs``: ``(id_col,
+    n_shingles, class_id, component_id)``.
+
+    ``class_id`` is the smallest id with an equal set, ``component_id`` the
+    smallest id reachable by links, itself included. A document's set has its
+    different ``size``-word shingles (A-Z as a-z); of fewer words, the whole
+    sequence; without words or text it is empty and links with nothing.
+    Null ids come last: a component of null ids only has a null id. Rows with
+    one id may differ in text; each gets its own result. Other columns are not
+    read. An empty table gives an empty result.
+    """
+    rows, every_row = keyed(docs, id_col, text_col)
+    out = every_row(_linked(rows, sim, size))
+    null = lambda c: F.when(c != F.lit(NULL_KEY), c)
+    return out.select(null(F.col("_k")).alias(id_col), F.col("n").alias("n_shingles"),
+                      null(F.coalesce("class_k", "_k")).alias("class_id"),
+                      null(F.coalesce("least", "_k")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, sim: Fraction = SIMILARITY, size: int = SHINGLE, id_col: str = "doc_id",
+             text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component, the one of the smallest id (of
+    equal ids, by text digest); rows without words all stay, equal rows once.
+    All columns stay."""
+    rows, _ = keyed(docs, id_col, text_col)
+    linked = saved(_linked(rows, sim, size))
+    heads = (linked.filter("component is not null").groupBy("component").agg(F.min(F.struct("_k", "_sub")).alias("x"))
+             .select("x.*").unionByName(linked.filter("component is null").select("_k", "_sub")))
+    packed, row = packed_once(docs, id_col, text_col)
+    kept = packed.join(heads, (F.col("_id_key") == F.col("_k")) & F.col("_sub").isin(F.lit(0), F.col("_digest")),
+                       "left_semi")
+    return kept.select(f"`{row}`.*")

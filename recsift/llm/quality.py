@@ -18,7 +18,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recsift.llm.rows import saved
 from recsift.llm.words import U64, Chunk, chunks, mix, span_hashes, window_hashes
 
 REPEAT_WINDOW = 8
@@ -199,15 +198,18 @@ def score_quality(docs: DataFrame, rules: list[Rule] | None = None, threshold: f
     ``keep`` may have any name. An empty table gives an empty result.
     """
     rules = rules or default_rules()
-    packed = docs.select(F.struct(*[F.col(c) for c in keep]).alias("kept_columns"), F.col(text_col).alias("text"))
-    schema = f"kept_columns {packed.schema['kept_columns'].dataType.simpleString()}, " + ", ".join(
-        f"{c} long" for c in COUNTS)
-    counted = packed.mapInArrow(_count(1), schema)
+    text = F.col(text_col).alias("text")
     code = sum(((rule.vote() + 1) * 3 ** i for i, rule in enumerate(rules)), F.lit(0)).cast("int")
-    counted = saved(counted.withColumn("pattern", code))
+    columns = ", ".join(f"{c} long" for c in COUNTS)
+    # the texts are read twice: cheaper than writing rows that may hold them
+    patterns_of = docs.select(text).mapInArrow(_count(0), columns).select(code.alias("pattern"))
     # one row for each vote pattern that occurs: at most 3 ** rules, whatever the input
-    seen = counted.groupBy("pattern").count().collect()
-    patterns = np.array([r[0] for r in seen], dtype=np.int64)
+    seen = patterns_of.groupBy("pattern").count().collect()
+    packed = docs.select(F.struct(*[F.col(c) for c in keep]).alias("kept_columns"), text)
+    counted = packed.mapInArrow(
+        _count(1), f"kept_columns {packed.schema['kept_columns'].dataType.simpleString()}, {columns}"
+    ).withColumn("pattern", code)
+    patterns = np.array([r["pattern"] for r in seen], dtype=np.int64)
     votes = patterns[:, None] // 3 ** np.arange(len(rules)) % 3 - 1
     model = fit_label_model(votes, np.array([r["count"] for r in seen], dtype=float)) if seen else None
     p = model.posterior(votes).tolist() if seen else []
