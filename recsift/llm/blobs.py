@@ -92,6 +92,17 @@ def part_of(keys: np.ndarray, subs: np.ndarray, n: int) -> np.ndarray:
     return bucket_of(mix(mix(keys.view(U64)) + subs.view(U64)), n)
 
 
+def deal(parts: int):
+    """mapInArrow function: rows with ``_k`` and ``_sub`` get their ``part`` as first column."""
+    def run(batches):
+        for batch in batches:
+            part = part_of(batch.column("_k").to_numpy(zero_copy_only=False),
+                           batch.column("_sub").to_numpy(zero_copy_only=False), parts)
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), *batch.columns],
+                                             names=["part", *batch.schema.names])
+    return run
+
+
 def reply(keys: np.ndarray, subs: np.ndarray, values: np.ndarray, n: int) -> pa.Table:
     """Values to send back to their documents: one row for each part that any go to."""
     order = np.lexsort((values, subs, keys))

@@ -32,6 +32,7 @@ from recsift.llm.blobs import (
     REPLY,
     bucket_of,
     by_bucket,
+    deal,
     n_buckets,
     names_of,
     pack_names,
@@ -57,8 +58,8 @@ _SETS_ARROW = pa.schema([("_k", pa.int64()), ("_sub", pa.int64()), ("n", pa.int6
 _SENT = "bucket int, docs binary, subs binary, counts binary, hashes binary"
 _SENT_ARROW = pa.schema([("bucket", pa.int32()), ("docs", pa.binary()), ("subs", pa.binary()),
                          ("counts", pa.binary()), ("hashes", pa.binary())])
-_SHARED = "_k long, _sub long, tokens array<long>"
-_SHARED_ARROW = pa.schema([("_k", pa.int64()), ("_sub", pa.int64()), ("tokens", pa.list_(pa.int64()))])
+_CAND = "class long, n long, tokens array<long>"
+_CAND_ARROW = pa.schema([("class", pa.int64()), ("n", pa.int64()), ("tokens", pa.list_(pa.int64()))])
 
 
 def shingle_sets(chunk: Chunk, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -147,11 +148,21 @@ def _find(parts: int):
     return run
 
 
-def _gather(table: pa.Table) -> pa.Table:
-    """The replies to one part of the documents: a row for each document."""
-    got = list(received(table))
-    return pa.table([pa.array([g[j] for g in got], type=f.type) for j, f in enumerate(_SHARED_ARROW)],
-                    schema=_SHARED_ARROW)
+def _gather(sim: Fraction):
+    """One part of the documents: classes whose first row has enough shared
+    shingles to link, with these."""
+    def run(heads: pa.Table, replies: pa.Table) -> pa.Table:
+        of = {(k, s): (c, n) for k, s, c, n in zip(*(heads.column(c).to_pylist() for c in (
+            "_k", "_sub", "class", "n")), strict=True)}
+        out = [[], [], []]
+        for k, s, tokens in received(replies):
+            name, n = of.get((k, s), (None, 0))
+            if name is not None and len(tokens) * sim.denominator >= n * sim.numerator:
+                for column, x in zip(out, (name, n, tokens), strict=True):
+                    column.append(x)
+        return pa.table([pa.array(c, type=f.type) for c, f in zip(out, _CAND_ARROW, strict=True)],
+                        schema=_CAND_ARROW)
+    return run
 
 
 def _bitmaps(parts: list[np.ndarray]) -> np.ndarray:
@@ -279,12 +290,11 @@ def _linked(rows: DataFrame, sim: Fraction, size: int) -> DataFrame:
     name = F.when(F.col("first._sub") == 0, F.col("first._k")).otherwise(F.xxhash64("first"))
     classes = saved(classes.select("n", "d1", "d2", "first", "class_k", name.alias("class")))
     buckets = n_buckets(rows)
-    shared = (rows.mapInArrow(_send(size, buckets), _SENT).groupBy("bucket")
-              .applyInArrow(_find(buckets), REPLY).groupBy("part").applyInArrow(_gather, _SHARED))
+    told = rows.mapInArrow(_send(size, buckets), _SENT).groupBy("bucket").applyInArrow(_find(buckets), REPLY)
+    heads = classes.select(F.col("first._k").alias("_k"), F.col("first._sub").alias("_sub"), "class", "n") \
+        .mapInArrow(deal(buckets), "part int, _k long, _sub long, class long, n long")
+    cand = saved(heads.groupBy("part").cogroup(told.groupBy("part")).applyInArrow(_gather(sim), _CAND))
     least = F.ceil(F.col("n") * sim.numerator / sim.denominator)
-    heads = classes.select(F.col("first._k").alias("_k"), F.col("first._sub").alias("_sub"), "class", "n")
-    cand = saved(shared.join(heads, ["_k", "_sub"]).withColumn("tokens", F.array_distinct("tokens"))
-                 .filter(F.size("tokens") >= least).select("class", "n", "tokens"))
     # the rarest shingles: those that nobody else holds come first and match nothing
     prefix = F.slice("tokens", 1, F.greatest(
         F.lit(0), (F.col("n") - least + 1 - (F.col("n") - F.size("tokens"))).cast("int")))

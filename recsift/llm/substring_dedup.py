@@ -26,11 +26,11 @@ from recsift.llm.blobs import (
     REPLY,
     bucket_of,
     by_bucket,
+    deal,
     n_buckets,
     names_of,
     pack,
     pack_names,
-    part_of,
     received,
     reply,
     runs,
@@ -171,16 +171,6 @@ def _remove(n: int):
     return run
 
 
-def _part(batches_parts: int):
-    def run(batches):
-        for batch in batches:
-            part = part_of(batch.column("_k").to_numpy(zero_copy_only=False),
-                           batch.column("_sub").to_numpy(zero_copy_only=False), batches_parts)
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), *batch.columns],
-                                             names=["part", *batch.schema.names])
-    return run
-
-
 def substring_dedup(docs: DataFrame, n: int = WINDOW, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """Words that repeat an earlier window of ``n`` words, removed from every text.
@@ -198,6 +188,6 @@ def substring_dedup(docs: DataFrame, n: int = WINDOW, id_col: str = "doc_id",
     rows, every_row = keyed(docs, id_col, text_col)
     buckets = n_buckets(rows)
     told = rows.mapInArrow(_send(n, buckets), _SENT).groupBy("bucket").applyInArrow(_find(buckets), REPLY)
-    dealt = rows.mapInArrow(_part(buckets), "part int, _k long, _sub long, text string")
+    dealt = rows.mapInArrow(deal(buckets), "part int, _k long, _sub long, text string")
     merged = dealt.groupBy("part").cogroup(told.groupBy("part")).applyInArrow(_remove(n), _MERGED)
     return every_row(merged).select(id_of().alias(id_col), "n_words", "n_removed", "intervals", "kept")
