@@ -4,22 +4,25 @@
 test split) on sf0.001. ``queries()`` maps every implemented operator to a
 ``(spark, sf_dir) -> DataFrame`` callable over the driver's tables;
 ``oracle_sql()`` gives the DuckDB twin for each one SQL can express. ALS
-output is not reproducible by another engine, so the model queries have no
-twin (``als_coverage`` checks the model's known-user rule instead).
+output is not reproducible by another engine, so a model's query returns what
+must hold for any model (list facts, parameters, user counts, metrics in
+range), which has a twin; the ``*_rows`` and ``*_metrics`` queries return the
+model's own output and have none.
 
 Every query reads ``lineitem`` and ``orders`` in full (the interaction table
-is derived from them) and works over all of their rows.
+is derived from them, once per query) and works over all of their rows.
 """
 
 from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from recsift import sql_twins as T  # noqa: E402
@@ -27,6 +30,7 @@ from recsift.operators import (  # noqa: E402
     ALSSpec,
     SplitSpec,
     assign_roles,
+    collect_recs,
     conservation,
     downsample_users,
     duplicate_pairs,
@@ -41,7 +45,6 @@ from recsift.operators import (  # noqa: E402
     put_back,
     quality_report,
     ranking_metrics,
-    recommend,
     recommend_long,
     remove_low_users,
     remove_zeros,
@@ -68,7 +71,17 @@ from recsift.plans import (  # noqa: E402
     tune_weight,
 )
 from recsift.plans.tuning import WEIGHTS, weight_metrics  # noqa: E402
-from recsift.sources import interaction_rows, interactions  # noqa: E402
+from recsift.session import checkpoint_dir  # noqa: E402
+from recsift.sources import (  # noqa: E402
+    decode_ids,
+    encode_ids,
+    id_map,
+    interaction_rows,
+    interactions,
+    interactions_table,
+    materialize,
+    one_row_per_pair,
+)
 
 # Parameters of the registered queries.
 SEED = 42
@@ -80,12 +93,24 @@ PREPARE_FRACTION = 0.5
 FUSE_WEIGHT = 0.5
 FRACTIONS = (0.01, 0.05, 0.25, 1.0)
 TRIPLE = ["user_id", "item_id", "rating"]
+# Few train users and a large holdout: users lose all rows, items are unseen.
+SPARSE = SplitSpec(seed=SEED, train_share=20, val_share=490, holdout=950)
+# The grid goes up to rank 500, whose solves cost rank ** 3 per user and item
+# and iteration; one iteration keeps its 16 fits affordable.
+GRID_SPEC = ALSSpec(seed=SEED, max_iter=1)
+GRID_RANKS, GRID_REGS = (10, 20, 100, 500), (0.01, 0.1, 1.0, 10.0)
 
 
 # ---------------------------------------------------------------- shared plans
+# A query's split is built once, from an interaction table that is written once
+# to a folder of its own; every later step reads the written tables.
+
+def _folder(spark) -> str:
+    return f"{checkpoint_dir(spark)}/recsift-run/{uuid.uuid4().hex}"
+
 
 def _inter(spark, sf):
-    return interactions(spark, sf)
+    return interactions_table(spark, sf, root=_folder(spark))
 
 
 def _kept(spark, sf):
@@ -93,53 +118,73 @@ def _kept(spark, sf):
     return remove_low_users(remove_zeros(_inter(spark, sf)), LOW)
 
 
-def _tagged(spark, sf):
-    return tag_holdout(_kept(spark, sf), SplitSpec(seed=SEED))
+def _written(df):
+    return materialize(df, f"{_folder(df.sparkSession)}/table", sort_by=())
 
 
-def _splits(spark, sf):
-    return split(_kept(spark, sf), SplitSpec(seed=SEED))
+def _splits(spark, sf, spec=SplitSpec(seed=SEED)):
+    return _written(split(_kept(spark, sf), spec))
 
 
-def _val(spark, sf):
-    return split_view(_splits(spark, sf), "val", ("user_id", "item_id", "rating", "is_reviewed"))
+def _val(s):
+    return split_view(s, "val", ("user_id", "item_id", "rating", "is_reviewed"))
 
 
-def _pop_recs(spark, sf, by):
-    s = _splits(spark, sf)
-    train = split_view(s, "train", ("user_id", "item_id", "rating", "is_reviewed"))
-    return popularity_recs(train, eval_users(split_view(s, "val")), K, by)
+def _train(s):
+    return split_view(s, "train", ("user_id", "item_id", "rating", "is_reviewed"))
 
 
-def _pop_preds(spark, sf):
-    return pred_labels(_pop_recs(spark, sf, "rating"))
+def _pop_recs(s, by):
+    return popularity_recs(_train(s), eval_users(split_view(s, "val")), K, by)
 
 
-def _fused(spark, sf, weight=FUSE_WEIGHT):
-    return fuse_scores(explode_recs(_pop_recs(spark, sf, "rating")),
-                       explode_recs(_pop_recs(spark, sf, "review")), weight)
+def _pop_preds(s):
+    return pred_labels(_pop_recs(s, "rating"))
 
 
-def _per_user(spark, sf):
-    return per_user_metrics(_pop_preds(spark, sf), true_labels(_val(spark, sf)), K)
+def _fused(s, weight=FUSE_WEIGHT):
+    return fuse_scores(explode_recs(_pop_recs(s, "rating")), explode_recs(_pop_recs(s, "review")), weight)
 
 
-def _als_recs(spark, sf, implicit, long=False):
-    s = _splits(spark, sf)
-    train = split_view(s, "train", ("user_id", "item_id", "rating", "is_reviewed"))
-    model = fit_als(train, ALSSpec(implicit=implicit, reg=REG, seed=SEED))
-    top = recommend_long if long else recommend
-    return top(model, eval_users(split_view(s, "val")), K)
+def _per_user(s):
+    return per_user_metrics(_pop_preds(s), true_labels(_val(s)), K)
+
+
+def _als_rows(s, implicit):
+    model = fit_als(_train(s), ALSSpec(implicit=implicit, reg=REG, seed=SEED))
+    return recommend_long(model, eval_users(split_view(s, "val")), K)
+
+
+def _list_facts(rows, train):
+    """What holds for the lists of any model: per user, items, distinct items,
+    whether all are train items, positions run from 1, scores never rise."""
+    known = train.select("item_id").distinct().withColumn("known", F.lit(True))
+    w = Window.partitionBy("user_id").orderBy("pos")
+    marked = rows.join(known, "item_id", "left") \
+        .withColumn("before", F.lag("rating").over(w))
+    return marked.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n_items"), F.countDistinct("item_id").alias("n_distinct"),
+        (F.count("known") == F.count(F.lit(1))).alias("all_in_train"),
+        ((F.min("pos") == 1) & (F.max("pos") == F.count(F.lit(1)))
+         & (F.countDistinct("pos") == F.count(F.lit(1)))).alias("positions_run"),
+        F.min(F.coalesce(F.col("before") >= F.col("rating"), F.lit(True))).alias("scores_fall"))
+
+
+def _figures(metrics, *params):
+    """Parameters and user counts of a metric table, and whether every metric is in range."""
+    inside = lambda c: F.col(c).between(0.0, 1.0)
+    return metrics.select(*params, "n_users_evaluated", "n_users_with_labels",
+                          (inside("map") & inside("ndcg_at_k") & inside("precision_at_k")).alias("in_range"))
 
 
 # ---------------------------------------------------------------- queries
 
 def q_interactions(spark, sf):
-    return _inter(spark, sf)
+    return interactions(spark, sf)
 
 
 def q_remove_zeros(spark, sf):
-    return remove_zeros(_inter(spark, sf))
+    return remove_zeros(interactions(spark, sf))
 
 
 def q_remove_low_users(spark, sf):
@@ -147,13 +192,35 @@ def q_remove_low_users(spark, sf):
 
 
 def q_downsample_users(spark, sf):
-    return downsample_users(remove_zeros(_inter(spark, sf)), DOWN_FRACTION, SEED).select(*TRIPLE)
+    return downsample_users(remove_zeros(interactions(spark, sf)), DOWN_FRACTION, SEED).select(*TRIPLE)
+
+
+def q_id_map(spark, sf):
+    """Dense ids of users and items: how many, whether they run from 0, and
+    whether mapping the rows there and back keeps them all."""
+    rows = _inter(spark, sf).select("user_id", "item_id")
+    out = None
+    for column in rows.columns:
+        mapping = id_map(rows, column)
+        back = decode_ids(encode_ids(rows, mapping, column), mapping, column)
+        facts = mapping.agg(F.lit(column).alias("kind"), F.count("id").alias("n_ids"),
+                            F.countDistinct("dense").alias("n_dense"), F.min("dense").alias("first"),
+                            F.max("dense").alias("last"))
+        sums = back.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.col(column).cast("bigint")).alias("id_sum"))
+        facts = facts.select("*", sums.select("n_rows").scalar().alias("n_rows"),
+                             sums.select("id_sum").scalar().alias("id_sum"))
+        out = facts if out is None else out.unionByName(facts)
+    return out
 
 
 def q_split_users(spark, sf):
     return assign_roles(_kept(spark, sf), SplitSpec(seed=SEED)).select(*TRIPLE, "role")
 
 
+def _tagged(spark, sf, spec=SplitSpec(seed=SEED)):
+    return tag_holdout(_kept(spark, sf), spec)
+
+
 def q_holdout_rows(spark, sf):
     return _tagged(spark, sf).filter(F.col("held")).select(*TRIPLE, "role")
 
@@ -163,17 +230,17 @@ def q_train_rows(spark, sf):
 
 
 def q_putback_users(spark, sf):
-    moved = put_back(_tagged(spark, sf))
+    moved = put_back(_tagged(spark, sf, SPARSE))
     return moved.filter(F.col("put_back") & F.col("held")).select(*TRIPLE, "role")
 
 
 def q_drop_unobserved_items(spark, sf):
-    moved = put_back(_tagged(spark, sf))
+    moved = put_back(_tagged(spark, sf, SPARSE))
     return item_visibility_rows(moved, keep=False).select(*TRIPLE, "split")
 
 
 def q_splits(spark, sf):
-    return _splits(spark, sf).select(*TRIPLE, "is_reviewed", "split")
+    return split(_kept(spark, sf), SplitSpec(seed=SEED)).select(*TRIPLE, "is_reviewed", "split")
 
 
 def q_splits_raw(spark, sf):
@@ -205,14 +272,16 @@ def q_split_report(spark, sf):
 
 def q_quality_report(spark, sf):
     # "full" is the table as stored: mapped rows before the one-row-per-pair rule
-    inter = _inter(spark, sf)
-    down = downsample_users(remove_low_users(remove_zeros(inter), LOW), PREPARE_FRACTION, SEED)
-    splits = prepare(inter, PrepareSpec(fraction=PREPARE_FRACTION, seed=SEED, low_threshold=LOW))
-    return quality_report(interaction_rows(spark, sf), down, splits)
+    full = _written(interaction_rows(spark, sf))
+    inter = one_row_per_pair(full)
+    down = _written(downsample_users(remove_low_users(remove_zeros(inter), LOW), PREPARE_FRACTION, SEED))
+    splits = _written(prepare(inter, PrepareSpec(fraction=PREPARE_FRACTION, seed=SEED, low_threshold=LOW)))
+    return quality_report(full, down, splits)
 
 
 def q_conservation(spark, sf):
-    return conservation(_kept(spark, sf), _splits(spark, sf))
+    kept = _written(_kept(spark, sf))
+    return conservation(kept, _written(split(kept, SPARSE)))
 
 
 def q_duplicate_pairs(spark, sf):
@@ -229,85 +298,109 @@ def q_review_split(spark, sf):
 
 
 def q_eval_users(spark, sf):
-    return eval_users(_val(spark, sf))
+    return eval_users(_val(_splits(spark, sf)))
 
 
 def q_true_labels(spark, sf):
-    return true_labels(_val(spark, sf))
+    return true_labels(_val(_splits(spark, sf)))
 
 
 def q_pred_labels(spark, sf):
-    return _pop_preds(spark, sf)
+    return _pop_preds(_splits(spark, sf))
 
 
 def q_explode_recs(spark, sf):
-    return explode_recs(_pop_recs(spark, sf, "rating"))
+    return explode_recs(_pop_recs(_splits(spark, sf), "rating"))
 
 
 def q_map_metric(spark, sf):
-    return _per_user(spark, sf).select("user_id", F.round("ap", 9).alias("ap"))
+    return _per_user(_splits(spark, sf)).select("user_id", F.round("ap", 9).alias("ap"))
 
 
 def q_ndcg_at_k(spark, sf):
-    return _per_user(spark, sf).select("user_id", F.round("ndcg", 9).alias("ndcg"))
+    return _per_user(_splits(spark, sf)).select("user_id", F.round("ndcg", 9).alias("ndcg"))
 
 
 def q_precision_at_k(spark, sf):
-    return _per_user(spark, sf).select("user_id", F.round("precision", 9).alias("precision"))
+    return _per_user(_splits(spark, sf)).select("user_id", F.round("precision", 9).alias("precision"))
 
 
 def q_ranking_metrics(spark, sf):
-    return ranking_metrics(_pop_preds(spark, sf), true_labels(_val(spark, sf)), K)
+    s = _splits(spark, sf)
+    return ranking_metrics(_pop_preds(s), true_labels(_val(s)), K)
 
 
 def q_fuse_scores(spark, sf):
-    return _fused(spark, sf)
+    return _fused(_splits(spark, sf))
 
 
 def q_topk_lists(spark, sf):
-    return topk_lists(_fused(spark, sf), K)
+    return topk_lists(_fused(_splits(spark, sf)), K)
 
 
 def q_topk_lists_running(spark, sf):
-    return topk_lists_running(_fused(spark, sf), K)
+    return topk_lists_running(_fused(_splits(spark, sf)), K)
 
 
 def q_hybrid_topk(spark, sf):
-    return ranking_metrics(topk_lists(_fused(spark, sf), K), true_labels(_val(spark, sf)), K)
+    s = _splits(spark, sf)
+    return ranking_metrics(topk_lists(_fused(s), K), true_labels(_val(s)), K)
 
 
 def q_tune_weight_lists(spark, sf):
-    return weight_metrics(explode_recs(_pop_recs(spark, sf, "rating")),
-                          explode_recs(_pop_recs(spark, sf, "review")),
-                          true_labels(_val(spark, sf)), K, WEIGHTS)
+    s = _splits(spark, sf)
+    return weight_metrics(explode_recs(_pop_recs(s, "rating")), explode_recs(_pop_recs(s, "review")),
+                          true_labels(_val(s)), K, WEIGHTS)
 
 
 def q_als_topk_explicit(spark, sf):
-    return _als_recs(spark, sf, False, long=True)
+    s = _splits(spark, sf)
+    return _list_facts(_als_rows(s, False), _train(s))
 
 
 def q_als_topk_implicit(spark, sf):
-    return _als_recs(spark, sf, True, long=True)
+    s = _splits(spark, sf)
+    return _list_facts(_als_rows(s, True), _train(s))
+
+
+def q_als_topk_explicit_rows(spark, sf):
+    return _als_rows(_splits(spark, sf), False)
+
+
+def q_als_topk_implicit_rows(spark, sf):
+    return _als_rows(_splits(spark, sf), True)
 
 
 def q_als_coverage(spark, sf):
-    return _als_recs(spark, sf, False).select(
+    return collect_recs(_als_rows(_splits(spark, sf), False)).select(
         "user_id", F.size("recommendations").alias("n_recs"))
 
 
 def q_train_eval(spark, sf):
+    return _figures(q_train_eval_metrics(spark, sf), "model_type", "rank", "reg", "k")
+
+
+def q_train_eval_metrics(spark, sf):
     return train_eval(_splits(spark, sf), ALSSpec(reg=REG, seed=SEED), K)
 
 
 def q_tune_grid(spark, sf):
-    return tune_grid(_splits(spark, sf), (10, 20), (0.01, 0.1), K, ALSSpec(reg=REG, seed=SEED))
+    return _figures(tune_grid(_splits(spark, sf), k=K, base=GRID_SPEC), "model_type", "rank", "reg", "k")
 
 
 def q_tune_weight(spark, sf):
+    return _figures(q_tune_weight_metrics(spark, sf), "weight", "model_type", "rank", "reg", "k")
+
+
+def q_tune_weight_metrics(spark, sf):
     return tune_weight(_splits(spark, sf), ALSSpec(reg=REG, seed=SEED), K)
 
 
 def q_flagship(spark, sf):
+    return _figures(q_flagship_metrics(spark, sf), "model", "model_type", "rank", "reg", "k")
+
+
+def q_flagship_metrics(spark, sf):
     return final_test(_splits(spark, sf), ALSSpec(reg=REG, seed=SEED), K)
 
 
@@ -335,7 +428,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship on sf0.001: final test of the basic and the hybrid model."""
     sf = "/root/testdata/sf0.001"
-    splits = prepare(interactions(spark, sf), PrepareSpec(seed=SEED, low_threshold=2))
+    splits = _written(prepare(_inter(spark, sf), PrepareSpec(seed=SEED, low_threshold=2)))
     return final_test(splits, ALSSpec(reg=REG, seed=SEED), K)
 
 
@@ -349,8 +442,30 @@ def _sql(body: str, **kw) -> str:
     return T.with_ctes(body, **kw)
 
 
-def _pop(body: str, weight=None) -> str:
-    return f"WITH {T.ctes()}{T.pop_list_ctes(K, weight)}\n{body}"
+def _pop(body: str) -> str:
+    return f"WITH {T.ctes()}{T.pop_list_ctes(K)}\n{body}"
+
+
+_LISTS = (f"SELECT DISTINCT user_id, n AS n_items, n AS n_distinct, true AS all_in_train, "
+          f"true AS positions_run, true AS scores_fall FROM final, (SELECT least({K}, count(DISTINCT item_id)) AS n "
+          f"FROM final WHERE split = 'train') t WHERE split = 'val' "
+          f"AND user_id IN (SELECT user_id FROM final WHERE split = 'train')")
+
+
+def _facts(params: str, split_name: str = "val", trained_on=("train",), rows: str = "") -> str:
+    return (f"WITH {T.ctes()}{T.known_users(split_name, trained_on)}\nSELECT {params}, "
+            f"{K} AS k, n_users_evaluated, n_users_with_labels, true AS in_range FROM figures{rows}")
+
+
+def _values(name: str, items) -> str:
+    return f", (VALUES {', '.join(f'({x})' for x in items)}) v_{name}({name})"
+
+
+def _id_map_sql() -> str:
+    part = (f"SELECT '{{0}}' AS kind, count(DISTINCT {{0}}) AS n_ids, count(DISTINCT {{0}}) AS n_dense, "
+            f"0 AS first, count(DISTINCT {{0}}) - 1 AS last, count(*) AS n_rows, "
+            f"CAST(sum({{0}}) AS BIGINT) AS id_sum FROM ({T.INTERACTIONS}) i")
+    return "\nUNION ALL\n".join(part.format(c) for c in ("user_id", "item_id"))
 
 
 def _metric(body: str) -> str:
@@ -404,10 +519,10 @@ def oracle_sql() -> dict[str, str]:
         "split_users": _sql(f"SELECT {tri}, role FROM roles"),
         "holdout_rows": _sql(f"SELECT {tri}, role FROM tagged WHERE held"),
         "train_rows": _sql(f"SELECT {tri} FROM tagged WHERE NOT held"),
-        "putback_users": _sql(f"SELECT {tri}, role FROM moved WHERE put_back AND held"),
+        "putback_users": _sql(f"SELECT {tri}, role FROM moved WHERE put_back AND held", shares=SPARSE),
         "drop_unobserved_items": _sql(
             f"SELECT m.user_id, m.item_id, m.rating, m.split FROM moved m "
-            f"JOIN iseen s ON m.item_id = s.item_id WHERE s.seen = 0"),
+            f"JOIN iseen s ON m.item_id = s.item_id WHERE s.seen = 0", shares=SPARSE),
         "splits": _sql(f"SELECT {tri}, is_reviewed, split FROM final"),
         "splits_raw": _sql(f"SELECT {tri}, is_reviewed, split FROM raw"),
         "prepare": _sql(f"SELECT {tri}, is_reviewed, split FROM final", fraction=PREPARE_FRACTION),
@@ -421,7 +536,7 @@ def oracle_sql() -> dict[str, str]:
         "conservation": _sql(
             f"(SELECT {tri}, 'missing' AS side FROM (SELECT {tri} FROM kept EXCEPT "
             f"SELECT {tri} FROM final) a) UNION ALL (SELECT {tri}, 'extra' AS side FROM "
-            f"(SELECT {tri} FROM final EXCEPT SELECT {tri} FROM kept) b)"),
+            f"(SELECT {tri} FROM final EXCEPT SELECT {tri} FROM kept) b)", shares=SPARSE),
         "duplicate_pairs": f"SELECT user_id, item_id, count(*) AS n FROM ({T.INTERACTION_ROWS}) r "
                            "GROUP BY user_id, item_id HAVING count(*) > 1",
         "train_plus_val": _sql(f"SELECT {tri} FROM final WHERE split IN ('train', 'val')"),
@@ -453,6 +568,16 @@ def oracle_sql() -> dict[str, str]:
         "tune_weight_lists": (f"WITH {T.ctes()}{T.pop_list_ctes(K)}{T.topk_cte(K, WEIGHTS)}"
                               f"{T.metric_ctes('lists', K, by='weight')}\n"
                               f"{T.metric_summary(by='weight')}"),
+        "id_map": _id_map_sql(),
+        "als_topk_explicit": _sql(_LISTS),
+        "als_topk_implicit": _sql(_LISTS),
+        "train_eval": _facts(f"'explicit' AS model_type, 10 AS rank, CAST({REG} AS DOUBLE) AS reg"),
+        "tune_grid": _facts("'explicit' AS model_type, rank, CAST(reg AS DOUBLE) AS reg",
+                            rows=_values("rank", GRID_RANKS) + _values("reg", GRID_REGS)),
+        "tune_weight": _facts(f"CAST(weight AS DOUBLE) AS weight, 'explicit' AS model_type, 10 AS rank, "
+                              f"CAST({REG} AS DOUBLE) AS reg", rows=_values("weight", WEIGHTS)),
+        "flagship": _facts(f"model, 'explicit' AS model_type, 10 AS rank, CAST({REG} AS DOUBLE) AS reg",
+                           "test", ("train", "val"), _values("model", ("'basic'", "'hybrid'"))),
         "als_coverage": _sql(
             f"SELECT DISTINCT user_id, CAST(least({K}, (SELECT count(DISTINCT item_id) FROM final "
             f"WHERE split = 'train')) AS INTEGER) AS n_recs FROM final WHERE split = 'val' "

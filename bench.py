@@ -3,8 +3,8 @@
 Runs the stages the original logs time (split preparation, ALS fit, top-k
 recommendation, evaluation, hybrid weight search, final test) at
 ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on ``local[$BENCH_CPUS]`` and
-prints one JSON line. Stages that produce rows are forced with the ``noop``
-sink so every column is computed and nothing is collected. The session's
+prints one JSON line. Stages that produce rows write them to the run's folder
+under the checkpoint folder, which later stages read. The session's
 fixed start-up costs (JVM, code generation, Python workers) are paid before
 timing starts and reported as ``startup_sec`` / ``warmup_sec``.
 """
@@ -19,7 +19,6 @@ import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark import StorageLevel  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from recsift.operators import (  # noqa: E402
@@ -30,18 +29,15 @@ from recsift.operators import (  # noqa: E402
     recommend_long,
     true_labels,
 )
+from recsift.operators.joins import materialize_keys  # noqa: E402
 from recsift.plans import PrepareSpec, final_test, prepare  # noqa: E402
 from recsift.plans.tuning import WEIGHTS, weight_metrics  # noqa: E402
 from recsift.session import checkpoint_dir, local_session  # noqa: E402
-from recsift.sources import interactions_table  # noqa: E402
+from recsift.sources import interactions_table, materialize  # noqa: E402
 
 K = 10
 
 
-def _force(df) -> None:
-    df.write.format("noop").mode("overwrite").save()
-
-
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -69,24 +65,18 @@ def main() -> None:
 
     def _prepare():
         inter = interactions_table(spark, sf_dir, root=run_root)
-        s = prepare(inter, PrepareSpec(seed=42, low_threshold=10))
-        s = s.persist(StorageLevel.MEMORY_AND_DISK)
-        s.count()
-        return s
-
-    splits = timed("prepare", _prepare)
-    train = splits.filter(F.col("split") == "train").persist(StorageLevel.MEMORY_AND_DISK)
-    val = splits.filter(F.col("split") == "val")
-    users = eval_users(val).persist(StorageLevel.MEMORY_AND_DISK)
-    labels = true_labels(val).persist(StorageLevel.MEMORY_AND_DISK)
-    train.count(), users.count(), labels.count()
+        splits = materialize(prepare(inter, PrepareSpec(seed=42, low_threshold=10)),
+                             f"{run_root}/splits", sort_by=(), partition_by="split")
+        val = splits.filter(F.col("split") == "val")
+        return splits, materialize_keys(eval_users(val)), materialize_keys(true_labels(val))
+
+    splits, users, labels = timed("prepare", _prepare)
+    train = splits.filter(F.col("split") == "train")
 
     model = timed("fit", lambda: fit_als(train, spec))
 
     def _recommend():
-        r = recommend_long(model, users, K).persist(StorageLevel.MEMORY_AND_DISK)
-        _force(r)
-        return r
+        return materialize_keys(recommend_long(model, users, K))
 
     rat = timed("recommend", _recommend)
     preds = rat.select("user_id", "pos", "item_id")

@@ -22,11 +22,11 @@ from recsift.operators.recs import (
     collect_recs,
     explode_recs,
     fit_als,
+    popularity_long,
     popularity_recs,
     pred_labels,
     recommend,
     recommend_long,
-    recommend_spark_ml,
 )
 from recsift.operators.sampling import downsample_users
 from recsift.operators.splits import (

@@ -48,13 +48,14 @@ def keep_keys(df: DataFrame, decisions: DataFrame, on: str, keep_col: str = "kee
 
     ``decisions`` is checkpointed and both sides are counted in one pass; the
     rows are then joined with the smaller side only: a semi join with the
-    kept keys or an anti join with the dropped ones.
+    kept keys or an anti join with the dropped ones. Rows with a null key go.
     """
     decisions = materialize_keys(decisions.select(on, keep_col))
     sizes = decisions.agg(
         F.count(F.when(F.col(keep_col), 1)).alias("n_keep"),
         F.count(F.when(~F.col(keep_col), 1)).alias("n_drop")).first()
     n_keep, n_drop = sizes["n_keep"], sizes["n_drop"]
+    df = df.filter(F.col(on).isNotNull())  # a null key is in no key set, on every branch
     if n_drop == 0:
         return df
     if n_drop < n_keep:

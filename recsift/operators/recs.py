@@ -3,22 +3,24 @@
 A recommendation table is ``(user_id, recommendations array<struct<item_id:int,
 rating:float>>)``, best first, in the layout of ``ALSModel.recommendForUserSubset``.
 The long form is ``(user_id, pos, item_id, rating)`` with 1-based ``pos``; it is
-what :func:`recommend_long` computes (exact top-k by broadcast item-factor chunks
-and ``mapInPandas``, no cross join) and what the evaluation reads.
+what :func:`recommend_long` computes (exact top-k by blocks of users and items
+that meet in a cogroup) and what the evaluation reads.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from recsift.functions.hashing import bucket
 
-# Each half-iteration shuffles factors from every user block to every item
-# block (and back), so the fetches grow with the square of the block count;
-# past a few thousand blocks they are tiny and overhead-bound.
-MAX_DEFAULT_BLOCKS = 2048
+
+# User and item blocks of a factorisation by default. The block layout decides
+# the seeded initial factors, so it is a parameter of the model, the same in
+# every session; a wide cluster sets it (``ALSSpec.blocks``) to its cores.
+DEFAULT_BLOCKS = 16
 
 
 @dataclass(frozen=True)
@@ -31,10 +33,8 @@ class ALSSpec:
     seed: int = 42
     block_size: int = 4096
     # User and item blocks of the factorisation; each block is one task per
-    # half-iteration, so this is the fit's parallelism. None: the session's
-    # ``recsift.als.blocks``, else its default parallelism (one block per core,
-    # one wave of tasks) up to MAX_DEFAULT_BLOCKS.
-    blocks: int | None = None
+    # half-iteration, so this is the fit's parallelism.
+    blocks: int = DEFAULT_BLOCKS
     # Iterations between factor checkpoints to the shared folder: a lost
     # executor then recomputes at most this many iterations.
     checkpoint_every: int = 5
@@ -47,24 +47,14 @@ class ALSSpec:
     def rating_col(self) -> str:
         return "is_reviewed" if self.implicit else "rating"
 
-    def resolved(self, spark: SparkSession) -> "ALSSpec":
-        """The spec with ``blocks`` fixed for this session (block layout
-        changes the seeded initial factors, so it is part of every model key)."""
-        if self.blocks is not None:
-            return self
-        blocks = spark.conf.get("recsift.als.blocks", None) or \
-            min(spark.sparkContext.defaultParallelism, MAX_DEFAULT_BLOCKS)
-        return replace(self, blocks=max(1, int(blocks)))
-
     def estimator(self):
         from pyspark.ml.recommendation import ALS
 
-        blocks = self.blocks or 10
         return ALS(rank=self.rank, regParam=self.reg, maxIter=self.max_iter,
                    implicitPrefs=self.implicit, alpha=self.alpha, seed=self.seed,
                    userCol="user_id", itemCol="item_id", ratingCol=self.rating_col,
                    coldStartStrategy="drop", blockSize=self.block_size,
-                   numUserBlocks=blocks, numItemBlocks=blocks,
+                   numUserBlocks=self.blocks, numItemBlocks=self.blocks,
                    checkpointInterval=self.checkpoint_every)
 
 
@@ -78,126 +68,95 @@ def fit_als(train: DataFrame, spec: ALSSpec = ALSSpec(), path: str | None = None
     from recsift.sources.store import fit_or_load_als
 
     checkpoint_dir(train.sparkSession)  # ALS cuts its iteration lineage there
-    spec = spec.resolved(train.sparkSession)
     data = train.select("user_id", "item_id",
                         F.col(spec.rating_col).cast("float").alias(spec.rating_col))
     return fit_or_load_als(spec.estimator(), data, path)
 
 
-# Item factors broadcast per scoring pass, in floats (rank x items). Above
-# it the items are scored in several bounded chunks whose top-k lists are merged.
-DEFAULT_MAX_BROADCAST_FLOATS = 32_000_000
-
 REC_SCHEMA = "user_id int, pos int, item_id int, rating float"
 
-# Smallest number of users worth a scoring task (below it, fewer tasks).
-MIN_USERS_PER_TASK = 256
-
-
-def _max_floats(spark: SparkSession) -> int:
-    return int(spark.conf.get("recsift.recommend.maxBroadcastFloats",
-                              str(DEFAULT_MAX_BROADCAST_FLOATS)))
+# Factors (floats) in one block of users or items: what a task holds of each.
+BLOCK_FLOATS = 4_000_000
+# Below that bound users still go to several blocks, so that a small scoring
+# has some parallelism: up to so many blocks of at least so many users.
+SMALL_BLOCKS, SMALL_BLOCK_USERS = 16, 256
+# Item blocks whose lists one step of the reduction merges.
+MERGE = 16
 
 
-def _item_matrix(items: DataFrame, rank: int):
-    """One bounded chunk of item factors as ``(float32 matrix, int64 ids)`` on the
-    driver, collected as Arrow columns (one column per factor dimension)."""
-    import numpy as np
+def n_blocks(rows: int, rank: int, floats: int = BLOCK_FLOATS) -> int:
+    return max(1, -(-rows * max(rank, 1) // floats))
 
-    flat = items.select("id", *[F.col("features")[j].alias(f"f{j}") for j in range(rank)])
-    table = flat.toArrow()
-    matrix = np.empty((table.num_rows, rank), dtype=np.float32)
-    for j in range(rank):
-        matrix[:, j] = table.column(f"f{j}").to_numpy()
-    return matrix, table.column("id").to_numpy().astype(np.int64)
 
-
-def _scorer(factors, k: int):
-    """``mapInPandas`` function: top-k items of every user in the batch."""
+def _score(k: int):
+    """Cogroup function: top-k items of one item block for the users of one user block."""
     import recsift.functions.topk as topk_mod
     from pyspark import cloudpickle
 
     cloudpickle.register_pickle_by_value(topk_mod)  # executors need not install the package
     top_k = topk_mod.top_k
 
-    def run(batches):
+    def run(users, items):
         import numpy as np
         import pandas as pd
 
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            items, item_ids = factors.value  # loaded once per worker, only where there are users
-            users = np.stack(pdf["features"].to_numpy()).astype(np.float32, copy=False)
-            scores, ids = top_k(users, items, item_ids, k)
-            w = scores.shape[1]
-            yield pd.DataFrame({
-                "user_id": np.repeat(pdf["id"].to_numpy(np.int32), w),
-                "pos": np.tile(np.arange(1, w + 1, dtype=np.int32), len(pdf)),
-                "item_id": ids.ravel().astype(np.int32),
-                "rating": scores.ravel(),
-            })
+        if len(users) == 0 or len(items) == 0:
+            return pd.DataFrame({"user_id": [], "pos": [], "item_id": [], "rating": [], "ib": []})
+        matrix = lambda f: np.stack(f.to_numpy()).astype(np.float32, copy=False)
+        scores, ids = top_k(matrix(users["features"]), matrix(items["features"]),
+                            items["id"].to_numpy(np.int64), k)
+        w = scores.shape[1]
+        return pd.DataFrame({
+            "user_id": np.repeat(users["id"].to_numpy(np.int32), w),
+            "pos": np.tile(np.arange(1, w + 1, dtype=np.int32), len(users)),
+            "item_id": ids.ravel().astype(np.int32),
+            "rating": scores.ravel(),
+            "ib": np.full(w * len(users), users["ib"].iloc[0], dtype=np.int32),
+        })
 
     return run
 
 
-def recommend_long(model, users: DataFrame, k: int, max_floats: int | None = None) -> DataFrame:
+def recommend_long(model, users: DataFrame, k: int, block_floats: int | None = None) -> DataFrame:
     """Exact top-k items per user for a user subset, long: ``(user_id, pos, item_id, rating)``.
 
     Users unknown to the model are dropped (semi join before any scoring).
-    The item factors are counted and broadcast in chunks of at most
-    ``recsift.recommend.maxBroadcastFloats`` floats; each chunk is one pass
-    of ``mapInPandas`` over the users, where numpy scores bounded tiles and
-    keeps a running top-k. With several chunks the per-chunk lists (k rows
-    per user and chunk) are merged by a window per user. No cross join, and
-    no (user, item) pair beyond a user's k best per chunk leaves a task.
+    Users and items are hashed into blocks of at most about ``block_floats``
+    factors; each row is repeated for every block of the other side, and the
+    pair of blocks meets in one cogroup, where numpy scores bounded tiles and
+    keeps the k best items of the block for each user. The lists of ``MERGE``
+    item blocks at a time are then merged until one is left, so no step sees
+    more than ``k * MERGE`` rows per user. Factors stay on the executors: no
+    collect, no broadcast, no cross join, one path for every size.
     Order: score descending, then item id ascending.
-
-    The users are repartitioned to twice the default parallelism (fewer when
-    there are fewer than ``MIN_USERS_PER_TASK`` users per task): the rows are
-    tiny (one factor vector each) but the scoring is CPU-bound, so size-based
-    coalescing would put too much work into too few tasks.
     """
-    spark = users.sparkSession
-    sc = spark.sparkContext
     rank = int(model.rank)
-    items = model.itemFactors
-    n_items = items.count()
-    per_chunk = max(1, (max_floats or _max_floats(spark)) // max(rank, 1))
-    n_chunks = max(1, -(-n_items // per_chunk))
+    floats = block_floats or BLOCK_FLOATS
+    items = model.itemFactors.select("id", "features")
     wanted = users.select(F.col("user_id").alias("id")).distinct()
-    n_users = wanted.count()
-    parts = max(1, min(2 * sc.defaultParallelism, -(-n_users // MIN_USERS_PER_TASK)))
-    factors = model.userFactors.join(wanted, "id", "left_semi").repartition(parts)
-    if n_chunks > 1:  # read once per chunk: written once to the shared folder
-        from recsift.operators.joins import materialize_keys
-
-        factors = materialize_keys(factors)
-    passes = []
-    for c in range(n_chunks):
-        chunk = items if n_chunks == 1 else items.filter(F.pmod(F.col("id"), F.lit(n_chunks)) == c)
-        shared = sc.broadcast(_item_matrix(chunk, rank))
-        passes.append(factors.mapInPandas(_scorer(shared, k), REC_SCHEMA))
-    long = passes[0]
-    for p in passes[1:]:
-        long = long.unionByName(p)
-    if n_chunks == 1:
-        return long
-    w = Window.partitionBy("user_id").orderBy(F.desc("rating"), F.asc("item_id"))
-    return (long.withColumn("pos", F.row_number().over(w)).filter(F.col("pos") <= k)
-            .select("user_id", "pos", "item_id", "rating"))
-
-
-def recommend(model, users: DataFrame, k: int, max_floats: int | None = None) -> DataFrame:
+    factors = model.userFactors.join(wanted, "id", "left_semi").select("id", "features")
+    n_users = factors.count()
+    item_blocks = n_blocks(items.count(), rank, floats)
+    user_blocks = max(n_blocks(n_users, rank, floats),
+                      min(SMALL_BLOCKS, -(-n_users // SMALL_BLOCK_USERS)))
+    block = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = factors.select("*", block(user_blocks).alias("ub"), every(item_blocks).alias("ib"))
+    right = items.select("*", every(user_blocks).alias("ub"), block(item_blocks).alias("ib"))
+    long = left.groupBy("ub", "ib").cogroup(right.groupBy("ub", "ib")) \
+        .applyInPandas(_score(k), REC_SCHEMA + ", ib int")
+    while item_blocks > 1:
+        item_blocks = -(-item_blocks // MERGE)
+        long = long.withColumn("ib", F.floor(F.col("ib") / MERGE).cast("int"))
+        w = Window.partitionBy("user_id", "ib").orderBy(F.desc("rating"), F.asc("item_id"))
+        long = long.withColumn("pos", F.row_number().over(w)).filter(F.col("pos") <= k)
+    return long.select("user_id", "pos", "item_id", "rating")
+
+
+def recommend(model, users: DataFrame, k: int, block_floats: int | None = None) -> DataFrame:
     """Top-k lists per user, ``(user_id, recommendations array<struct<item_id, rating>>)``
     best first, the layout of ``ALSModel.recommendForUserSubset`` (see :func:`recommend_long`)."""
-    return collect_recs(recommend_long(model, users, k, max_floats))
-
-
-def recommend_spark_ml(model, users: DataFrame, k: int) -> DataFrame:
-    """Spark ML's own ``recommendForUserSubset`` (a blocked cartesian product of
-    factor blocks); kept as the parity reference in the tests."""
-    return model.recommendForUserSubset(users.select("user_id").distinct(), k)
+    return collect_recs(recommend_long(model, users, k, block_floats))
 
 
 def explode_recs(recs: DataFrame) -> DataFrame:
@@ -223,20 +182,29 @@ def collect_recs(long: DataFrame) -> DataFrame:
         .alias("recommendations"))
 
 
-def popularity_recs(train: DataFrame, users: DataFrame, k: int, by: str = "rating") -> DataFrame:
-    """Deterministic top-k lists: the k train items with the most rows
-    (``by='rating'``) or most reviews (``by='review'``), ties to the lower id.
+def popularity_long(train: DataFrame, users: DataFrame, k: int, by: str = "rating",
+                    cohorts: int = 8) -> DataFrame:
+    """Deterministic top-k rows ``(user_id, pos, item_id, rating)``: the k train
+    items with the most rows (``by='rating'``) or most reviews
+    (``by='review'``) among the users of the user's cohort, ties to the lower id.
 
     Used where a query must be checkable by an independent engine (ALS output
-    is not). The k-item list is a scalar subquery (k rows, a top-k on the
-    aggregate), attached to each user without a join.
+    is not). Cohorts are hash buckets of the user, so lists differ between
+    users. The lists have ``k * cohorts`` rows whatever the data, which is
+    what is broadcast.
     """
     score = F.count(F.lit(1)) if by == "rating" else F.sum("is_reviewed")
-    top = (train.groupBy("item_id").agg(score.cast("double").alias("score"))
-           .orderBy(F.desc("score"), F.asc("item_id")).limit(k))
-    as_list = top.agg(F.sort_array(F.collect_list(
-        F.struct((-F.col("score")).alias("neg"), F.col("item_id").alias("item_id"))))
-        .alias("l")).select(F.transform("l", lambda s: F.struct(
-            s["item_id"].alias("item_id"), (-s["neg"]).cast("float").alias("rating"))).alias("l"))
-    return users.select("user_id").distinct().select(
-        "user_id", as_list.scalar().alias("recommendations"))
+    cohort = bucket("cohort", "user_id", modulus=cohorts).alias("cohort")
+    scored = train.select(cohort, "item_id", "is_reviewed").groupBy("cohort", "item_id") \
+        .agg(score.cast("double").alias("score"))
+    w = Window.partitionBy("cohort").orderBy(F.desc("score"), F.asc("item_id"))
+    top = scored.withColumn("pos", F.row_number().over(w)).filter(F.col("pos") <= k)
+    return (users.select("user_id").distinct().withColumn("cohort", bucket("cohort", "user_id", modulus=cohorts))
+            .join(F.broadcast(top), "cohort")
+            .select("user_id", "pos", "item_id", F.col("score").cast("float").alias("rating")))
+
+
+def popularity_recs(train: DataFrame, users: DataFrame, k: int, by: str = "rating",
+                    cohorts: int = 8) -> DataFrame:
+    """:func:`popularity_long` as lists per user."""
+    return collect_recs(popularity_long(train, users, k, by, cohorts))

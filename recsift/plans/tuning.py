@@ -2,10 +2,10 @@
 search and the final test.
 
 Fitting is Spark ML's ALS; the driver only loops over parameter points (a
-handful), never over data. Frames read more than once (train rows, labels,
-recommendation lists) are persisted while the plan runs. The results are
-small metric tables; each is checkpointed to the shared folder (which cuts
-its lineage to the persisted inputs) and the inputs are then released.
+handful), never over data. ``splits`` is read by every fit and evaluation, so
+pass a written table (``prepared_table``). Derived frames read more than once
+(eval users, labels, recommendation lists) are written once to the shared
+checkpoint folder, and so are the results, small metric tables.
 """
 
 from __future__ import annotations
@@ -13,16 +13,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import replace
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recsift.operators.hybrid import fuse_scores, topk_lists, weigh
+from recsift.operators.joins import materialize_keys
 from recsift.operators.metrics import eval_users, ranking_metrics, true_labels
 from recsift.operators.recs import ALSSpec, fit_als, recommend_long
 from recsift.operators.splits import TEST, TRAIN, VAL
 from recsift.plans.recs_store import get_recs_long
-from recsift.session import checkpoint_dir
 from recsift.sources.store import append_runs
 
 WEIGHTS = [-1.0, 0.0, 0.5, 1.0, 5.0]
@@ -40,16 +39,6 @@ def _params(df: DataFrame, spec: ALSSpec, k: int, **extra) -> DataFrame:
     return df.select(*cols, "*")
 
 
-def _settle(result: DataFrame, *inputs: DataFrame) -> DataFrame:
-    """Checkpoint a small result (eagerly, to the shared folder), then unpersist its inputs."""
-    checkpoint_dir(result.sparkSession)
-    try:
-        return result.checkpoint(eager=True)
-    finally:
-        for df in inputs:
-            df.unpersist()
-
-
 # Columns of the runs table every plan appends to (missing ones are null).
 RUN_COLUMNS = [("plan", "string"), ("model", "string"), ("weight", "double"),
                ("model_type", "string"), ("rank", "int"), ("reg", "double"), ("k", "int"),
@@ -98,7 +87,7 @@ def train_eval(splits: DataFrame, spec: ALSSpec = ALSSpec(), k: int = 500,
     train = _rows(splits, *train_on)
     target = _rows(splits, eval_on)
     preds = _recs(train, eval_users(target), spec, k, store, tuple(train_on), eval_on, model_path)
-    out = _settle(_params(ranking_metrics(preds, true_labels(target), k), spec, k))
+    out = materialize_keys(_params(ranking_metrics(preds, true_labels(target), k), spec, k))
     return log_runs(out, runs_path, "train_eval", tags)
 
 
@@ -108,20 +97,18 @@ def tune_grid(splits: DataFrame, ranks: Sequence[int] = (10, 20, 100, 500),
               tags: dict | None = None, store: str | None = None) -> DataFrame:
     """Every (rank, reg) point: fit on train, evaluate on val at the requested k.
     With ``runs_path`` each point is appended to the runs table as it finishes."""
-    train = _rows(splits, TRAIN).persist(StorageLevel.MEMORY_AND_DISK)
+    train = _rows(splits, TRAIN)
     target = _rows(splits, VAL)
-    users = eval_users(target).persist(StorageLevel.MEMORY_AND_DISK)
-    labels = true_labels(target).persist(StorageLevel.MEMORY_AND_DISK)
+    users = materialize_keys(eval_users(target))
+    labels = materialize_keys(true_labels(target))
     out = None
     for rank in ranks:
         for reg in regs:
             spec = replace(base, rank=rank, reg=reg)
             preds = _recs(train, users, spec, k, store, (TRAIN,), VAL)
             m = _params(ranking_metrics(preds, labels, k), spec, k)
-            m = log_runs(_settle(m), runs_path, "tune_grid", tags)
+            m = log_runs(materialize_keys(m), runs_path, "tune_grid", tags)
             out = m if out is None else out.unionByName(m)
-    for df in (train, users, labels):
-        df.unpersist()
     return out
 
 
@@ -130,8 +117,7 @@ def _both_recs(train: DataFrame, users: DataFrame, spec: ALSSpec, k: int,
                users_key: str = VAL):
     rating = _recs(train, users, replace(spec, implicit=False), k, store, trained_on, users_key)
     review = _recs(train, users, replace(spec, implicit=True), k, store, trained_on, users_key)
-    return (rating.persist(StorageLevel.MEMORY_AND_DISK),
-            review.persist(StorageLevel.MEMORY_AND_DISK))
+    return materialize_keys(rating), materialize_keys(review)
 
 
 def weight_metrics(rating_long: DataFrame, review_long: DataFrame, labels: DataFrame,
@@ -147,13 +133,13 @@ def tune_weight(splits: DataFrame, spec: ALSSpec = ALSSpec(), k: int = 500,
                 tags: dict | None = None, store: str | None = None) -> DataFrame:
     """Fit the explicit and the implicit model once each, then score the fused
     lists for all weights together (fusion is the only thing that varies)."""
-    train = _rows(splits, TRAIN).persist(StorageLevel.MEMORY_AND_DISK)
+    train = _rows(splits, TRAIN)
     target = _rows(splits, VAL)
-    users = eval_users(target).persist(StorageLevel.MEMORY_AND_DISK)   # read by both models
+    users = materialize_keys(eval_users(target))  # read by both models
     rat, rev = _both_recs(train, users, spec, k, store, (TRAIN,), VAL)
     out = _params(weight_metrics(rat, rev, true_labels(target), k, weights),
                   replace(spec, implicit=False), k)
-    return log_runs(_settle(out, rat, rev, users, train), runs_path, "tune_weight", tags)
+    return log_runs(materialize_keys(out), runs_path, "tune_weight", tags)
 
 
 def final_test(splits: DataFrame, spec: ALSSpec = ALSSpec(), k: int = 500,
@@ -161,18 +147,21 @@ def final_test(splits: DataFrame, spec: ALSSpec = ALSSpec(), k: int = 500,
                tags: dict | None = None, store: str | None = None) -> DataFrame:
     """Train on train + val, evaluate on test: the basic (explicit) model and the
     hybrid list. With ``weight=None`` the fusion weight is chosen on val first
-    (highest MAP, ties to the smaller weight)."""
+    (highest MAP, ties to the weight nearest 0); without any evaluated val user
+    there is nothing to choose by, which is an error."""
     if weight is None:
-        tuned = tune_weight(splits, spec, k, runs_path=runs_path, tags=tags,
-                            store=store).orderBy(F.desc("map"), F.asc("weight")).first()
-        weight = float(tuned["weight"]) if tuned is not None else 1.0
-    train = _rows(splits, TRAIN, VAL).persist(StorageLevel.MEMORY_AND_DISK)
+        tuned = tune_weight(splits, spec, k, runs_path=runs_path, tags=tags, store=store) \
+            .orderBy(F.desc("map"), F.abs("weight"), F.asc("weight")).first()
+        if tuned is None:
+            raise ValueError("no val user to choose the fusion weight on; give a weight")
+        weight = float(tuned["weight"])
+    train = _rows(splits, TRAIN, VAL)
     target = _rows(splits, TEST)
-    users = eval_users(target).persist(StorageLevel.MEMORY_AND_DISK)   # read by both models
-    labels = true_labels(target).persist(StorageLevel.MEMORY_AND_DISK)
+    users = materialize_keys(eval_users(target))  # read by both models
+    labels = materialize_keys(true_labels(target))
     rat, rev = _both_recs(train, users, spec, k, store, (TRAIN, VAL), TEST)
     basic = ranking_metrics(rat.select("user_id", "pos", "item_id"), labels, k) \
         .select(F.lit("basic").alias("model"), F.lit(None).cast("double").alias("weight"), "*")
     hybrid = weight_metrics(rat, rev, labels, k, [weight]).select(F.lit("hybrid").alias("model"), "*")
     out = _params(basic.unionByName(hybrid), replace(spec, implicit=False), k)
-    return log_runs(_settle(out, rat, rev, users, labels, train), runs_path, "final_test", tags)
+    return log_runs(materialize_keys(out), runs_path, "final_test", tags)

@@ -1,10 +1,12 @@
 """Sources and sinks: interaction tables and the parameter-keyed artefact store."""
 
+from recsift.sources.id_map import decode_ids, encode_ids, id_map
 from recsift.sources.interactions import (
     INTERACTION_COLUMNS,
     interaction_rows,
     interactions,
     interactions_table,
+    one_row_per_pair,
     read_csv_table,
     source_kind,
     source_paths,
@@ -15,6 +17,7 @@ from recsift.sources.store import (
     fit_or_load_als,
     load_or_compute,
     materialize,
+    model_exists,
     path_exists,
     append_runs,
     source_key,
@@ -24,4 +27,5 @@ from recsift.sources.store import (
 __all__ = ["INTERACTION_COLUMNS", "interaction_rows", "interactions", "interactions_table", "read_csv_table",
            "artefact_path", "fit_or_load_als", "load_or_compute", "materialize",
            "append_runs", "table_exists", "data_fingerprint", "source_key",
-           "source_kind", "source_paths", "path_exists"]
+           "source_kind", "source_paths", "path_exists", "model_exists", "one_row_per_pair", "id_map", "encode_ids",
+           "decode_ids"]

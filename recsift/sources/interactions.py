@@ -51,9 +51,16 @@ def source_paths(spark: SparkSession, source: str) -> list[str]:
 
 
 def interaction_rows(spark: SparkSession, source: str) -> DataFrame:
-    """Interaction rows before the one-row-per-pair rule (may repeat pairs).
+    """Interaction rows before the one-row-per-pair rule (may repeat pairs);
+    rows with a null user or item id are dropped here, once.
 
-    For the driver tables these are the mapped order lines."""
+    For the driver tables these are the mapped order lines. Ids must fit an
+    int, as the model needs; larger or textual ids go through
+    :mod:`recsift.sources.id_map` first."""
+    return _source_rows(spark, source).filter(F.col("user_id").isNotNull() & F.col("item_id").isNotNull())
+
+
+def _source_rows(spark: SparkSession, source: str) -> DataFrame:
     kind = source_kind(spark, source)
     if kind == "csv":
         return read_csv_table(spark, source).select(*INTERACTION_COLUMNS)
@@ -78,7 +85,12 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (user, item), each column its maximum over repeated rows.
     The grouping runs a partial aggregate before its shuffle; the shuffle is
     on both keys, so a very active user is spread over many tasks."""
-    return interaction_rows(spark, sf_dir).groupBy("user_id", "item_id").agg(
+    return one_row_per_pair(interaction_rows(spark, sf_dir))
+
+
+def one_row_per_pair(rows: DataFrame) -> DataFrame:
+    """The one-row-per-pair rule over :func:`interaction_rows`."""
+    return rows.groupBy("user_id", "item_id").agg(
         F.max("is_read").alias("is_read"),
         F.max("rating").alias("rating"),
         F.max("is_reviewed").alias("is_reviewed"),

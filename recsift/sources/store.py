@@ -3,8 +3,9 @@
 Every artefact (interaction table, splits, model, recommendation lists, run
 results) lives under the shared checkpoint folder at a path built from *all*
 parameters that produced it, including the model type and a fingerprint of the
-source. Existence is checked explicitly: only "path not found" means "compute
-it"; any other failure is raised.
+source. Only a complete artefact exists: a table with the ``_SUCCESS`` marker
+that Spark's committer writes last, a model whose three tables have it. What a
+lost driver left half-written is computed again and overwritten.
 """
 
 from __future__ import annotations
@@ -12,8 +13,8 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from recsift.session import checkpoint_dir
 
@@ -23,22 +24,20 @@ def fingerprint(*parts: object) -> str:
 
 
 def data_fingerprint(spark: SparkSession, *paths: str) -> str:
-    """Fingerprint of the data under ``paths`` from file-system metadata only:
-    total bytes, file count and modification time of each path (one summary
-    call per path, whatever the number of files). A rewritten or extended
-    input gets a new fingerprint, so stale artefacts are never read back."""
-    jvm = spark.sparkContext._jvm  # noqa: SLF001
-    conf = spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
+    """Fingerprint of the data under ``paths`` from file metadata only: total
+    bytes, file count and newest modification time of each path, nested
+    partitions included (one aggregate over Spark's file listing; no content
+    is read). A rewritten or extended input gets a new fingerprint, so stale
+    artefacts are never read back."""
     parts = []
     for p in paths:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        fs = path.getFileSystem(conf)
-        if not fs.exists(path):
+        if not path_exists(spark, p):
             parts.append(f"{p}:absent")
             continue
-        summary = fs.getContentSummary(path)
-        mtime = fs.getFileStatus(path).getModificationTime()
-        parts.append(f"{p}:{summary.getLength()}:{summary.getFileCount()}:{mtime}")
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(p)
+        n, size, newest = files.agg(F.count("path"), F.sum("length"),
+                                    F.max(F.unix_micros("modificationTime"))).first()
+        parts.append(f"{p}:{size}:{n}:{newest}")
     return fingerprint(*parts)
 
 
@@ -58,7 +57,7 @@ def source_key(spark: SparkSession, source: str) -> str:
 # Bumped whenever the rows an artefact holds would change for the same
 # parameters (a change of split, mapping or scoring rule), so that tables
 # written by an older version are never read back.
-ARTEFACT_VERSION = 2
+ARTEFACT_VERSION = 3
 
 
 def artefact_path(spark: SparkSession, kind: str, source: str, **params: object) -> str:
@@ -69,19 +68,9 @@ def artefact_path(spark: SparkSession, kind: str, source: str, **params: object)
     return f"{checkpoint_dir(spark)}/recsift/{kind}/{keyed}-{fingerprint(source, keyed)}"
 
 
-def _is_missing(err: AnalysisException) -> bool:
-    cond = err.getCondition() if hasattr(err, "getCondition") else err.getErrorClass()
-    return cond == "PATH_NOT_FOUND" or "Path does not exist" in str(err)
-
-
 def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - resolves the footer only
-        return True
-    except AnalysisException as err:
-        if _is_missing(err):
-            return False
-        raise
+    """Whether a complete table is at ``path`` (its job was committed)."""
+    return path_exists(spark, f"{path}/_SUCCESS")
 
 
 def materialize(df: DataFrame, path: str, sort_by: tuple[str, ...] = ("user_id", "item_id"),
@@ -91,7 +80,8 @@ def materialize(df: DataFrame, path: str, sort_by: tuple[str, ...] = ("user_id",
     Rows are range-partitioned and sorted on ``sort_by`` so row-group min/max
     statistics let later filters on the leading key skip data. Ranging on the
     full key (not the user alone) splits a very active user across several
-    files; ``sort_by=()`` writes the partitions as they are. Never overwrites.
+    files; ``sort_by=()`` writes the partitions as they are. Never overwrites a
+    complete table; an unfinished one is replaced.
     Reading back cuts the lineage, so lost executors re-read files instead of
     recomputing the whole plan.
     """
@@ -99,7 +89,7 @@ def materialize(df: DataFrame, path: str, sort_by: tuple[str, ...] = ("user_id",
     if not table_exists(spark, path):
         if sort_by:
             df = df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
-        writer = df.write.mode("errorifexists")
+        writer = df.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(partition_by)
         writer.parquet(path)
@@ -119,20 +109,17 @@ def append_runs(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("append").parquet(path)
 
 
+def model_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a complete ALS model is at ``path``: its metadata and both factor tables."""
+    return all(table_exists(spark, f"{path}/{part}") for part in ("metadata", "userFactors", "itemFactors"))
+
+
 def fit_or_load_als(estimator, train: DataFrame, path: str | None):
     """Fit an ALS estimator, or load the model saved at ``path`` by an earlier fit."""
     from pyspark.ml.recommendation import ALSModel
 
-    if path is not None:
-        spark = train.sparkSession
-        try:
-            return ALSModel.load(path)
-        except Exception as err:  # noqa: BLE001 - only a missing path is tolerated
-            if "does not exist" not in str(err) and "PATH_NOT_FOUND" not in str(err) \
-                    and "InvalidInputException" not in str(err):
-                raise
-        model = estimator.fit(train)
-        model.write().save(path)
-        del spark
-        return ALSModel.load(path)
-    return estimator.fit(train)
+    if path is None:
+        return estimator.fit(train)
+    if not model_exists(train.sparkSession, path):
+        estimator.fit(train).write().overwrite().save(path)
+    return ALSModel.load(path)

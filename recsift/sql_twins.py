@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from recsift.functions.hashing import bucket_sql
 from recsift.operators.sampling import DOWNSAMPLE_MODULUS
+from recsift.operators.splits import SplitSpec
 
 INTERACTION_ROWS = """
 SELECT CAST(o_custkey AS INTEGER) AS user_id, CAST(l_partkey AS INTEGER) AS item_id,
@@ -24,8 +25,11 @@ SELECT user_id, item_id, max(is_read) AS is_read, max(rating) AS rating,
 FROM ({INTERACTION_ROWS}) r GROUP BY user_id, item_id"""
 
 
-def ctes(fraction: float = 1.0, low: int = 10, seed: int = 42, rm_zeros: bool = True) -> str:
+def ctes(fraction: float = 1.0, low: int = 10, seed: int = 42, rm_zeros: bool = True,
+         shares: SplitSpec | None = None) -> str:
     """CTE chain: base, down, kept, roles, tagged, useen, moved, iseen, final, raw."""
+    shares = shares or SplitSpec(seed=seed)
+    val_end = shares.train_share + shares.val_share
     where = "WHERE rating > 0" if rm_zeros else ""
     cut = int(round(fraction * DOWNSAMPLE_MODULUS))
     down = ("SELECT * FROM base" if fraction == 1 else
@@ -39,9 +43,9 @@ def ctes(fraction: float = 1.0, low: int = 10, seed: int = 42, rm_zeros: bool =
 base AS (SELECT * FROM ({INTERACTIONS}) i {where}),
 down AS ({down}),
 kept AS ({kept}),
-roles AS (SELECT kept.*, CASE WHEN {bs} < 600 THEN 'train' WHEN {bs} < 800 THEN 'val'
+roles AS (SELECT kept.*, CASE WHEN {bs} < {shares.train_share} THEN 'train' WHEN {bs} < {val_end} THEN 'val'
                               ELSE 'test' END AS role FROM kept),
-tagged AS (SELECT roles.*, (role <> 'train' AND {bh} < 500) AS held FROM roles),
+tagged AS (SELECT roles.*, (role <> 'train' AND {bh} < {shares.holdout}) AS held FROM roles),
 useen AS (SELECT user_id, max(CASE WHEN held THEN 0 ELSE 1 END) AS seen
           FROM tagged GROUP BY user_id),
 moved AS (SELECT t.*, (u.seen = 0) AS put_back,
@@ -57,20 +61,24 @@ def with_ctes(body: str, **kw) -> str:
     return f"WITH {ctes(**kw)}\n{body}"
 
 
-def pop_list_ctes(k: int, weight: float | None = None) -> str:
-    """Popularity lists for val users: rating list (row count) and review list
-    (review count) of train items, ties to the lower id; ``weight`` adds fusion."""
+def pop_list_ctes(k: int, cohorts: int = 8) -> str:
+    """Popularity lists for val users, by cohort of users: rating list (row
+    count) and review list (review count) of train items, ties to the lower
+    id, and their fusion."""
+    cohort = bucket_sql("cohort", "user_id", modulus=cohorts)
     s = f""",
 eu AS (SELECT DISTINCT user_id FROM final WHERE split = 'val'),
 labels AS (SELECT DISTINCT user_id, item_id FROM final WHERE split = 'val' AND rating > 3),
-rat_top AS (SELECT item_id, CAST(count(*) AS DOUBLE) AS score,
-                   row_number() OVER (ORDER BY count(*) DESC, item_id) AS pos
-            FROM final WHERE split = 'train' GROUP BY item_id QUALIFY pos <= {k}),
-rev_top AS (SELECT item_id, CAST(sum(is_reviewed) AS DOUBLE) AS score,
-                   row_number() OVER (ORDER BY sum(is_reviewed) DESC, item_id) AS pos
-            FROM final WHERE split = 'train' GROUP BY item_id QUALIFY pos <= {k}),
-rat_long AS (SELECT eu.user_id, r.pos, r.item_id, r.score FROM eu CROSS JOIN rat_top r),
-rev_long AS (SELECT eu.user_id, r.pos, r.item_id, r.score FROM eu CROSS JOIN rev_top r),
+tr AS (SELECT {cohort} AS cohort, item_id, is_reviewed FROM final WHERE split = 'train'),
+euc AS (SELECT user_id, {cohort} AS cohort FROM eu),
+rat_top AS (SELECT cohort, item_id, CAST(count(*) AS DOUBLE) AS score,
+                   row_number() OVER (PARTITION BY cohort ORDER BY count(*) DESC, item_id) AS pos
+            FROM tr GROUP BY cohort, item_id QUALIFY pos <= {k}),
+rev_top AS (SELECT cohort, item_id, CAST(sum(is_reviewed) AS DOUBLE) AS score,
+                   row_number() OVER (PARTITION BY cohort ORDER BY sum(is_reviewed) DESC, item_id) AS pos
+            FROM tr GROUP BY cohort, item_id QUALIFY pos <= {k}),
+rat_long AS (SELECT e.user_id, r.pos, r.item_id, r.score FROM euc e JOIN rat_top r ON e.cohort = r.cohort),
+rev_long AS (SELECT e.user_id, r.pos, r.item_id, r.score FROM euc e JOIN rev_top r ON e.cohort = r.cohort),
 fused AS (SELECT coalesce(a.user_id, b.user_id) AS user_id, coalesce(a.item_id, b.item_id) AS item_id,
                  coalesce(a.score, 0.0) AS rat_rating, coalesce(b.score, 0.0) AS rev_rating
           FROM rat_long a FULL OUTER JOIN rev_long b
@@ -117,3 +125,14 @@ scored AS (SELECT ws.weight, f.user_id, f.item_id, f.rev_rating * ws.weight + f.
 lists AS (SELECT weight, user_id, item_id, rating,
                  row_number() OVER (PARTITION BY weight, user_id ORDER BY rating DESC, item_id) AS pos
           FROM scored QUALIFY pos <= {k})"""
+
+
+def known_users(split: str, trained_on: tuple[str, ...] = ("train",)) -> str:
+    """Users with a relevant item in ``split`` (labelled), and of these the
+    ones that a model trained on ``trained_on`` knows (evaluated)."""
+    seen = ", ".join(f"'{s}'" for s in trained_on)
+    return f""",
+lab AS (SELECT DISTINCT user_id FROM final WHERE split = '{split}' AND rating > 3),
+known AS (SELECT DISTINCT user_id FROM final WHERE split IN ({seen})),
+figures AS (SELECT (SELECT count(*) FROM lab WHERE user_id IN (SELECT user_id FROM known)) AS n_users_evaluated,
+                   (SELECT count(*) FROM lab) AS n_users_with_labels)"""

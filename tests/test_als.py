@@ -1,7 +1,12 @@
+import os
+import subprocess
+import sys
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
+import recsift.operators.recs as recs_module
 from recsift.operators import ALSSpec, explode_recs, fit_als, recommend
 from recsift.plans import PrepareSpec, prepare
 from recsift.sources import interactions
@@ -67,28 +72,68 @@ def test_top_k_kernel_matches_full_sort_with_ties():
             assert np.allclose(s[r], full[r, order])
 
 
-def test_recommend_matches_spark_ml(spark, splits):
-    from recsift.operators import recommend_spark_ml
+def _check_against_spark_ml(model, users, k, block_floats):
+    """Same users, scores and - up to ties at equal score - items as Spark ML's
+    own ``recommendForUserSubset`` (a blocked cartesian product)."""
+    ref = {r.user_id: r.recommendations
+           for r in model.recommendForUserSubset(users.select("user_id").distinct(), k).collect()}
+    got = {r.user_id: r.recommendations for r in recommend(model, users, k, block_floats).collect()}
+    assert set(got) == set(ref)
+    for u, recs in ref.items():
+        assert [x.rating for x in got[u]] == pytest.approx([x.rating for x in recs], abs=1e-4)
+        lowest = recs[-1].rating + 1e-4
+        sure = {x.item_id for x in recs if x.rating > lowest}
+        assert sure <= {x.item_id for x in got[u]}
+        for x, y in zip(got[u], recs):
+            assert x.item_id == y.item_id or any(
+                abs(y.rating - z.rating) < 1e-4 and z.item_id != y.item_id for z in (*recs, *got[u]))
+
+
+@pytest.mark.parametrize("block_floats", [None, 5 * 40])  # one item block, then many
+def test_recommend_matches_spark_ml(spark, splits, block_floats):
+    model = fit_als(_train(splits), ALSSpec(rank=5, max_iter=5))
+    users = splits.filter(F.col("split") == "val").select("user_id").distinct()
+    _check_against_spark_ml(model, users, 6, block_floats)
 
-    train = _train(splits)
-    model = fit_als(train, ALSSpec(rank=5, max_iter=5))
+
+def test_recommend_with_item_ids_that_are_multiples_of_the_block_count(spark, splits):
+    train = _train(splits).withColumn("item_id", (F.col("item_id") * 8).cast("int"))
+    model = fit_als(train, ALSSpec(rank=5, max_iter=3))
     users = splits.filter(F.col("split") == "val").select("user_id").distinct()
-    ref = {r.user_id: r.recommendations for r in recommend_spark_ml(model, users, 6).collect()}
-    for chunk in (None, 5 * 40):                      # one broadcast, then many chunks
-        got = {r.user_id: r.recommendations for r in recommend(model, users, 6, chunk).collect()}
-        assert set(got) == set(ref)
-        for u, recs in ref.items():
-            assert [x.rating for x in got[u]] == pytest.approx([x.rating for x in recs], abs=1e-4)
+    n_items = model.itemFactors.count()
+    _check_against_spark_ml(model, users, 6, 5 * -(-n_items // 8))
 
 
-def test_recommend_plan_has_no_cartesian_product(spark, splits):
+def test_recommend_plan_stays_on_the_executors(spark, splits):
     from test_plans import formatted
 
     train = _train(splits)
     model = fit_als(train, ALSSpec(rank=3, max_iter=2))
     plan = formatted(recommend(model, train.select("user_id"), 3))
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
-    assert "MapInPandas" in plan
+    assert "FlatMapCoGroupsInPandas" in plan
+    source = open(recs_module.__file__).read()
+    assert "toArrow" not in source and ".broadcast(_" not in source and "sc.broadcast" not in source
+
+
+_FIT = """
+import sys
+sys.path.insert(0, sys.argv[2])
+from recsift.operators import ALSSpec, fit_als, recommend_long
+from recsift.session import local_session
+spark = local_session(int(sys.argv[1]), shuffle_partitions=4, driver_memory="1g")
+rows = [(u, i, (u * 7 + i * 3) % 5 + 1, 1) for u in range(40) for i in range(u % 5, 30, 3)]
+df = spark.createDataFrame(rows, "user_id int, item_id int, rating int, is_reviewed int")
+lists = recommend_long(fit_als(df, ALSSpec(rank=4, max_iter=4)), df.select("user_id"), 5)
+print("LISTS", sorted((r.user_id, r.pos, r.item_id) for r in lists.collect()))
+"""
+
+
+def test_the_model_does_not_depend_on_the_number_of_cores():
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = [subprocess.run([sys.executable, "-c", _FIT, cores, root], capture_output=True, text=True, check=True,
+                          timeout=300).stdout.partition("LISTS")[2] for cores in ("2", "4")]
+    assert out[0] and out[0] == out[1]
 
 
 def test_top_k_kernel_edges():
@@ -102,11 +147,3 @@ def test_top_k_kernel_edges():
     items = np.array([[1, 0], [0, 2], [1, 1]], dtype=np.float32)
     s, i = top_k(users, items, np.array([30, 10, 20]), 5, item_tile=2)
     assert i.tolist() == [[10, 20, 30]] * 3 and s.tolist() == [[2.0, 2.0, 1.0]] * 3
-
-
-def test_scoring_partitions_follow_the_user_count(spark, splits):
-    from recsift.operators import recommend_long
-
-    model = fit_als(_train(splits), ALSSpec(rank=3, max_iter=2))
-    few = _train(splits).select("user_id").distinct().limit(5)
-    assert recommend_long(model, few, 3).rdd.getNumPartitions() == 1

@@ -3,6 +3,8 @@
 import re
 import tempfile
 
+import pytest
+
 from conftest import SF001
 from recsift.operators import assign_roles, popularity_recs, remove_low_users, remove_zeros, tag_holdout
 from recsift.operators.sampling import downsample_users
@@ -76,12 +78,26 @@ def test_low_user_filter_shuffle_join_beyond_bound(spark):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
-def test_popularity_lists_attach_without_join(spark):
-    t = remove_zeros(_table(spark))
-    recs = popularity_recs(t, t.select("user_id"), 5)
-    text = formatted(recs)
-    assert "Join" not in text.split("===== Subqueries =====")[0]
-    assert "TakeOrderedAndProject" in text
+def test_popularity_lists_are_a_bounded_broadcast(spark):
+    t = remove_zeros(_table(spark)).select("user_id", "item_id", "is_reviewed")
+    text = formatted(popularity_recs(t, t.select("user_id"), 5))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    assert "WindowGroupLimit" in text  # k rows per cohort leave each task
+
+
+@pytest.mark.parametrize("name", ["map_metric", "ranking_metrics", "fuse_scores", "topk_lists_running",
+                                  "tune_weight_lists", "split_report", "als_topk_explicit_rows"])
+def test_a_query_builds_its_split_once_and_reads_only_written_tables(spark, monkeypatch, name):
+    import __spark_entry__ as E
+    from conftest import SF001
+
+    built = []
+    table, write = E.interactions_table, E.materialize
+    monkeypatch.setattr(E, "interactions_table", lambda *a, **k: built.append("rows") or table(*a, **k))
+    monkeypatch.setattr(E, "materialize", lambda *a, **k: built.append("split") or write(*a, **k))
+    plan = formatted(E.queries()[name](spark, SF001))
+    assert built == ["rows", "split"]
+    assert "lineitem" not in plan and "orders" not in plan
 
 
 def _long(spark, rows):

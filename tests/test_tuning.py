@@ -58,7 +58,7 @@ def test_final_test_basic_and_hybrid_and_releases_inputs(spark, splits):
     out = final_test(splits, SPEC, 5, weight=1.0).collect()
     assert sorted(r["model"] for r in out) == ["basic", "hybrid"]
     assert {r["weight"] for r in out} == {None, 1.0}
-    assert _cached(spark) == before                     # persisted inputs were released
+    assert _cached(spark) == before                     # nothing is left in executor memory
 
 
 def test_final_test_picks_weight_on_val(splits):
