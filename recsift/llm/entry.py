@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recsift.llm import sql
 from recsift.llm.byte_bpe import byte_bpe
 from recsift.llm.ego_join import near_vectors
 from recsift.llm.mixing import mix_sources
@@ -90,4 +91,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in globals().items() if name.startswith("op")}
 
-ORACLE_SQL: dict[str, str] = {}
+# The others have none: SQL here has no tokenizer, checksum, expectation-
+# maximisation or transducers.
+ORACLE_SQL: dict[str, str] = {
+    "op2_substring_dedup": sql.SUBSTRING_DEDUP,
+    "op3_ego_join": sql.EGO_JOIN,
+    "op5_warc": sql.WARC,
+    "op7_mixing": sql.MIXING,
+    "op9_ngram_join": sql.NGRAM_JOIN,
+}

@@ -17,13 +17,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recsift.llm.prefix import running
+from recsift.llm.prefix import running, spread_of
 from recsift.llm.rows import name_columns, packed_once, saved
 
 WEIGHTS = (5, 2, 1)
 SLOPES = (-0.5, 0.0, 0.5)
 SHARE = 1.5
 MOST = 2
+SALT = 7  # of the hash that orders a source's documents
 
 
 def word_count(text: Column) -> Column:
@@ -91,8 +92,8 @@ def mix_sources(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), source_col
     packed = saved(packed)
     per = saved(source_targets(packed, **targets))
     n_rows = packed.count()
-    spread = F.xxhash64(F.col("_id"), F.lit(7))
-    placed = running(packed, ["source"], [F.col("_id"), F.col("_text")], F.col("size"), "_at", spread, n_rows)
+    placed = running(packed, ["source"], [F.col("_id"), F.col("_text")], F.col("size"), "_at",
+                     spread_of(SALT, "_id"), n_rows)
     named = per.withColumnRenamed("source", "_source")
     joined = placed.join(named, placed["source"].eqNullSafe(named["_source"]))
     size, whole, target = F.col("size"), F.col("source_size"), F.col("target")

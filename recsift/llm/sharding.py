@@ -12,11 +12,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recsift.llm.prefix import running
+from recsift.llm.prefix import running, spread_of
 from recsift.llm.rows import saved
 
 SHARDS = 40
 BITS = 5
+SALT = 8  # of the hash that orders the documents of a cell
 
 
 def _rotate(x: int, by: int, n: int) -> int:
@@ -36,6 +37,15 @@ def _steps(n: int) -> tuple[list[int], list[int], list[int]]:
     return inverse, entry, direction
 
 
+def curve_tables(n: int) -> tuple[list[int], list[int], list[int]]:
+    """For each (direction, corner of the frame): its place on the curve; for
+    each (direction, place): the turn of the next corner, the next direction."""
+    inverse, entry, direction = _steps(n)
+    every = [(d, x) for d in range(n) for x in range(1 << n)]
+    return ([inverse[_rotate(x, n - (d + 1), n)] for d, x in every],
+            [_rotate(entry[x], d + 1, n) for d, x in every], [(d + direction[x] + 1) % n for d, x in every])
+
+
 def hilbert_index(dims: list[Column], bits: int = BITS) -> Column:
     """Index on the Hilbert curve of a cell with coordinates below ``2 ** bits``.
 
@@ -44,14 +54,9 @@ def hilbert_index(dims: list[Column], bits: int = BITS) -> Column:
     three bits of the index, and the frame of the next step follows from it.
     """
     n = len(dims)
-    inverse, entry, direction = _steps(n)
     mask = (1 << n) - 1
     table = lambda values: F.array(*[F.lit(v) for v in values])
-    # next corner and direction for each (direction, place): small tables by rule
-    place = [[[inverse[_rotate(c, n - (d + 1), n)] for c in range(mask + 1)] for d in range(n)]]
-    flat_place = table([place[0][d][c] for d in range(n) for c in range(mask + 1)])
-    flat_turn = table([_rotate(entry[w], d + 1, n) for d in range(n) for w in range(mask + 1)])
-    flat_direction = table([(d + direction[w] + 1) % n for d in range(n) for w in range(mask + 1)])
+    flat_place, flat_turn, flat_direction = map(table, curve_tables(n))
     coordinates = F.array(*[d.cast("int") for d in dims])
     start = F.struct(F.lit(0).cast("long").alias("h"), F.lit(0).alias("e"), F.lit(0).alias("d"))
 
@@ -97,8 +102,11 @@ def hilbert_shards(docs: DataFrame, shards: int = SHARDS, bits: int = BITS, keep
                        (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
                        F.col(lang_col).alias("lang"), F.col(source_col).alias("source"),
                        F.col(order_col).cast("string").alias("_id"), F.xxhash64(text).alias("_text"))
-    # sizes in steps of an eighth of a doubling before their own quantiles
-    rows = saved(rows.withColumn("volume", F.floor(F.log2(F.col("size").cast("double")) * 8).cast("int")))
+    # sizes in eight steps to a doubling, before their own quantiles: the bit
+    # length and the three bits after the first
+    top = F.length(F.bin("size")) - 1
+    step = F.call_function("shiftright", F.col("size"), top - 3).bitwiseAND(F.lit(7).cast("long"))
+    rows = saved(rows.withColumn("volume", (top * 8 + step).cast("int")))
     cells = saved(rows.groupBy("volume", "lang", "source").agg(F.count("*").alias("n")))
     named = cells
     for name in ("volume", "lang", "source"):
@@ -114,8 +122,8 @@ def hilbert_shards(docs: DataFrame, shards: int = SHARDS, bits: int = BITS, keep
     placed = rows.join(of_cell, rows["volume"].eqNullSafe(of_cell["_v"]) & rows["lang"].eqNullSafe(of_cell["_l"])
                        & rows["source"].eqNullSafe(of_cell["_s"])).drop("_v", "_l", "_s")
     total = rows.count()
-    spread = F.xxhash64(F.col("_id"), F.lit(8))
-    ranked = running(placed, ["hilbert"], [F.col("_id"), F.col("_text")], F.lit(1).cast("long"), "_at", spread, total)
+    ranked = running(placed, ["hilbert"], [F.col("_id"), F.col("_text")], F.lit(1).cast("long"), "_at",
+                     spread_of(SALT, "_id"), total)
     rank = F.col("_first") + F.col("_at")
     # the first `more` shards have one row more than the others
     few, more = total // shards, total % shards
