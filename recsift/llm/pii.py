@@ -10,7 +10,7 @@ keeps, for every character, the source range it came from:
 2. spelled digits: runs of seven or more digit words or digits, ``plus`` and
    ``dot`` between them, and O, o, I, l between digits;
 3. at/dot disguises: bracketed ``[at]``, ``(dot)`` and bare ``name at host
-   dot tld``.
+   dot com`` with a known top-level domain.
 
 The same patterns are searched in the rewritten text; what is found there is
 mapped back to source characters. A span is added only if a rewritten
@@ -156,9 +156,13 @@ _ZERO_ONE = {"O": "0", "o": "0", "I": "1", "l": "1"}
 _BRACKET_AT = re.compile(r"(?i)\s{0,2}[\[({<]\s{0,2}(?:at|@|arroba)\s{0,2}[\])}>]\s{0,2}")
 _BRACKET_DOT = re.compile(r"(?i)\s{0,2}[\[({<]\s{0,2}(?:dot|\.|punkt|punto|point)\s{0,2}[\])}>]\s{0,2}")
 _LABEL = r"[A-Za-z0-9-]{1,63}"
+# Top-level domains that are no common words, which the bare form
+# needs ("at noon dot ..." is plain talk).
+_TOP = ("com|org|net|edu|gov|info|biz|io|dev|app|ai|eu|uk|de|fr|es|nl|ch|pl|se|dk|fi|cz|pt|gr|ie|ca|au|nz|jp|cn|kr|"
+        "br|mx|ar|cl|ru|ua|tr|za")
 _BARE = re.compile(
     rf"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}(?:\x20dot\x20[A-Za-z0-9_%+-]{{1,64}}){{0,3}}"
-    rf"(?:\x20at\x20|@){_LABEL}(?:(?:\x20dot\x20|\.){_LABEL}){{0,4}}\x20dot\x20[A-Za-z]{{2,24}}(?![A-Za-z0-9])")
+    rf"(?:\x20at\x20|@){_LABEL}(?:(?:\x20dot\x20|\.){_LABEL}){{0,4}}\x20dot\x20(?:{_TOP})(?![A-Za-z0-9])")
 _BARE_PART = re.compile(r"(?i)\x20(at|dot)\x20")
 
 
