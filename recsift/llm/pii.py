@@ -7,8 +7,8 @@ keeps, for every character, the source range it came from:
 1. homoglyphs: code points that compatibility-normalise to one ASCII
    character (fullwidth and styled letters, digits of other scripts),
    look-alike letters and invisible characters;
-2. spelled digits: runs of seven or more digit words or digits, ``plus`` and
-   ``dot`` between them, and O, o, I, l between digits;
+2. spelled digits: runs of seven or more digit words or digits, three words
+   at least, ``plus`` and ``dot`` between them, and O, o, I, l between digits;
 3. at/dot disguises: bracketed ``[at]``, ``(dot)`` and bare ``name at host
    dot com`` with a known top-level domain.
 
@@ -93,9 +93,16 @@ _LOOKALIKES = dict(zip("аеорсухіјѕԁһӏԛԝАВЕКМНОРСТУХІ
                        "aeopcyxijsdhlqwABEKMHOPCTYXIJSaiKvoptuxABEZHIKMNOPTYX", strict=True))
 # Soft hyphen, zero-width characters, word joiner, byte-order mark.
 _INVISIBLE = "­​‌‍⁠﻿"
-# Digit words.
-_DIGIT_WORDS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4",
-                "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
+# Digit words of the documents' languages, 0 to 9.
+_DIGIT_LISTS = (
+    "zero one two three four five six seven eight nine",
+    "zéro un deux trois quatre cinq six sept huit neuf",
+    "null eins zwei drei vier fünf sechs sieben acht neun",
+    "cero uno dos tres cuatro cinco seis siete ocho nueve",
+)
+_DIGIT_WORDS = {w: str(i) for words in _DIGIT_LISTS for i, w in enumerate(words.split())} | {"oh": "0"}
+# Words for the plus sign and the dot between numbers.
+_PLUS_WORDS, _DOT_WORDS = ("plus", "más"), ("dot", "point", "punkt", "punto")
 
 
 def _homoglyphs() -> dict[str, str]:
@@ -142,12 +149,14 @@ class _Mapped:
         self.new = new + self.new[last:]
 
 
-_WORD = "(?:" + "|".join(_DIGIT_WORDS) + ")"
+_any = lambda words: "(?:" + "|".join(sorted(words, key=len, reverse=True)) + ")"
+_WORD, _PLUS, _DOT = _any(_DIGIT_WORDS), _any(_PLUS_WORDS), _any(_DOT_WORDS)
 _GAP = r"[\x20\t,-]{1,3}"
 _SPELLED = re.compile(
-    rf"(?i)(?<![A-Za-z0-9])(?:plus{_GAP})?(?:{_WORD}|[0-9])"
-    rf"(?:(?:{_GAP}(?:dot|point){_GAP}|{_GAP}|)(?:(?<![A-Za-z]){_WORD}(?![A-Za-z])|[0-9])){{6,}}(?![A-Za-z])")
-_PARTS = re.compile(rf"(?i){_WORD}|plus|dot|point|[0-9]|{_GAP}")
+    rf"(?i)(?<![A-Za-z0-9])(?:{_PLUS}{_GAP})?(?:{_WORD}|[0-9])"
+    rf"(?:(?:{_GAP}{_DOT}{_GAP}|{_GAP}|)(?:(?<![A-Za-z]){_WORD}(?![A-Za-z])|[0-9])){{6,}}(?![A-Za-z])")
+_ONE_WORD = re.compile(rf"(?i){_WORD}")
+_PARTS = re.compile(rf"(?i){_WORD}|{_PLUS}|{_DOT}|[0-9]|{_GAP}")
 _LETTER_DIGIT = re.compile(r"(?<=[0-9])[OoIl](?=[\x20.-]?[0-9])")
 _LETTER_IN_DIGITS = re.compile(r"[0-9][OoIl]+[\x20.-]?[0-9]")
 _BRACKETED = re.compile(r"(?i)[\[({<]\s{0,2}(?:at|@|arroba|dot|\.|punkt|punto|point)\s{0,2}[\])}>]")
@@ -169,11 +178,11 @@ _BARE_PART = re.compile(r"(?i)\x20(at|dot)\x20")
 def _spelled_edits(text: str) -> list[tuple[int, int, str]]:
     out = []
     for m in _SPELLED.finditer(text):
-        if not re.search(r"(?i)[a-z]", m[0]):
+        if len(_ONE_WORD.findall(m[0])) < 3:  # a number in plain digits, next to a word that is one
             continue
         for p in _PARTS.finditer(text, *m.span()):
             low = p[0].lower()
-            put = _DIGIT_WORDS.get(low) or {"plus": "+", "dot": ".", "point": "."}.get(low)
+            put = "+" if low in _PLUS_WORDS else "." if low in _DOT_WORDS else _DIGIT_WORDS.get(low)
             if put:
                 out.append((*p.span(), put))
             elif not low.isdigit():

@@ -56,6 +56,10 @@ DISGUISED = [
     ("call plus one five five five one two three four five six now", "phone",
      "plus one five five five one two three four five six"),
     ("at one nine two dot one six eight dot zero dot one ok", "ip", "one nine two dot one six eight dot zero dot one"),
+    ("appelez plus trois trois un deux trois quatre cinq six sept huit neuf ici", "phone",
+     "plus trois trois un deux trois quatre cinq six sept huit neuf"),
+    ("ruf plus vier neun null fünf sechs sieben acht neun eins an", "phone",
+     "plus vier neun null fünf sechs sieben acht neun eins"),
     ("4l11 1111 1111 1111", "card", "4l11 1111 1111 1111"),
     ("１９２.168.0.1", "ip", "１９２.168.0.1"),
 ]
