@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 
 from recsift.llm.pieces import ODD, Memo, plain_split, read_bytes
 from recsift.llm.token_counts import _byte_chars
+from recsift.llm.words import slices
 
 
 def load_ranks(path: str) -> list[bytes]:
@@ -105,7 +106,7 @@ class Codec:
 def _code(tokens: list[bytes], model: bytes, pattern: str):
     def run(batches):
         codec = Codec(tokens, model, pattern)
-        for batch in batches:
+        for batch in (part for batch in batches for part in slices(batch, batch.num_columns - 1)):
             ids = codec.encode([t or "" for t in batch.column(batch.num_columns - 1).to_pylist()])
             arrays = [pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary()),
                       pa.array(map(codec.decode, ids), pa.binary())]

@@ -16,7 +16,7 @@ PIECE = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 # White space for one engine and not for another, or next to it.
 ODD = re.compile("[\x1c-\x1f\x85᠎​-‏⁠﻿]")
 # Pieces remembered at most, the longest one remembered, and text looked up at once.
-MEMO_PIECES = 400_000
+MEMO_PIECES = 200_000
 MEMO_CHARS = 48
 LOOKUP_CHARS = 1 << 20
 # ASCII symbols that end a word's pre-token (an apostrophe may begin a contraction).

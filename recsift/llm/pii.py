@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recsift.llm.words import slices
+
 KINDS = ("email", "ip", "card", "phone")
 _KIND_ORDER = {k: i for i, k in enumerate(KINDS)}
 
@@ -243,7 +245,7 @@ def _spans(texts: bool):
     def run(batches):
         glyphs = _homoglyphs()
         pattern = re.compile("[" + "".join(map(re.escape, glyphs)) + "]")
-        for batch in batches:
+        for batch in (part for batch in batches for part in slices(batch, batch.num_columns - 1)):
             found = [all_spans(t or "", glyphs, pattern) for t in batch.column(batch.num_columns - 1).to_pylist()]
             rows = [[dict(zip(("kind", "start", "end", "base"), s, strict=True)) for s in f] for f in found]
             kept = batch.columns if texts else batch.columns[:-1]

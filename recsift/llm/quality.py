@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recsift.llm.words import U64, Chunk, chunks, mix, span_hashes, window_hashes
+from recsift.llm.words import CHUNK_BYTES, U64, Chunk, chunks, mix, span_hashes, window_hashes
 
 REPEAT_WINDOW = 8
 MIN_WORDS = 20
@@ -94,7 +94,7 @@ def text_counts(chunk: Chunk) -> dict[str, np.ndarray]:
 def _count(keep: int):
     def run(batches):
         for batch in batches:
-            for chunk in chunks(batch.column(keep)):
+            for chunk in chunks(batch.column(keep), CHUNK_BYTES // 2):
                 counts = text_counts(chunk)
                 part = batch.slice(chunk.rows.start, chunk.n_rows)
                 yield pa.RecordBatch.from_arrays(

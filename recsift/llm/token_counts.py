@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from recsift.llm.pieces import ODD, PIECE, Memo, plain_split, read_bytes
+from recsift.llm.words import slices
 
 TOKEN_LIMIT = 512
 
@@ -66,7 +67,7 @@ def _count(tokenizer: str, proved: frozenset[str]):
             return [counts.get(p, 1) for p in pieces]
 
         memo = Memo(count, lambda piece: plain_split(piece) or [piece], sum)
-        for batch in batches:
+        for batch in (part for batch in batches for part in slices(batch, batch.num_columns - 1)):
             texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
             odd = [bool(ODD.search(t)) or any(s in t for s in special) for t in texts]
             plain = iter(memo.values([t for t, o in zip(texts, odd, strict=True) if not o]))

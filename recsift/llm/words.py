@@ -18,7 +18,7 @@ U64 = np.uint64
 WORD_BASE = 0x9E3779B97F4A7C15
 WINDOW_BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 # Text per chunk, and bytes per prefix sum: the arrays of a chunk stay within some tens of MB.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 SEGMENT_BYTES = 1 << 20
 
 SPACE = np.zeros(256, dtype=bool)
@@ -138,6 +138,17 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return buf, off - off[0]
 
 
+def slices(batch: pa.RecordBatch, column: int, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of at most ``limit`` bytes of text in ``column`` (a
+    longer row alone), so that what a task makes of a part stays small."""
+    _, off = utf8(batch.column(column))
+    i, n = 0, len(off) - 1
+    while i < n:
+        j = min(n, max(i + 1, int(np.searchsorted(off, off[i] + limit, "right")) - 1))
+        yield batch.slice(i, j - i)
+        i = j
+
+
 def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
     """The column in chunks of at most ``limit`` bytes of text (a longer row alone)."""
     buf, off = utf8(column)
