@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from recsift.llm import sql
 from recsift.llm.byte_bpe import byte_bpe
 from recsift.llm.ego_join import near_vectors
-from recsift.llm.mixing import mix_sources
+from recsift.llm.mixing import mix_sources, sorted_by_position, training_positions
 from recsift.llm.ngram_join import jaccard_join
 from recsift.llm.pii import KINDS, find_pii
 from recsift.llm.quality import score_quality
@@ -72,7 +72,13 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_sources(_documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+    mixed = mix_sources(_documents(spark, sf_dir))
+    ordered = sorted_by_position(mixed, F.try_element_at("positions", F.lit(1)), F.xxhash64("doc_id"))
+    return ordered.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op7_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_positions(_documents(spark, sf_dir))
 
 
 def op8_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,5 +104,6 @@ ORACLE_SQL: dict[str, str] = {
     "op3_ego_join": sql.EGO_JOIN,
     "op5_warc": sql.WARC,
     "op7_mixing": sql.MIXING,
+    "op7_positions": sql.POSITIONS,
     "op9_ngram_join": sql.NGRAM_JOIN,
 }

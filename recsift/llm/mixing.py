@@ -106,6 +106,23 @@ def mix_sources(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), source_col
                          times.alias("positions"))
 
 
+def sorted_by_position(rows: DataFrame, at: Column, *ties: Column) -> DataFrame:
+    """Range-sorted by position, null positions last. ``ties`` spread rows of
+    one position, above all those that are not taken, over tasks."""
+    order = [at.asc_nulls_last(), *ties]
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def training_positions(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), **options) -> DataFrame:
+    """``keep`` columns, ``copy`` (0 or 1) and ``position``: a row for each copy
+    that the mix takes, range-sorted by position."""
+    mixed = mix_sources(docs, keep=keep, **options)
+    kept = [F.col(f"`{c}`") for c in keep]
+    rows = mixed.select(*kept, F.posexplode("positions").alias("copy", "position")) \
+        .withColumn("copy", F.col("copy").cast("long"))
+    return sorted_by_position(rows, F.col("position"), F.xxhash64(*kept))
+
+
 def training_order(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
                    **targets) -> DataFrame:
     """``docs`` as the mix takes them, all columns: a row for each copy, range-

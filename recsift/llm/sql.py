@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from recsift.llm.ego_join import COSINE
-from recsift.llm.mixing import MOST, SALT, SHARE, WEIGHTS
+from recsift.llm.mixing import MOST, SALT, SHARE, SLOPES, WEIGHTS
 
 _WORDS = r"regexp_extract_all(coalesce({0}, ''), '[^\x20\x09-\x0D]+')"
 
@@ -73,6 +73,18 @@ SELECT doc_id, size, source_size, target, CAST(size * (
        ) AS BIGINT) AS taken
 FROM c JOIN t ON c.source IS NOT DISTINCT FROM t.source"""
 
+# The tables of MIXING, then a row for each copy.
+POSITIONS = f"""{MIXING[:MIXING.rindex("SELECT doc_id")].rstrip()},
+g AS (SELECT source, CAST([{", ".join(map(str, SLOPES))}][(row_number() OVER (ORDER BY source NULLS LAST) - 1)
+             % {len(SLOPES)} + 1] AS DOUBLE) AS a FROM s),
+p AS (SELECT doc_id, i AS copy, a, least((CAST(before AS DOUBLE) + t.source_size * i) / target, CAST(1 AS DOUBLE)) AS x
+      FROM c JOIN t ON c.source IS NOT DISTINCT FROM t.source JOIN g ON c.source IS NOT DISTINCT FROM g.source,
+           range({MOST}) r(i)
+      WHERE CAST(before AS DOUBLE) + t.source_size * i + size / 2.0 < target)
+SELECT doc_id, CAST(copy AS BIGINT) AS copy,
+       CASE WHEN abs(a) < 1e-9 THEN x ELSE (sqrt((1 - a) * (1 - a) + 4 * a * x) - (1 - a)) / (2 * a) END AS position
+FROM p"""
+
 
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 NGRAM_JOIN = f"""

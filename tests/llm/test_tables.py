@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 import brute
 import corpus_pipeline
 from brute import SF01, SF001
-from recsift.llm import ego_join, warc
+from recsift.llm import ego_join, mixing, warc
 from recsift.llm.ego_join import near_vectors
+from recsift.llm.entry import QUERIES
 from recsift.llm.mixing import mix_sources, position, training_order
 from recsift.llm.sharding import hilbert_index, hilbert_shards, write_shards
 from recsift.llm.warc import new_folder, ranges, read_records, write_archives
@@ -170,6 +171,17 @@ def test_positions_follow_the_schedule(spark):
     assert (1 - 0.5) * t + 0.5 * t * t == pytest.approx(0.5)
 
 
+def test_mixing_queries_follow_the_schedules(spark, monkeypatch):
+    rows = lambda name: [tuple(r) for r in QUERIES[name](spark, SF01).collect()]
+    mixed, places = rows("op7_mixing"), rows("op7_positions")
+    first = {i: at for i, copy, at in places if copy == 0}
+    assert [at for _, _, at in places] == sorted(at for _, _, at in places)
+    assert [first[i] for i, *_ in mixed if i in first] == sorted(first.values())  # op7 comes in training order
+    assert len(places) == sum(taken // size if size else 0 for _, size, _, _, taken in mixed)
+    monkeypatch.setattr(mixing, "position", lambda share, slope: position(share, -slope))
+    assert sorted(rows("op7_positions")) != sorted(places) and rows("op7_mixing") != mixed
+
+
 def test_training_order_repeats_rows_in_order(spark):
     docs = brute.edge_docs(spark)
     out = training_order(docs)
