@@ -196,11 +196,12 @@ def disguised(text: str, homoglyphs: dict[str, str], pattern: re.Pattern) -> _Ma
     """The text after the transducers; None when no disguise shows (told by
     searches for literal strings and rare characters, without rewriting)."""
     low = text.lower()
-    odd = False
+    beyond = "\u00ad" in text  # the one of them within Latin-1
     try:
         text.encode("latin-1")
     except UnicodeEncodeError:
-        odd = pattern.search(text) is not None
+        beyond = True
+    odd = beyond and pattern.search(text) is not None
     if odd:
         shown = True
     else:

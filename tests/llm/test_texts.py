@@ -17,7 +17,7 @@ import brute
 from brute import SF01, SF001
 from recsift.llm.byte_bpe import Codec, byte_bpe, load_ranks, serialise_model
 from recsift.llm.entry import QUERIES
-from recsift.llm.pii import _homoglyphs, all_spans, find_pii, find_spans, mask_pii
+from recsift.llm.pii import _INVISIBLE, _LOOKALIKES, _homoglyphs, all_spans, find_pii, find_spans, mask_pii
 from recsift.llm.quality import COUNTS, fit_label_model, keep_good, score_quality
 from recsift.llm.token_counts import token_counts
 
@@ -81,6 +81,23 @@ def test_plain_talk_is_no_disguise(text):
     assert [s for s in all_spans(text, glyphs, pattern) if not s[3]] == []
 
 
+@pytest.mark.parametrize("sign", [*_INVISIBLE, *_LOOKALIKES], ids=lambda c: f"U+{ord(c):04X}")
+def test_one_sign_is_enough_in_a_latin_1_text(sign):
+    glyphs = _homoglyphs()
+    pattern = re.compile("[" + "".join(map(re.escape, glyphs)) + "]")
+    mail = f"jo{sign}hn@example.com"
+    found = [(k, a, b) for k, a, b, base in all_spans(f"à {mail}", glyphs, pattern) if not base]
+    assert found == [("email", 2, 2 + len(mail))]
+    if sign in _INVISIBLE:
+        card = f"4111{sign}1111{sign}1111{sign}1111"
+        assert all_spans(f"café {card}", glyphs, pattern) == [("card", 5, 5 + len(card), False)]
+
+
+def test_mask_leaves_nothing_before_a_soft_hyphen(spark):
+    t = spark.createDataFrame([("é jo\u00adhn@example.com!",)], "text string")
+    assert [r.text for r in mask_pii(t).collect()] == ["é [EMAIL]!"]
+
+
 def test_pii_query_matches_the_patterns(spark):
     docs = spark.read.parquet(f"{SF01}/documents.parquet").collect()
     got = {r.doc_id: r for r in QUERIES["op1_pii"](spark, SF01).collect()}
