@@ -8,9 +8,13 @@ keeps, for every character, the source range it came from:
    character (fullwidth and styled letters, digits of other scripts),
    look-alike letters and invisible characters;
 2. spelled digits: runs of seven or more digit words or digits, three words
-   at least, ``plus`` and ``dot`` between them, and O, o, I, l between digits;
-3. at/dot disguises: bracketed ``[at]``, ``(dot)`` and bare ``name at host
-   dot com`` with a known top-level domain.
+   at least, ``plus`` and ``dot`` between them; four numbers of one to three
+   digits or digit words with three dot words between them; and runs of O, o,
+   I, l between digits;
+3. at/dot disguises: bracketed ``[at]``, ``(dot)``; bare ``name at host dot
+   com`` with a known top-level domain; and ``name at host.com`` or a domain
+   that is a common word (``dot me``) if the name has a dot or digit in it, an
+   ``@`` stands there or a mail word is near.
 
 The same patterns are searched in the rewritten text; what is found there is
 mapped back to source characters. A span is added only if a rewritten
@@ -159,7 +163,10 @@ _SPELLED = re.compile(
     rf"(?:(?:{_GAP}{_DOT}{_GAP}|{_GAP}|)(?:(?<![A-Za-z]){_WORD}(?![A-Za-z])|[0-9])){{6,}}(?![A-Za-z])")
 _ONE_WORD = re.compile(rf"(?i){_WORD}")
 _PARTS = re.compile(rf"(?i){_WORD}|{_PLUS}|{_DOT}|[0-9]|{_GAP}")
-_LETTER_DIGIT = re.compile(r"(?<=[0-9])[OoIl](?=[\x20.-]?[0-9])")
+_DIGIT = rf"(?:(?<![A-Za-z]){_WORD}(?![A-Za-z])|[0-9])"
+_NUMBER = rf"{_DIGIT}(?:[\x20-]?{_DIGIT}){{0,2}}"
+_ADDRESS = re.compile(rf"(?i)(?<![A-Za-z0-9]){_NUMBER}(?:{_GAP}{_DOT}{_GAP}{_NUMBER}){{3}}(?![A-Za-z0-9])")
+_LETTER_DIGIT = re.compile(r"(?<=[0-9])[OoIl]+(?=[\x20.-]?[0-9])")
 _LETTER_IN_DIGITS = re.compile(r"[0-9][OoIl]+[\x20.-]?[0-9]")
 _BRACKETED = re.compile(r"(?i)[\[({<]\s{0,2}(?:at|@|arroba|dot|\.|punkt|punto|point)\s{0,2}[\])}>]")
 _WHOLE_WORDS = tuple(f" {w} " for w in _DIGIT_WORDS)
@@ -170,11 +177,27 @@ _LABEL = r"[A-Za-z0-9-]{1,63}"
 # Top-level domains that are no common words, which the bare form
 # needs ("at noon dot ..." is plain talk).
 _TOP = ("com|org|net|edu|gov|info|biz|io|dev|app|ai|eu|uk|de|fr|es|nl|ch|pl|se|dk|fi|cz|pt|gr|ie|ca|au|nz|jp|cn|kr|"
-        "br|mx|ar|cl|ru|ua|tr|za")
+        "br|mx|ar|cl|ru|ua|tr|za|co|tv|cc|xyz|ly|sh|ws|gg|lt|lv|ee|hu|ro|bg|hr|rs|sk|il|kr|sg|hk|tw|th|vn|ph|pk|"
+        "lk|ke|ng|gh|eg|qa|kw|mk|md|uy|bo|ec|cr|gt|pr|mil|coop|mobi")
+# Domains that are common words too, or often plain talk.
+_WORD_TOP = ("me|us|in|it|be|is|no|so|to|at|my|am|as|do|id|by|pe|la|sa|se|ma|lu|li|si|su|tu|ni|pa|im|name|pro|online|"
+             "shop|store|site|club|blog|news|live|life|world|tech|cloud|digital|email|link|space|website|page|art|"
+             "one|today|agency|company|int|travel|jobs")
 _BARE = re.compile(
     rf"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}(?:\x20dot\x20[A-Za-z0-9_%+-]{{1,64}}){{0,3}}"
     rf"(?:\x20at\x20|@){_LABEL}(?:(?:\x20dot\x20|\.){_LABEL}){{0,4}}\x20dot\x20(?:{_TOP})(?![A-Za-z0-9])")
 _BARE_PART = re.compile(r"(?i)\x20(at|dot)\x20")
+_HOST = re.compile(rf"(?i)(?:\x20at\x20|@){_LABEL}(?:(?:\x20dot\x20|\.){_LABEL}){{0,4}}(?:\x20dot\x20|\.)"
+                   rf"(?:{_TOP}|{_WORD_TOP})(?![A-Za-z0-9-])")
+_NAME = re.compile(r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}(?:\x20dot\x20[A-Za-z0-9_%+-]{1,64}){0,3}$")
+_NAME_SHAPE = re.compile(r"(?i)[a-z0-9][._+][a-z0-9]|[a-z][0-9]|[0-9][a-z]|\x20dot\x20")
+# Words near an address, and words that are no name before it.
+_MAIL_WORDS = ("mail", "mails", "email", "emails", "e-mail", "e-mails", "mailto", "courriel", "correo", "contact",
+               "contacto", "contacter", "kontakt", "inbox", "address", "adresse", "dirección")
+_MAIL = re.compile(rf"(?i)(?<![\w-]){_any(_MAIL_WORDS)}(?![\w-])")
+_NO_NAMES = frozenset(("i you he she it we they me us him her them this that here there is are was be more look shop "
+                       "online available and or out only").split()) | frozenset(_MAIL_WORDS)
+_NEAR = 40  # characters
 
 
 def _spelled_edits(text: str) -> list[tuple[int, int, str]]:
@@ -192,6 +215,33 @@ def _spelled_edits(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
+def _address_edits(text: str) -> list[tuple[int, int, str]]:
+    out = []
+    for m in _ADDRESS.finditer(text):
+        for p in _PARTS.finditer(text, *m.span()):
+            low = p[0].lower()
+            if not low.isdigit():
+                out.append((*p.span(), "." if low in _DOT_WORDS else _DIGIT_WORDS.get(low, "")))
+    return out
+
+
+def _host_edits(text: str) -> list[tuple[int, int, str]]:
+    """Names before a host that the bare form leaves, by their shape or a mail word near."""
+    out, last = [], 0
+    for m in _HOST.finditer(text):
+        name = _NAME.search(text, max(last, m.start() - 270), m.start())
+        if name is None or name.start() == last > 0:
+            continue
+        near = text[max(0, name.start() - _NEAR):name.start()], text[m.end():m.end() + _NEAR]
+        if not (m[0][0] == "@" or _NAME_SHAPE.search(name[0])
+                or name[0].lower() not in _NO_NAMES and any(map(_MAIL.search, near))):
+            continue
+        last = m.end()
+        out += [(*p.span(), "@" if p[1].lower() == "at" else ".")
+                for p in _BARE_PART.finditer(text, name.start(), m.end())]
+    return out
+
+
 def disguised(text: str, homoglyphs: dict[str, str], pattern: re.Pattern) -> _Mapped | None:
     """The text after the transducers; None when no disguise shows (told by
     searches for literal strings and rare characters, without rewriting)."""
@@ -207,8 +257,10 @@ def disguised(text: str, homoglyphs: dict[str, str], pattern: re.Pattern) -> _Ma
     else:
         flat = low.replace("\n", " ").replace("\t", " ").replace("-", " ").replace(",", " ")
         shown = any(w in flat for w in _WHOLE_WORDS) and _SPELLED.search(text) is not None \
+            or sum(flat.count(f" {w} ") for w in _DOT_WORDS) >= 3 and _ADDRESS.search(text) is not None \
             or _LETTER_IN_DIGITS.search(text) is not None \
             or " dot " in low and _BARE.search(text) is not None \
+            or (" at " in low or " dot " in low) and bool(_host_edits(text)) \
             or any(c in text for c in "[({<") and _BRACKETED.search(text) is not None
     if not shown:
         return None
@@ -216,11 +268,14 @@ def disguised(text: str, homoglyphs: dict[str, str], pattern: re.Pattern) -> _Ma
     if odd:
         mapped.rewrite([(*m.span(), homoglyphs[m[0]]) for m in pattern.finditer(text)])
     mapped.rewrite(_spelled_edits(mapped.text))
-    mapped.rewrite([(*m.span(), _ZERO_ONE[m[0]]) for m in _LETTER_DIGIT.finditer(mapped.text)])
+    mapped.rewrite(_address_edits(mapped.text))
+    mapped.rewrite([(i, i + 1, _ZERO_ONE[mapped.text[i]]) for m in _LETTER_DIGIT.finditer(mapped.text)
+                    for i in range(*m.span())])
     mapped.rewrite([(*m.span(), "@") for m in _BRACKET_AT.finditer(mapped.text)])
     mapped.rewrite([(*m.span(), ".") for m in _BRACKET_DOT.finditer(mapped.text)])
     mapped.rewrite([(m.start() + p.start(), m.start() + p.end(), "@" if p[1].lower() == "at" else ".")
                     for m in _BARE.finditer(mapped.text) for p in _BARE_PART.finditer(m[0])])
+    mapped.rewrite(_host_edits(mapped.text))
     return mapped if any(mapped.new) else None
 
 

@@ -81,6 +81,42 @@ def test_plain_talk_is_no_disguise(text):
     assert [s for s in all_spans(text, glyphs, pattern) if not s[3]] == []
 
 
+SHORT_DISGUISES = [
+    ("at one two seven dot zero dot zero dot one, ok", "ip", "one two seven dot zero dot zero dot one"),
+    ("at one zero dot zero dot zero dot one", "ip", "one zero dot zero dot zero dot one"),
+    ("use eight dot eight dot eight dot eight now", "ip", "eight dot eight dot eight dot eight"),
+    ("127 dot 0 dot 0 dot 1", "ip", "127 dot 0 dot 0 dot 1"),
+    ("eins null punkt null punkt null punkt eins", "ip", "eins null punkt null punkt null punkt eins"),
+    ("call +1 8OO 555 1234", "phone", "+1 8OO 555 1234"),
+    ("4lll 1111 1111 1111", "card", "4lll 1111 1111 1111"),
+    ("jane at startup dot co", "email", "jane at startup dot co"),
+    ("my mail: jane at startup dot me.", "email", "jane at startup dot me"),
+    ("jane.doe at startup dot us", "email", "jane.doe at startup dot us"),
+    ("jane dot doe at example.com", "email", "jane dot doe at example.com"),
+    ("jane42 at example.com, please", "email", "jane42 at example.com"),
+    ("you can email jane at example.com", "email", "jane at example.com"),
+    ("jane at example.com is my e-mail", "email", "jane at example.com"),
+    ("jane@startup dot me", "email", "jane@startup dot me"),
+]
+
+
+@pytest.mark.parametrize(("text", "kind", "span"), SHORT_DISGUISES)
+def test_short_disguises_are_found_at_their_source(text, kind, span):
+    glyphs = _homoglyphs()
+    pattern = re.compile("[" + "".join(map(re.escape, glyphs)) + "]")
+    added = [(k, text[a:b]) for k, a, b, base in all_spans(text, glyphs, pattern) if not base]
+    assert added == [(kind, span)]
+
+
+@pytest.mark.parametrize("text", ["look at example.com", "contact us at example.com", "check your email at gmail.com",
+                                  "we met at noon dot me too", "one dot two dot three", "see jane at example.com",
+                                  "300 dot 1 dot 1 dot 1", "we came at 5.It was late", "jane at home. It rained"])
+def test_plain_talk_near_the_short_forms(text):
+    glyphs = _homoglyphs()
+    pattern = re.compile("[" + "".join(map(re.escape, glyphs)) + "]")
+    assert [s for s in all_spans(text, glyphs, pattern) if not s[3]] == []
+
+
 @pytest.mark.parametrize("sign", [*_INVISIBLE, *_LOOKALIKES], ids=lambda c: f"U+{ord(c):04X}")
 def test_one_sign_is_enough_in_a_latin_1_text(sign):
     glyphs = _homoglyphs()
