@@ -1,5 +1,8 @@
 """The corpus pipeline: raw documents to token ids in training order.
 
+Parquet files keep no order across readers, so the last stage restores it: the
+files that it writes, by name, are in training order.
+
 Every stage takes ``(spark, docs, sf_dir)`` and works on all rows that the one
 before it kept; all but the last return the columns of documents.
 """
@@ -9,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recsift.llm.byte_bpe import byte_bpe
-from recsift.llm.mixing import training_order
+from recsift.llm.mixing import order_again, training_order
 from recsift.llm.ngram_join import keep_one
 from recsift.llm.pii import mask_pii
 from recsift.llm.quality import keep_good
@@ -37,8 +40,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and the text that they decode to."""
-    coded = byte_bpe(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    """Token ids of every document, and the text that they decode to, in training order."""
+    coded = byte_bpe(order_again(docs), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
     return coded.select("doc_id", "n_tokens", "ids", F.col("decoded").cast("string").alias("text"))
 
 

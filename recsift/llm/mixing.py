@@ -123,6 +123,14 @@ def training_positions(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), **o
     return sorted_by_position(rows, F.col("position"), F.xxhash64(*kept))
 
 
+def _rows_at(docs: DataFrame, positions: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs``, a row for each of the ``(_i, _d, position)`` of its name, range-sorted by position."""
+    packed, row = packed_once(docs, id_col, text_col)
+    rows = packed.join(positions, (F.col("_id_key") == F.col("_i")) & (F.col("_digest") == F.col("_d")))
+    ordered = sorted_by_position(rows.select(row, "position", "_i", "_d"), F.col("position"), F.xxhash64("_i", "_d"))
+    return ordered.select(f"`{row}`.*")
+
+
 def training_order(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
                    **targets) -> DataFrame:
     """``docs`` as the mix takes them, all columns: a row for each copy, range-
@@ -133,7 +141,37 @@ def training_order(docs: DataFrame, id_col: str = "doc_id", source_col: str = "s
     mixed = mix_sources(names, keep=("_id_key", "_digest"), order_col="_id_key", **targets)
     positions = mixed.select(F.col("_id_key").alias("_i"), F.col("_digest").alias("_d"),
                              F.explode("positions").alias("position"))
-    packed, row = packed_once(docs, id_col, text_col)
-    rows = packed.join(positions, (F.col("_id_key") == F.col("_i")) & (F.col("_digest") == F.col("_d")))
-    return (rows.select(row, "position").repartitionByRange("position").sortWithinPartitions("position")
-            .select(f"`{row}`.*"))
+    return _rows_at(docs, positions, id_col, text_col)
+
+
+def order_again(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
+                most: int = MOST) -> DataFrame:
+    """Rows of :func:`training_order`, written and read in any order, range-
+    sorted by training position again; all columns.
+
+    Positions come from what is there: the taken words stand for a source's
+    target (half a document apart at most), its rank among the sources left
+    gives the slope, and a row's copies are its passes. Equal input rows that
+    were each taken once count as two passes of one.
+    """
+    names = docs.select(*name_columns(id_col, text_col), F.col(source_col).alias("source"),
+                        word_count(F.col(text_col)).alias("size"))
+    copies = names.groupBy("_id_key", "_digest").agg(
+        F.first("source").alias("source"), F.first("size").alias("size"), F.count("*").alias("n")) \
+        .withColumn("copy", F.explode(F.expr(f"transform(sequence(0L, n - 1), i -> i % {most})"))) \
+        .withColumn("_id", F.col("_id_key").cast("string"))
+    copies = saved(copies.select("_id_key", "_digest", "_id", "source", "size", "copy"))
+    per = saved(source_targets(copies)).select(F.col("source").alias("_source"), "source_size", "slope")
+    passes = saved(copies.groupBy("source", "copy").agg(F.sum("size").alias("_words")))
+    before = Window.partitionBy("source").orderBy("copy").rowsBetween(Window.unboundedPreceding, -1)
+    starts = passes.select(F.col("source").alias("_s"), F.col("copy").alias("_c"),
+                           F.coalesce(F.sum("_words").over(before), F.lit(0)).alias("_start"))
+    placed = running(copies, ["source", "copy"], [F.col("_id"), F.col("_digest")], F.col("size"), "_at",
+                     spread_of(SALT, "_id"), copies.count())
+    placed = placed.join(per, placed["source"].eqNullSafe(per["_source"])).join(
+        starts, placed["source"].eqNullSafe(starts["_s"]) & (placed["copy"] == starts["_c"]))
+    share = F.when(F.col("source_size") > 0, (F.col("_start") + F.col("_at")) / F.col("source_size")) \
+        .otherwise(F.lit(0.0))
+    positions = placed.select(F.col("_id_key").alias("_i"), F.col("_digest").alias("_d"),
+                              position(F.least(share, F.lit(1.0)), F.col("slope")).alias("position"))
+    return _rows_at(docs, positions, id_col, text_col)

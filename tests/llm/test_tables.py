@@ -4,9 +4,11 @@ import gzip
 import hashlib
 import re
 import zlib
+from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -265,6 +267,52 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
     assert sorted((r.doc_id, r.text) for r in after.collect()) == sorted((r.doc_id, r.text) for r in before.collect())
 
 
+def _spread(doc_id):
+    return int(hashlib.md5(f"7|{doc_id}".encode()).hexdigest()[:15], 16), str(doc_id)
+
+
+def _by_source(rows):
+    """Documents ``(doc_id, source, text)`` of each source in the mix's order, and source sizes."""
+    held = {}
+    for i, s, t in sorted(rows, key=lambda r: _spread(r[0])):
+        held.setdefault(s, []).append((i, len(brute.words(t))))
+    return held, {s: sum(n for _, n in docs) for s, docs in held.items()}
+
+
+def test_tokens_are_written_in_training_order(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").limit(400)
+    docs.write.parquet(str(tmp_path / "d"))
+    corpus_pipeline.mixture(spark, spark.read.parquet(str(tmp_path / "d")), SF01).repartition(7) \
+        .write.parquet(str(tmp_path / "m"))
+    mixed = spark.read.parquet(str(tmp_path / "m"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        corpus_pipeline.tokens(spark, mixed, SF01).write.parquet(str(tmp_path / "t"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = sorted((tmp_path / "t").glob("part-*.parquet"))
+    got = [i for f in files for i in pq.read_table(f).column("doc_id").to_pylist()]
+    rows = {(r.doc_id, r.source, r.text) for r in mixed.collect()}
+    source, copies = {i: s for i, s, _ in rows}, Counter(r.doc_id for r in mixed.collect())
+    held, _ = _by_source(rows)
+    slope = {s: (-0.5, 0.0, 0.5)[k % 3] for k, s in enumerate(sorted(held))}
+    at, total = {}, {s: sum(n * copies[i] for i, n in docs) for s, docs in held.items()}
+    for s, order in held.items():
+        done = 0
+        for k in range(2):
+            for i, n in order:
+                if copies[i] > k:
+                    x, a = done / total[s], slope[s]
+                    at[i, k] = x if a == 0 else ((1 - a) ** 2 + 4 * a * x) ** 0.5 / (2 * a) - (1 - a) / (2 * a)
+                    done += n
+    seen, times = Counter(), []
+    for i in got:
+        times.append(at[i, seen[i]])
+        seen[i] += 1
+    assert len(files) > 1 and seen == copies and len(set(source.values())) > 2
+    assert all(a <= b + 1e-9 for a, b in zip(times, times[1:]))
+
+
 def _repeats(w):
     seen, covered = {}, set()
     for i in range(len(w) - 7):
