@@ -1,5 +1,6 @@
 """Vectors, archives, mixture, shards and the pipeline."""
 
+import base64
 import gzip
 import hashlib
 import re
@@ -8,8 +9,10 @@ from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
+import tiktoken
 from pyspark.sql import functions as F
 
 import brute
@@ -19,6 +22,7 @@ from recsift.llm import ego_join, mixing, warc
 from recsift.llm.ego_join import near_vectors
 from recsift.llm.entry import QUERIES
 from recsift.llm.mixing import mix_sources, position, training_order
+from recsift.llm.pii import _homoglyphs, all_spans
 from recsift.llm.sharding import hilbert_index, hilbert_shards, write_shards
 from recsift.llm.warc import new_folder, ranges, read_records, write_archives
 
@@ -313,6 +317,45 @@ def test_tokens_are_written_in_training_order(spark, tmp_path):
     assert all(a <= b + 1e-9 for a, b in zip(times, times[1:]))
 
 
+def _masked(text, glyphs, pattern):
+    out, at = "", 0
+    for kind, a, b, _ in sorted(all_spans(text, glyphs, pattern), key=lambda x: (x[1], -x[2], x[0].upper())):
+        if a >= at:
+            out, at = out + text[at:a] + f"[{kind.upper()}]", b
+    return out + text[at:]
+
+
+def test_pipeline_rows_by_plain_python(spark, tmp_path):
+    docs, kept = spark.read.parquet(f"{SF001}/documents.parquet"), {}
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, SF001).write.parquet(out := str(tmp_path / name))
+        before, docs = docs.collect(), spark.read.parquet(out)
+        kept[name] = before, docs.collect()
+    before, after = kept["private_data"]
+    glyphs = _homoglyphs()
+    pattern = re.compile("[" + "".join(map(re.escape, glyphs)) + "]")
+    want = {r.doc_id: _masked(r.text, glyphs, pattern) for r in before}
+    assert {r.doc_id: r.text for r in after} == want and want != {r.doc_id: r.text for r in before}
+    before, after = kept["mixture"]
+    held, sizes = _by_source([(r.doc_id, r.source, r.text) for r in before])
+    targets, copies = _targets(sizes), Counter()
+    for s, order in held.items():
+        at = 0
+        for i, n in order:
+            copies[i] = sum(at + sizes[s] * k + n / 2 < targets[s] for k in range(2))
+            at += n
+    texts = {r.doc_id: tuple(r) for r in before}
+    assert Counter(tuple(r) for r in after) == +Counter({texts[i]: n for i, n in copies.items()})
+    before, after = kept["tokens"]
+    lines = [x.split() for x in open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb")]
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, special_tokens={},
+                            mergeable_ranks={base64.b64decode(a): int(b) for a, b in lines})
+    ids = lambda t: np.array(own.encode_ordinary(t), dtype="<u4").tobytes()
+    rows = lambda x: sorted((r.doc_id, r.n_tokens, bytes(r.ids), r.text) for r in x)
+    assert rows(after) == sorted((r.doc_id, len(i := ids(r.text)) // 4, i, r.text) for r in before)
+    assert rows(corpus_pipeline.run(spark, SF001).collect()) == rows(after)
+
+
 def _repeats(w):
     seen, covered = {}, set()
     for i in range(len(w) - 7):
