@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators, with production parameters, each
+"""Registered queries of the thirteen operators, with production parameters, each
 over its whole table, and their DuckDB SQL where SQL can express them."""
 
 from __future__ import annotations
@@ -10,8 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recsift.llm import sql
+from recsift.llm.alignment import align_tokens
 from recsift.llm.byte_bpe import byte_bpe
+from recsift.llm.contamination import contamination
 from recsift.llm.ego_join import near_vectors
+from recsift.llm.merkle import merkle_proofs
 from recsift.llm.mixing import mix_sources, sorted_by_position, training_positions
 from recsift.llm.ngram_join import jaccard_join
 from recsift.llm.pii import KINDS, find_pii
@@ -94,6 +97,22 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_proofs(_documents(spark, sf_dir))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items",
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
+                        public_tokenizers.path("piece_bpe_32k.model"))[0]
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in globals().items() if name.startswith("op")}
 
@@ -106,4 +125,6 @@ ORACLE_SQL: dict[str, str] = {
     "op7_mixing": sql.MIXING,
     "op7_positions": sql.POSITIONS,
     "op9_ngram_join": sql.NGRAM_JOIN,
+    "op11_merkle": sql.MERKLE,
+    "op12_decontamination": sql.CONTAMINATION,
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 from recsift.llm.ego_join import COSINE
 from recsift.llm.mixing import MOST, SALT, SHARE, SLOPES, WEIGHTS
 
+_BENCH = r"regexp_extract_all({0}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 _WORDS = r"regexp_extract_all(coalesce({0}, ''), '[^\x20\x09-\x0D]+')"
 
 
@@ -99,3 +100,73 @@ links AS (SELECT a, b FROM both_ JOIN n x ON x.id = a JOIN n y ON y.id = b
 {_components("links", "d")}
 SELECT c.id AS doc_id, coalesce(n.n, 0) AS n_shingles, component AS component_id
 FROM comp c LEFT JOIN n ON n.id = c.id"""
+
+
+CONTAMINATION = f"""
+WITH b AS (SELECT item_id, {_BENCH.format(_LOWER.format("coalesce(text, '')"))} AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, len(w[i:i + 9]) AS n, array_to_string(w[i:i + 9], ' ') AS t
+        FROM b, unnest(range(1, greatest(len(w) - 8, 2))) u(i) WHERE len(w) > 0),
+d AS (SELECT doc_id, {_BENCH.format(_LOWER.format("coalesce(text, '')"))} AS w FROM documents),
+found AS (SELECT d.doc_id, i AS start, x.n, item_id
+          FROM d, (SELECT DISTINCT n FROM win) x, unnest(range(1, greatest(len(w) - x.n + 2, 1))) u(i)
+          JOIN win ON win.n = x.n AND win.t = array_to_string(w[i:i + x.n - 1], ' ')),
+hit AS (SELECT doc_id, count(DISTINCT start + j) AS n FROM found, unnest(range(0, n)) r(j) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) x GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(items.n, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(hit.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN items ON d.doc_id = items.doc_id"""
+
+
+def _leaf(text: str) -> str:
+    told = [f"coalesce(concat(strlen({c}), ':', {c}), '-')"
+            for c in ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text)]
+    return f"sha256(concat({', '.join(told)}))"
+
+
+def _tree(name: str, leaves: str) -> str:
+    """CTE ``name(tree, lev, i, h, n)``: every node, level by level; ``n``: the level's size."""
+    return f"""{name} AS (SELECT tree, 0 AS lev, i, h, n FROM {leaves}
+  UNION ALL SELECT tree, lev + 1, i // 16, sha256(string_agg(h, '' ORDER BY i)), (any_value(n) + 15) // 16
+  FROM {name} WHERE n > 1 GROUP BY tree, lev, i // 16)"""
+
+
+# CRC-32 bit by bit: a byte (as 256 and more) is put in, and eight shifts follow.
+_CRC = """xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+  lambda c: [256 + ascii(c), 0, 0, 0, 0, 0, 0, 0, 0]))), lambda c, x: CASE WHEN x > 0 THEN xor(c, x - 256)
+  WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END), 4294967295)"""
+
+MERKLE = f"""
+WITH RECURSIVE leaves AS (SELECT doc_id, source, {_leaf("text")} AS h, CASE WHEN {_CRC} % 5 = 0
+             THEN {_leaf(_LOWER.format("text"))} END AS other FROM documents),
+sources AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, count(*) OVER () AS n
+            FROM (SELECT DISTINCT source FROM documents) x),
+named AS (SELECT doc_id, tree, h, other, row_number() OVER (PARTITION BY tree ORDER BY doc_id) - 1 AS i,
+                 count(*) OVER (PARTITION BY tree) AS n
+          FROM leaves JOIN sources ON leaves.source IS NOT DISTINCT FROM sources.source),
+{_tree("low", "named")},
+subroots AS (SELECT 0 AS tree, low.tree AS i, h, sources.n FROM low JOIN sources ON low.tree = sources.tree
+             WHERE low.n = 1),
+{_tree("high", "subroots")},
+steps AS (SELECT doc_id, lev, a.i >> CAST(4 * lev AS INT) AS i, a.tree AS low, 0 AS top
+          FROM named a JOIN (SELECT DISTINCT tree, lev FROM low WHERE n > 1) l ON a.tree = l.tree
+          UNION ALL SELECT doc_id, 100 + lev, a.tree >> CAST(4 * lev AS INT), NULL, 1
+          FROM named a, (SELECT DISTINCT lev FROM high WHERE n > 1) l),
+nodes AS (SELECT tree, lev, i, h, 0 AS top FROM low UNION ALL SELECT NULL, 100 + lev, i, h, 1 FROM high),
+sides AS (SELECT doc_id, s.lev, coalesce(string_agg(h, '' ORDER BY n.i) FILTER (n.i < s.i), '') AS l,
+                 coalesce(string_agg(h, '' ORDER BY n.i) FILTER (n.i > s.i), '') AS r
+          FROM steps s JOIN nodes n ON s.lev = n.lev AND s.low IS NOT DISTINCT FROM n.tree
+               AND s.i // 16 = n.i // 16
+          GROUP BY doc_id, s.lev),
+path AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY lev) AS step FROM sides),
+proof AS (SELECT doc_id, sha256(string_agg(l || r, '' ORDER BY step)) AS p FROM path GROUP BY doc_id),
+folds AS (SELECT doc_id, 0 AS step, coalesce(other, h) AS h FROM named
+          UNION ALL SELECT f.doc_id, p.step, sha256(concat(l, f.h, r)) FROM folds f JOIN path p
+          ON f.doc_id = p.doc_id AND p.step = f.step + 1),
+folded AS (SELECT doc_id, arg_max(h, step) AS h FROM folds GROUP BY doc_id),
+root AS (SELECT h FROM high WHERE n = 1)
+SELECT a.doc_id, a.h AS leaf, subroots.h AS subroot, root.h AS root, coalesce(p, sha256('')) AS proof_sha256,
+       folded.h AS folded_root, folded.h = root.h AS verified
+FROM named a JOIN subroots ON a.tree = subroots.i JOIN folded ON a.doc_id = folded.doc_id
+     LEFT JOIN proof ON a.doc_id = proof.doc_id, root"""
