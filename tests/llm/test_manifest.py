@@ -247,8 +247,9 @@ def aligned(rows):
             continue
         ends = [np.cumsum([len(v[x]) for x in ids]).tolist() for v, ids in ((a_bytes, a), (b_bytes, b))]
         groups, links, p, q = [], [], 0, 0
-        for end in sorted(set(ends[0]) & set(ends[1])):
-            x, y = ends[0].index(end) + 1, ends[1].index(end) + 1
+        place = [{end: k + 1 for k, end in enumerate(e)} for e in ends]
+        for end in sorted(place[0].keys() & place[1].keys()):
+            x, y = place[0][end], place[1][end]
             groups.append((a[p:x], b[q:y]))
             links += [(s, t) for s in a[p:x] for t in b[q:y]]
             p, q = x, y
