@@ -25,10 +25,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recsift.llm.rows import saved
+from recsift.operators.joins import bounded
 
 FAN = 16
 # Levels of edges in a block: up to 4,096 nodes at its foot.
 BLOCK = 3
+# Blocks (140 KB each at most) that one task reads.
+BLOCKS_IN_TASK = 64
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 TAMPER_EVERY = 5
 
@@ -120,26 +123,61 @@ def fold(node: str, steps: list[tuple[int, str]]) -> str:
 
 # ------------------------------------------------------------------ numbering
 
-def numbered(rows: DataFrame, group: list[str], order: list[Column]) -> DataFrame:
-    """``rows`` with ``_at``, each one's number (from 0) in its group, and
-    ``_n``, the group's size. Rows are range-sorted, so a group of any size
-    spreads over tasks; the windows that follow hold one row per task, or the
-    rows of one."""
-    keys = [F.col(g).asc_nulls_first() for g in group]
-    rows = rows.withColumn("_tie", F.monotonically_increasing_id())  # equal rows may be dealt apart
-    rows = saved(rows.repartitionByRange(*keys, *order, "_tie").withColumn("_task", F.spark_partition_id()))
-    counts = saved(rows.groupBy(*group, "_task").agg(F.count(F.lit(1)).alias("_rows")))
-    own = Window.partitionBy(*group)
+def _count_off(schema: pa.Schema):
+    """Of the sorted rows of a task: ``_nth``, the number of the source among
+    the task's, and ``_inside``, the row's number in it there."""
+    def run(batches):
+        nth, inside, last = -1, 0, ()
+        for batch in batches:
+            told = [[], []]
+            for source in batch.column(batch.schema.get_field_index("source")).to_pylist():
+                if (source,) != last:
+                    nth, inside, last = nth + 1, 0, (source,)
+                told[0].append(nth)
+                told[1].append(inside)
+                inside += 1
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(x, pa.int64()) for x in told)], schema=schema)
+    return run
+
+
+def numbered(leaves: DataFrame) -> tuple[DataFrame, int]:
+    """``leaves`` with ``tree``, the number of the row's source (null first,
+    then by UTF-8 bytes), ``at``, the row's number in it (by ``doc_id``, nulls
+    last, then ``leaf``) and ``total``, the source's rows; and the number of sources.
+
+    The rows are range-sorted, so a source of any size spreads over tasks,
+    and counted off where they lie. What is shuffled after that has a row for
+    each source of each task, and each window of it the rows of one source or task.
+    """
+    order = [F.col("source").asc_nulls_first(), F.col("doc_id").asc_nulls_last(), F.col("leaf"), F.col("_tie")]
+    leaves = leaves.withColumn("_tie", F.monotonically_increasing_id())  # equal rows may be dealt apart
+    leaves = leaves.repartitionByRange(*order).sortWithinPartitions(*order).drop("_tie") \
+        .withColumn("_task", F.spark_partition_id())
+    schema = pa.schema([("doc_id", pa.int64()), *((c, pa.string()) for c in ("source", "leaf", "tampered")),
+                        ("_task", pa.int32()), ("_nth", pa.int64()), ("_inside", pa.int64())])
+    rows = saved(leaves.select("doc_id", "source", "leaf", "tampered", "_task").mapInArrow(
+        _count_off(schema), "doc_id long, source string, leaf string, tampered string, _task int, _nth long, _inside long"))
+    parts = rows.groupBy("source", "_task").agg(F.count(F.lit(1)).alias("_rows"), F.first("_nth").alias("_nth"))
+    own = Window.partitionBy("source")
     before = own.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], F.col("_task").alias("_t"),
-                           F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"),
-                           F.sum("_rows").over(own).alias("_n"))
-    inside = Window.partitionBy(*group, "_task").orderBy(*order, "_tie")
-    rows = rows.withColumn("_inside", F.row_number().over(inside) - 1)
-    same = [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(group)]
-    joined = rows.join(starts, [*same, F.col("_task") == F.col("_t")])
-    return joined.withColumn("_at", F.col("_start") + F.col("_inside")) \
-        .drop("_tie", "_task", "_t", "_start", "_inside", *[f"_g{i}" for i in range(len(group))])
+    parts = parts.select(
+        "source", F.col("_task").alias("_t"), F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"),
+        F.sum("_rows").over(own).alias("total"), F.min(F.struct("_task", "_nth")).over(own).alias("_first"))
+    parts = saved(parts.withColumnRenamed("source", "_source"))
+    # sources in the order of the tasks that they begin in: as many windows' rows as begin in one
+    heads = parts.filter("_t = _first._task").select("_source", F.col("_t").alias("_begun"), "_first._nth")
+    told = heads.withColumn("_rank", F.row_number().over(Window.partitionBy("_begun").orderBy("_nth")) - 1)
+    # one row per task
+    tasks = heads.groupBy(F.col("_begun").alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+    upto = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = tasks.select("_b", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_sources"))
+    trees = told.join(F.broadcast(tasks), F.col("_begun") == F.col("_b")).select(
+        F.col("_source").alias("_name"), (F.col("_sources") + F.col("_rank")).alias("tree"))
+    places, _ = bounded(parts.join(trees, F.col("_source").eqNullSafe(F.col("_name"))).drop("_name", "_first"))
+    same = F.col("source").eqNullSafe(F.col("_source")) & (F.col("_task") == F.col("_t"))
+    out = rows.join(places, same).select("doc_id", F.col("tree").cast("string").alias("tree"),
+                                         (F.col("_start") + F.col("_inside")).alias("at"), "total", "leaf", "tampered")
+    return saved(out), heads.count()
 
 
 # ------------------------------------------------------------------ rounds
@@ -169,12 +207,12 @@ def _grow(nodes: DataFrame) -> list[DataFrame]:
     while True:
         blocks = saved(nodes.withColumn("block", F.floor(F.col("at") / FAN ** BLOCK))
                        .groupBy("tree", "block").applyInArrow(_build, _BLOCK_SCHEMA))
-        rounds.append(blocks)
-        more = F.col("total") > FAN ** BLOCK
-        if blocks.filter(more).isEmpty():
+        n, most = blocks.agg(F.count(F.lit(1)), F.max("total")).first()
+        rounds.append(blocks.coalesce(max(1, n // BLOCKS_IN_TASK)))
+        if (most or 0) <= FAN ** BLOCK:
             return rounds
         # a tree that one block holds is done; its root is the only node left
-        nodes = blocks.filter(more).select(
+        nodes = blocks.filter(F.col("total") > FAN ** BLOCK).select(
             "tree", F.col("block").alias("at"), F.ceil(F.col("total") / FAN ** BLOCK).alias("total"),
             F.col("root").alias("node"))
 
@@ -188,34 +226,47 @@ def _roots(rounds: list[DataFrame]) -> DataFrame:
     return out
 
 
+_HANDED = "tree string, at long, path binary, node binary, subroot binary"
+_HANDED_ARROW = pa.schema([("tree", pa.string()), ("at", pa.int64()), ("path", pa.binary()), ("node", pa.binary()),
+                           ("subroot", pa.binary())])
+
+
 def _hand_down(batches):
-    """From blocks with the path of their root: each lowest node's path."""
-    schema = pa.schema([("tree", pa.string()), ("at", pa.int64()), ("path", pa.binary())])
+    """From blocks with the path of their root: each lowest node with its path."""
     for batch in batches:
         for r in batch.to_pylist():
-            block = Block(r["data"], r["n"], r["height"])
+            block, n = Block(r["data"], r["n"], r["height"]), r["n"]
             above = block.paths(r["path"])
+            nodes = [bytes(block.data[a:a + 32]) for a in block.at[-1].tolist()]
             if r["height"]:
                 runs = [block.run(r["height"], i) for i in range(len(above))]
-                paths = [_step(i % FAN, runs[i // FAN]) + above[i // FAN] for i in range(r["n"])]
-            else:
-                paths = above
-            at = np.arange(r["n"], dtype=np.int64) + r["block"] * FAN ** BLOCK
+                above = [_step(i % FAN, runs[i // FAN]) + above[i // FAN] for i in range(n)]
+            at = np.arange(n, dtype=np.int64) + r["block"] * FAN ** BLOCK
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r["tree"]] * r["n"]), pa.array(at), pa.array(paths, pa.binary())], schema=schema)
+                [pa.array([r["tree"]] * n), pa.array(at), pa.array(above, pa.binary()), pa.array(nodes, pa.binary()),
+                 pa.array([r["subroot"]] * n, pa.binary())], schema=_HANDED_ARROW)
+
+
+def _handed(blocks: DataFrame) -> DataFrame:
+    return blocks.select("tree", "block", "height", "n", "data", "path", "subroot").mapInArrow(_hand_down, _HANDED)
 
 
-def _with_path(rounds: list[DataFrame], tops: DataFrame) -> DataFrame:
-    """The first round's blocks with the path of their root; ``tops``:
-    ``(tree, path)`` of the trees' roots."""
+def _with_path(rounds: list[DataFrame], tops: DataFrame | None) -> DataFrame:
+    """The first round's blocks with the path of their root, and the subroot of
+    their tree. ``tops``: ``(tree, path, subroot)`` of the trees' roots; None for
+    the last tree, whose root has no path and no subroot."""
     handed = None
     for blocks in reversed(rounds):
-        done = blocks.filter(F.col("total") <= FAN ** BLOCK).join(tops, "tree")
+        done = blocks.filter(F.col("total") <= FAN ** BLOCK)
+        if tops is None:
+            done = done.select("*", F.lit(b"").alias("path"), F.lit(None).cast("binary").alias("subroot"))
+        else:
+            done = done.join(tops, "tree")
         if handed is not None:
-            done = done.unionByName(blocks.join(handed.withColumnRenamed("at", "block"), ["tree", "block"]))
+            above = handed.select("tree", F.col("at").alias("block"), "path", "subroot")
+            done = done.unionByName(blocks.join(above, ["tree", "block"]))
         if blocks is not rounds[0]:
-            handed = done.select("tree", "block", "height", "n", "data", "path") \
-                .mapInArrow(_hand_down, "tree string, at long, path binary")
+            handed = _handed(done)
     return done
 
 
@@ -234,14 +285,14 @@ def leaf(text: Column, fields: dict[str, Column]) -> Column:
 _OUT = "doc_id long, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean"
 
 
-def _prove():
+def _prove(root: str):
     names = [f.split()[0] for f in _OUT.split(", ")]
 
     def run(leaves: pa.Table, blocks: pa.Table) -> pa.Table:
         leaves = leaves.sort_by("at")
         r = blocks.to_pylist()[0]
         block = Block(r["data"], r["n"], r["height"])
-        root, subroot = r["whole"].hex(), r["subroot"].hex()
+        subroot = r["subroot"].hex()
         above = [_steps(p) for p in block.paths(r["path"])]
         higher = ["".join(run[:at] + run[at + 64:] for at, run in steps) for steps in above]
         runs = [block.run(r["height"], i).hex() for i in range(len(above))] if r["height"] else []
@@ -264,7 +315,7 @@ def _prove():
 
 
 def merkle_manifest(docs: DataFrame) -> tuple[DataFrame, list[DataFrame], list[DataFrame]]:
-    """Leaves ``(doc_id, source, tree, at, leaf, tampered)``, the blocks of
+    """Leaves ``(doc_id, tree, at, total, leaf, tampered)``, the blocks of
     the sources' trees and those of the tree over them, all written to the
     shared folder.
 
@@ -277,19 +328,10 @@ def merkle_manifest(docs: DataFrame) -> tuple[DataFrame, list[DataFrame], list[D
     chosen = F.crc32(F.col("doc_id").cast("string")) % TAMPER_EVERY == 0
     leaves = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
                          leaf(text, fields).alias("leaf"), F.when(chosen, leaf(lower, fields)).alias("tampered"))
-    leaves = numbered(leaves, ["source"], [F.col("doc_id").asc_nulls_last(), F.col("leaf")])
-    leaves = saved(leaves.withColumnRenamed("_at", "at").withColumnRenamed("_n", "total"))
-    sources = leaves.select("source").distinct().withColumn("_one", F.lit(1))
-    sources = saved(numbered(sources, ["_one"], [F.col("source").asc_nulls_first()]).select(
-        F.col("source").alias("_source"), F.col("_at").cast("string").alias("tree"), F.col("_n").alias("_sources")))
-    leaves = leaves.join(sources, leaves["source"].eqNullSafe(sources["_source"])) \
-        .select("doc_id", "source", "tree", "at", "total", "leaf", "tampered", "_sources")
-    leaves = saved(leaves)
+    leaves, n_sources = numbered(leaves)
     low = _grow(leaves.select("tree", "at", "total", F.unhex("leaf").alias("node")))
-    subroots = _roots(low)
-    sizes = sources.select("tree", F.col("_sources").alias("total"))
-    high = _grow(subroots.join(sizes, "tree").select(
-        F.lit("").alias("tree"), F.col("tree").cast("long").alias("at"), "total", F.col("root").alias("node")))
+    high = _grow(_roots(low).select(F.lit("").alias("tree"), F.col("tree").cast("long").alias("at"),
+                                    F.lit(n_sources).cast("long").alias("total"), F.col("root").alias("node")))
     return leaves, low, high
 
 
@@ -299,18 +341,16 @@ def prove(leaves: DataFrame, low: list[DataFrame], high: list[DataFrame]) -> Dat
     leaf's way to the root, read from the blocks; ``folded_root`` is what they give with
     the tampered leaf where there is one, else with the leaf.
     """
-    root = _roots(high).select(F.lit("").alias("_last"), F.col("root").alias("whole"))
-    none = root.select(F.lit("").alias("tree"), F.lit(b"").alias("path"))
-    tops = _with_path(high, none).select("tree", "block", "height", "n", "data", "path") \
-        .mapInArrow(_hand_down, "tree string, at long, path binary") \
-        .select(F.col("at").cast("string").alias("tree"), "path")
-    subroots = _roots(low).select("tree", F.col("root").alias("subroot"))
-    blocks = _with_path(low, tops).join(subroots, "tree") \
-        .withColumn("_last", F.lit("")).join(F.broadcast(root), "_last")  # the one root
+    last = _roots(high).first()
+    if last is None:
+        return leaves.sparkSession.createDataFrame([], _OUT)
+    tops = _handed(_with_path(high, None)).select(
+        F.col("at").cast("string").alias("tree"), "path", F.col("node").alias("subroot"))
+    blocks = _with_path(low, saved(tops))
     cut = leaves.withColumn("block", F.floor(F.col("at") / FAN ** BLOCK))
     return cut.select("tree", "block", "at", "doc_id", "leaf", "tampered").groupBy("tree", "block").cogroup(
-        blocks.select("tree", "block", "height", "n", "data", "path", "subroot", "whole").groupBy("tree", "block")
-    ).applyInArrow(_prove(), _OUT)
+        blocks.select("tree", "block", "height", "n", "data", "path", "subroot").groupBy("tree", "block")
+    ).applyInArrow(_prove(last["root"].hex()), _OUT)
 
 
 def merkle_proofs(docs: DataFrame) -> DataFrame:
