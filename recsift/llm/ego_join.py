@@ -228,7 +228,9 @@ def near_vectors(table: DataFrame, cosine: float = COSINE, id_col: str = "vec_id
                         F.transform(F.col(vector_col), lambda x: x.cast("double") + 0.0).alias("vector"))
     rows = rows.withColumn("valid", F.coalesce(valid, F.lit(False)))
     # equal vectors: one row with a count; their group is named by its digest
-    digest = F.sha2(F.concat_ws(",", "label", F.transform(v, lambda x: x.cast("string"))), 256)
+    # (the label's length tells where it ends)
+    digest = F.sha2(F.concat_ws(",", F.length("label").cast("string"), "label",
+                                F.transform(v, lambda x: x.cast("string"))), 256)
     rows = rows.withColumn("key", F.when(F.col("valid"), digest))
     groups = (rows.filter("valid").groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("n"),
               F.first("label").alias("label"), F.first("vector").alias("vector"))

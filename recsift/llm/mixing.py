@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recsift.llm.prefix import running, spread_of
-from recsift.llm.rows import name_columns, packed_once, saved
+from recsift.llm.rows import name_columns, packed_once, row_hash, saved
 
 WEIGHTS = (5, 2, 1)
 SLOPES = (-0.5, 0.0, 0.5)
@@ -82,17 +82,19 @@ def mix_sources(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), source_col
 
     Null source: a source of its own, last. Null text: size 0, taken by the
     same rule (its words are 0). Repeated ids and rows are ordered by text
-    hash and count one by one; equal rows are interchangeable. Extra columns
+    hash, then by the hash of the kept columns, and count one by one; rows equal in
+    these are interchangeable. Extra columns
     are not read unless named in ``keep``. If all texts are empty, targets are
     0. An empty table gives an empty result.
     """
     packed = docs.select(F.struct(*[F.col(c) for c in keep]).alias("kept_columns"),
                          F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
-                         F.col(order_col).cast("string").alias("_id"), F.xxhash64(text_col).alias("_text"))
+                         F.col(order_col).cast("string").alias("_id"), F.xxhash64(text_col).alias("_text"),
+                         row_hash(docs.select(*keep)).alias("_rest"))
     packed = saved(packed)
     per = saved(source_targets(packed, **targets))
     n_rows = packed.count()
-    placed = running(packed, ["source"], [F.col("_id"), F.col("_text")], F.col("size"), "_at",
+    placed = running(packed, ["source"], [F.col("_id"), F.col("_text"), F.col("_rest")], F.col("size"), "_at",
                      spread_of(SALT, "_id"), n_rows)
     named = per.withColumnRenamed("source", "_source")
     joined = placed.join(named, placed["source"].eqNullSafe(named["_source"]))
@@ -124,10 +126,12 @@ def training_positions(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), **o
 
 
 def _rows_at(docs: DataFrame, positions: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``docs``, a row for each of the ``(_i, _d, position)`` of its name, range-sorted by position."""
+    """``docs``, a row for each of the ``(_i, _d, _r, position)`` of its name, range-sorted by position."""
     packed, row = packed_once(docs, id_col, text_col)
-    rows = packed.join(positions, (F.col("_id_key") == F.col("_i")) & (F.col("_digest") == F.col("_d")))
-    ordered = sorted_by_position(rows.select(row, "position", "_i", "_d"), F.col("position"), F.xxhash64("_i", "_d"))
+    same = (F.col("_id_key") == F.col("_i")) & (F.col("_digest") == F.col("_d")) & (F.col("_row") == F.col("_r"))
+    rows = packed.join(positions, same)
+    ordered = sorted_by_position(rows.select(row, "position", "_i", "_d", "_r"), F.col("position"),
+                                 F.xxhash64("_i", "_d", "_r"))
     return ordered.select(f"`{row}`.*")
 
 
@@ -135,11 +139,16 @@ def training_order(docs: DataFrame, id_col: str = "doc_id", source_col: str = "s
                    **targets) -> DataFrame:
     """``docs`` as the mix takes them, all columns: a row for each copy, range-
     sorted by training position. Positions are worked out on rows without
-    text, which then meets them by id and digest."""
-    names = docs.select(*name_columns(id_col, text_col), F.col(source_col).alias("source"),
-                        F.col(text_col).alias("text"))
-    mixed = mix_sources(names, keep=("_id_key", "_digest"), order_col="_id_key", **targets)
-    positions = mixed.select(F.col("_id_key").alias("_i"), F.col("_digest").alias("_d"),
+    text, which then meets them by id, digest and the hash of the whole row.
+
+    Null and repeated ids, null texts and sources: as in :func:`mix_sources`.
+    Rows of one id and text that differ in another column are taken each by
+    itself; equal rows are interchangeable. An empty table gives an empty result.
+    """
+    names = docs.select(*name_columns(id_col, text_col), row_hash(docs).alias("_row"),
+                        F.col(source_col).alias("source"), F.col(text_col).alias("text"))
+    mixed = mix_sources(names, keep=("_id_key", "_digest", "_row"), order_col="_id_key", **targets)
+    positions = mixed.select(F.col("_id_key").alias("_i"), F.col("_digest").alias("_d"), F.col("_row").alias("_r"),
                              F.explode("positions").alias("position"))
     return _rows_at(docs, positions, id_col, text_col)
 
@@ -154,24 +163,24 @@ def order_again(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     gives the slope, and a row's copies are its passes. Equal input rows that
     were each taken once count as two passes of one.
     """
-    names = docs.select(*name_columns(id_col, text_col), F.col(source_col).alias("source"),
-                        word_count(F.col(text_col)).alias("size"))
-    copies = names.groupBy("_id_key", "_digest").agg(
+    names = docs.select(*name_columns(id_col, text_col), row_hash(docs).alias("_row"),
+                        F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
+    copies = names.groupBy("_id_key", "_digest", "_row").agg(
         F.first("source").alias("source"), F.first("size").alias("size"), F.count("*").alias("n")) \
         .withColumn("copy", F.explode(F.expr(f"transform(sequence(0L, n - 1), i -> i % {most})"))) \
         .withColumn("_id", F.col("_id_key").cast("string"))
-    copies = saved(copies.select("_id_key", "_digest", "_id", "source", "size", "copy"))
+    copies = saved(copies.select("_id_key", "_digest", "_row", "_id", "source", "size", "copy"))
     per = saved(source_targets(copies)).select(F.col("source").alias("_source"), "source_size", "slope")
     passes = saved(copies.groupBy("source", "copy").agg(F.sum("size").alias("_words")))
     before = Window.partitionBy("source").orderBy("copy").rowsBetween(Window.unboundedPreceding, -1)
     starts = passes.select(F.col("source").alias("_s"), F.col("copy").alias("_c"),
                            F.coalesce(F.sum("_words").over(before), F.lit(0)).alias("_start"))
-    placed = running(copies, ["source", "copy"], [F.col("_id"), F.col("_digest")], F.col("size"), "_at",
+    placed = running(copies, ["source", "copy"], [F.col("_id"), F.col("_digest"), F.col("_row")], F.col("size"), "_at",
                      spread_of(SALT, "_id"), copies.count())
     placed = placed.join(per, placed["source"].eqNullSafe(per["_source"])).join(
         starts, placed["source"].eqNullSafe(starts["_s"]) & (placed["copy"] == starts["_c"]))
     share = F.when(F.col("source_size") > 0, (F.col("_start") + F.col("_at")) / F.col("source_size")) \
         .otherwise(F.lit(0.0))
-    positions = placed.select(F.col("_id_key").alias("_i"), F.col("_digest").alias("_d"),
+    positions = placed.select(F.col("_id_key").alias("_i"), F.col("_digest").alias("_d"), F.col("_row").alias("_r"),
                               position(F.least(share, F.lit(1.0)), F.col("slope")).alias("position"))
     return _rows_at(docs, positions, id_col, text_col)

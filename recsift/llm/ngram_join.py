@@ -42,7 +42,7 @@ from recsift.llm.blobs import (
 )
 from recsift.llm.components import components
 from recsift.llm.links import Forest
-from recsift.llm.rows import NULL_KEY, keyed, packed_once, saved
+from recsift.llm.rows import NULL_KEY, _repeated_ids, keyed, packed_once, saved
 from recsift.llm.words import U64, Chunk, chunks, mix, window_hashes
 
 SHINGLE = 5
@@ -337,13 +337,17 @@ def jaccard_join(docs: DataFrame, sim: Fraction = SIMILARITY, size: int = SHINGL
 def keep_one(docs: DataFrame, sim: Fraction = SIMILARITY, size: int = SHINGLE, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component, the one of the smallest id (of
-    equal ids, by text digest); rows without words all stay, equal rows once.
-    All columns stay."""
+    equal ids, by text digest, then by the hash of the whole row); rows without
+    words all stay, equal ones of a repeated id once. All columns stay."""
     rows, _ = keyed(docs, id_col, text_col)
     linked = saved(_linked(rows, sim, size))
     heads = (linked.filter("component is not null").groupBy("component").agg(F.min(F.struct("_k", "_sub")).alias("x"))
-             .select("x.*").unionByName(linked.filter("component is null").select("_k", "_sub")))
+             .select("x.*", F.lit(True).alias("_one"))
+             .unionByName(linked.filter("component is null").select("_k", "_sub", F.lit(False).alias("_one"))))
     packed, row = packed_once(docs, id_col, text_col)
-    kept = packed.join(heads, (F.col("_id_key") == F.col("_k")) & F.col("_sub").isin(F.lit(0), F.col("_digest")),
-                       "left_semi")
-    return kept.select(f"`{row}`.*")
+    kept = packed.join(heads, (F.col("_id_key") == F.col("_k")) & F.col("_sub").isin(F.lit(0), F.col("_digest")))
+    if _repeated_ids(packed.select("_id_key")) is None:
+        return kept.select(f"`{row}`.*")
+    # rows of one id and text that differ elsewhere: one of them, if it has words
+    first = kept.filter("_one").groupBy("_id_key", "_digest").agg(F.min_by(row, "_row").alias(row))
+    return first.select(f"`{row}`.*").unionByName(kept.filter("not _one").select(f"`{row}`.*"))

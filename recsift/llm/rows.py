@@ -3,7 +3,8 @@
 A row is named by ``(_k, _sub)``: ``_k`` is its id (null: the largest long)
 and ``_sub`` is 0 unless several rows share that id; then it is 60 bits of the
 text's SHA-256. Rows with the same id and the same text have one name and get
-one result, given to each.
+one result, given to each. Where whole rows are returned, ``_row`` tells rows of
+one name apart that differ in other columns.
 """
 
 from __future__ import annotations
@@ -58,13 +59,24 @@ def keyed(docs: DataFrame, id_col: str = "doc_id",
     return alone.unionByName(once), lambda result: names.join(result, ["_k", "_sub"])
 
 
+def row_hash(df: DataFrame) -> Column:
+    """64 bits of all columns, nulls included; equal rows have equal ones."""
+    parts = []
+    for field in df.schema.fields:
+        value = F.col(f"`{field.name}`")
+        flat = field.dataType.simpleString()
+        # no hash of maps and variants
+        parts += [F.to_json(F.struct(value)) if "map<" in flat or "variant" in flat else value, value.isNull()]
+    return F.xxhash64(*parts)
+
+
 def packed_once(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, str]:
-    """``(_id_key, _digest, row)`` with each name once, and the name of the row's
-    column, a struct of all columns. Equal rows differ in nothing that counts."""
+    """``(_id_key, _digest, _row, row)``, equal rows once, and the name of the
+    row's column, a struct of all columns. ``_row`` is :func:`row_hash`."""
     row = "".join(docs.columns) + "_"  # a name that no column has
-    packed = docs.select(F.struct("*").alias(row), *name_columns(id_col, text_col))
+    packed = docs.select(F.struct("*").alias(row), *name_columns(id_col, text_col), row_hash(docs).alias("_row"))
     if _repeated_ids(packed) is not None:
-        packed = packed.groupBy("_id_key", "_digest").agg(F.first(row).alias(row))
+        packed = packed.groupBy("_id_key", "_digest", "_row").agg(F.first(row).alias(row))
     return packed, row
 
 

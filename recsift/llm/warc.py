@@ -31,6 +31,8 @@ MIN_REVISIT_BYTES = 100
 # Ranges at most so far apart are read together, up to so many bytes.
 MAX_GAP = 64 << 10
 MAX_READ = 8 << 20
+# Bytes of records that one task reads.
+TASK_BYTES = 16 << 20
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 _PROFILE = b"http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -47,8 +49,14 @@ _READ_ARROW = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record
                          ("payload_bytes", pa.int64()), ("payload", pa.binary())])
 
 
+def _plain_uri(uri: str) -> str:
+    """Hadoop's names of a file system as Arrow knows them."""
+    return re.sub(r"^dbfs:/+", "/dbfs/", re.sub(r"^s3[an]:", "s3:", uri))
+
+
 def _file_system(uri: str) -> tuple[FileSystem, str]:
     """The file system of a URI, or the local one of a plain path."""
+    uri = _plain_uri(uri)
     return FileSystem.from_uri(uri) if re.match(r"[a-z0-9]+:", uri) else (LocalFileSystem(), uri)
 
 
@@ -190,8 +198,11 @@ def write_archives(pages: DataFrame, folder: str, date: str = "2000-01-01T00:00:
 
 def read_records(index: DataFrame, folder: str) -> DataFrame:
     """Records of the index rows given (:data:`_READ`), each read from its
-    byte range; ranges close together are read at once."""
-    wanted = index.select("file", "offset", "length").repartitionByRange("file", "offset") \
+    byte range; ranges close together are read at once. Tasks are as many as
+    the bytes to read ask for, whatever the size of the index."""
+    size = index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(1, -(-int(size) // TASK_BYTES))
+    wanted = index.select("file", "offset", "length").repartitionByRange(tasks, "file", "offset") \
         .sortWithinPartitions("file", "offset")
     return wanted.mapInArrow(_read(folder), _READ)
 

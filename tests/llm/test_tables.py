@@ -21,10 +21,11 @@ from brute import SF01, SF001
 from recsift.llm import ego_join, mixing, warc
 from recsift.llm.ego_join import near_vectors
 from recsift.llm.entry import QUERIES
-from recsift.llm.mixing import mix_sources, position, training_order
+from recsift.llm.mixing import mix_sources, order_again, position, training_order
+from recsift.llm.ngram_join import keep_one
 from recsift.llm.pii import _homoglyphs, all_spans
 from recsift.llm.sharding import hilbert_index, hilbert_shards, write_shards
-from recsift.llm.warc import new_folder, ranges, read_records, write_archives
+from recsift.llm.warc import _plain_uri, new_folder, ranges, read_records, write_archives
 
 
 def _near(rows):
@@ -47,6 +48,13 @@ def _near(rows):
                   key=str)
 
 
+def test_labels_may_hold_commas(spark):
+    rows = [(1, [1.0, 2.0], "a"), (2, [2.0], "a,1.0"), (3, [2.0], "a,1.0"), (4, [1.0, 2.0], "a"), (5, [2.0], "1"),
+            (6, [2.0], "1,1"), (7, [2.0], "3,a,1.0"), (8, [1.0, 2.0], None), (9, [1.0, 2.0], ""), (10, [1.0, 2.0], "")]
+    got = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string"))
+    assert sorted(map(tuple, got.collect()), key=str) == _near(rows)
+
+
 def test_near_vectors(spark, monkeypatch):
     monkeypatch.setattr(ego_join, "INTERVAL", 40)
     monkeypatch.setattr(ego_join, "LEAF", 8)
@@ -200,6 +208,34 @@ def test_training_order_repeats_rows_in_order(spark):
     assert training_order(docs.limit(0)).collect() == [] and mix_sources(docs.limit(0)).collect() == []
 
 
+def test_rows_of_one_id_and_text_stay_themselves(spark, tmp_path):
+    text = brute.prose(3, 30)
+    kind = "doc_id long, text string, lang string, source string, n_chars long, tags map<string,int>"
+    rows = [(1, text, "en", "s1", 1, {"a": 1}), (1, text, "fr", "s2", 1, {"a": 1}), (1, text, "fr", "s2", 1, {"a": 2}),
+            (1, text, None, "s2", 1, None), (2, brute.prose(4, 40), "en", "s1", 2, None),
+            (3, brute.prose(5, 50), "de", None, 3, None), (None, None, "en", "s1", None, None),
+            (None, "", "fr", "s1", None, None), (1, text, "en", "s1", 1, {"a": 1})]
+    found = []
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, kind).coalesce(1)
+        out = training_order(docs).collect()
+        taken = Counter(map(str, out))
+        mixed = mix_sources(docs, keep=("doc_id", "source")).collect()
+        expected = Counter()
+        for r in mixed:
+            expected[r.doc_id, r.source] += r.copies
+        assert Counter((r.doc_id, r.source) for r in out) == +expected and set(taken) <= {
+            str(r) for r in docs.collect()}
+        again = order_again(training_order(docs).repartition(3))
+        assert Counter(map(str, again.collect())) == taken
+        kept = sorted(map(str, keep_one(docs).collect()))
+        assert len(kept) == 5  # texts 1, 2, 3 once each, and both rows without words
+        found.append((taken, kept))
+    assert found[0] == found[1]
+    empty = spark.createDataFrame([], kind)
+    assert order_again(empty).collect() == [] and keep_one(empty).collect() == []
+
+
 @pytest.mark.parametrize(("dims", "bits"), [(2, 3), (3, 3)])
 def test_curve_visits_neighbours(spark, dims, bits):
     side = 1 << bits
@@ -371,3 +407,19 @@ def test_run_equals_its_stages(spark):
     out = corpus_pipeline.run(spark, SF001)
     assert out.columns == ["doc_id", "n_tokens", "ids", "text"] and out.count() > 100
     assert re.fullmatch("[a-z_ ]+", " ".join(n for n, _ in corpus_pipeline.STAGES))
+
+
+def test_archive_folders_by_hadoop_names():
+    names = {"s3a://b/k": "s3://b/k", "s3n://b": "s3://b", "dbfs:/x/y": "/dbfs/x/y", "file:///x": "file:///x", "/x": "/x"}
+    assert {n: _plain_uri(n) for n in names} == names
+
+
+def test_records_are_read_by_as_many_tasks_as_bytes_ask_for(spark, tmp_path, monkeypatch):
+    from recsift.llm import warc
+
+    pages = spark.createDataFrame([(i, f"u{i}", brute.prose(i, 300)) for i in range(60)], "page_id long, url string, html string")
+    index = write_archives(pages, f"file://{tmp_path}/w")
+    size = index.agg(F.sum("length")).first()[0]
+    monkeypatch.setattr(warc, "TASK_BYTES", size // 5)
+    read = read_records(index, f"file://{tmp_path}/w")
+    assert read.rdd.getNumPartitions() >= 5 and read.count() == 60
