@@ -19,6 +19,7 @@ import os
 import sys
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -26,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from recsift import sql_twins as T  # noqa: E402
+from recsift.operators.gram_als import fit_gram_als  # noqa: E402
 from recsift.operators import (  # noqa: E402
     ALSSpec,
     SplitSpec,
@@ -39,6 +41,7 @@ from recsift.operators import (  # noqa: E402
     fit_als,
     fuse_scores,
     item_visibility_rows,
+    label_arrays,
     per_user_metrics,
     popularity_recs,
     pred_labels,
@@ -79,8 +82,11 @@ from recsift.sources import (  # noqa: E402
     interaction_rows,
     interactions,
     interactions_table,
+    commit_runs,
     materialize,
     one_row_per_pair,
+    read_runs,
+    scan_csv,
 )
 
 # Parameters of the registered queries.
@@ -91,13 +97,12 @@ REG = 0.01          # ALS regularisation of the model queries
 DOWN_FRACTION = 0.25
 PREPARE_FRACTION = 0.5
 FUSE_WEIGHT = 0.5
+LABELS_IN_ARRAY = 8  # few, so that users have several arrays here
 FRACTIONS = (0.01, 0.05, 0.25, 1.0)
 TRIPLE = ["user_id", "item_id", "rating"]
 # Few train users and a large holdout: users lose all rows, items are unseen.
 SPARSE = SplitSpec(seed=SEED, train_share=20, val_share=490, holdout=950)
-# The grid goes up to rank 500, whose solves cost rank ** 3 per user and item
-# and iteration; one iteration keeps its 16 fits affordable.
-GRID_SPEC = ALSSpec(seed=SEED, max_iter=1)
+GRID_SPEC = ALSSpec(seed=SEED, solver="gram")
 GRID_RANKS, GRID_REGS = (10, 20, 100, 500), (0.01, 0.1, 1.0, 10.0)
 
 
@@ -150,8 +155,8 @@ def _per_user(s):
     return per_user_metrics(_pop_preds(s), true_labels(_val(s)), K)
 
 
-def _als_rows(s, implicit):
-    model = fit_als(_train(s), ALSSpec(implicit=implicit, reg=REG, seed=SEED))
+def _als_rows(s, implicit, solver="ml"):
+    model = fit_als(_train(s), ALSSpec(implicit=implicit, reg=REG, seed=SEED, solver=solver))
     return recommend_long(model, eval_users(split_view(s, "val")), K)
 
 
@@ -371,6 +376,71 @@ def q_als_topk_implicit_rows(spark, sf):
     return _als_rows(_splits(spark, sf), True)
 
 
+def q_als_gram_topk_explicit(spark, sf):
+    s = _splits(spark, sf)
+    return _list_facts(_als_rows(s, False, "gram"), _train(s))
+
+
+def q_als_gram_topk_implicit(spark, sf):
+    s = _splits(spark, sf)
+    return _list_facts(_als_rows(s, True, "gram"), _train(s))
+
+
+def q_als_gram_parity(spark, sf):
+    """Both solvers from the same start: ids of each factor table, and how many
+    have factors that differ by at most 1e-4."""
+    train, out = _train(_splits(spark, sf)), None
+    for implicit in (False, True):
+        spec = ALSSpec(implicit=implicit, reg=REG, seed=SEED)
+        start = fit_als(train, replace(spec, max_iter=0)).userFactors
+        own, ml = fit_gram_als(train, spec, start), fit_als(train, spec)
+        for side in ("userFactors", "itemFactors"):
+            other = getattr(ml, side).select("id", F.col("features").alias("other"))
+            gap = F.array_max(F.zip_with("features", "other", lambda x, y: F.abs(x - y)))
+            row = getattr(own, side).join(other, "id", "full").agg(
+                F.count("id").alias("n_ids"), F.count(F.when(gap <= 1e-4, 1)).alias("n_close")) \
+                .select(F.lit(spec.model_type).alias("model_type"), F.lit(side).alias("side"), "n_ids", "n_close")
+            out = row if out is None else out.unionByName(row)
+    return out
+
+
+def q_label_arrays(spark, sf):
+    arrays = label_arrays(true_labels(_val(_splits(spark, sf))), LABELS_IN_ARRAY)
+    return arrays.select("user_id", "chunk", F.array_join("items", ",").alias("items"))
+
+
+def _export(spark, sf):
+    """A CSV export of the interaction rows; every 97th user's ratings are
+    words, every 89th item's user ids are too long, every 83rd's are missing."""
+    r = interaction_rows(spark, sf)
+    item = F.col("item_id")
+    user = F.when(item % 89 == 0, F.lit("99999999999")).when(item % 83 == 0, F.lit(None)).otherwise(F.col("user_id").cast("string"))
+    rating = F.when(F.col("user_id") % 97 == 0, F.lit("five")).otherwise(F.col("rating").cast("string"))
+    path = f"{_folder(spark)}/export.csv"
+    r.select(user.alias("user_id"), "item_id", "is_read", rating.alias("rating"), "is_reviewed") \
+        .write.csv(path, header=True)
+    return path
+
+
+def q_csv_scan(spark, sf):
+    """What a CSV export's scan keeps, summed up, and what it rejects, by reason."""
+    scan = scan_csv(spark, _export(spark, sf))
+    sums = scan.rows.agg(*[F.sum(c).alias(f"sum_{c}") for c in ("user_id", "item_id", "rating")])
+    none = [F.lit(None).cast("bigint").alias(c) for c in sums.columns]
+    kept = scan.balance().filter("status = 'kept'").select(
+        "*", *[sums.select(c).scalar().alias(c) for c in sums.columns])
+    return kept.unionByName(scan.balance().filter("status <> 'kept'").select("*", *none))
+
+
+def q_runs_table(spark, sf):
+    """Two runs of the weight search committed to a runs table, the first of
+    them twice, as a retry does."""
+    metrics, path = _written(q_tune_weight_lists(spark, sf)), f"{_folder(spark)}/runs"
+    for run in ("first", "second", "first"):
+        commit_runs(metrics, path, run)
+    return read_runs(spark, path)
+
+
 def q_als_coverage(spark, sf):
     return collect_recs(_als_rows(_splits(spark, sf), False)).select(
         "user_id", F.size("recommendations").alias("n_recs"))
@@ -571,6 +641,12 @@ def oracle_sql() -> dict[str, str]:
         "id_map": _id_map_sql(),
         "als_topk_explicit": _sql(_LISTS),
         "als_topk_implicit": _sql(_LISTS),
+        "als_gram_topk_explicit": _sql(_LISTS),
+        "als_gram_topk_implicit": _sql(_LISTS),
+        "als_gram_parity": _sql(
+            "SELECT model_type, side, n AS n_ids, n AS n_close FROM (VALUES ('explicit'), ('implicit')) m(model_type), "
+            "(SELECT 'userFactors' AS side, count(DISTINCT user_id) AS n FROM final WHERE split = 'train' UNION ALL "
+            "SELECT 'itemFactors', count(DISTINCT item_id) FROM final WHERE split = 'train') t"),
         "train_eval": _facts(f"'explicit' AS model_type, 10 AS rank, CAST({REG} AS DOUBLE) AS reg"),
         "tune_grid": _facts("'explicit' AS model_type, rank, CAST(reg AS DOUBLE) AS reg",
                             rows=_values("rank", GRID_RANKS) + _values("reg", GRID_REGS)),
@@ -578,6 +654,20 @@ def oracle_sql() -> dict[str, str]:
                               f"CAST({REG} AS DOUBLE) AS reg", rows=_values("weight", WEIGHTS)),
         "flagship": _facts(f"model, 'explicit' AS model_type, 10 AS rank, CAST({REG} AS DOUBLE) AS reg",
                            "test", ("train", "val"), _values("model", ("'basic'", "'hybrid'"))),
+        "label_arrays": _sql(
+            f"SELECT user_id, CAST(n // {LABELS_IN_ARRAY} AS INTEGER) AS chunk, string_agg(item_id, ',' ORDER BY item_id) "
+            f"AS items FROM (SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY item_id) - 1 AS n "
+            f"FROM (SELECT DISTINCT user_id, item_id FROM final WHERE split = 'val' AND rating > 3) d) x "
+            f"GROUP BY user_id, n // {LABELS_IN_ARRAY}"),
+        "csv_scan": (
+            f"SELECT status, count(*) AS n_rows, CAST(sum(u) AS BIGINT) AS sum_user_id, CAST(sum(i) AS BIGINT) AS "
+            f"sum_item_id, CAST(sum(r) AS BIGINT) AS sum_rating FROM (SELECT status, CASE WHEN status = 'kept' THEN user_id "
+            f"END AS u, CASE WHEN status = 'kept' THEN item_id END AS i, CASE WHEN status = 'kept' THEN rating END AS r "
+            f"FROM (SELECT *, CASE WHEN user_id % 97 = 0 OR item_id % 89 = 0 THEN 'malformed' WHEN item_id % 83 = 0 "
+            f"THEN 'no id' ELSE 'kept' END AS status FROM ({T.INTERACTION_ROWS}) t) s) x GROUP BY status"),
+        "runs_table": (f"WITH {T.ctes()}{T.pop_list_ctes(K)}{T.topk_cte(K, WEIGHTS)}"
+                       f"{T.metric_ctes('lists', K, by='weight')}\n"
+                       f"SELECT m.*, run FROM ({T.metric_summary(by='weight')}) m, (VALUES ('first'), ('second')) r(run)"),
         "als_coverage": _sql(
             f"SELECT DISTINCT user_id, CAST(least({K}, (SELECT count(DISTINCT item_id) FROM final "
             f"WHERE split = 'train')) AS INTEGER) AS n_recs FROM final WHERE split = 'val' "

@@ -12,6 +12,7 @@ from recsift.operators.hybrid import (
 from recsift.operators.joins import attach_keys, bounded, keep_keys
 from recsift.operators.metrics import (
     eval_users,
+    label_arrays,
     per_user_metrics,
     ranking_metrics,
     true_labels,

@@ -13,7 +13,7 @@ prediction list and at least one relevant item.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recsift.functions.ranking import average_precision, dcg_at, ideal_dcg_at, precision_at
@@ -31,6 +31,34 @@ def true_labels(split_rows: DataFrame, threshold: int = 3) -> DataFrame:
     return relevant(split_rows, threshold).select("user_id", "item_id").distinct()
 
 
+# Items in one array of a user's labels, and ids in one stretch of the numbering.
+LABEL_CHUNK = 1024
+
+
+def label_arrays(labels: DataFrame, chunk: int = LABEL_CHUNK) -> DataFrame:
+    """Relevant items as arrays: ``(user_id, chunk, items)``, a user's item ids
+    ascending, ``chunk`` of them to an array (the last one has the rest).
+
+    ``labels`` is distinct ``(user_id, item_id)``. A user's items are numbered
+    by stretches of :data:`LABEL_CHUNK` consecutive ids: inside a stretch by a
+    window of at most that many rows, and from the stretches' counts. So no
+    window, array or task grows with one user's history. Rows with a null user
+    or item do not count; an empty table gives an empty result.
+    """
+    if chunk < 1:
+        raise ValueError("chunk must be at least 1")
+    rows = labels.select("user_id", "item_id").dropna() \
+        .withColumn("_stretch", F.floor(F.col("item_id") / LABEL_CHUNK))
+    inside = Window.partitionBy("user_id", "_stretch").orderBy("item_id")
+    rows = rows.withColumn("_nth", F.row_number().over(inside) - 1)
+    before = Window.partitionBy("user_id").orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy("user_id", "_stretch").agg(F.count(F.lit(1)).alias("_n")) \
+        .select("user_id", "_stretch", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    at = rows.join(starts, ["user_id", "_stretch"]) \
+        .withColumn("chunk", F.floor((F.col("_start") + F.col("_nth")) / chunk).cast("int"))
+    return at.groupBy("user_id", "chunk").agg(F.sort_array(F.collect_list("item_id")).alias("items"))
+
+
 def per_user_metrics(preds: DataFrame, labels: DataFrame, k: int,
                      by: tuple[str, ...] = ()) -> DataFrame:
     """``(*by, user_id, n_pred, n_labels, ap, ndcg, precision)`` per evaluated user.

@@ -38,6 +38,13 @@ class ALSSpec:
     # Iterations between factor checkpoints to the shared folder: a lost
     # executor then recomputes at most this many iterations.
     checkpoint_every: int = 5
+    # "ml": Spark ML's solver; "gram": :mod:`recsift.operators.gram_als`, the same
+    # equations with a hot user's or item's ratings spread over tasks.
+    solver: str = "ml"
+
+    def __post_init__(self):
+        if self.solver not in ("ml", "gram"):
+            raise ValueError(f"unknown solver {self.solver!r}")
 
     @property
     def model_type(self) -> str:
@@ -65,9 +72,13 @@ def fit_als(train: DataFrame, spec: ALSSpec = ALSSpec(), path: str | None = None
     rows included so both models see the same users and items.
     """
     from recsift.session import checkpoint_dir
-    from recsift.sources.store import fit_or_load_als
+    from recsift.sources.store import fit_or_load_als, fit_or_load_factors
 
     checkpoint_dir(train.sparkSession)  # ALS cuts its iteration lineage there
+    if spec.solver == "gram":
+        from recsift.operators.gram_als import fit_gram_als
+
+        return fit_or_load_factors(lambda: fit_gram_als(train, spec), train.sparkSession, spec.rank, path)
     data = train.select("user_id", "item_id",
                         F.col(spec.rating_col).cast("float").alias(spec.rating_col))
     return fit_or_load_als(spec.estimator(), data, path)
@@ -117,34 +128,81 @@ def _score(k: int):
     return run
 
 
+def _norm():
+    return F.sqrt(F.aggregate("features", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+
+
+def _item_blocks(items: DataFrame, wanted: int) -> tuple[DataFrame, list[float]]:
+    """``items`` (``id, features, norm``) with their block ``ib``, and each
+    block's largest norm. Blocks are cut at quantiles of the norm, falling; one
+    that equal norms make too large is cut on by hash. The driver holds a few
+    numbers per block."""
+    cuts = sorted(set(items.approxQuantile("norm", [1 - (i + 1) / wanted for i in range(wanted - 1)], 0.01)), reverse=True)
+    stretch = F.size(F.filter(F.array(*map(F.lit, cuts)).cast("array<double>"), lambda c: F.col("norm") < c))
+    items = items.withColumn("ib", stretch)
+    held = {r["ib"]: r for r in items.groupBy("ib").agg(F.count(F.lit(1)).alias("n"), F.max("norm").alias("top")).collect()}
+    size = -(-sum(r["n"] for r in held.values()) // wanted)
+    first, parts, tops = [], [], []
+    for b in range(len(cuts) + 1):
+        first.append(len(tops))
+        parts.append(max(1, -(-held[b]["n"] // (2 * size))) if b in held else 1)
+        tops += [held[b]["top"] if b in held else 0.0] * parts[-1]
+    of = lambda x: F.element_at(F.array(*map(F.lit, x)), F.col("ib") + 1)
+    return items.withColumn("ib", (of(first) + F.pmod(F.xxhash64("id"), of(parts))).cast("int")), tops
+
+
+def _lists(left: DataFrame, right: DataFrame, k: int) -> DataFrame:
+    return left.groupBy("ub", "ib").cogroup(right.groupBy("ub", "ib")).applyInPandas(_score(k), REC_SCHEMA + ", ib int")
+
+
 def recommend_long(model, users: DataFrame, k: int, block_floats: int | None = None) -> DataFrame:
     """Exact top-k items per user for a user subset, long: ``(user_id, pos, item_id, rating)``.
 
     Users unknown to the model are dropped (semi join before any scoring).
-    Users and items are hashed into blocks of at most about ``block_floats``
-    factors; each row is repeated for every block of the other side, and the
-    pair of blocks meets in one cogroup, where numpy scores bounded tiles and
-    keeps the k best items of the block for each user. The lists of ``MERGE``
-    item blocks at a time are then merged until one is left, so no step sees
-    more than ``k * MERGE`` rows per user. Factors stay on the executors: no
-    collect, no broadcast, no cross join, one path for every size.
+    Users are hashed into blocks of at most about ``block_floats`` factors,
+    items are cut into such blocks by falling norm. A pair of blocks meets in
+    one cogroup, where numpy scores bounded tiles and keeps the k best items of
+    the block for each user.
+
+    No score exceeds the product of two norms. So every user first meets the
+    block of the largest norms, and then only those blocks whose largest norm
+    could still give more than the user's k-th score; within a block, tiles are
+    skipped alike. The lists of ``MERGE`` item blocks at a time are then merged
+    until one is left, so no step sees more than ``k * MERGE`` rows per user.
+    Factors stay on the executors: no collect, no broadcast, no cross join.
     Order: score descending, then item id ascending.
     """
+    from recsift.operators.joins import materialize_keys
+
     rank = int(model.rank)
     floats = block_floats or BLOCK_FLOATS
-    items = model.itemFactors.select("id", "features")
+    items = model.itemFactors.select("id", "features", _norm().alias("norm"))
     wanted = users.select(F.col("user_id").alias("id")).distinct()
     factors = model.userFactors.join(wanted, "id", "left_semi").select("id", "features")
     n_users = factors.count()
     item_blocks = n_blocks(items.count(), rank, floats)
     user_blocks = max(n_blocks(n_users, rank, floats),
                       min(SMALL_BLOCKS, -(-n_users // SMALL_BLOCK_USERS)))
-    block = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = factors.select("*", block(user_blocks).alias("ub"), every(item_blocks).alias("ib"))
-    right = items.select("*", every(user_blocks).alias("ub"), block(item_blocks).alias("ib"))
-    long = left.groupBy("ub", "ib").cogroup(right.groupBy("ub", "ib")) \
-        .applyInPandas(_score(k), REC_SCHEMA + ", ib int")
+    left = factors.withColumn("ub", F.pmod(F.xxhash64("id"), F.lit(max(1, user_blocks))).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(max(0, user_blocks - 1))))
+    if item_blocks == 1:
+        zero = F.lit(0).alias("ib")
+        return _lists(left.select("id", "features", "ub", zero), items.select("id", "features", every.alias("ub"), zero), k) \
+            .select("user_id", "pos", "item_id", "rating")
+    items, tops = _item_blocks(items, item_blocks)
+    item_blocks = len(tops)
+    long = materialize_keys(_lists(left.select("id", "features", "ub", F.lit(0).alias("ib")),
+                                   items.filter("ib = 0").select("id", "features", every.alias("ub"), "ib"), k))
+    kth = long.filter(F.col("pos") == k).select(F.col("user_id").alias("id"), F.col("rating").alias("kth"))
+    # norms fall from block to block, so the blocks that a user needs come first; a little more for rounding
+    reach = F.size(F.filter(F.array(*map(F.lit, tops[1:])), lambda top: F.col("kth").isNull() | (
+        top * F.col("norm") * (1 + 1e-5) >= F.col("kth"))))
+    left = left.withColumn("norm", _norm()).join(kth, "id", "left").withColumn("need", reach).filter("need > 0") \
+        .select("id", "features", "ub", F.explode(F.sequence(F.lit(1), F.col("need"))).alias("ib"))
+    left = materialize_keys(left)
+    pairs = left.select(F.col("ub").alias("_u"), F.col("ib").alias("_b")).distinct()
+    right = items.join(pairs, F.col("ib") == F.col("_b")).select("id", "features", F.col("_u").alias("ub"), "ib")
+    long = long.unionByName(_lists(left, right, k))
     while item_blocks > 1:
         item_blocks = -(-item_blocks // MERGE)
         long = long.withColumn("ib", F.floor(F.col("ib") / MERGE).cast("int"))

@@ -1,8 +1,7 @@
 """Model compositions: single train + evaluate, grid search, fusion-weight
 search and the final test.
 
-Fitting is Spark ML's ALS; the driver only loops over parameter points (a
-handful), never over data. ``splits`` is read by every fit and evaluation, so
+The driver only loops over parameter points (a handful), never over data. ``splits`` is read by every fit and evaluation, so
 pass a written table (``prepared_table``). Derived frames read more than once
 (eval users, labels, recommendation lists) are written once to the shared
 checkpoint folder, and so are the results, small metric tables.
@@ -11,8 +10,10 @@ checkpoint folder, and so are the results, small metric tables.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +23,7 @@ from recsift.operators.metrics import eval_users, ranking_metrics, true_labels
 from recsift.operators.recs import ALSSpec, fit_als, recommend_long
 from recsift.operators.splits import TEST, TRAIN, VAL
 from recsift.plans.recs_store import get_recs_long
-from recsift.sources.store import append_runs
+from recsift.sources.store import append_runs, commit_runs
 
 WEIGHTS = [-1.0, 0.0, 0.5, 1.0, 5.0]
 
@@ -47,11 +48,13 @@ RUN_COLUMNS = [("plan", "string"), ("model", "string"), ("weight", "double"),
 
 
 def log_runs(result: DataFrame, runs_path: str | None, plan: str,
-             tags: dict | None = None) -> DataFrame:
+             tags: dict | None = None, part: str = "") -> DataFrame:
     """Result sink: append ``result`` to the runs table at ``runs_path`` in the
     shared layout of :data:`RUN_COLUMNS`, plus the caller's ``tags`` (for
     example the sample fraction) as text and the time of the run. Returns
-    ``result`` unchanged; nothing is written when ``runs_path`` is None."""
+    ``result`` unchanged; nothing is written when ``runs_path`` is None. With a
+    ``run_id`` among the tags the rows are committed under it, plan and
+    ``part``, once however often the run is retried (read by ``read_runs``)."""
     if runs_path is None:
         return result
     cols = []
@@ -64,8 +67,11 @@ def log_runs(result: DataFrame, runs_path: str | None, plan: str,
             cols.append(F.lit(None).cast(kind).alias(name))
     tag_map = F.create_map(*[F.lit(str(x)) for kv in sorted((tags or {}).items()) for x in kv]) \
         if tags else F.lit(None).cast("map<string,string>")
-    append_runs(result.select(*cols, tag_map.alias("tags"),
-                              F.current_timestamp().alias("run_at")), runs_path)
+    rows = result.select(*cols, tag_map.alias("tags"), F.current_timestamp().alias("run_at"))
+    if tags and "run_id" in tags:
+        commit_runs(rows, runs_path, f"{tags['run_id']}-{plan}{part}")
+    else:
+        append_runs(rows, runs_path)
     return result
 
 
@@ -94,20 +100,35 @@ def train_eval(splits: DataFrame, spec: ALSSpec = ALSSpec(), k: int = 500,
 def tune_grid(splits: DataFrame, ranks: Sequence[int] = (10, 20, 100, 500),
               regs: Sequence[float] = (0.01, 0.1, 1.0, 10.0),
               k: int = 500, base: ALSSpec = ALSSpec(), runs_path: str | None = None,
-              tags: dict | None = None, store: str | None = None) -> DataFrame:
+              tags: dict | None = None, store: str | None = None, at_once: int = 4) -> DataFrame:
     """Every (rank, reg) point: fit on train, evaluate on val at the requested k.
-    With ``runs_path`` each point is appended to the runs table as it finishes."""
+
+    ``at_once`` points are worked on side by side, each in a scheduler pool of
+    its own (they share the cluster fairly where ``spark.scheduler.mode`` is
+    FAIR; else the jobs of one fill the gaps of another). The rows are those
+    of a run in sequence. With ``store`` models and lists are saved as each
+    point finishes, so a grid that was stopped refits only what is missing;
+    with ``runs_path`` the points are appended to the runs table, in their order.
+    """
+    spark = splits.sparkSession
     train = _rows(splits, TRAIN)
     target = _rows(splits, VAL)
     users = materialize_keys(eval_users(target))
     labels = materialize_keys(true_labels(target))
+    points = [replace(base, rank=rank, reg=reg) for rank in ranks for reg in regs]
+
+    def work(n: int) -> DataFrame:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"recsift-grid-{n % at_once}")
+        preds = _recs(train, users, points[n], k, store, (TRAIN,), VAL)
+        return materialize_keys(_params(ranking_metrics(preds, labels, k), points[n], k))
+
     out = None
-    for rank in ranks:
-        for reg in regs:
-            spec = replace(base, rank=rank, reg=reg)
-            preds = _recs(train, users, spec, k, store, (TRAIN,), VAL)
-            m = _params(ranking_metrics(preds, labels, k), spec, k)
-            m = log_runs(materialize_keys(m), runs_path, "tune_grid", tags)
+    with ThreadPoolExecutor(max(1, at_once)) as pool:
+        # the largest ranks take longest: they start first
+        order = sorted(range(len(points)), key=lambda n: -points[n].rank)
+        told = {n: pool.submit(inheritable_thread_target(spark)(work), n) for n in order}
+        for n in range(len(points)):
+            m = log_runs(told[n].result(), runs_path, "tune_grid", tags, f"-{n}")
             out = m if out is None else out.unionByName(m)
     return out
 

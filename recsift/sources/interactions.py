@@ -17,6 +17,9 @@ takes its maximum.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -104,6 +107,54 @@ def read_csv_table(spark: SparkSession, path: str, which: str = "interactions")
     return spark.read.csv(path, header=True, schema=CSV_SCHEMAS[which])
 
 
+@dataclass(frozen=True)
+class CsvScan:
+    """A CSV export as read once: ``rows`` with the declared columns,
+    ``rejected`` ``(file, record, reason)``, every other record, and ``n_read``
+    records in all."""
+
+    rows: DataFrame
+    rejected: DataFrame
+    n_read: int
+
+    def balance(self) -> DataFrame:
+        """``(status, n_rows)``: kept rows, and rejected ones by reason. They add up to ``n_read``."""
+        kept = self.rows.agg(F.lit("kept").alias("status"), F.count(F.lit(1)).alias("n_rows"))
+        gone = self.rejected.groupBy(F.col("reason").alias("status")).agg(F.count(F.lit(1)).alias("n_rows"))
+        return kept.unionByName(gone)
+
+
+def scan_csv(spark: SparkSession, path: str, which: str = "interactions",
+             required: tuple[str, ...] | None = None) -> CsvScan:
+    """Reads a raw CSV export (header, fixed schema) without losing a record.
+
+    A record with a value that its column's type does not hold (text in a number, a
+    number beyond int) or with too many or too few fields is rejected as
+    ``malformed``; one without a value in a ``required`` column (by default the
+    interactions' ids, else the first column) as ``no id``. All others are
+    kept. The parsed records are written once to the shared folder, which both
+    tables read, so they come from one reading of the export.
+    """
+    from recsift.operators.joins import materialize_keys
+
+    if which not in CSV_SCHEMAS:
+        raise ValueError(f"unknown table {which!r}; expected one of {sorted(CSV_SCHEMAS)}")
+    schema = CSV_SCHEMAS[which]
+    columns = [c.split()[0] for c in schema.split(", ")]
+    if required is None:
+        required = ("user_id", "item_id") if which == "interactions" else tuple(columns[:1])
+    # all columns are parsed, whatever a query needs: a bad value counts wherever it is
+    read = spark.read.csv(path, header=True, schema=f"{schema}, _record STRING", mode="PERMISSIVE",
+                          columnNameOfCorruptRecord="_record", enforceSchema=True)
+    missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in required])
+    told = F.when(F.col("_record").isNotNull(), "malformed").when(missing, "no id")
+    parsed = materialize_keys(read.select(*columns, "_record", F.col("_metadata.file_path").alias("file"))
+                              .withColumn("reason", told))
+    as_text = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
+    rejected = parsed.filter("reason is not null").select("file", F.coalesce("_record", as_text).alias("record"), "reason")
+    return CsvScan(parsed.filter("reason is null").select(*columns), rejected, parsed.count())
+
+
 def interactions_table(spark: SparkSession, sf_dir: str, root: str | None = None) -> DataFrame:
     """The interaction table written once under the shared checkpoint folder.
 

@@ -11,6 +11,7 @@ lost driver left half-written is computed again and overwritten.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -109,6 +110,29 @@ def append_runs(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("append").parquet(path)
 
 
+def commit_runs(df: DataFrame, path: str, run_id: str) -> None:
+    """Result sink that a retried run may call again: the rows of ``run_id`` are
+    a folder of their own in the runs table at ``path``, there as a whole or not at
+    all. A committed run is left as it is; what a lost driver left is replaced."""
+    if not re.fullmatch(r"[A-Za-z0-9._+-]+", run_id):
+        raise ValueError("a run id has letters, digits and ._+- only")
+    folder = f"{path}/run={run_id}"
+    if not table_exists(df.sparkSession, folder):
+        df.coalesce(1).write.mode("overwrite").parquet(folder)
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The committed runs at ``path``, with their ``run`` ids."""
+    jvm = spark.sparkContext._jvm  # noqa: SLF001
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{path}/run=*/_SUCCESS")
+    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)  # noqa: SLF001
+    folders = [f.getPath().getParent().toString() for f in found or ()]
+    if not folders:
+        raise FileNotFoundError(f"no committed run at {path}")
+    return spark.read.option("basePath", path).option("mergeSchema", "true").parquet(*folders) \
+        .withColumn("run", F.col("run").cast("string"))
+
+
 def model_exists(spark: SparkSession, path: str) -> bool:
     """Whether a complete ALS model is at ``path``: its metadata and both factor tables."""
     return all(table_exists(spark, f"{path}/{part}") for part in ("metadata", "userFactors", "itemFactors"))
@@ -123,3 +147,19 @@ def fit_or_load_als(estimator, train: DataFrame, path: str | None):
     if not model_exists(train.sparkSession, path):
         estimator.fit(train).write().overwrite().save(path)
     return ALSModel.load(path)
+
+
+def fit_or_load_factors(fit: Callable, spark: SparkSession, rank: int, path: str | None):
+    """A :class:`~recsift.operators.gram_als.FactorModel`: ``fit()``, or the two
+    factor tables saved at ``path`` by an earlier fit. The items' table is
+    written last and is the mark that the model is there."""
+    from recsift.operators.gram_als import FactorModel
+
+    if path is None:
+        return fit()
+    tables = [f"{path}/userFactors", f"{path}/itemFactors"]
+    if all(table_exists(spark, t) for t in tables):
+        return FactorModel(rank, *map(spark.read.parquet, tables))
+    model = fit()
+    return FactorModel(rank, *(materialize(df, t, sort_by=("id",)) for df, t in
+                               zip((model.userFactors, model.itemFactors), tables, strict=True)))
