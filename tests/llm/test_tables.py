@@ -23,7 +23,7 @@ from recsift.llm.ego_join import near_vectors
 from recsift.llm.entry import QUERIES
 from recsift.llm.mixing import mix_sources, order_again, position, training_order
 from recsift.llm.ngram_join import keep_one
-from recsift.llm.pii import _homoglyphs, all_spans
+from recsift.llm.pii import all_spans, look_alikes
 from recsift.llm.sharding import hilbert_index, hilbert_shards, write_shards
 from recsift.llm.warc import _plain_uri, new_folder, ranges, read_records, write_archives
 
@@ -368,8 +368,7 @@ def test_pipeline_rows_by_plain_python(spark, tmp_path):
         before, docs = docs.collect(), spark.read.parquet(out)
         kept[name] = before, docs.collect()
     before, after = kept["private_data"]
-    glyphs = _homoglyphs()
-    pattern = re.compile("[" + "".join(map(re.escape, glyphs)) + "]")
+    glyphs, pattern = look_alikes()
     want = {r.doc_id: _masked(r.text, glyphs, pattern) for r in before}
     assert {r.doc_id: r.text for r in after} == want and want != {r.doc_id: r.text for r in before}
     before, after = kept["mixture"]

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -17,7 +18,7 @@ import brute
 from brute import SF01, SF001
 from recsift.llm.byte_bpe import Codec, byte_bpe, load_ranks, serialise_model
 from recsift.llm.entry import QUERIES
-from recsift.llm.pii import _INVISIBLE, _LOOKALIKES, _homoglyphs, all_spans, find_pii, find_spans, mask_pii
+from recsift.llm.pii import _INVISIBLE, _LOOKALIKES, _Mapped, all_spans, find_pii, find_spans, look_alikes, mask_pii
 from recsift.llm.quality import COUNTS, fit_label_model, keep_good, score_quality
 from recsift.llm.token_counts import token_counts
 
@@ -67,8 +68,7 @@ DISGUISED = [
 
 @pytest.mark.parametrize(("text", "kind", "span"), DISGUISED)
 def test_disguises_are_found_at_their_source(text, kind, span):
-    glyphs = _homoglyphs()
-    pattern = re.compile("[" + "".join(map(re.escape, glyphs)) + "]")
+    glyphs, pattern = look_alikes()
     added = [(k, text[a:b]) for k, a, b, base in all_spans(text, glyphs, pattern) if not base]
     assert added == [(kind, span)]
 
@@ -76,8 +76,7 @@ def test_disguises_are_found_at_their_source(text, kind, span):
 @pytest.mark.parametrize("text", ["we met at home dot by dot", "one by one, two of three", "the cat (at) night",
                                   "[dot] zero one two", "l0l and 0ne", "", "at noon at two dot three"])
 def test_plain_talk_is_no_disguise(text):
-    glyphs = _homoglyphs()
-    pattern = re.compile("[" + "".join(map(re.escape, glyphs)) + "]")
+    glyphs, pattern = look_alikes()
     assert [s for s in all_spans(text, glyphs, pattern) if not s[3]] == []
 
 
@@ -102,8 +101,7 @@ SHORT_DISGUISES = [
 
 @pytest.mark.parametrize(("text", "kind", "span"), SHORT_DISGUISES)
 def test_short_disguises_are_found_at_their_source(text, kind, span):
-    glyphs = _homoglyphs()
-    pattern = re.compile("[" + "".join(map(re.escape, glyphs)) + "]")
+    glyphs, pattern = look_alikes()
     added = [(k, text[a:b]) for k, a, b, base in all_spans(text, glyphs, pattern) if not base]
     assert added == [(kind, span)]
 
@@ -112,15 +110,13 @@ def test_short_disguises_are_found_at_their_source(text, kind, span):
                                   "we met at noon dot me too", "one dot two dot three", "see jane at example.com",
                                   "300 dot 1 dot 1 dot 1", "we came at 5.It was late", "jane at home. It rained"])
 def test_plain_talk_near_the_short_forms(text):
-    glyphs = _homoglyphs()
-    pattern = re.compile("[" + "".join(map(re.escape, glyphs)) + "]")
+    glyphs, pattern = look_alikes()
     assert [s for s in all_spans(text, glyphs, pattern) if not s[3]] == []
 
 
 @pytest.mark.parametrize("sign", [*_INVISIBLE, *_LOOKALIKES], ids=lambda c: f"U+{ord(c):04X}")
 def test_one_sign_is_enough_in_a_latin_1_text(sign):
-    glyphs = _homoglyphs()
-    pattern = re.compile("[" + "".join(map(re.escape, glyphs)) + "]")
+    glyphs, pattern = look_alikes()
     mail = f"jo{sign}hn@example.com"
     found = [(k, a, b) for k, a, b, base in all_spans(f"à {mail}", glyphs, pattern) if not base]
     assert found == [("email", 2, 2 + len(mail))]
@@ -129,6 +125,76 @@ def test_one_sign_is_enough_in_a_latin_1_text(sign):
         assert all_spans(f"café {card}", glyphs, pattern) == [("card", 5, 5 + len(card), False)]
 
 
+LONG_NAME = "n" * 70
+UNBOUNDED = [
+    ("write a dot b dot c dot d dot e dot f at host dot com", "email", "a dot b dot c dot d dot e dot f at host dot com"),
+    ("to joe at b dot c dot d dot e dot f dot g dot h dot com!", "email",
+     "joe at b dot c dot d dot e dot f dot g dot h dot com"),
+    ("joe   [at]   host   [dot]   com", "email", "joe   [at]   host   [dot]   com"),
+    (f"by {LONG_NAME} at host dot com", "email", f"{LONG_NAME} at host dot com"),
+    ("mail " + " dot ".join(["part"] * 90) + " at example.com", "email", " dot ".join(["part"] * 90) + " at example.com"),
+    ("four    one    one    one 1111 1111 1111", "card", "four    one    one    one 1111 1111 1111"),
+    ("call +1\u2011800\u2011555\u20111234 now", "phone", "+1\u2011800\u2011555\u20111234"),
+    ("4111\u00a01111\u00a01111\u00a01111", "card", "4111\u00a01111\u00a01111\u00a01111"),
+    ("4111\u20131111\u20131111\u20131111", "card", "4111\u20131111\u20131111\u20131111"),
+    ("jo\u0301e\u0301@host.com", "email", "jo\u0301e\u0301@host.com"),
+    ("ask joe-at-host-dot-co-dot-uk.", "email", "joe-at-host-dot-co-dot-uk."),
+    ("juan arroba ejemplo punto com", "email", "juan arroba ejemplo punto com"),
+    ("jean arobase exemple point fr", "email", "jean arobase exemple point fr"),
+    ("joe&#64;host&#x2e;com", "email", "joe&#64;host&#x2e;com"),
+]
+
+
+@pytest.mark.parametrize(("text", "kind", "span"), UNBOUNDED)
+def test_disguises_of_any_length(text, kind, span):
+    added = [(k, text[a:b]) for k, a, b, base in all_spans(text, *look_alikes()) if not base]
+    assert [(k, s.rstrip(".")) for k, s in added] == [(kind, span.rstrip("."))]
+
+
+@pytest.mark.parametrize("text", ["we arrived at this point de facto", "mail from John at some point in May",
+                                  "a stay-at-home dot", "1990\u20131995 and 2000\u20132005", "&#233;t&#233; &amp; &#99999999999;",
+                                  "le point de vue arroba", "dot dot dot at dot at dot at"])
+def test_plain_talk_near_the_long_forms(text):
+    assert all_spans(text, *look_alikes()) == []
+
+
+@pytest.mark.parametrize("part", ["a dot ", "at dot ", "a at ", " at dot at ", "@ at a.", "   ", "[  ", "x@", "1 ", "one   ",
+                                  "-at-a-dot-", "&#", "\u0430\u043e ", "\u4f60\u597d", "a.", "\u200b1", "4111 "])
+def test_long_texts_take_linear_time(part):
+    signs = look_alikes()
+
+    def seconds(n):
+        best = 9e9
+        for _ in range(2):
+            start = time.perf_counter()
+            all_spans(part * n, *signs)
+            best = min(best, time.perf_counter() - start)
+        return best
+    assert seconds(80_000) < 12 * seconds(20_000) + 0.2  # four times the text
+
+
+def test_offsets_after_several_rewrites():
+    rng = random.Random(5)
+    for _ in range(300):
+        mapped, ranges = _Mapped("".join(rng.choice("abcdef") for _ in range(20))), [(i, i + 1) for i in range(20)]
+        for _ in range(4):
+            edits, at = [], 0
+            while at < len(mapped.text) - 3:
+                a = at + rng.randrange(3)
+                b = a + 1 + rng.randrange(2)
+                edits.append((a, b, rng.choice(["", "x"])))
+                at = b
+            text, want, last = "", [], 0
+            for a, b, put in edits:
+                text += mapped.text[last:a] + put
+                want += ranges[last:a] + [(ranges[a][0], ranges[b - 1][1])] * len(put)
+                last = b
+            text, ranges = text + mapped.text[last:], want + ranges[last:]
+            mapped.rewrite(edits)
+            assert mapped.text == text
+            assert [mapped.source(i, i + 1) for i in range(len(text))] == ranges
+
+
 def test_mask_leaves_nothing_before_a_soft_hyphen(spark):
     t = spark.createDataFrame([("é jo\u00adhn@example.com!",)], "text string")
     assert [r.text for r in mask_pii(t).collect()] == ["é [EMAIL]!"]
