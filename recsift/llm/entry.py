@@ -76,8 +76,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(_documents(spark, sf_dir))
-    ordered = sorted_by_position(mixed, F.try_element_at("positions", F.lit(1)), F.xxhash64("doc_id"))
-    return ordered.select("doc_id", "size", "source_size", "target", "taken")
+    mixed = mixed.select("doc_id", "size", "source_size", "target", "taken",
+                         F.try_element_at("positions", F.lit(1)).alias("first_position"),
+                         F.try_element_at("positions", F.lit(-1)).alias("last_position"))
+    return sorted_by_position(mixed, F.col("first_position"), F.xxhash64("doc_id"))
 
 
 def op7_positions(spark: SparkSession, sf_dir: str) -> DataFrame:

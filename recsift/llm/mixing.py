@@ -7,9 +7,10 @@ a training position. Documents are taken while their offset lies within the
 demand, a second time where the target is larger than the source, and
 range-sorted by position. DataFrame functions throughout.
 
-Schedules are linear, ``1 + slope * (2t - 1)``; sources of weight rank 0, 1
-and 2 fall, stay and rise by default. Each integrates to 1, so schedules say
-when a source's tokens come, weights how many.
+Schedules are linear, ``1 + slope * (2t - 1)``, and fall, stay or rise. A hash
+of the source's name picks one, so a source keeps its schedule whichever others
+are there. Each integrates to 1, so schedules say when a source's tokens come,
+weights how many.
 """
 
 from __future__ import annotations
@@ -32,6 +33,12 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
+def schedule(source: Column, slopes: tuple = SLOPES) -> Column:
+    """Slope of a source's schedule, by its name (null: as the empty name)."""
+    name = F.coalesce(source.cast("string"), F.lit(""))
+    return F.element_at(F.array(*map(F.lit, slopes)), F.ascii(F.md5(name)) % len(slopes) + 1)
+
+
 def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, slopes: tuple = SLOPES, share: float = SHARE,
                    most: int = MOST) -> DataFrame:
     """``(source, source_size, weight, slope, target)``, one row per source.
@@ -46,9 +53,9 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, slopes: tuple = S
     # UTF-8 bytes in order are code points in order
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
     rank = (F.row_number().over(by_name) - 1) % len(weights)
-    pick = lambda values: F.element_at(F.array(*map(F.lit, values)), rank + 1)
-    per = per.select("source", "source_size", pick(weights).cast("double").alias("weight"),
-                     pick(slopes).cast("double").alias("slope"))
+    weight = F.element_at(F.array(*map(F.lit, weights)), rank + 1)
+    per = per.select("source", "source_size", weight.cast("double").alias("weight"),
+                     schedule(F.col("source"), slopes).cast("double").alias("slope"))
     cap = (F.col("source_size") * most).cast("double")
     fill = Window.orderBy(cap / F.col("weight"), F.col("source").asc_nulls_last())
     before, everything = fill.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
@@ -159,9 +166,11 @@ def order_again(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     sorted by training position again; all columns.
 
     Positions come from what is there: the taken words stand for a source's
-    target (half a document apart at most), its rank among the sources left
-    gives the slope, and a row's copies are its passes. Equal input rows that
-    were each taken once count as two passes of one.
+    target (half a document apart at most), its name gives the slope, and a
+    row's copies are its passes. A source that the mix took nothing of changes
+    nothing for the others. Equal input rows that were each taken once count as
+    two passes of one. Null and repeated ids, null texts and sources: as in
+    :func:`mix_sources`. An empty table gives an empty result.
     """
     names = docs.select(*name_columns(id_col, text_col), row_hash(docs).alias("_row"),
                         F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))

@@ -56,7 +56,7 @@ SELECT d.page_id, payload_bytes, d.payload_digest,
        CASE WHEN d.page_id > first THEN first END AS refers_to
 FROM d LEFT JOIN f ON d.payload_digest = f.payload_digest"""
 
-MIXING = f"""
+_MIXTURE = f"""
 WITH d AS (SELECT doc_id, source, CAST(len({_WORDS.format("text")}) AS BIGINT) AS size,
                   {_spread(SALT, "doc_id")} AS h FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
@@ -67,24 +67,28 @@ l AS (SELECT *, (CAST(sum(source_size) OVER () AS DOUBLE) * {SHARE} - coalesce(s
       WINDOW fill AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 o AS (SELECT lev AS level FROM l WHERE cap > lev * weight ORDER BY cap / weight, source NULLS LAST LIMIT 1),
 t AS (SELECT source, source_size, least(cap, coalesce((SELECT level FROM o) * weight, cap)) AS target FROM l),
-c AS (SELECT d.*, coalesce(sum(size) OVER (PARTITION BY source ORDER BY h, CAST(doc_id AS VARCHAR)
-             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM d)
-SELECT doc_id, size, source_size, target, CAST(size * (
-         SELECT count(*) FROM range({MOST}) r(i) WHERE CAST(before AS DOUBLE) + source_size * i + size / 2.0 < target
-       ) AS BIGINT) AS taken
-FROM c JOIN t ON c.source IS NOT DISTINCT FROM t.source"""
-
-# The tables of MIXING, then a row for each copy.
-POSITIONS = f"""{MIXING[:MIXING.rindex("SELECT doc_id")].rstrip()},
-g AS (SELECT source, CAST([{", ".join(map(str, SLOPES))}][(row_number() OVER (ORDER BY source NULLS LAST) - 1)
+g AS (SELECT source, CAST([{", ".join(map(str, SLOPES))}][ascii(md5(coalesce(source, '')))
              % {len(SLOPES)} + 1] AS DOUBLE) AS a FROM s),
-p AS (SELECT doc_id, i AS copy, a, least((CAST(before AS DOUBLE) + t.source_size * i) / target, CAST(1 AS DOUBLE)) AS x
+c AS (SELECT d.*, row_number() OVER () AS r, coalesce(sum(size) OVER (PARTITION BY source
+             ORDER BY h, CAST(doc_id AS VARCHAR) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM d),
+x AS (SELECT r, doc_id, i AS copy, a, least((CAST(before AS DOUBLE) + t.source_size * i) / target, CAST(1 AS DOUBLE)) AS x
       FROM c JOIN t ON c.source IS NOT DISTINCT FROM t.source JOIN g ON c.source IS NOT DISTINCT FROM g.source,
-           range({MOST}) r(i)
-      WHERE CAST(before AS DOUBLE) + t.source_size * i + size / 2.0 < target)
-SELECT doc_id, CAST(copy AS BIGINT) AS copy,
-       CASE WHEN abs(a) < 1e-9 THEN x ELSE (sqrt((1 - a) * (1 - a) + 4 * a * x) - (1 - a)) / (2 * a) END AS position
-FROM p"""
+           range({MOST}) n(i)
+      WHERE CAST(before AS DOUBLE) + t.source_size * i + size / 2.0 < target),
+p AS (SELECT r, doc_id, copy,
+             CASE WHEN abs(a) < 1e-9 THEN x ELSE (sqrt((1 - a) * (1 - a) + 4 * a * x) - (1 - a)) / (2 * a) END AS position
+      FROM x)"""
+
+# The tables of the mixture, then a row for each document.
+MIXING = f"""{_MIXTURE}
+SELECT c.doc_id, size, source_size, target, CAST(size * coalesce(n, 0) AS BIGINT) AS taken, first_position, last_position
+FROM c JOIN t ON c.source IS NOT DISTINCT FROM t.source
+     LEFT JOIN (SELECT r, count(*) AS n, min(position) AS first_position, max(position) AS last_position
+                FROM p GROUP BY r) q ON q.r = c.r"""
+
+# The same, then a row for each copy.
+POSITIONS = f"""{_MIXTURE}
+SELECT doc_id, CAST(copy AS BIGINT) AS copy, position FROM p"""
 
 
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

@@ -191,7 +191,9 @@ def test_mixing_queries_follow_the_schedules(spark, monkeypatch):
     first = {i: at for i, copy, at in places if copy == 0}
     assert [at for _, _, at in places] == sorted(at for _, _, at in places)
     assert [first[i] for i, *_ in mixed if i in first] == sorted(first.values())  # op7 comes in training order
-    assert len(places) == sum(taken // size if size else 0 for _, size, _, _, taken in mixed)
+    assert len(places) == sum(taken // size if size else 0 for _, size, _, _, taken, _, _ in mixed)
+    assert {i: a for i, *_, a, _ in mixed if a is not None} == first
+    assert {i: b for i, *_, b in mixed if b is not None} == {i: at for i, _, at in sorted(places)}
     monkeypatch.setattr(mixing, "position", lambda share, slope: position(share, -slope))
     assert sorted(rows("op7_positions")) != sorted(places) and rows("op7_mixing") != mixed
 
@@ -319,6 +321,36 @@ def _by_source(rows):
     return held, {s: sum(n for _, n in docs) for s, docs in held.items()}
 
 
+def test_order_again_without_a_source_that_was_not_taken(spark):
+    rows = [(i, " ".join(["w"] * (20 + i % 7)), "en", f"s{i % 5}", 1) for i in range(200)]
+    rows += [(200, " ".join(["long"] * 9000), "en", "aa", 1)]  # its own source, over twice what that may take
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    mixed = mixing.training_order(docs, weights=(1, 50, 50, 50, 50, 50), share=0.2)
+    left = [r.doc_id for r in mixed.collect()]
+    assert left and 200 not in left
+    again = mixing.order_again(spark.createDataFrame(mixed.collect()[::-1], mixed.schema))
+    slope = {s: (-0.5, 0.0, 0.5)[ord(hashlib.md5(s.encode()).hexdigest()[0]) % 3] for s in ("s0", "s1", "s2", "s3", "s4")}
+    assert len(set(slope.values())) > 1
+    of = {i: s for i, _, _, s, _ in rows}
+    got = [r.doc_id for r in again.collect()]
+    assert sorted(got) == sorted(left)
+    for s in slope:  # each source's own order is the mixture's
+        assert [i for i in got if of[i] == s] == [i for i in left if of[i] == s]
+    place = {s: k for k, s in enumerate(sorted(slope))}
+    half = {s: sum(k < len(got) / 2 for k, i in enumerate(got) if of[i] == s) for s in place}
+    was = {s: sum(k < len(left) / 2 for k, i in enumerate(left) if of[i] == s) for s in place}
+    assert all(abs(half[s] - was[s]) <= 2 for s in place)  # schedules are the same ones
+
+
+def test_order_again_on_edge_rows(spark):
+    docs = brute.edge_docs(spark)
+    mixed = mixing.training_order(docs)
+    again = mixing.order_again(mixed)
+    assert again.columns == docs.columns
+    assert again.exceptAll(mixed).count() == 0 and mixed.exceptAll(again).count() == 0
+    assert mixing.order_again(docs.limit(0)).collect() == []
+
+
 def test_tokens_are_written_in_training_order(spark, tmp_path):
     docs = spark.read.parquet(f"{SF01}/documents.parquet").limit(400)
     docs.write.parquet(str(tmp_path / "d"))
@@ -335,7 +367,7 @@ def test_tokens_are_written_in_training_order(spark, tmp_path):
     rows = {(r.doc_id, r.source, r.text) for r in mixed.collect()}
     source, copies = {i: s for i, s, _ in rows}, Counter(r.doc_id for r in mixed.collect())
     held, _ = _by_source(rows)
-    slope = {s: (-0.5, 0.0, 0.5)[k % 3] for k, s in enumerate(sorted(held))}
+    slope = {s: (-0.5, 0.0, 0.5)[ord(hashlib.md5(s.encode()).hexdigest()[0]) % 3] for s in held}
     at, total = {}, {s: sum(n * copies[i] for i, n in docs) for s, docs in held.items()}
     for s, order in held.items():
         done = 0
