@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from recsift import sql_twins as T  # noqa: E402
+from recsift.functions.hashing import bucket  # noqa: E402
 from recsift.operators.gram_als import fit_gram_als  # noqa: E402
 from recsift.operators import (  # noqa: E402
     ALSSpec,
@@ -64,10 +65,14 @@ from recsift.operators import (  # noqa: E402
 from recsift.plans import (  # noqa: E402
     PrepareSpec,
     at_fraction,
+    get_model,
+    get_recs_long,
+    merge_delta,
     fraction_table,
     final_test,
     prepare,
     prepared_table,
+    read_split,
     split_fractions,
     train_eval,
     tune_grid,
@@ -441,6 +446,46 @@ def q_runs_table(spark, sf):
     return read_runs(spark, path)
 
 
+def q_recs_roundtrip(spark, sf):
+    """Lists fitted, committed and read back from the store: per user, how many
+    entries, and how many are the same when the same lists are asked for again."""
+    s, key = _splits(spark, sf), _folder(spark)
+    ask = lambda: get_recs_long(_train(s), eval_users(split_view(s, "val")),
+                                ALSSpec(reg=REG, seed=SEED), K, key, "val")
+    first, again = ask(), ask().withColumn("same", F.lit(1))
+    return first.join(again, ["user_id", "pos", "item_id", "rating"], "full").groupBy("user_id").agg(
+        F.count("pos").alias("n_items"), F.count("same").alias("n_same"))
+
+
+def q_model_roundtrip(spark, sf):
+    """Models of both kinds and both solvers, committed and loaded: ids of each
+    factor table, and how many of them have the saved factors."""
+    train, out = _train(_splits(spark, sf)), None
+    for spec in (ALSSpec(reg=REG, seed=SEED), ALSSpec(reg=REG, seed=SEED, implicit=True),
+                 ALSSpec(reg=REG, seed=SEED, solver="gram")):
+        path = f"{_folder(spark)}/model"
+        fitted, loaded = get_model(train, spec, path), get_model(train, spec, path)
+        for side in ("userFactors", "itemFactors"):
+            other = getattr(loaded, side).select("id", F.col("features").alias("other"))
+            row = getattr(fitted, side).join(other, "id", "full").agg(
+                F.count("id").alias("n_ids"), F.count(F.when(F.col("features") == F.col("other"), 1)).alias("n_same"))
+            row = row.select(F.lit(spec.model_type).alias("model_type"), F.lit(spec.solver).alias("solver"),
+                             F.lit(side).alias("side"), "n_ids", "n_same")
+            out = row if out is None else out.unionByName(row)
+    return out
+
+
+def q_split_merge(spark, sf):
+    """A split of four fifths of the pairs, and the rest merged into it in two
+    deltas, the first of them twice, as a retry does."""
+    inter, path = _inter(spark, sf), f"{_folder(spark)}/split"
+    spec, tenth = PrepareSpec(seed=SEED, low_threshold=LOW, shares=SPARSE), bucket("delta", "user_id", "item_id", modulus=10)
+    merge_delta(inter.filter(tenth > 1), path, spec, "base")
+    for delta_id, part in (("first", 0), ("second", 1), ("first", 0)):
+        merge_delta(inter.filter(tenth == part), path, spec, delta_id)
+    return read_split(spark, path)
+
+
 def q_als_coverage(spark, sf):
     return collect_recs(_als_rows(_splits(spark, sf), False)).select(
         "user_id", F.size("recommendations").alias("n_recs"))
@@ -647,6 +692,13 @@ def oracle_sql() -> dict[str, str]:
             "SELECT model_type, side, n AS n_ids, n AS n_close FROM (VALUES ('explicit'), ('implicit')) m(model_type), "
             "(SELECT 'userFactors' AS side, count(DISTINCT user_id) AS n FROM final WHERE split = 'train' UNION ALL "
             "SELECT 'itemFactors', count(DISTINCT item_id) FROM final WHERE split = 'train') t"),
+        "recs_roundtrip": _sql(f"SELECT user_id, n_items, n_items AS n_same FROM ({_LISTS}) t"),
+        "model_roundtrip": _sql(
+            "SELECT model_type, solver, side, n AS n_ids, n AS n_same FROM (VALUES ('explicit', 'ml'), ('implicit', 'ml'), "
+            "('explicit', 'gram')) m(model_type, solver), (SELECT 'userFactors' AS side, count(DISTINCT user_id) AS n "
+            "FROM final WHERE split = 'train' UNION ALL "
+            "SELECT 'itemFactors', count(DISTINCT item_id) FROM final WHERE split = 'train') t"),
+        "split_merge": _sql(f"SELECT {tri}, is_reviewed, split FROM final", shares=SPARSE),
         "train_eval": _facts(f"'explicit' AS model_type, 10 AS rank, CAST({REG} AS DOUBLE) AS reg"),
         "tune_grid": _facts("'explicit' AS model_type, rank, CAST(reg AS DOUBLE) AS reg",
                             rows=_values("rank", GRID_RANKS) + _values("reg", GRID_REGS)),

@@ -16,15 +16,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recsift.operators.filters import check_threshold, remove_low_users, remove_zeros
 from recsift.operators.joins import attach_keys, bounded, materialize_keys, max_broadcast_rows
 from recsift.operators.sampling import DOWNSAMPLE_MODULUS, check_fraction, downsample_users, user_share
 from recsift.operators.splits import TRAIN, SplitSpec, drop_unobserved_items, split, tag_holdout
+from recsift.sources.commits import load_or_compute
 from recsift.sources.interactions import interactions, interactions_table
-from recsift.sources.store import artefact_path, load_or_compute, source_key
+from recsift.sources.store import artefact_path, source_key
 
 OUT_COLS = ["user_id", "item_id", "rating", "is_reviewed", "split"]
 
@@ -46,6 +47,17 @@ class PrepareSpec:
         check_threshold(self.low_threshold)
 
 
+def user_action(spec: PrepareSpec) -> Column:
+    """What becomes of a user with ``n`` rows, ``all_held`` or not: ``drop``
+    (low activity), ``put_back`` (all rows held out) or null."""
+    action = F.when((F.col("n") <= spec.low_threshold) & F.lit(spec.low_threshold > 0),
+                    F.lit("drop"))
+    if spec.rm_unobserved:
+        action = action.when((F.col("all_held") == 1) & (spec.split_spec().role() != TRAIN),
+                             F.lit("put_back"))
+    return action
+
+
 def _tagged_users(rows: DataFrame, spec: PrepareSpec) -> DataFrame:
     """Rows with role / held, after dropping low users and marking put-backs."""
     sspec = spec.split_spec()
@@ -54,11 +66,7 @@ def _tagged_users(rows: DataFrame, spec: PrepareSpec) -> DataFrame:
         return tagged.withColumn("action", F.lit(None).cast("string"))
     stats = tagged.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.col("held").cast("int")).alias("all_held"))
-    action = F.when((F.col("n") <= spec.low_threshold) & F.lit(spec.low_threshold > 0),
-                    F.lit("drop"))
-    if spec.rm_unobserved:
-        action = action.when((F.col("all_held") == 1) & (sspec.role() != TRAIN), F.lit("put_back"))
-    exceptions = stats.select("user_id", action.alias("action")).filter(F.col("action").isNotNull())
+    exceptions = stats.select("user_id", user_action(spec).alias("action")).filter(F.col("action").isNotNull())
     joined = attach_keys(tagged, exceptions, "user_id")
     return joined.filter(F.col("action").isNull() | (F.col("action") != "drop"))
 

@@ -1,5 +1,6 @@
 """Sources and sinks: interaction tables and the parameter-keyed artefact store."""
 
+from recsift.sources.commits import Commit, commit, commits, latest, load_or_commit, load_or_compute
 from recsift.sources.id_map import decode_ids, encode_ids, id_map
 from recsift.sources.interactions import (
     INTERACTION_COLUMNS,
@@ -18,7 +19,6 @@ from recsift.sources.store import (
     commit_runs,
     data_fingerprint,
     fit_or_load_als,
-    load_or_compute,
     materialize,
     model_exists,
     path_exists,
@@ -32,4 +32,5 @@ __all__ = ["INTERACTION_COLUMNS", "interaction_rows", "interactions", "interacti
            "artefact_path", "fit_or_load_als", "load_or_compute", "materialize",
            "append_runs", "table_exists", "data_fingerprint", "source_key",
            "source_kind", "source_paths", "path_exists", "model_exists", "one_row_per_pair", "id_map", "encode_ids",
-           "decode_ids", "CsvScan", "scan_csv", "commit_runs", "read_runs"]
+           "decode_ids", "CsvScan", "scan_csv", "commit_runs", "read_runs",
+           "Commit", "commit", "commits", "latest", "load_or_commit"]

@@ -164,8 +164,10 @@ def interactions_table(spark: SparkSession, sf_dir: str, root: str | None = None
     The write keeps the aggregate's hash layout (no extra sort); ``root``
     overrides the folder (a fresh one per benchmark run).
     """
-    from recsift.sources.store import artefact_path, load_or_compute, source_key
+    from recsift.sources.commits import load_or_compute
+    from recsift.sources.store import artefact_path, materialize, source_key
 
-    path = (f"{root}/interactions" if root else
-            artefact_path(spark, "interactions", source_key(spark, sf_dir), schema="v1"))
+    if root:  # one writer, so no commit is needed
+        return materialize(interactions(spark, sf_dir), f"{root}/interactions", sort_by=())
+    path = artefact_path(spark, "interactions", source_key(spark, sf_dir), schema="v1")
     return load_or_compute(spark, path, lambda: interactions(spark, sf_dir), sort_by=())

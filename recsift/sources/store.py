@@ -3,9 +3,10 @@
 Every artefact (interaction table, splits, model, recommendation lists, run
 results) lives under the shared checkpoint folder at a path built from *all*
 parameters that produced it, including the model type and a fingerprint of the
-source. Only a complete artefact exists: a table with the ``_SUCCESS`` marker
-that Spark's committer writes last, a model whose three tables have it. What a
-lost driver left half-written is computed again and overwritten.
+source. Artefacts that several drivers may write are committed by
+:mod:`recsift.sources.commits`. A table or model at a path of its own is complete
+once it has the ``_SUCCESS`` marker that Spark's committer writes last (a model:
+its three tables); what a lost driver left half-written is computed again.
 """
 
 from __future__ import annotations
@@ -58,7 +59,7 @@ def source_key(spark: SparkSession, source: str) -> str:
 # Bumped whenever the rows an artefact holds would change for the same
 # parameters (a change of split, mapping or scoring rule), so that tables
 # written by an older version are never read back.
-ARTEFACT_VERSION = 3
+ARTEFACT_VERSION = 4
 
 
 def artefact_path(spark: SparkSession, kind: str, source: str, **params: object) -> str:
@@ -97,14 +98,6 @@ def materialize(df: DataFrame, path: str, sort_by: tuple[str, ...] = ("user_id",
     return spark.read.parquet(path)
 
 
-def load_or_compute(spark: SparkSession, path: str, compute: Callable[[], DataFrame],
-                    **kw) -> DataFrame:
-    """``materialize(compute(), path)`` without building the plan when the table exists."""
-    if table_exists(spark, path):
-        return spark.read.parquet(path)
-    return materialize(compute(), path, **kw)
-
-
 def append_runs(df: DataFrame, path: str) -> None:
     """Result sink: append run rows (parameters + metrics) to a Parquet table."""
     df.coalesce(1).write.mode("append").parquet(path)
