@@ -8,7 +8,12 @@
    least ``sim`` of its shingles in common with others; the rest is done.
 3. Two linked documents share one of their ``n - ceil(sim * n) + 1`` rarest
    shingles. Documents that share such a shingle form a candidate group.
-4. A group is cut into tiles by size band (a linked pair's sizes are within
+4. A group too large for one tile first meets some of its own documents, picked
+   by hash, in tiles. What these link is one component, inside which nothing is
+   left to find: shingles that only one component holds no longer make candidates,
+   and groups are formed again from the others, while that halves the large ones.
+   A group of near copies thus takes time in proportion to its size.
+5. A group is cut into tiles by size band (a linked pair's sizes are within
    1 : ``sim``, so it lies in one band or two neighbouring ones) and, where a
    band is large, by hash. In a tile every document gets a hashed bitmap; the
    bits it has and another lacks bound their overlap from above, and pairs
@@ -50,6 +55,7 @@ SIMILARITY = Fraction(3, 4)
 # Documents and shingles in one side of a tile.
 TILE_DOCS = 1024
 TILE_SHINGLES = 1 << 20
+LEADERS = 64  # documents that a large group meets first, about
 _BLOCK = 256  # rows of a tile compared at once
 
 _SETS = "_k long, _sub long, n long, d1 long, d2 long"
@@ -193,15 +199,25 @@ def _need(a: np.ndarray, b: np.ndarray, sim: Fraction) -> np.ndarray:
     return -(-(p * (a + b)) // (p + q))
 
 
+def _same(comp: np.ndarray) -> tuple[list[int], list[int]]:
+    """Every row that is not the first of its component, and that first row."""
+    _, first, of = np.unique(comp, return_index=True, return_inverse=True)
+    later = np.flatnonzero(first[of] != np.arange(len(comp)))
+    return first[of][later].tolist(), later.tolist()
+
+
 def tile_links(n: np.ndarray, tokens: list[np.ndarray], left: np.ndarray, right: np.ndarray,
-               sim: Fraction) -> list[tuple[int, int]]:
+               sim: Fraction, comp: np.ndarray | None = None) -> list[tuple[int, int]]:
     """A spanning forest of the links between the rows ``left`` and ``right``
     of a tile (the same rows: all pairs among them). ``n``: set sizes;
-    ``tokens``: each row's shared shingles, sorted."""
+    ``tokens``: each row's shared shingles, sorted; ``comp``: components known
+    before, whose rows need no further link to each other."""
     if not len(left) or not len(right):
         return []
     maps, held = _bitmaps(tokens), np.array([len(t) for t in tokens])
     forest, links = Forest(len(n)), []
+    for head, i in zip(*_same(comp), strict=True) if comp is not None else ():
+        forest.join(head, i)
     right = right[np.argsort(n[right], kind="stable")]
     for b in range(0, len(left), _BLOCK):
         for i in left[b:b + _BLOCK].tolist():
@@ -238,7 +254,7 @@ def _tile(sim: Fraction):
         off, values = flat.offsets.to_numpy(), flat.values.to_numpy()
         tokens = [values[a:b] for a, b in zip(off[:-1], off[1:], strict=True)]
         left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)  # 2: both
-        links = tile_links(n, tokens, left, right, sim)
+        links = tile_links(n, tokens, left, right, sim, table.column("comp").to_numpy())
         a = np.array([ids[i] for i, _ in links], dtype=np.int64)
         b = np.array([ids[j] for _, j in links], dtype=np.int64)
         return pa.table([pa.array(a), pa.array(b)], schema=out)
@@ -275,8 +291,57 @@ def _tiles(cand: DataFrame, sim: Fraction) -> DataFrame:
         upto(F.col("above")), lambda q: tile(b, p, (b + 1).cast("int"), q, i32(0))))
     down = F.when(F.col("below").isNull(), none).otherwise(F.transform(
         upto(F.col("below")), lambda q: tile((b - 1).cast("int"), q, b, p, i32(1))))
-    return cand.select("grp", "class", "n", "tokens", F.explode(F.concat(same, up, down)).alias("t")) \
-        .select("grp", "t.*", "class", "n", "tokens")
+    return cand.select("grp", "class", "comp", "n", "tokens", F.explode(F.concat(same, up, down)).alias("t")) \
+        .select("grp", "t.*", "class", "comp", "n", "tokens")
+
+
+def _leader_tiles(members: DataFrame, large: DataFrame, seed: int) -> DataFrame:
+    """The large groups' rows dealt to tiles ``(grp, part)`` (side 1), and about
+    ``LEADERS`` rows of each group, of at most ``TILE_SHINGLES`` by expectation,
+    in every one of them (side 0)."""
+    rows = members.join(large, "grp")
+    mine = rows.withColumn("part", F.pmod(F.xxhash64("class"), "parts").cast("int")) \
+        .withColumn("side", F.lit(1))
+    one_in = F.greatest(F.col("docs"), F.ceil(F.col("held") * LEADERS / TILE_SHINGLES))
+    leaders = rows.filter(F.pmod(F.xxhash64("class", F.lit(seed)), one_in) < LEADERS) \
+        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("side", F.lit(0))
+    columns = ["grp", "part", "side", "class", "comp", "n", "tokens"]
+    return mine.select(columns).unionByName(leaders.select(columns))
+
+
+def _groups(keys: DataFrame, comp: DataFrame) -> DataFrame:
+    """``(class, grp, comp)`` of the classes that share a token with a class of another
+    component. ``keys``: ``(class, token)``; ``comp``: ``(id, component)`` as known."""
+    named = keys.join(comp, F.col("class") == F.col("id"), "left") \
+        .select("class", "token", F.coalesce("component", "class").alias("comp"))
+    live = named.groupBy("token").agg(F.min("class").alias("head"), F.min("comp").alias("lo"),
+                                      F.max("comp").alias("hi")).filter("lo <> hi").select("token", "head")
+    groups = components(named.join(live, "token").select("class", "head").distinct(), "class", "head") \
+        .select(F.col("id").alias("class"), F.col("component").alias("grp"))
+    return groups.join(comp, F.col("class") == F.col("id"), "left") \
+        .select("class", "grp", F.coalesce("component", "class").alias("comp"))
+
+
+def _links(cand: DataFrame, keys: DataFrame, sim: Fraction) -> DataFrame:
+    """``(a, b)``: links that connect what the links between ``cand`` connect."""
+    spark = cand.sparkSession
+    links = spark.createDataFrame([], "a long, b long")
+    comp, before, seed = spark.createDataFrame([], "id long, component long"), None, 0
+    while True:
+        members = cand.join(_groups(keys, comp), "class")
+        large = saved(members.groupBy("grp").agg(F.count("*").alias("docs"), F.sum(F.size("tokens")).alias("held"))
+                      .filter((F.col("docs") > TILE_DOCS) | (F.col("held") > TILE_SHINGLES))
+                      .select("*", F.greatest(F.ceil(F.col("docs") / TILE_DOCS), F.ceil(
+                          F.col("held") / TILE_SHINGLES)).cast("int").alias("parts")))
+        docs = large.agg(F.sum("docs")).first()[0] or 0
+        if not docs or (before is not None and 2 * docs > before):
+            break
+        found = saved(_leader_tiles(members, large, seed).groupBy("grp", "part")
+                      .applyInArrow(_tile(sim), "a long, b long"))
+        links = saved(links.unionByName(found))
+        comp, before, seed = components(links), docs, seed + 1
+    rest = saved(_tiles(members, sim).groupBy("grp", "ba", "pa", "bb", "pb").applyInArrow(_tile(sim), "a long, b long"))
+    return links.unionByName(rest)
 
 
 def _linked(rows: DataFrame, sim: Fraction, size: int) -> DataFrame:
@@ -299,12 +364,7 @@ def _linked(rows: DataFrame, sim: Fraction, size: int) -> DataFrame:
     prefix = F.slice("tokens", 1, F.greatest(
         F.lit(0), (F.col("n") - least + 1 - (F.col("n") - F.size("tokens"))).cast("int")))
     keys = cand.select("class", F.explode(prefix).alias("token"))
-    first = keys.groupBy("token").agg(F.min("class").alias("head"), F.count("*").alias("c")).filter("c > 1")
-    groups = components(keys.join(first, "token").select("class", "head").distinct(), "class", "head") \
-        .select(F.col("id").alias("class"), F.col("component").alias("grp"))
-    tiles = _tiles(cand.join(groups, "class"), sim)
-    links = saved(tiles.groupBy("grp", "ba", "pa", "bb", "pb").applyInArrow(_tile(sim), "a long, b long"))
-    reach = components(links)
+    reach = components(_links(cand, keys, sim))
     of = classes.join(reach, classes["class"] == reach["id"], "left").select(
         "n", "d1", "d2", "class_k", F.coalesce("component", "class").alias("component"))
     named = of.groupBy("component").agg(F.min("class_k").alias("least"))

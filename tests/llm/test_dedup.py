@@ -71,6 +71,27 @@ def test_jaccard_chains_and_split_tiles(spark, monkeypatch):
     assert _joined(docs) == brute.jaccard_join(rows)
 
 
+@pytest.mark.parametrize(("leaders", "bridges", "left"), [(0, 0, (500, 600)), (8, 0, (0, 20)), (8, 12, (0, 612))])
+def test_large_groups_meet_leaders_first(spark, monkeypatch, leaders, bridges, left):
+    """Two clusters of near copies: with leaders, no row is left for the tiles;
+    without, all are, as with documents of other clusters that share prefix shingles."""
+    monkeypatch.setattr(ngram_join, "TILE_DOCS", 32)
+    monkeypatch.setattr(ngram_join, "LEADERS", leaders)
+    rng, rows = random.Random(8), []
+    bases = [brute.prose(s, 80).split() for s in (3, 4)]
+    for i in range(600):
+        w = list(bases[i % 2])
+        w[rng.randrange(80)] = f"n{i // 3}"
+        rows.append((i, " ".join(w)))
+    for i in range(600, 600 + bridges):
+        rows.append((i, " ".join(bases[0][:40] + bases[1][:40] + [f"m{i}"])))
+    tiles, real = [], ngram_join._tiles
+    monkeypatch.setattr(ngram_join, "_tiles", lambda m, sim: tiles.append(m.count()) or real(m, sim))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert _joined(docs) == brute.jaccard_join(rows)
+    assert left[0] <= tiles[0] <= left[1], tiles
+
+
 def test_keep_one_keeps_the_smallest_and_all_columns(spark):
     docs = brute.edge_docs(spark)
     kept = keep_one(docs)
