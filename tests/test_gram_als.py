@@ -3,12 +3,14 @@
 from dataclasses import replace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
 from recsift.functions.topk import top_k
 from recsift.operators import ALSSpec, fit_als, recommend_long, remove_zeros
+from recsift.operators import gram_als
 from recsift.operators import recs as recs_mod
 from recsift.operators.gram_als import FactorModel, deal, fit_gram_als, initial_factors
 from recsift.sources import interactions
@@ -141,3 +143,36 @@ def test_equal_norms_are_cut_by_hash(spark):
     blocks, tops = recs_mod._item_blocks(items.withColumn("norm", recs_mod._norm()), 10)
     sizes = [r["count"] for r in blocks.groupBy("ib").count().collect()]
     assert sum(sizes) == 1000 and max(sizes) < 400 and len(tops) >= len(sizes)
+
+
+def test_ids_of_few_ratings_are_solved_with_few_equations(monkeypatch):
+    """5 and 3 ratings at rank 40: systems of 5 and 3 equations, the solution of the 40 by 40 one."""
+    rng, rank, reg = np.random.default_rng(3), 40, 0.1
+    vectors, src = rng.normal(size=(8, rank)).astype("<f4"), np.array([0, 1, 2, 3, 4, 5, 6, 7], dtype="<i4")
+    dst, rating = np.array([1] * 5 + [2] * 3, dtype="<i4"), np.arange(1, 9).astype("<f4")
+    packed = pa.table({"part": pa.array([0], pa.int32()), "dst": [dst.tobytes()], "src": [src.tobytes()],
+                       "rating": [rating.tobytes()], "hot": [np.zeros(8, dtype="?").tobytes()]})
+    factors = pa.table({"part": pa.array([0], pa.int32()), "ids": [src.tobytes()], "vectors": [vectors.tobytes()]})
+    sizes, solve = [], np.linalg.solve
+    monkeypatch.setattr(np.linalg, "solve", lambda a, b: sizes.append(a.shape[-1]) or solve(a, b))
+    out = gram_als._half(rank, reg, False, 1.0, None)(packed, factors)
+    got = dict(zip(out.column("id").to_pylist(), out.column("features").to_pylist(), strict=True))
+    assert sorted(sizes) == [3, 5]
+    for i in (1, 2):
+        x, r = vectors[dst == i].astype(float), rating[dst == i]
+        assert np.allclose(got[i], solve(x.T @ x + reg * len(r) * np.eye(rank), x.T @ r), atol=1e-5)
+
+
+def test_start_vectors_take_no_time_by_the_square_of_the_rank(spark):
+    ids = spark.range(10).select(F.col("id").cast("int").alias("id"))
+    plan = initial_factors(ids, 500, 1)._jdf.queryExecution().optimizedPlan().toString()
+    assert "aggregate(" not in plan  # the length is not added up once an element
+
+
+def test_a_fit_of_a_rank_above_the_ratings_equals_spark_mls(spark):
+    train = remove_zeros(interactions(spark, SF001))
+    spec = replace(SPEC, rank=60)
+    start = _ml(train, replace(spec, max_iter=0)).userFactors
+    own, ml = fit_gram_als(train, spec, start), _ml(train, spec)
+    assert _gap(own.userFactors, ml.userFactors) < 1e-4
+    assert _gap(own.itemFactors, ml.itemFactors) < 1e-4

@@ -103,3 +103,14 @@ def test_final_test_with_store_fits_once(spark, splits):
     assert first == second
     assert after_first != before and artefacts() == after_first   # nothing refitted
     assert sum(map(len, after_first)) - sum(map(len, before)) == 4  # 2 models + 2 lists
+
+
+def test_grid_deals_the_ratings_once(splits, monkeypatch):
+    from dataclasses import replace
+
+    from recsift.plans import tuning
+
+    dealt, deal_both = [], tuning.deal_both
+    monkeypatch.setattr(tuning, "deal_both", lambda ratings, parts: dealt.append(parts) or deal_both(ratings, parts))
+    out = tune_grid(splits, (3, 4), (0.01, 1.0), 5, replace(SPEC, max_iter=1, solver="gram")).collect()
+    assert len(out) == 4 and len(dealt) == 1
