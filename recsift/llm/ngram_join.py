@@ -262,12 +262,12 @@ def _tile(sim: Fraction):
 
 
 def _tiles(cand: DataFrame, sim: Fraction) -> DataFrame:
-    """Candidates dealt to tiles: ``(group, band_a, part_a, band_b, part_b)``
-    with a row's ``side`` in it (0 left, 1 right, 2 both)."""
+    """Candidates ``(class, grp, comp, n, held)`` dealt to tiles: ``(group, band_a,
+    part_a, band_b, part_b)`` with a row's ``side`` in it (0 left, 1 right, 2 both)."""
     band = F.floor(F.log(F.col("n").cast("double")) / math.log(1 / sim) + 1e-9).cast("int")
     cand = cand.withColumn("band", band)
     parts = (cand.groupBy("grp", "band")
-             .agg(F.count("*").alias("docs"), F.sum(F.size("tokens")).alias("held"))
+             .agg(F.count("*").alias("docs"), F.sum("held").alias("held"))
              .select("grp", "band", F.greatest(
                  F.ceil(F.col("docs") / TILE_DOCS), F.ceil(F.col("held") / TILE_SHINGLES))
                  .cast("int").alias("parts")))
@@ -291,57 +291,61 @@ def _tiles(cand: DataFrame, sim: Fraction) -> DataFrame:
         upto(F.col("above")), lambda q: tile(b, p, (b + 1).cast("int"), q, i32(0))))
     down = F.when(F.col("below").isNull(), none).otherwise(F.transform(
         upto(F.col("below")), lambda q: tile((b - 1).cast("int"), q, b, p, i32(1))))
-    return cand.select("grp", "class", "comp", "n", "tokens", F.explode(F.concat(same, up, down)).alias("t")) \
-        .select("grp", "t.*", "class", "comp", "n", "tokens")
+    return cand.select("grp", "class", "comp", "n", F.explode(F.concat(same, up, down)).alias("t")) \
+        .select("grp", "t.*", "class", "comp", "n")
 
 
 def _leader_tiles(members: DataFrame, large: DataFrame, seed: int) -> DataFrame:
     """The large groups' rows dealt to tiles ``(grp, part)`` (side 1), and about
     ``LEADERS`` rows of each group, of at most ``TILE_SHINGLES`` by expectation,
     in every one of them (side 0)."""
-    rows = members.join(large, "grp")
-    mine = rows.withColumn("part", F.pmod(F.xxhash64("class"), "parts").cast("int")) \
-        .withColumn("side", F.lit(1))
-    one_in = F.greatest(F.col("docs"), F.ceil(F.col("held") * LEADERS / TILE_SHINGLES))
-    leaders = rows.filter(F.pmod(F.xxhash64("class", F.lit(seed)), one_in) < LEADERS) \
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("side", F.lit(0))
-    columns = ["grp", "part", "side", "class", "comp", "n", "tokens"]
-    return mine.select(columns).unionByName(leaders.select(columns))
-
-
-def _groups(keys: DataFrame, comp: DataFrame) -> DataFrame:
-    """``(class, grp, comp)`` of the classes that share a token with a class of another
-    component. ``keys``: ``(class, token)``; ``comp``: ``(id, component)`` as known."""
-    named = keys.join(comp, F.col("class") == F.col("id"), "left") \
-        .select("class", "token", F.coalesce("component", "class").alias("comp"))
+    one_in = F.greatest(F.col("docs"), F.ceil(F.col("all_held") * LEADERS / TILE_SHINGLES))
+    mine = F.array(F.struct(F.pmod(F.xxhash64("class"), "parts").cast("int").alias("part"), F.lit(1).alias("side")))
+    every = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: F.struct(p.alias("part"), F.lit(0).alias("side")))
+    leads = F.pmod(F.xxhash64("class", F.lit(seed)), one_in) < LEADERS
+    return members.join(large.withColumnRenamed("held", "all_held"), "grp") \
+        .select("grp", "class", "comp", "n", F.explode(F.when(leads, F.concat(mine, every)).otherwise(mine)).alias("t")) \
+        .select("grp", "t.*", "class", "comp", "n")
+
+
+def _groups(keys: DataFrame, comp: DataFrame | None) -> DataFrame:
+    """``(class, grp, comp, n, held)`` of the classes that share a token with a class of
+    another component. ``keys``: ``(class, n, held, prefix)``; ``comp``: ``(id,
+    component)`` as known, which a class meets before its tokens become rows."""
+    if comp is None:
+        keys = keys.withColumn("comp", F.col("class"))
+    else:
+        keys = keys.join(comp, F.col("class") == F.col("id"), "left") \
+            .select("class", "n", "held", "prefix", F.coalesce("component", "class").alias("comp"))
+    named = keys.select("class", "comp", F.explode("prefix").alias("token"))
     live = named.groupBy("token").agg(F.min("class").alias("head"), F.min("comp").alias("lo"),
                                       F.max("comp").alias("hi")).filter("lo <> hi").select("token", "head")
-    groups = components(named.join(live, "token").select("class", "head").distinct(), "class", "head") \
-        .select(F.col("id").alias("class"), F.col("component").alias("grp"))
-    return groups.join(comp, F.col("class") == F.col("id"), "left") \
-        .select("class", "grp", F.coalesce("component", "class").alias("comp"))
+    groups = components(named.join(live, "token").select("class", "head").distinct(), "class", "head")
+    return keys.select("class", "comp", "n", "held").join(groups, F.col("class") == F.col("id")) \
+        .select("class", F.col("component").alias("grp"), "comp", "n", "held")
 
 
 def _links(cand: DataFrame, keys: DataFrame, sim: Fraction) -> DataFrame:
-    """``(a, b)``: links that connect what the links between ``cand`` connect."""
-    spark = cand.sparkSession
-    links = spark.createDataFrame([], "a long, b long")
-    comp, before, seed = spark.createDataFrame([], "id long, component long"), None, 0
+    """``(a, b)``: links that connect what the links between ``cand`` connect.
+    Rows are dealt without their tokens, which they meet last."""
+    tokens = cand.select("class", "tokens")
+    links, comp, before, seed = None, None, None, 0
     while True:
-        members = cand.join(_groups(keys, comp), "class")
-        large = saved(members.groupBy("grp").agg(F.count("*").alias("docs"), F.sum(F.size("tokens")).alias("held"))
+        members = saved(_groups(keys, comp))
+        large = saved(members.groupBy("grp").agg(F.count("*").alias("docs"), F.sum("held").alias("held"))
                       .filter((F.col("docs") > TILE_DOCS) | (F.col("held") > TILE_SHINGLES))
                       .select("*", F.greatest(F.ceil(F.col("docs") / TILE_DOCS), F.ceil(
                           F.col("held") / TILE_SHINGLES)).cast("int").alias("parts")))
         docs = large.agg(F.sum("docs")).first()[0] or 0
         if not docs or (before is not None and 2 * docs > before):
             break
-        found = saved(_leader_tiles(members, large, seed).groupBy("grp", "part")
-                      .applyInArrow(_tile(sim), "a long, b long"))
-        links = saved(links.unionByName(found))
+        found = _leader_tiles(members, large, seed).join(tokens, "class").groupBy("grp", "part") \
+            .applyInArrow(_tile(sim), "a long, b long")
+        links = saved(found if links is None else links.unionByName(found))
         comp, before, seed = components(links), docs, seed + 1
-    rest = saved(_tiles(members, sim).groupBy("grp", "ba", "pa", "bb", "pb").applyInArrow(_tile(sim), "a long, b long"))
-    return links.unionByName(rest)
+    rest = saved(_tiles(members, sim).join(tokens, "class").groupBy("grp", "ba", "pa", "bb", "pb")
+                 .applyInArrow(_tile(sim), "a long, b long"))
+    return rest if links is None else links.unionByName(rest)
 
 
 def _linked(rows: DataFrame, sim: Fraction, size: int) -> DataFrame:
@@ -363,7 +367,7 @@ def _linked(rows: DataFrame, sim: Fraction, size: int) -> DataFrame:
     # the rarest shingles: those that nobody else holds come first and match nothing
     prefix = F.slice("tokens", 1, F.greatest(
         F.lit(0), (F.col("n") - least + 1 - (F.col("n") - F.size("tokens"))).cast("int")))
-    keys = cand.select("class", F.explode(prefix).alias("token"))
+    keys = cand.select("class", "n", F.size("tokens").alias("held"), prefix.alias("prefix"))
     reach = components(_links(cand, keys, sim))
     of = classes.join(reach, classes["class"] == reach["id"], "left").select(
         "n", "d1", "d2", "class_k", F.coalesce("component", "class").alias("component"))

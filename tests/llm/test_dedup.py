@@ -147,3 +147,21 @@ def test_components_of_chains_stars_and_null_ends(spark):
     want = {i: 100 for i in range(100, 141)} | {x: 3 for x in [3, 5, *range(200, 260)]}
     assert got == want
     assert components(df.filter(F.lit(False))).collect() == []
+
+
+def test_edges_that_are_stars_take_no_step(spark, monkeypatch):
+    from recsift.llm import components as module
+
+    steps, saved = [], module.saved
+    monkeypatch.setattr(module, "saved", lambda df: steps.append(1) or saved(df))
+    stars = spark.createDataFrame([(5, 1), (7, 1), (9, 2)], "a long, b long")
+    assert {r.id: r.component for r in components(stars).collect()} == {1: 1, 5: 1, 7: 1, 2: 2, 9: 2}
+    assert len(steps) == 1  # the edges as written; a chain takes more
+    components(spark.createDataFrame([(3, 2), (2, 1)], "a long, b long"))
+    assert len(steps) > 2
+
+
+def test_rows_are_dealt_to_tiles_without_their_tokens(spark):
+    rows = spark.createDataFrame([(1, 1, 1, 40, 40), (2, 1, 2, 41, 40)], "class long, grp long, comp long, n long, held int")
+    dealt = ngram_join._tiles(rows, SIMILARITY)
+    assert "tokens" not in dealt.columns and dealt.count() >= 2
