@@ -111,21 +111,25 @@ def _score(k: int):
 
     def run(users, items):
         import numpy as np
-        import pandas as pd
+        import pyarrow as pa
 
-        if len(users) == 0 or len(items) == 0:
-            return pd.DataFrame({"user_id": [], "pos": [], "item_id": [], "rating": [], "ib": []})
-        matrix = lambda f: np.stack(f.to_numpy()).astype(np.float32, copy=False)
-        scores, ids = top_k(matrix(users["features"]), matrix(items["features"]),
-                            items["id"].to_numpy(np.int64), k)
+        def out(user, pos, item, rating, ib):
+            return pa.table({"user_id": pa.array(user, pa.int32()), "pos": pa.array(pos, pa.int32()),
+                             "item_id": pa.array(item, pa.int32()), "rating": pa.array(rating, pa.float32()),
+                             "ib": pa.array(ib, pa.int32())})
+
+        if not len(users) or not len(items):
+            return out([], [], [], [], [])
+
+        def matrix(table):
+            flat = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in table.column("features").chunks])
+            return flat.astype(np.float32, copy=False).reshape(len(table), -1)
+
+        scores, ids = top_k(matrix(users), matrix(items), items.column("id").to_numpy(), k)
         w = scores.shape[1]
-        return pd.DataFrame({
-            "user_id": np.repeat(users["id"].to_numpy(np.int32), w),
-            "pos": np.tile(np.arange(1, w + 1, dtype=np.int32), len(users)),
-            "item_id": ids.ravel().astype(np.int32),
-            "rating": scores.ravel(),
-            "ib": np.full(w * len(users), users["ib"].iloc[0], dtype=np.int32),
-        })
+        return out(np.repeat(users.column("id").to_numpy(), w).astype(np.int32),
+                   np.tile(np.arange(1, w + 1, dtype=np.int32), len(users)), ids.ravel().astype(np.int32),
+                   scores.ravel(), np.full(w * len(users), users.column("ib")[0].as_py(), dtype=np.int32))
 
     return run
 
@@ -154,7 +158,7 @@ def _item_blocks(items: DataFrame, wanted: int) -> tuple[DataFrame, list[float]]
 
 
 def _lists(left: DataFrame, right: DataFrame, k: int) -> DataFrame:
-    return left.groupBy("ub", "ib").cogroup(right.groupBy("ub", "ib")).applyInPandas(_score(k), REC_SCHEMA + ", ib int")
+    return left.groupBy("ub", "ib").cogroup(right.groupBy("ub", "ib")).applyInArrow(_score(k), REC_SCHEMA + ", ib int")
 
 
 def recommend_long(model, users: DataFrame, k: int, block_floats: int | None = None) -> DataFrame:

@@ -147,3 +147,14 @@ def test_top_k_kernel_edges():
     items = np.array([[1, 0], [0, 2], [1, 1]], dtype=np.float32)
     s, i = top_k(users, items, np.array([30, 10, 20]), 5, item_tile=2)
     assert i.tolist() == [[10, 20, 30]] * 3 and s.tolist() == [[2.0, 2.0, 1.0]] * 3
+
+
+def test_scoring_passes_blocks_as_arrow(spark):
+    """A block of factors is one flat array in a task, not an object per id."""
+    from recsift.operators import recs as recs_mod
+
+    blocks = spark.createDataFrame([(1, [1.0, 0.0], 0, 0), (2, [0.0, 1.0], 0, 0)],
+                                   "id int, features array<float>, ub int, ib int")
+    lists = recs_mod._lists(blocks, blocks, 1)
+    assert "FlatMapCoGroupsInArrow" in lists._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.user_id, r.item_id, r.rating) for r in lists.collect()) == [(1, 1, 1.0), (2, 2, 1.0)]
