@@ -176,3 +176,59 @@ def test_a_fit_of_a_rank_above_the_ratings_equals_spark_mls(spark):
     own, ml = fit_gram_als(train, spec, start), _ml(train, spec)
     assert _gap(own.userFactors, ml.userFactors) < 1e-4
     assert _gap(own.itemFactors, ml.itemFactors) < 1e-4
+
+
+def _sent_per_id(spark, ratings, spec, monkeypatch, part_ratings):
+    """Rows that the half-iterations send for each id, and whether one of them deals the ratings again."""
+    sent, step = [], gram_als._step
+
+    def seen(here, other, factors, spec):
+        rows = factors.select("id", "features", "to").mapInArrow(gram_als._ship(spec.rank, here.keys), gram_als._SENT)
+        sent.append(rows.agg(F.sum("n")).first()[0] / factors.count())
+        return step(here, other, factors, spec)
+
+    monkeypatch.setattr(gram_als, "_step", seen)
+    model = fit_gram_als(ratings, spec, part_ratings=part_ratings)
+    return sent, model
+
+
+def test_more_parts_send_no_factor_more_often(spark, monkeypatch):
+    """40 parts go in 2 groups: an id's factors are sent twice at most, and are those of one part."""
+    train = remove_zeros(interactions(spark, SF001))
+    spec = replace(SPEC, blocks=4)
+    sent, many = _sent_per_id(spark, train, spec, monkeypatch, train.count() // 40)
+    assert len(sent) == 2 * spec.max_iter and max(sent) <= 2
+    one = fit_gram_als(train, replace(SPEC, blocks=1))
+    assert _gap(one.userFactors, many.userFactors) < 1e-4 and _gap(one.itemFactors, many.itemFactors) < 1e-4
+
+
+def test_ratings_stay_in_their_groups(spark, monkeypatch):
+    """A half-iteration shuffles factors only: the cogroup's other side is read as cached."""
+    plans, keep = [], gram_als.materialize_keys
+    train = _hot(spark)
+    monkeypatch.setattr(gram_als, "materialize_keys", lambda df: plans.append(
+        df._jdf.queryExecution().executedPlan().toString()) or keep(df))
+    fit_gram_als(train, replace(SPEC, max_iter=1))
+    halves = [p.split("InMemoryRelation")[0] for p in plans if "FlatMapCoGroupsInArrow" in p and "InMemoryTableScan" in p]
+    assert len(halves) == 2 and all(p.count("Exchange") == 1 for p in halves)
+
+
+def test_sent_factors_lose_nothing():
+    rng = np.random.default_rng(5)
+    ids, x = np.sort(rng.choice(1 << 30, 500, replace=False)).astype("<i4"), rng.normal(size=(500, 7)).astype("<f4")
+    x[0], x[1, 0] = np.nan, -0.0
+    told = [gram_als._shrink(ids[s], x[s]) for s in (slice(0, 1), slice(1, 500))]
+    sent = pa.table({"n": pa.array([1, 499], pa.int32()), **{c: list(v) for c, v in zip(("ids", "vectors", "high"), zip(*told))}})
+    got = gram_als._grow(sent, 7)
+    assert got.column("ids")[0].as_py() == ids.tobytes() and got.column("vectors")[0].as_py() == x.tobytes()
+    assert sum(map(len, told[1])) < 0.9 * 499 * (4 + 28)
+
+
+def test_groups_grow_only_by_what_one_may_hold():
+    side = gram_als.Side(None, 300, 0)
+    spec = replace(SPEC, rank=10, blocks=16)
+    assert gram_als.n_groups(side, 10_000, 5_000_000, spec) == 8
+    for ids, ratings in ((7_200_000, 140_000_000), (50_000_000, 140_000_000)):
+        n = gram_als.n_groups(side, ids, ratings, spec)
+        assert ratings / n <= gram_als.GROUP_RATINGS
+        assert ids * (1 - np.exp(-ratings / n / ids)) * spec.rank <= gram_als.PART_FLOATS
