@@ -19,8 +19,10 @@ item that turns visible or invisible rewrites nothing. After any deltas,
 
 Every merge is a commit (:mod:`recsift.sources.commits`): readers see whole
 versions only, of two merges at the same time the second starts again from the
-first's version, and a delta that is merged again under its id changes nothing.
-Keep ``delta`` in a written table: it is read several times.
+first's version, and a delta that is merged again under its id changes nothing and
+is not read. Else ``delta`` is read once: its tagged rows are written beside the
+checkpoints until the merge is done, since counts, range bounds and rows take them
+again.
 """
 
 from __future__ import annotations
@@ -35,7 +37,8 @@ from recsift.operators.joins import attach_keys, keep_keys
 from recsift.operators.sampling import downsample_users
 from recsift.operators.splits import TRAIN, tag_holdout
 from recsift.plans.prepare import OUT_COLS, PrepareSpec, user_action
-from recsift.sources.commits import Commit, commit, commits, new_attempt
+from recsift.session import checkpoint_dir
+from recsift.sources.commits import Commit, commit, commits, new_attempt, remove
 from recsift.sources.store import materialize
 
 _ROW = ["user_id", "item_id", "rating", "is_reviewed", "role", "held", "bucket"]
@@ -85,18 +88,23 @@ def merge_delta(delta: DataFrame, path: str, spec: PrepareSpec, delta_id: str,
     rows = downsample_users(rows, spec.fraction, spec.seed)
     tagged = tag_holdout(rows, spec.split_spec()) \
         .withColumn("bucket", bucket(f"{spec.seed}m", "user_id", modulus=buckets)).select(*_ROW)
-    counts = tagged.groupBy("user_id", "bucket").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.col("held").cast("int")).alias("all_held"))
-    touched = {r.bucket for r in counts.select("bucket").distinct().collect()}  # at most ``buckets``
-    while True:
-        head = _head(spark, path)
-        if head and head.notes["spec"] != _key(spec, buckets):
-            raise ValueError(f"the split at {path} has other parameters: {head.notes['spec']}")
-        if head and delta_id in head.notes["deltas"]:
-            return head
-        done = _write(spark, path, head, tagged, counts, touched, spec, delta_id, _key(spec, buckets))
-        if done:
-            return done
+    folder = f"{checkpoint_dir(spark)}/recsift/deltas/{new_attempt()}"
+    try:
+        while True:
+            head = _head(spark, path)
+            if head and head.notes["spec"] != _key(spec, buckets):
+                raise ValueError(f"the split at {path} has other parameters: {head.notes['spec']}")
+            if head and delta_id in head.notes["deltas"]:
+                return head
+            tagged = materialize(tagged, folder, sort_by=())  # written in the first round
+            counts = tagged.groupBy("user_id", "bucket").agg(
+                F.count(F.lit(1)).alias("n"), F.min(F.col("held").cast("int")).alias("all_held"))
+            touched = {r.bucket for r in tagged.select("bucket").distinct().collect()}  # at most ``buckets``
+            done = _write(spark, path, head, tagged, counts, touched, spec, delta_id, _key(spec, buckets))
+            if done:
+                return done
+    finally:
+        remove(spark, folder)
 
 
 def _write(spark, path, head, tagged, counts, touched, spec, delta_id, key) -> Commit | None:

@@ -108,6 +108,11 @@ def _place(spark: SparkSession, text: str, folder: str, pointer: str) -> bool:
     return True
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    _, p, fs = _fs(spark, folder)
+    fs.delete(p, True)
+
+
 def new_attempt() -> str:
     return f"attempt-{uuid.uuid4().hex}"
 
@@ -121,8 +126,7 @@ def commit(spark: SparkSession, path: str, attempt: str, number: int,
     body = {"attempt": attempt, "manifest": manifest(spark, folder), "notes": notes or {}}
     if _place(spark, json.dumps(body), folder, f"{path}/{_POINTER}{number:08d}"):
         return Commit(path, number, **body)
-    _, p, fs = _fs(spark, folder)
-    fs.delete(p, True)
+    remove(spark, folder)
     return None
 
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from conftest import SF01
+from conftest import SF001, SF01
 from recsift.functions.hashing import bucket
 from recsift.operators import ALSSpec, SplitSpec
 from recsift.plans import PrepareSpec, get_model, merge_delta, prepare, read_split
@@ -146,3 +146,19 @@ def test_two_merges_at_once_both_count(spark, tmp_path):
     _lose_a_part(f"{path}/{gone}/rows")
     with pytest.raises(RuntimeError):
         read_split(spark, path)
+
+
+def test_a_delta_is_read_once_and_not_again_under_its_id(spark, tmp_path):
+    """Its rows go through the caller's plan once; a retry does not run that plan."""
+    read, path = spark.sparkContext.accumulator(0), str(tmp_path / "split")
+
+    def seen(item):
+        read.add(1)
+        return item
+
+    inter = _tenths(interactions(spark, SF001), False).filter("rating > 0")
+    inter = spark.createDataFrame(inter.collect(), inter.schema)
+    merge_delta(inter.withColumn("item_id", F.udf(seen, "int")("item_id")), path, SPEC, "base")
+    assert read.value == inter.count()
+    broken = inter.withColumn("item_id", F.raise_error(F.lit("read")).cast("int"))
+    assert merge_delta(broken, path, SPEC, "base").number == 0
