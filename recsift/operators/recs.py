@@ -184,7 +184,8 @@ def recommend_long(model, users: DataFrame, k: int, block_floats: int | None = N
     floats = block_floats or BLOCK_FLOATS
     items = model.itemFactors.select("id", "features", _norm().alias("norm"))
     wanted = users.select(F.col("user_id").alias("id")).distinct()
-    factors = model.userFactors.join(wanted, "id", "left_semi").select("id", "features")
+    # written once: every step below reads them
+    factors = materialize_keys(model.userFactors.join(wanted, "id", "left_semi").select("id", "features"))
     n_users = factors.count()
     item_blocks = n_blocks(items.count(), rank, floats)
     user_blocks = max(n_blocks(n_users, rank, floats),
@@ -195,7 +196,7 @@ def recommend_long(model, users: DataFrame, k: int, block_floats: int | None = N
         zero = F.lit(0).alias("ib")
         return _lists(left.select("id", "features", "ub", zero), items.select("id", "features", every.alias("ub"), zero), k) \
             .select("user_id", "pos", "item_id", "rating")
-    items, tops = _item_blocks(items, item_blocks)
+    items, tops = _item_blocks(materialize_keys(items), item_blocks)  # cuts, counts and both scorings read the norms
     item_blocks = len(tops)
     long = materialize_keys(_lists(left.select("id", "features", "ub", F.lit(0).alias("ib")),
                                    items.filter("ib = 0").select("id", "features", every.alias("ub"), "ib"), k))

@@ -158,3 +158,16 @@ def test_scoring_passes_blocks_as_arrow(spark):
     lists = recs_mod._lists(blocks, blocks, 1)
     assert "FlatMapCoGroupsInArrow" in lists._jdf.queryExecution().executedPlan().toString()
     assert sorted((r.user_id, r.item_id, r.rating) for r in lists.collect()) == [(1, 1, 1.0), (2, 2, 1.0)]
+
+
+def test_scoring_reads_users_and_norms_from_one_written_table(spark, splits):
+    """Wanted users are joined, and item norms computed, once however many steps read them."""
+    from test_plans import formatted
+
+    from recsift.operators import recommend_long
+
+    model = fit_als(_train(splits), ALSSpec(rank=5, max_iter=2))
+    users = splits.filter(F.col("split") == "val").select("user_id")
+    few, many = (formatted(recommend_long(model, users, 6, floats)) for floats in (None, 5 * 40))
+    assert "LeftSemi" not in few and "LeftSemi" not in many
+    assert "aggregate(" not in many

@@ -152,3 +152,19 @@ def test_quality_report_on_thinned_table(inter01):
     assert r.split_row_share == round(2827 / 2953, 9)
     assert r.full_duplicates == r.down_duplicates == r.split_duplicates == 0
     assert r.train_users == r.down_users > r.val_users + r.test_users
+
+
+def test_unseen_users_hash_each_row_once(spark):
+    """No filter on the role hashes the rows' users again; the users are the same."""
+    from test_plans import formatted
+
+    from recsift.operators.splits import tag_holdout, unseen_users
+
+    rows = [(u, i, 4) for u in range(200) for i in range(u % 3 + 1)]
+    tagged = tag_holdout(spark.createDataFrame(rows, "user_id int, item_id int, rating int"), SplitSpec(seed=3))
+    held = {}
+    for r in tagged.collect():
+        held.setdefault(r.user_id, []).append(r.role != "train" and r.held)
+    unseen = unseen_users(tagged)
+    assert {r.user_id for r in unseen.collect()} == {u for u, h in held.items() if all(h)} != set()
+    assert not [line for line in formatted(unseen).splitlines() if line.startswith("Condition") and "md5" in line]
