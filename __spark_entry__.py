@@ -392,11 +392,11 @@ def q_als_gram_topk_implicit(spark, sf):
 
 
 def q_als_gram_parity(spark, sf):
-    """Both solvers from the same start: ids of each factor table, and how many
+    """Spark ML itself and `gram` from the same start: ids of each factor table, and how many
     have factors that differ by at most 1e-4."""
     train, out = _train(_splits(spark, sf)), None
     for implicit in (False, True):
-        spec = ALSSpec(implicit=implicit, reg=REG, seed=SEED)
+        spec = ALSSpec(implicit=implicit, reg=REG, seed=SEED, ml_ratings=None)
         start = fit_als(train, replace(spec, max_iter=0)).userFactors
         own, ml = fit_gram_als(train, spec, start), fit_als(train, spec)
         for side in ("userFactors", "itemFactors"):
@@ -461,7 +461,7 @@ def q_model_roundtrip(spark, sf):
     """Models of both kinds and both solvers, committed and loaded: ids of each
     factor table, and how many of them have the saved factors."""
     train, out = _train(_splits(spark, sf)), None
-    for spec in (ALSSpec(reg=REG, seed=SEED), ALSSpec(reg=REG, seed=SEED, implicit=True),
+    for spec in (ALSSpec(reg=REG, seed=SEED, ml_ratings=None), ALSSpec(reg=REG, seed=SEED, implicit=True, ml_ratings=None),
                  ALSSpec(reg=REG, seed=SEED, solver="gram")):
         path = f"{_folder(spark)}/model"
         fitted, loaded = get_model(train, spec, path), get_model(train, spec, path)

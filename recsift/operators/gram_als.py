@@ -315,6 +315,35 @@ def _partial(vectors: np.ndarray, at: np.ndarray, in_gram: np.ndarray, in_sum: n
     return gram, total
 
 
+def _solve_ids(solved: np.ndarray, whole: np.ndarray, starts: np.ndarray, lengths: np.ndarray, weights: np.ndarray,
+               vectors: np.ndarray, at: np.ndarray, in_gram: np.ndarray, in_sum: np.ndarray, reg: float, implicit: bool,
+               base: np.ndarray | None) -> None:
+    """Solves the ids ``whole`` into their rows of ``solved``, those of equally many ratings together."""
+    rank = solved.shape[1]
+    whole = whole[np.argsort(lengths[whole], kind="stable")]
+    cuts = np.flatnonzero(np.diff(lengths[whole])) + 1
+    for same in np.split(whole, cuts) if len(whole) else ():
+        n = int(lengths[same[0]])
+        step = max(1, SOLVE_BYTES // (8 * (n * rank + min(n, rank) ** 2)))
+        for lo in range(0, len(same), step):
+            some = same[lo:lo + step]
+            if n * rank * 8 > SOLVE_BYTES:
+                rows = slice(int(starts[some[0]]), int(starts[some[0]]) + n)
+                gram, total = _partial(vectors, at[rows], in_gram[rows], in_sum[rows], rank)
+                solved[some] = _solve(gram[None], total[None], weights[some], base)
+                continue
+            rows = starts[some][:, None] + np.arange(n)
+            x = vectors[at[rows]].astype(np.float64)
+            across = x.transpose(0, 2, 1)
+            if not implicit and reg > 0 and n < rank:
+                duals = x @ across
+                duals[:, np.arange(n), np.arange(n)] += weights[some][:, None]
+                solved[some] = (across @ np.linalg.solve(duals, in_sum[rows][:, :, None]))[:, :, 0]
+            else:
+                weighed = (x * in_gram[rows][:, :, None]).transpose(0, 2, 1) if implicit else across
+                solved[some] = _solve(weighed @ x, (across @ in_sum[rows][:, :, None])[:, :, 0], weights[some], base)
+
+
 def _half(rank: int, reg: float, implicit: bool, alpha: float, base: np.ndarray | None):
     """Cogroup function of a group, one part after the other: solved factors of its
     ordinary ids, partial equations (Gram matrix, sum, count) of its hot ones.
@@ -342,29 +371,7 @@ def _half(rank: int, reg: float, implicit: bool, alpha: float, base: np.ndarray
         lengths = np.diff(np.r_[starts, len(dst)])
         weights = reg * np.add.reduceat(counted, starts)
         solved = np.empty((len(starts), rank), dtype=np.float32)
-        whole = np.flatnonzero(~hot[starts])
-        whole = whole[np.argsort(lengths[whole], kind="stable")]
-        cuts = np.flatnonzero(np.diff(lengths[whole])) + 1
-        for same in np.split(whole, cuts) if len(whole) else ():
-            n = int(lengths[same[0]])
-            step = max(1, SOLVE_BYTES // (8 * (n * rank + min(n, rank) ** 2)))
-            for lo in range(0, len(same), step):
-                some = same[lo:lo + step]
-                if n * rank * 8 > SOLVE_BYTES:
-                    rows = slice(int(starts[some[0]]), int(starts[some[0]]) + n)
-                    gram, total = _partial(vectors, at[rows], in_gram[rows], in_sum[rows], rank)
-                    solved[some] = _solve(gram[None], total[None], weights[some], base)
-                    continue
-                rows = starts[some][:, None] + np.arange(n)
-                x = vectors[at[rows]].astype(np.float64)
-                across = x.transpose(0, 2, 1)
-                if not implicit and reg > 0 and n < rank:
-                    duals = x @ across
-                    duals[:, np.arange(n), np.arange(n)] += weights[some][:, None]
-                    solved[some] = (across @ np.linalg.solve(duals, in_sum[rows][:, :, None]))[:, :, 0]
-                else:
-                    weighed = (x * in_gram[rows][:, :, None]).transpose(0, 2, 1) if implicit else across
-                    solved[some] = _solve(weighed @ x, (across @ in_sum[rows][:, :, None])[:, :, 0], weights[some], base)
+        _solve_ids(solved, np.flatnonzero(~hot[starts]), starts, lengths, weights, vectors, at, in_gram, in_sum, reg, implicit, base)
         whole = np.flatnonzero(~hot[starts])  # as the links are
         out = _linked(pa.table({"id": pa.array(dst[starts[whole]], pa.int32()), "features": pa.ListArray.from_arrays(
             np.arange(0, (len(whole) + 1) * rank, rank, dtype=np.int32), solved[whole].ravel()),
