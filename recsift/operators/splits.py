@@ -20,6 +20,7 @@ and item visibility are one aggregate each followed by a join against a
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 
 from recsift.functions.hashing import bucket
 from recsift.operators.joins import attach_keys, bounded, keep_keys
+from recsift.session import checkpoint_dir
 
 TRAIN, VAL, TEST = "train", "val", "test"
 
@@ -38,8 +40,12 @@ class SplitSpec:
     val_share: int = 200    # per mille of users; test gets the rest
     holdout: int = 500      # per mille of a val/test user's rows held out
 
-    def role(self) -> Column:
-        b = bucket(f"{self.seed}s", "user_id")
+    def user_bucket(self) -> Column:
+        return bucket(f"{self.seed}s", "user_id")
+
+    def role(self, b: Column | None = None) -> Column:
+        """The role of the user's bucket ``b``, which is hashed here by default."""
+        b = self.user_bucket() if b is None else b
         return (F.when(b < self.train_share, F.lit(TRAIN))
                 .when(b < self.train_share + self.val_share, F.lit(VAL))
                 .otherwise(F.lit(TEST)))
@@ -51,8 +57,9 @@ class SplitSpec:
 
 
 def assign_roles(df: DataFrame, spec: SplitSpec = SplitSpec()) -> DataFrame:
-    """Attach ``role`` to every row by the user's bucket (no distinct, no join)."""
-    return df.withColumn("role", spec.role())
+    """Attach ``role`` to every row by the user's bucket (no distinct, no join).
+    The bucket is a column of its own, so that a row's user is hashed once."""
+    return df.withColumn("_bucket", spec.user_bucket()).withColumn("role", spec.role(F.col("_bucket"))).drop("_bucket")
 
 
 def tag_holdout(df: DataFrame, spec: SplitSpec = SplitSpec()) -> DataFrame:
@@ -60,6 +67,14 @@ def tag_holdout(df: DataFrame, spec: SplitSpec = SplitSpec()) -> DataFrame:
     return assign_roles(df, spec).withColumn("held", spec.held())
 
 
+def _tagged_once(tagged: DataFrame) -> DataFrame:
+    """Tagged rows written once to the shared checkpoint folder: put-back, item
+    visibility and the result read them, and each would hash every row again."""
+    from recsift.sources.store import materialize
+
+    return materialize(tagged, f"{checkpoint_dir(tagged.sparkSession)}/recsift-tagged/{uuid.uuid4().hex}", sort_by=())
+
+
 def train_rows(tagged: DataFrame) -> DataFrame:
     """Rows that reach train before put-back: train users' rows and the
     non-held rows of val/test users (the complement of the holdout)."""
@@ -117,7 +132,7 @@ def split(df: DataFrame, spec: SplitSpec = SplitSpec(), rm_unobserved: bool = Tr
     if not rm_unobserved:
         return tagged.withColumn(
             "split", F.when(F.col("held"), F.col("role")).otherwise(F.lit(TRAIN)))
-    return drop_unobserved_items(put_back(tagged))
+    return drop_unobserved_items(put_back(_tagged_once(tagged)))
 
 
 def split_view(splits: DataFrame, which: str, cols=("user_id", "item_id", "rating")) -> DataFrame:

@@ -168,3 +168,10 @@ def test_unseen_users_hash_each_row_once(spark):
     unseen = unseen_users(tagged)
     assert {r.user_id for r in unseen.collect()} == {u for u, h in held.items() if all(h)} != set()
     assert not [line for line in formatted(unseen).splitlines() if line.startswith("Condition") and "md5" in line]
+
+
+def test_tagging_hashes_a_rows_user_once(spark):
+    """One hash of the user and one of the pair in the plan, not one for each mention of the role."""
+    df = spark.createDataFrame([(1, 2, 3)], "user_id int, item_id int, rating int")
+    plan = tag_holdout(df, SplitSpec())._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("md5(") == 2
