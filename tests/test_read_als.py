@@ -1,5 +1,6 @@
 """Spark ML's model of many ratings: its factors, and what a half-iteration shuffles."""
 
+import os
 from dataclasses import replace
 
 import numpy as np
@@ -7,8 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
-from recsift.operators import ALSSpec, fit_als, recommend_long, remove_zeros
-from recsift.operators import read_als
+from recsift.operators import ALSSpec, SplitSpec, fit_als, recommend_long, remove_zeros, split
+from recsift.operators import gram_als, read_als
 from recsift.operators.gram_als import FactorModel
 from recsift.operators.read_als import fit_read_als, start_factors
 from recsift.sources import interactions
@@ -84,3 +85,36 @@ def test_saved_factors_are_read_back(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(read_als, "fit_read_als", None)
     again = fit_als(train, SPEC, path)
     assert again.rank == SPEC.rank and _gap(first.userFactors, again.userFactors) == 0
+
+
+@pytest.mark.parametrize("implicit", [False, True])
+@pytest.mark.parametrize("table", ["plain", "hot"])
+def test_large_gram_fits_send_no_factors(spark, monkeypatch, implicit, table):
+    """Factors beyond the bound are written and read; with hot ids, too, they are those that are sent."""
+    train = remove_zeros(interactions(spark, SF001)) if table == "plain" else _hot(spark)
+    spec = replace(SPEC, implicit=implicit, solver="gram", blocks=40 if table == "hot" else 4)
+    sent = fit_als(train, spec)
+    monkeypatch.setattr(gram_als, "READ_FLOATS", 0)
+    monkeypatch.setattr(gram_als, "_step", None)
+    monkeypatch.setattr(read_als, "SLICE_RATINGS", 50)
+    folders, keep = [], read_als.fit_folder
+    monkeypatch.setattr(read_als, "fit_folder", lambda s: folders.append(keep(s)) or folders[-1])
+    read = fit_als(train, spec)
+    assert _gap(sent.userFactors, read.userFactors) < 1e-4 and _gap(sent.itemFactors, read.itemFactors) < 1e-4
+    left = {p.split("-hot")[0] for p in os.listdir(folders[0].removeprefix("file:").replace("///", "/"))}
+    assert left == {f"items-{SPEC.max_iter - 1}", f"users-{SPEC.max_iter - 1}"}
+
+
+def test_grid_of_large_fits_deals_once(spark, monkeypatch):
+    from recsift.plans import tune_grid
+
+    monkeypatch.setattr(gram_als, "READ_FLOATS", 0)
+    dealt, deal = [], read_als.deal
+    monkeypatch.setattr(read_als, "deal", lambda *a: dealt.append(a) or deal(*a))
+    rows = split(remove_zeros(interactions(spark, SF001)), SplitSpec())
+    out = tune_grid(rows, (3, 4), (0.01, 1.0), 5, replace(SPEC, max_iter=1, solver="gram")).collect()
+    assert len(out) == 4 and len(dealt) == 2
+
+
+def test_groups_leave_no_core_idle():
+    assert [read_als.even(16, c) for c in (4, 8, 12, 16, 100)] == [16, 16, 24, 16, 16]
