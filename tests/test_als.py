@@ -171,3 +171,45 @@ def test_scoring_reads_users_and_norms_from_one_written_table(spark, splits):
     few, many = (formatted(recommend_long(model, users, 6, floats)) for floats in (None, 5 * 40))
     assert "LeftSemi" not in few and "LeftSemi" not in many
     assert "aggregate(" not in many
+
+
+@pytest.mark.parametrize("block_floats", [None, 5 * 40])  # one slice of users, then many
+def test_lists_of_items_that_are_read_match_spark_ml(spark, splits, monkeypatch, block_floats):
+    """Items are written once and not sent to each block of users."""
+    from recsift.operators import read_lists
+    from test_plans import formatted
+
+    monkeypatch.setattr(recs_module, "SENT_FLOATS", 0)
+    monkeypatch.setattr(recs_module, "_lists", None)
+    monkeypatch.setattr(read_lists, "BLOCK_FLOATS", 5 * 7)  # several files and blocks
+    model = fit_als(_train(splits), ALSSpec(rank=5, max_iter=5))
+    users = splits.filter(F.col("split") == "val").select("user_id").distinct()
+    _check_against_spark_ml(model, users, 6, block_floats)
+    plan = formatted(recs_module.recommend_long(model, users, 6, block_floats))
+    assert plan.count("Exchange") <= 2 and "Join" not in plan and "Window" not in plan
+    all_items = model.itemFactors.count()
+    assert recs_module.recommend_long(model, users, all_items + 5).groupBy("user_id").count().filter(F.col("count") != all_items).count() == 0
+
+
+def test_blocks_of_items_that_nobody_needs_are_not_read():
+    import numpy as np
+
+    from recsift.functions.topk import top_k, top_k_of_blocks
+
+    rng = np.random.default_rng(4)
+    users = rng.normal(size=(3000, 6)).astype(np.float32)
+    items = (rng.normal(size=(9000, 6)) * rng.pareto(1.5, size=(9000, 1))).astype(np.float32)
+    items[rng.integers(0, 9000, 300)] = items[3]  # ties
+    norms = np.linalg.norm(items, axis=1)
+    order, ids, read, scored = np.argsort(-norms), rng.permutation(9000), [], []
+
+    def blocks(at):
+        for lo in range(0, len(at), 100):
+            read.append(len(at[lo:lo + 100]))
+            yield ids[at[lo:lo + 100]], items[at[lo:lo + 100]]
+
+    files = ((norms[order[lo]], lambda lo=lo: blocks(order[lo:lo + 1500])) for lo in range(0, 9000, 1500))
+    s, i = top_k_of_blocks(users, files, 10, scored)
+    want_s, want_i = top_k(users, items, ids, 10)
+    assert np.allclose(s, want_s, rtol=1e-5) and (i == want_i).mean() > 0.999
+    assert sum(read) < 9000 and scored[0] < 3000 * 9000 / 2

@@ -118,3 +118,34 @@ def test_grid_of_large_fits_deals_once(spark, monkeypatch):
 
 def test_groups_leave_no_core_idle():
     assert [read_als.even(16, c) for c in (4, 8, 12, 16, 100)] == [16, 16, 24, 16, 16]
+
+
+def _with_nulls(train):
+    return train.withColumn("is_reviewed", F.when(F.col("item_id") % 7 > 0, F.col("is_reviewed")))
+
+
+@pytest.mark.parametrize("nulls", [False, True])
+def test_explicit_and_implicit_share_dealt_ratings_and_start(spark, monkeypatch, nulls):
+    """Rows with a null in one column are other rows for each model: nothing is shared then."""
+    train = _with_nulls(_hot(spark)) if nulls else _hot(spark)
+    specs = [replace(SPEC, implicit=implicit) for implicit in (False, True)]
+    alone = [fit_read_als(train, spec) for spec in specs]
+    dealt, started, deal, start = [], [], read_als.deal, read_als.start_factors
+    monkeypatch.setattr(read_als, "deal", lambda *a: dealt.append(a) or deal(*a))
+    monkeypatch.setattr(read_als, "start_factors", lambda *a: started.append(a) or start(*a))
+    with read_als.sharing(train, ("rating", "is_reviewed")):
+        both = [fit_read_als(train, spec) for spec in specs]
+    assert (len(dealt), len(started)) == ((4, 2) if nulls else (2, 1))
+    for a, b in zip(alone, both, strict=True):
+        assert _gap(a.userFactors, b.userFactors) < 1e-5 and _gap(a.itemFactors, b.itemFactors) < 1e-5
+
+
+def test_weight_search_deals_the_rows_once(spark, monkeypatch):
+    from recsift.plans import tune_weight
+
+    dealt, deal = [], read_als.deal
+    monkeypatch.setattr(read_als, "deal", lambda *a: dealt.append(a) or deal(*a))
+    rows = split(remove_zeros(interactions(spark, SF001)), SplitSpec()).persist()
+    one, other = (sorted(map(str, tune_weight(rows, replace(SPEC, ml_ratings=m), 5).collect())) for m in (0, None))
+    assert len(dealt) == 2 and [x[:60] for x in one] == [x[:60] for x in other]
+    rows.unpersist()
