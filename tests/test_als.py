@@ -209,7 +209,26 @@ def test_blocks_of_items_that_nobody_needs_are_not_read():
             yield ids[at[lo:lo + 100]], items[at[lo:lo + 100]]
 
     files = ((norms[order[lo]], lambda lo=lo: blocks(order[lo:lo + 1500])) for lo in range(0, 9000, 1500))
-    s, i = top_k_of_blocks(users, files, 10, scored)
+    s, i = top_k_of_blocks(users, files, 10, np.arange(10), scored)
     want_s, want_i = top_k(users, items, ids, 10)
     assert np.allclose(s, want_s, rtol=1e-5) and (i == want_i).mean() > 0.999
     assert sum(read) < 9000 and scored[0] < 3000 * 9000 / 2
+
+
+def test_users_of_zero_vectors_are_not_scored():
+    """Every item scores 0 for them, so no bound ends their search: their lists are the lowest ids."""
+    import numpy as np
+
+    from recsift.functions.topk import top_k, top_k_of_blocks
+
+    rng = np.random.default_rng(5)
+    items = rng.normal(size=(5000, 4)).astype(np.float32) * rng.pareto(1.5, size=(5000, 1)).astype(np.float32)
+    ids, users, zero, scored = rng.permutation(5000) + 7, rng.normal(size=(50, 4)).astype(np.float32), [3, 20], []
+    users[zero] = 0
+    order = np.argsort(-np.linalg.norm(items, axis=1))
+    top = float(np.linalg.norm(items[order[0]]))
+    s, i = top_k(users, items, ids, 6, scored=scored)
+    t, j = top_k_of_blocks(users, [(top, lambda: iter([(ids[order], items[order])]))], 6, np.arange(7, 13), scored)
+    rest, _ = top_k(np.delete(users, zero, axis=0), items, ids, 6, scored=scored)
+    assert (s[zero] == 0).all() and (i[zero] == np.arange(7, 13)).all() and (i == j).all() and np.allclose(s, t)
+    assert np.allclose(np.delete(s, zero, axis=0), rest) and scored[0] == scored[1] == scored[2]
